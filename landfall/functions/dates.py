@@ -33,25 +33,41 @@ def _blank(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
-def parse_date(c, layouts=DATE_LAYOUTS) -> Column:
+# Two-digit-year layouts, used only when a feed states a pivot year.
+SHORT_YEAR_LAYOUTS = (
+    "M/d/yy[ H:m[:s][.SSSSSSSSS]]",
+    "d/M/yy[ H:m[:s][.SSSSSSSSS]]",
+    "M-d-yy[ H:m[:s][.SSSSSSSSS]]",
+)
+
+
+def parse_date(c, layouts=DATE_LAYOUTS, pivot_year: int | None = None) -> Column:
     """First layout that reads the trimmed text, as a DATE; NULL if none does.
 
     ``try_to_date`` works on local dates, so the session time zone never shifts
-    a value.
+    a value. With ``pivot_year`` (2000-2099), two-digit years are read too: they
+    land in 2000-2099 and those after the pivot move back a century.
     """
     t = F.trim(col(c))
-    return F.coalesce(*[F.try_to_date(t, f) for f in layouts])
+    parsed = F.coalesce(*[F.try_to_date(t, f) for f in layouts])
+    if pivot_year is None:
+        return parsed
+    if not 2000 <= pivot_year <= 2099:
+        raise ValueError("pivot_year must be within 2000-2099")
+    short = F.coalesce(*[F.try_to_date(t, f) for f in SHORT_YEAR_LAYOUTS])
+    short = F.when(F.year(short) > pivot_year, F.add_months(short, -1200)).otherwise(short)
+    return F.coalesce(parsed, short)
 
 
 def reformat_date(c, strict: bool = True, out: str = DATE_OUT, layouts=DATE_LAYOUTS,
-                  error: str = "unreadable date") -> Column:
+                  error: str = "unreadable date", pivot_year: int | None = None) -> Column:
     """F1 (strict) / F2 (lenient): any accepted layout to ``out``.
 
     NULL or blank stays NULL. Unreadable text is NULL when lenient and fails
     the task when strict; the message never holds the value.
     """
     c = col(c)
-    parsed = parse_date(c, layouts)
+    parsed = parse_date(c, layouts, pivot_year)
     if strict:
         parsed = F.coalesce(parsed, F.raise_error(F.lit(error)).cast("date"))
     return F.when(_blank(c), null_string()).otherwise(F.date_format(parsed, out))

@@ -15,7 +15,13 @@ from landfall.operators.counts import observe_counts
 from landfall.operators.projection import qcol
 from landfall.operators.rows import is_long_row
 from landfall.plans.spec import FeedSpec, Rename, RuleContext, long_row_message
-from landfall.sources.delimited import CORRUPT, check_header, read_delimited, read_header
+from landfall.sources.delimited import (
+    CORRUPT,
+    check_header,
+    choose_multi_line,
+    read_delimited,
+    read_header,
+)
 
 QUARANTINE_COLUMNS = ("feed", "file", "record_key", "raw_record", "reason")
 
@@ -31,6 +37,7 @@ class FeedLoad:
     observation: Observation
     quarantine: DataFrame | None    # long rows, when the feed quarantines them
     columns: list[str]
+    multi_line: bool = True
 
 
 def file_name_of(path: str) -> str:
@@ -42,13 +49,16 @@ def file_name_of(path: str) -> str:
 def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str | None = None,
                file_name: str | None = None) -> FeedLoad:
     """Plan the load of one landed object. Only the header is read now."""
-    header = read_header(spark, path, spec.sep, spec.multi_line, spec.encoding)
+    header = read_header(spark, path, spec.sep, spec.multi_line is not False, spec.encoding)
     check_header(header, required=spec.required())
-    raw = read_delimited(spark, path, header, spec.sep, spec.multi_line, spec.encoding)
+    multi_line = spec.multi_line
+    if multi_line is None:
+        multi_line = choose_multi_line(spark, path)
+    raw = read_delimited(spark, path, header, spec.sep, multi_line, spec.encoding)
 
     load_ts = load_ts or load_stamp_text()
     file_name = file_name if file_name is not None else file_name_of(path)
-    ctx = RuleContext(spec.name, file_name, load_ts, spec.date_layouts)
+    ctx = RuleContext(spec.name, file_name, load_ts, spec.date_layouts, spec.pivot_year)
 
     long_row = is_long_row(F.col(CORRUPT), spec.sep, len(header))
     observed, obs = observe_counts(raw, long_row, [qcol(h) for h in header] + [F.col(CORRUPT)])
@@ -75,12 +85,16 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
         quarantine = None
     else:
         kept = observed.filter(~long_row)
-        quarantine = raw.filter(long_row).select(
+        # Spark refuses a CSV scan whose only needed column is the corrupt-record
+        # one (e.g. ``count()`` here); this always-true test keeps a data column
+        # in the scan.
+        keeps_a_field = qcol(header[0]).isNull() | qcol(header[0]).isNotNull()
+        quarantine = raw.filter(long_row & keeps_a_field).select(
             F.lit(spec.name).alias("feed"), F.lit(file_name).alias("file"),
             qcol(header[0]).alias("record_key"), F.col(CORRUPT).alias("raw_record"),
             F.lit("long_row").alias("reason"))
     rows = kept.select(*out)
-    return FeedLoad(spec, path, file_name, load_ts, header, rows, obs, quarantine, list(cols))
+    return FeedLoad(spec, path, file_name, load_ts, header, rows, obs, quarantine, list(cols), multi_line)
 
 
 def load(spark: SparkSession, spec: FeedSpec, path: str, **kw) -> DataFrame:

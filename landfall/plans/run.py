@@ -3,7 +3,8 @@
 Order of a lake load (one scan of the landed object):
   header read (R2, S6) -> write of the snapshot folder with counts observed (A1)
   -> exact UTF-8 check only if replacement characters were seen (S5)
-  -> target count from the written files (A2) -> reconcile (A3)
+  -> quarantine pass only if long rows were seen (R1)
+  -> target count from the written files' footers (A2) -> reconcile (A3)
   -> optional JDBC copy of the validated snapshot (K3) -> audit row (T3).
 The audit row is the pointer: until it is written the old snapshot stays current.
 """
@@ -16,7 +17,14 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import SparkSession
 
-from landfall.errors import CHECK_MARK, DataError, EncodingError, LoadError, is_data_check_failure
+from landfall.errors import (
+    CHECK_MARK,
+    CountMismatch,
+    DataError,
+    EncodingError,
+    LoadError,
+    is_data_check_failure,
+)
 from landfall.operators.counts import counts_of, reconcile
 from landfall.plans.load import build_load, file_name_of
 from landfall.plans.spec import FeedSpec
@@ -68,14 +76,8 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
     q_root = f"{(quarantine_root or lake_root.rstrip('/') + '/_quarantine')}/{spec.target}"
     out = LoadOutcome(load_id, spec.name, spec.target, file_name or file_name_of(path), "RUNNING")
     try:
-        if jdbc is not None and count_invalid_utf8(spark, path) > 0:
-            raise EncodingError("source is not valid UTF-8")
         fl = build_load(spark, spec, path, load_ts=load_ts, file_name=file_name)
         out.load_ts = fl.load_ts
-        quarantined = 0
-        if fl.quarantine is not None:
-            write_snapshot(fl.quarantine, q_root, load_id)
-            quarantined = read_snapshot(spark, q_root, load_id).count()
         try:
             write_snapshot(fl.rows, target_root, load_id)
         except Exception as e:  # a row check failed inside the tasks
@@ -83,9 +85,16 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
                 raise DataError(_check_text(e, spec)) from None
             raise
         counts = counts_of(fl.observation)
-        out.rows_read, out.rows_quarantined = counts.rows_read, quarantined
+        # Second passes only when the first one saw a reason for them.
         if counts.rows_replaced_chars and count_invalid_utf8(spark, path) > 0:
             raise EncodingError("source is not valid UTF-8")
+        quarantined = 0
+        if fl.quarantine is not None and counts.rows_long:
+            write_snapshot(fl.quarantine, q_root, load_id)
+            quarantined = read_snapshot(spark, q_root, load_id).count()
+            if quarantined != counts.rows_long:
+                raise CountMismatch(f"quarantine holds {quarantined} rows, {counts.rows_long} were long")
+        out.rows_read, out.rows_quarantined = counts.rows_read, quarantined
         snap = read_snapshot(spark, target_root, load_id)
         out.rows_target = snap.count()
         reconcile(counts.rows_read - quarantined, out.rows_target)
@@ -102,7 +111,7 @@ def run_arrival(spark: SparkSession, spec: FeedSpec, path: str, stamp, **kw) ->
     """Idempotent form for arrivals: the id comes from feed, path and arrival
     time; an arrival that already has an outcome is not loaded again."""
     load_id = stable_load_id(spec.name, path, stamp)
-    if has_outcome(spark, kw["audit_root"], load_id):
+    if has_outcome(spark, kw["audit_root"], load_id, spec.target):
         return None
     return run_load(spark, spec, path, load_id=load_id, **kw)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -22,6 +23,7 @@ class RuleContext:
     file_name: str
     load_ts: str
     date_layouts: tuple
+    pivot_year: int | None = None
 
 
 class Rule:
@@ -75,7 +77,7 @@ class DateText(Rule):
     def apply(self, cols, ctx):
         msg = self.check_message(ctx.feed) or ""
         expr = LF.reformat_date(cols[self.column], strict=self.strict, out=self.out,
-                                layouts=ctx.date_layouts, error=msg)
+                                layouts=ctx.date_layouts, error=msg, pivot_year=ctx.pivot_year)
         return _replace(cols, self.column, expr)
 
 
@@ -160,6 +162,10 @@ class FeedSpec:
 
     ``output`` set means a closed projection (P2) in that order; ``None`` keeps
     every input column in input order with new ones last (P3).
+
+    ``multi_line``: ``True`` parses each file whole (quoted line breaks allowed,
+    one task per file), ``False`` splits files (no quoted line breaks), ``None``
+    chooses per load from the file sizes (``choose_multi_line``).
     """
 
     name: str
@@ -171,12 +177,15 @@ class FeedSpec:
     sep: str = "|"
     null_tokens: tuple[str, ...] = NULL_TOKENS
     date_layouts: tuple[str, ...] = DATE_LAYOUTS
-    multi_line: bool = True
+    pivot_year: int | None = None
+    multi_line: bool | None = None
     long_rows: str = "fail"
     encoding: str = "UTF-8"
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def __post_init__(self):
+        if not re.fullmatch(r"[A-Za-z0-9_.\-]+", self.target):
+            raise ValueError("target must be a plain name (letters, digits, _ . -)")
         if self.long_rows not in ("fail", "quarantine"):
             raise ValueError("long_rows must be 'fail' or 'quarantine'")
 

@@ -24,24 +24,34 @@ def audit_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
 
 
 def append_audit(spark: SparkSession, audit_root: str, record: dict) -> None:
-    audit_frame(spark, [record]).write.mode("append").parquet(audit_root)
+    """One load's outcome, written into its target's own folder: loads of
+    different targets may record at the same time without sharing a commit
+    folder."""
+    (audit_frame(spark, [record]).drop("target")
+     .write.mode("append").parquet(f"{audit_root.rstrip('/')}/target={record['target']}"))
 
 
 def append_audit_rows(df: DataFrame, audit_root: str) -> None:
-    """Outcome rows built by a query (e.g. superseded files of a batch)."""
-    df.write.mode("append").parquet(audit_root)
+    """Append outcome rows; the table is partitioned by target, so a lookup of
+    one target's current load lists only that target's folder."""
+    df.coalesce(1).write.mode("append").partitionBy("target").parquet(audit_root)
+
+
+STORED_SCHEMA = AUDIT_SCHEMA + ", message string, recorded_at timestamp"
 
 
 def read_audit(spark: SparkSession, audit_root: str) -> DataFrame:
+    """The audit table. The schema is given, so the partition column ``target``
+    stays text whatever the target names look like."""
     try:
-        return spark.read.parquet(audit_root)
+        return spark.read.schema(STORED_SCHEMA).parquet(audit_root)
     except AnalysisException:
-        schema = AUDIT_SCHEMA + ", message string, recorded_at timestamp"
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], STORED_SCHEMA)
 
 
-def has_outcome(spark: SparkSession, audit_root: str, load_id: str) -> bool:
+def has_outcome(spark: SparkSession, audit_root: str, load_id: str, target: str | None = None) -> bool:
     """A final outcome for this load already exists (a replayed batch adds none)."""
-    return (read_audit(spark, audit_root)
-            .filter((F.col("load_id") == load_id) & F.col("status").isin("SUCCEEDED", "FAILED"))
-            .limit(1).count() > 0)
+    cond = (F.col("load_id") == load_id) & F.col("status").isin("SUCCEEDED", "FAILED")
+    if target is not None:
+        cond = (F.col("target") == target) & cond
+    return read_audit(spark, audit_root).filter(cond).limit(1).count() > 0

@@ -3,6 +3,8 @@ missing source (S6)."""
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -22,25 +24,46 @@ def _csv_reader(spark: SparkSession, sep: str, multi_line: bool, encoding: str =
             .option("encoding", encoding))
 
 
+def _missing(e: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
+
+
+def _split_header_line(line: str, sep: str) -> list[str] | None:
+    """Fields of one header line (quotes, doubled quotes); None if a quoted
+    name runs past the line."""
+    try:
+        return next(csv.reader([line], delimiter=sep, quotechar='"', doublequote=True, strict=True))
+    except (csv.Error, StopIteration):
+        return None
+
+
 def read_header(spark: SparkSession, path: str, sep: str = "|", multi_line: bool = True,
                 encoding: str = "UTF-8") -> list[str]:
     """The header row as data: exact names, duplicates and case kept.
 
-    One short job on the first split. A missing source fails here (S6), before
-    any sink is touched.
+    One short job reading the first line of the first split. A missing source
+    fails here (S6), before any sink is touched.
     """
     try:
-        row = (_csv_reader(spark, sep, multi_line, encoding)
-               .option("header", False)
-               .csv(path)
-               .first())
+        fields = None
+        if encoding.replace("-", "").upper() == "UTF8":
+            first = spark.read.text(path).first()
+            if first is None:
+                raise HeaderError("file has no header row")
+            fields = _split_header_line(first["value"].lstrip("\ufeff"), sep)
+        if fields is None:  # a header with a quoted line break, or another charset
+            row = (_csv_reader(spark, sep, multi_line, encoding)
+                   .option("header", False)
+                   .csv(path)
+                   .first())
+            if row is None:
+                raise HeaderError("file has no header row")
+            fields = ["" if v is None else v for v in row]
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if _missing(e):
             raise SourceMissing("source not found") from None
         raise
-    if row is None:
-        raise HeaderError("file has no header row")
-    return ["" if v is None else v for v in row]
+    return fields
 
 
 def check_header(header: list[str], required=(), output=None, renames=None) -> None:
@@ -113,3 +136,33 @@ def utf8_report(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.text(path)
             .agg(F.count_if(~F.is_valid_utf8("value")).alias("bad_lines"),
                  F.count(F.lit(1)).alias("lines")))
+
+
+def largest_file_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the biggest file of a landed object (a file or a folder of parts);
+    file contents are not read."""
+    row = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n")).first()
+    return int(row["n"] or 0)
+
+
+def has_quoted_line_breaks(spark: SparkSession, path: str, quote: str = '"') -> bool:
+    """True if some line ends inside a quoted field.
+
+    In a well-formed file every complete quoted field holds an even number of
+    quote characters, so a line with an odd count continues on the next line.
+    One plain splittable text scan, no parsing.
+    """
+    v = F.col("value")
+    odd = ((F.length(v) - F.length(F.replace(v, F.lit(quote), F.lit("")))) % 2) == 1
+    return bool(spark.read.text(path).agg(F.max(odd).alias("odd")).first()["odd"])
+
+
+def choose_multi_line(spark: SparkSession, path: str, split_bytes: int | None = None) -> bool:
+    """Whole-file parsing (exact with quoted line breaks, one task per file) for
+    files up to one split; beyond that, splittable reading unless a text scan
+    finds a quoted line break."""
+    if split_bytes is None:
+        split_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
+    if largest_file_bytes(spark, path) <= split_bytes:
+        return True
+    return has_quoted_line_breaks(spark, path)

@@ -10,6 +10,8 @@ batch rewrites its own snapshot folders and adds no second outcome.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,16 +28,23 @@ from landfall.functions.text import outcome_message
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def arrivals(spark: SparkSession, landing: str, glob: str | None = None, unit: str = "file") -> DataFrame:
+def arrivals(spark: SparkSession, landing: str, glob: str | None = None, unit: str = "file",
+             max_files_per_batch: int = 10000, archive_dir: str | None = None) -> DataFrame:
     """Arrival stream of ``(path, arrived)``.
 
     ``unit='file'``: each landed file is one load. ``unit='directory'``: files sit
     in folders under ``landing`` (a producer's multi-part drop, published whole),
-    and each folder is one load.
+    and each folder is one load. A batch holds at most ``max_files_per_batch``
+    files, which bounds everything the handler gathers per batch. With
+    ``archive_dir`` Spark moves files of committed batches there, so listing the
+    landing folder does not grow with history.
     """
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("maxFilesPerTrigger", max_files_per_batch))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     src = reader.load(landing if unit == "file" else landing.rstrip("/") + "/*")
     path = url_unquote(F.col("path"))  # the source hands paths over percent-encoded
     if unit == "directory":
@@ -49,7 +58,8 @@ class Intake:
     """``foreachBatch`` handler: route, keep the latest per feed, load, audit."""
 
     def __init__(self, specs, *, lake_root: str, audit_root: str, quarantine_root: str | None = None,
-                 load_ts: str | None = None):
+                 load_ts: str | None = None, parallel_loads: int = 4):
+        self.parallel_loads = max(1, parallel_loads)
         self.specs = {s.name: s for s in specs}
         self.routes = {s.prefix: s.name for s in specs}
         self.kw = dict(lake_root=lake_root, audit_root=audit_root, quarantine_root=quarantine_root,
@@ -67,8 +77,18 @@ class Intake:
         # and to broadcast.
         winners = latest.collect()
         self._audit_others(routed, latest)
-        for w in winners:
-            run_arrival(spark, self.specs[w["feed"]], w["path"], w["arrived"], **self.kw)
+
+        def one(w):
+            return run_arrival(spark, self.specs[w["feed"]], w["path"], w["arrived"], **self.kw)
+
+        # Loads of different feeds are independent Spark jobs; submitted from
+        # a few threads they share the cluster's task slots.
+        if self.parallel_loads == 1 or len(winners) < 2:
+            for w in winners:
+                one(w)
+        else:
+            with ThreadPoolExecutor(max_workers=self.parallel_loads) as pool:
+                list(pool.map(one, winners))
 
     def _audit_others(self, routed: DataFrame, latest: DataFrame) -> None:
         won = F.broadcast(latest.select("feed", F.col("path").alias("won_path")))
@@ -95,12 +115,14 @@ class Intake:
 def start_intake(spark: SparkSession, landing: str, specs, *, lake_root: str, audit_root: str,
                  checkpoint: str, glob: str | None = None, unit: str = "file",
                  available_now: bool = True, processing_time: str | None = None,
-                 quarantine_root: str | None = None, load_ts: str | None = None) -> StreamingQuery:
+                 quarantine_root: str | None = None, load_ts: str | None = None,
+                 parallel_loads: int = 4, max_files_per_batch: int = 10000,
+                 archive_dir: str | None = None) -> StreamingQuery:
     """Start the intake. ``available_now`` takes what has landed and stops;
     otherwise it polls every ``processing_time``."""
     handler = Intake(specs, lake_root=lake_root, audit_root=audit_root,
-                     quarantine_root=quarantine_root, load_ts=load_ts)
-    w = (arrivals(spark, landing, glob, unit).writeStream
+                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads)
+    w = (arrivals(spark, landing, glob, unit, max_files_per_batch, archive_dir).writeStream
          .foreachBatch(handler)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")

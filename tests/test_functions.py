@@ -128,3 +128,10 @@ def test_outcome_message(spark):
                    "The load f has FAILED for file x.txt. Error: No error message provided",
                    "The load f has STOPPED for file x.txt. Error: boom"]
     assert df.select(LF.outcome_subject("feed", "status")).first()[0] == "Load finished - f - Status: SUCCEEDED"
+
+
+def test_two_digit_years_only_with_a_pivot(spark):
+    vals = ["1/5/24", "1/5/31", "12/31/99", "1/5/2024"]
+    assert run(spark, lambda c: LF.reformat_date(c, strict=False), vals) == [None, None, None, "01-05-2024"]
+    got = run(spark, lambda c: LF.reformat_date(c, strict=False, pivot_year=2030), vals)
+    assert got == ["01-05-2024", "01-05-1931", "12-31-1999", "01-05-2024"]
