@@ -9,3 +9,13 @@ def col(c) -> Column:
 
 def null_string() -> Column:
     return F.lit(None).cast("string")
+
+
+def sql_string(s: str) -> str:
+    """A Spark SQL string literal for ``s``."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_name(name: str) -> str:
+    """A Spark SQL reference to the column ``name``, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"

@@ -49,7 +49,10 @@ def parse_date(c, layouts=DATE_LAYOUTS, pivot_year: int | None = None) -> Column
     land in 2000-2099 and those after the pivot move back a century.
     """
     t = F.trim(col(c))
-    parsed = F.coalesce(*[F.try_to_date(t, f) for f in layouts])
+    if tuple(layouts) == DATE_LAYOUTS:
+        parsed = _parse_default_layouts(t)
+    else:
+        parsed = F.coalesce(*[F.try_to_date(t, f) for f in layouts])
     if pivot_year is None:
         return parsed
     if not 2000 <= pivot_year <= 2099:
@@ -59,6 +62,26 @@ def parse_date(c, layouts=DATE_LAYOUTS, pivot_year: int | None = None) -> Column
     return F.coalesce(parsed, short)
 
 
+def _parse_default_layouts(t: Column) -> Column:
+    """The ordered list ``DATE_LAYOUTS``, dispatched on the separator after the
+    leading digits, so each value meets only the layouts that could read it,
+    in list order: usually one parse. A failed parse costs an exception inside
+    Spark, so this is far cheaper than trying every layout in turn, and it gives
+    the same result: a year field needs four or more digits, month and day any
+    number (leading zeros), and every other layout needs a separator.
+    """
+    m_d_y, d_m_y, y_m_d, y_m_d_t, ymd8, m_d_y_dash, y_m_d_slash = DATE_LAYOUTS
+    lead = F.length(F.regexp_extract(t, r"^[0-9]*", 0))
+    nxt = F.substring(t, lead + 1, 1)
+    year_first = lead >= 4
+    iso = F.when(F.instr(t, "T") > 0, F.try_to_date(t, y_m_d_t)).otherwise(F.try_to_date(t, y_m_d))
+    return (F.when(nxt == "/", F.coalesce(F.try_to_date(t, m_d_y), F.try_to_date(t, d_m_y),
+                                          F.when(year_first, F.try_to_date(t, y_m_d_slash))))
+            .when(nxt == "-", F.when(year_first, F.coalesce(iso, F.try_to_date(t, m_d_y_dash)))
+                  .otherwise(F.try_to_date(t, m_d_y_dash)))
+            .when((lead == 8) & (F.length(t) == 8), F.try_to_date(t, ymd8)))
+
+
 def reformat_date(c, strict: bool = True, out: str = DATE_OUT, layouts=DATE_LAYOUTS,
                   error: str = "unreadable date", pivot_year: int | None = None) -> Column:
     """F1 (strict) / F2 (lenient): any accepted layout to ``out``.

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from landfall.errors import CountMismatch
+from landfall.functions._col import sql_name
 
 
 @dataclass(frozen=True)
@@ -24,16 +25,15 @@ def observe_counts(df: DataFrame, long_row: Column, text_columns) -> tuple[DataF
 
     ``rows_replaced_chars`` counts rows holding U+FFFD, which the reader puts in
     place of bytes that are not UTF-8; only then is the exact check (S5) run.
+    ``text_columns`` are column names.
     """
     obs = Observation(f"load-{uuid.uuid4().hex}")
-    has_fffd = F.lit(False)
-    for c in text_columns:
-        has_fffd = has_fffd | F.coalesce(F.instr(c, "\ufffd") > 0, F.lit(False))
+    has_fffd = " OR ".join(f"coalesce(instr({sql_name(c)}, '\\uFFFD') > 0, false)" for c in text_columns)
     observed = df.observe(
         obs,
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(long_row).alias("rows_long"),
-        F.count_if(has_fffd).alias("rows_replaced_chars"),
+        F.expr(f"count_if({has_fffd or 'false'})").alias("rows_replaced_chars"),
     )
     return observed, obs
 

@@ -162,6 +162,11 @@ def _parts(spark: SparkSession) -> int:
     return max(2, spark.sparkContext.defaultParallelism)
 
 
+def write_landing(spark: SparkSession, df: DataFrame, path: str, sep: str = "|") -> None:
+    """A landing folder whose rows are spread round-robin over one part per core."""
+    write_delimited(df.repartition(_parts(spark)), path, sep=sep)
+
+
 def land(spark: SparkSession, sf_dir: str, key: str, make, sep: str = "|") -> str:
     """Write ``make()`` once as a landing folder named ``FILE_NAMES[key]``.
 
@@ -170,8 +175,7 @@ def land(spark: SparkSession, sf_dir: str, key: str, make, sep: str = "|") -> st
     """
     path = f"{landing_root(spark, sf_dir)}/{FILE_NAMES[key]}"
     if _written.get(path) != "ok":
-        df = make()
-        write_delimited(df.repartition(_parts(spark)), path, sep=sep)
+        write_landing(spark, make(), path, sep)
         _written[path] = "ok"
     return path
 

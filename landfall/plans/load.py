@@ -61,12 +61,12 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
     ctx = RuleContext(spec.name, file_name, load_ts, spec.date_layouts, spec.pivot_year)
 
     long_row = is_long_row(F.col(CORRUPT), spec.sep, len(header))
-    observed, obs = observe_counts(raw, long_row, [qcol(h) for h in header] + [F.col(CORRUPT)])
+    observed, obs = observe_counts(raw, long_row, header + [CORRUPT])
 
     # N1 (and N2) first, then the rules in order, then N3 on every output column.
     cols = {}
     for h in header:
-        c = null_tokens(qcol(h), spec.null_tokens)
+        c = null_tokens(h, spec.null_tokens)
         cols[h] = fill_missing(c) if spec.fill_missing else c
     for rule in spec.rules:
         cols = rule.apply(cols, ctx)

@@ -26,7 +26,6 @@ from landfall.plans.run import run_load
 from landfall.plans.spec import FeedSpec, LoadStamp, FileName
 from landfall.session import scratch_dir
 from landfall.sinks.audit import read_audit
-from landfall.sinks.delimited import write_delimited
 from landfall.sinks.lake import read_current
 from landfall.sources.delimited import (
     CORRUPT,
@@ -252,14 +251,14 @@ def _intake_run(spark, sf):
     d = _run_dir(spark, "intake")
     landing = f"{d}/landing"
     for wave in ("w1", "w2"):
-        write_delimited(L.visits_source(spark, sf).withColumn("Wave", F.lit(wave)),
-                        f"{landing}/{FN['visits_wave'].format(wave=wave)}", sep="|")
+        L.write_landing(spark, L.visits_source(spark, sf).withColumn("Wave", F.lit(wave)),
+                        f"{landing}/{FN['visits_wave'].format(wave=wave)}")
     kw = dict(lake_root=f"{d}/lake", audit_root=f"{d}/audit", checkpoint=f"{d}/checkpoint",
               glob="*.csv", unit="directory", load_ts=STAMP)
     specs = (DEMOGRAPHICS, APPOINTMENTS, PROVIDERS, VISITS, RX_ORDERS)
     start_intake(spark, landing, specs, **kw).awaitTermination()
-    write_delimited(L.visits_source(spark, sf).withColumn("Wave", F.lit("w3")),
-                    f"{landing}/{FN['visits_wave'].format(wave='w3')}", sep="|")
+    L.write_landing(spark, L.visits_source(spark, sf).withColumn("Wave", F.lit("w3")),
+                    f"{landing}/{FN['visits_wave'].format(wave='w3')}")
     start_intake(spark, landing, specs, **kw).awaitTermination()
     return d
 

@@ -69,14 +69,19 @@ class Intake:
         spark = batch.sparkSession
         units = batch.groupBy("path").agg(F.max("arrived").alias("arrived"))
         routed = units.withColumn("feed", route_prefix(base_name("path"), self.routes))
-        latest = (routed.filter(F.col("feed").isNotNull())
-                  .groupBy("feed")
-                  .agg(F.max_by(F.struct("path", "arrived"), F.struct("arrived", "path")).alias("w"))
-                  .select("feed", F.col("w.path").alias("path"), F.col("w.arrived").alias("arrived")))
-        # At most one row per configured feed: a bounded set, safe to collect
-        # and to broadcast.
-        winners = latest.collect()
-        self._audit_others(routed, latest)
+        per_feed = (routed.groupBy("feed")
+                    .agg(F.max_by(F.struct("path", "arrived"), F.struct("arrived", "path")).alias("w"),
+                         F.count(F.lit(1)).alias("arrivals"))
+                    .select("feed", F.col("w.path").alias("path"), F.col("w.arrived").alias("arrived"),
+                            "arrivals"))
+        # One row per configured feed plus one for unrouted files: a bounded
+        # set, safe to collect.
+        groups = per_feed.collect()
+        winners = [g for g in groups if g["feed"] is not None]
+        if any(g["feed"] is None or g["arrivals"] > 1 for g in groups):
+            won = spark.createDataFrame([(w["feed"], w["path"]) for w in winners],
+                                        "feed string, won_path string")
+            self._audit_others(routed, won)
 
         def one(w):
             return run_arrival(spark, self.specs[w["feed"]], w["path"], w["arrived"], **self.kw)
@@ -90,9 +95,9 @@ class Intake:
             with ThreadPoolExecutor(max_workers=self.parallel_loads) as pool:
                 list(pool.map(one, winners))
 
-    def _audit_others(self, routed: DataFrame, latest: DataFrame) -> None:
-        won = F.broadcast(latest.select("feed", F.col("path").alias("won_path")))
-        others = (routed.join(won, "feed", "left")
+    def _audit_others(self, routed: DataFrame, won: DataFrame) -> None:
+        # ``won`` holds at most one row per configured feed.
+        others = (routed.join(F.broadcast(won), "feed", "left")
                   .filter(F.col("won_path").isNull() | (F.col("path") != F.col("won_path"))))
         status = F.when(F.col("feed").isNull(), F.lit("SKIPPED")).otherwise(F.lit("SUPERSEDED"))
         target = F.lit(None).cast("string")

@@ -135,3 +135,16 @@ def test_two_digit_years_only_with_a_pivot(spark):
     assert run(spark, lambda c: LF.reformat_date(c, strict=False), vals) == [None, None, None, "01-05-2024"]
     got = run(spark, lambda c: LF.reformat_date(c, strict=False, pivot_year=2030), vals)
     assert got == ["01-05-2024", "01-05-1931", "12-31-1999", "01-05-2024"]
+
+
+def test_dispatch_equals_trying_every_layout(spark):
+    from landfall.functions.dates import DATE_LAYOUTS
+
+    vals = ["1/5/2024", "13/1/2024", "2/30/2024", "2024-1-5", "2024-01-05T03:04", "2024-01-05 3:04:05.5",
+            "20240105", "2024010", "1-5-2024", "2024/1/5", "12024-01-05", "1/5/12024", "001/5/2024",
+            "x1/5/2024", "1/5/2024x", "31/12/2024 23:59", "2024-13-01", "", "garbage", "1//2024",
+            "0001-01-0001", "0012-05-2024", "0001/5/2024", "2024/13/1", "1/5/2024T", " 20240105 "]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    every = F.coalesce(*[F.try_to_date(F.trim("v"), f) for f in DATE_LAYOUTS])
+    got = df.select(LF.parse_date("v").alias("a"), every.alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got]
