@@ -86,16 +86,17 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
             raise
         counts = counts_of(fl.observation)
         # Second passes only when the first one saw a reason for them.
-        if counts.rows_replaced_chars and count_invalid_utf8(spark, path) > 0:
+        utf8 = spec.encoding.replace("-", "").upper() == "UTF8"
+        if utf8 and counts.rows_replaced_chars and count_invalid_utf8(spark, path) > 0:
             raise EncodingError("source is not valid UTF-8")
         quarantined = 0
         if fl.quarantine is not None and counts.rows_long:
             write_snapshot(fl.quarantine, q_root, load_id)
-            quarantined = read_snapshot(spark, q_root, load_id).count()
+            quarantined = read_snapshot(spark, q_root, load_id, schema=fl.quarantine.schema).count()
             if quarantined != counts.rows_long:
                 raise CountMismatch(f"quarantine holds {quarantined} rows, {counts.rows_long} were long")
         out.rows_read, out.rows_quarantined = counts.rows_read, quarantined
-        snap = read_snapshot(spark, target_root, load_id)
+        snap = read_snapshot(spark, target_root, load_id, schema=fl.rows.schema)
         out.rows_target = snap.count()
         reconcile(counts.rows_read - quarantined, out.rows_target)
         if jdbc is not None:

@@ -24,8 +24,13 @@ def write_snapshot(df: DataFrame, root: str, load_id: str, fmt: str = "parquet")
     return path
 
 
-def read_snapshot(spark: SparkSession, root: str, load_id: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(snapshot_path(root, load_id))
+def read_snapshot(spark: SparkSession, root: str, load_id: str, fmt: str = "parquet",
+                  schema=None) -> DataFrame:
+    """One load's folder; with ``schema`` no footer is read to infer it."""
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(snapshot_path(root, load_id))
 
 
 def current_load_id(spark: SparkSession, audit_root: str, target: str) -> str | None:

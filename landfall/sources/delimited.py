@@ -141,8 +141,9 @@ def utf8_report(spark: SparkSession, path: str) -> DataFrame:
 def largest_file_bytes(spark: SparkSession, path: str) -> int:
     """Size of the biggest file of a landed object (a file or a folder of parts);
     file contents are not read."""
-    row = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n")).first()
-    return int(row["n"] or 0)
+    top = (spark.read.format("binaryFile").load(path)
+           .select("length").orderBy(F.desc("length")).limit(1).collect())  # top-1, no shuffle
+    return int(top[0]["length"]) if top else 0
 
 
 def has_quoted_line_breaks(spark: SparkSession, path: str, quote: str = '"') -> bool:

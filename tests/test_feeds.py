@@ -122,3 +122,14 @@ def test_one_scan_per_load(spark, workdir):
     plan = load(spark, feeds.VISITS, p)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan csv") == 1
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_bom_and_other_charsets(spark, workdir):
+    p = write_text(os.path.join(workdir, "bom.txt"),
+                   b"\xef\xbb\xbfPatient MRN|Admit Date or Service Date\n1|1/5/2024\n")
+    assert read_header(spark, p) == ["Patient MRN", "Admit Date or Service Date"]
+    assert rows(load(spark, feeds.VISITS, p, load_ts=STAMP))[0]["Patient MRN"] == "1"
+    p = write_text(os.path.join(workdir, "latin.txt"),
+                   b"Patient MRN|Admit Date or Service Date|Note\n1|1/5/2024|caf\xe9\n")
+    got = rows(load(spark, feeds.VISITS.with_options(encoding="ISO-8859-1"), p, load_ts=STAMP))
+    assert got[0]["Note"] == "caf\u00e9"
