@@ -185,12 +185,13 @@ SELECT 'visits' AS feed, '{FN['visits']}' AS file, 'SUCCEEDED' AS status, count(
 FROM orders""",
     "head_rows": f"""
 SELECT * FROM ({VISITS}) ORDER BY "Visit ID" LIMIT 10""",
-    "long_rows": f"""
-SELECT 'visits_raw' AS feed, '{FN['orders_long']}' AS file, CAST(o_custkey AS VARCHAR) AS record_key,
-       CAST(o_custkey AS VARCHAR) || '|' || CAST(o_orderkey AS VARCHAR) || '|' || o_orderstatus || '|'
-         || o_orderpriority || '|extra' AS raw_record,
-       'long_row' AS reason
-FROM orders WHERE o_orderkey % 50 = 0""",
+    "long_rows": """
+SELECT CAST(o_orderkey AS VARCHAR) AS visit_id,
+       CASE WHEN o_orderkey % 50 = 0 THEN 'long_row' ELSE 'loaded' END AS outcome,
+       CASE WHEN o_orderkey % 50 = 0
+            THEN CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus || '|'
+                 || o_orderpriority || '|extra' END AS raw_record
+FROM orders""",
     "strict_utf8": """
 SELECT count(*) FILTER (WHERE l_orderkey % 97 = 0 AND l_linenumber = 1) AS bad_lines, count(*) AS lines
 FROM lineitem""",
@@ -202,7 +203,6 @@ FROM customer
 UNION ALL
 SELECT 'providers', '{FN['providers_bad']}', 'FAILED', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'DataError',
        'The load providers has FAILED for file {FN['providers_bad']}. Error: load check failed: feed providers, column Start Date: unreadable date'
-FROM (SELECT count(*) AS n FROM part WHERE p_partkey % 101 = 0) WHERE n > 0
 UNION ALL
 SELECT 'providers', '{FN['providers_missing']}', 'FAILED', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
        'SourceMissing', 'The load providers has FAILED for file {FN['providers_missing']}. Error: source not found'

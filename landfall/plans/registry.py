@@ -212,12 +212,19 @@ def q_head_rows(spark, sf):
 
 # ---------------------------------------------------------------- row checks
 def q_long_rows(spark, sf):
+    """R1 in quarantine mode: every order with its outcome; the long ones keep
+    their raw record."""
     o = L.table(spark, sf, "orders")
-    line = F.concat(F.concat_ws("|", F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string"),
+    line = F.concat(F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
                                 "o_orderstatus", "o_orderpriority"),
                     F.when(F.col("o_orderkey") % 50 == 0, F.lit("|extra")).otherwise(F.lit("")))
-    path = L.land_lines(spark, sf, "orders_long", ["Patient MRN", "Visit ID", "Visit Status", "Priority"], line, o)
-    return build_load(spark, VISITS_RAW, path, load_ts=STAMP).quarantine
+    path = L.land_lines(spark, sf, "orders_long", ["Visit ID", "Patient MRN", "Visit Status", "Priority"], line, o)
+    fl = build_load(spark, VISITS_RAW, path, load_ts=STAMP)
+    loaded = fl.rows.select(qcol("Visit ID").alias("visit_id"), F.lit("loaded").alias("outcome"),
+                            F.lit(None).cast("string").alias("raw_record"))
+    held = fl.quarantine.select(F.col("record_key").alias("visit_id"), F.col("reason").alias("outcome"),
+                                "raw_record")
+    return loaded.unionByName(held)
 
 
 def q_strict_utf8(spark, sf):

@@ -1,7 +1,14 @@
 from landfall.sinks.audit import AUDIT_SCHEMA, append_audit, has_outcome, read_audit
 from landfall.sinks.delimited import write_delimited
 from landfall.sinks.jdbc import append_jdbc, recreate_jdbc, replace_jdbc
-from landfall.sinks.lake import current_load_id, read_current, read_snapshot, snapshot_path, write_snapshot
+from landfall.sinks.lake import (
+    current_load_id,
+    read_current,
+    read_snapshot,
+    snapshot_path,
+    superseded_loads,
+    write_snapshot,
+)
 
 __all__ = [
     "AUDIT_SCHEMA",
@@ -15,6 +22,7 @@ __all__ = [
     "recreate_jdbc",
     "replace_jdbc",
     "snapshot_path",
+    "superseded_loads",
     "write_delimited",
     "write_snapshot",
 ]

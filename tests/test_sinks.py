@@ -65,3 +65,17 @@ def test_comma_export_roundtrip(spark, workdir):
     got = sorted(tuple(r) for r in back.collect())
     # An empty text comes back as NULL, as in a staged export and re-read.
     assert got == [("1", 'a,"b"', None), ("2", "line\nbreak", None)]
+
+
+def test_superseded_loads_lists_all_but_the_latest(spark, workdir):
+    from landfall.sinks.lake import superseded_loads
+
+    lake, audit = f"{workdir}/lake", f"{workdir}/audit"
+    kw = dict(lake_root=lake, audit_root=audit, load_ts="2024-01-05 00:00:00.000")
+    ids = []
+    for i in range(3):
+        p = write_text(f"{workdir}/in/v{i}.txt", HDR + f"{i}|1/5/2024\n")
+        ids.append(run_load(spark, feeds.VISITS, p, **kw).load_id)
+    old = superseded_loads(spark, f"{lake}/{feeds.VISITS.target}", audit, feeds.VISITS.target, keep=1).collect()
+    assert sorted(r["load_id"] for r in old) == sorted(ids[:2])
+    assert all(r["path"].endswith(f"load_id={r['load_id']}") for r in old)
