@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ FILE_NAMES = {
 }
 
 _written: dict[str, str] = {}
+_lock = threading.Lock()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -174,9 +176,10 @@ def land(spark: SparkSession, sf_dir: str, key: str, make, sep: str = "|") -> st
     load of the folder reads in parallel even with quoted line breaks allowed.
     """
     path = f"{landing_root(spark, sf_dir)}/{FILE_NAMES[key]}"
-    if _written.get(path) != "ok":
-        write_landing(spark, make(), path, sep)
-        _written[path] = "ok"
+    with _lock:
+        if _written.get(path) != "ok":
+            write_landing(spark, make(), path, sep)
+            _written[path] = "ok"
     return path
 
 
@@ -190,18 +193,20 @@ def land_lines(spark: SparkSession, sf_dir: str, key: str, header: list[str], li
     column whose name is the header line, written with a separator that never
     occurs, so nothing is quoted."""
     path = f"{landing_root(spark, sf_dir)}/{FILE_NAMES[key]}"
-    if _written.get(path) != "ok":
-        name = "|".join(header)
-        (source.select(lines.alias(name)).repartition(_parts(spark))
-         .write.mode("overwrite").option("header", True).option("sep", "\u0001").csv(path))
-        _written[path] = "ok"
+    with _lock:
+        if _written.get(path) != "ok":
+            name = "|".join(header)
+            (source.select(lines.alias(name)).repartition(_parts(spark))
+             .write.mode("overwrite").option("header", True).option("sep", "\u0001").csv(path))
+            _written[path] = "ok"
     return path
 
 
 def land_bytes(spark: SparkSession, sf_dir: str, key: str, lines: Column, source: DataFrame) -> str:
     """A text landing written byte for byte (may hold bytes that are not UTF-8)."""
     path = f"{landing_root(spark, sf_dir)}/{FILE_NAMES[key]}"
-    if _written.get(path) != "ok":
-        source.select(lines.alias("value")).repartition(_parts(spark)).write.mode("overwrite").text(path)
-        _written[path] = "ok"
+    with _lock:
+        if _written.get(path) != "ok":
+            source.select(lines.alias("value")).repartition(_parts(spark)).write.mode("overwrite").text(path)
+            _written[path] = "ok"
     return path

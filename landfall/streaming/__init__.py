@@ -1,3 +1,9 @@
-from landfall.streaming.intake import Intake, arrivals, start_intake
+from landfall.streaming.intake import (
+    Intake,
+    arrivals,
+    notified_arrivals,
+    start_intake,
+    start_notified_intake,
+)
 
-__all__ = ["Intake", "arrivals", "start_intake"]
+__all__ = ["Intake", "arrivals", "notified_arrivals", "start_intake", "start_notified_intake"]

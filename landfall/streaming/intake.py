@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from landfall.functions.paths import base_name, url_unquote
+from landfall.functions.paths import base_name, url_unquote, url_unquote_plus
 from landfall.functions.predicates import route_prefix
 from landfall.plans.run import run_arrival
 from landfall.sinks.audit import AUDIT_SCHEMA, append_audit_rows
@@ -54,6 +54,32 @@ def arrivals(spark: SparkSession, landing: str, glob: str | None = None, unit: s
     return src.select(path.alias("path"), F.col("modificationTime").alias("arrived"))
 
 
+# Schema of object-store notification records: a ``Records`` array whose
+# entries name the store (bucket) and the key, which arrives ``+``-encoded.
+NOTIFICATION_SCHEMA = (
+    "Records array<struct<eventTime: string, eventName: string, "
+    "s3: struct<bucket: struct<name: string>, object: struct<key: string, size: bigint>>>>"
+)
+
+
+def notified_arrivals(spark: SparkSession, events: str, scheme: str = "s3",
+                      max_files_per_batch: int = 10000) -> DataFrame:
+    """Arrival stream from notification records (JSON files in ``events``).
+
+    Every record of an event counts (not only the first); the key is decoded
+    once with ``+`` as a blank (F8), and the location is ``scheme://store/key``
+    (S7). Event time is the arrival time, so the latest file per feed wins (T2).
+    """
+    ev = (spark.readStream.schema(NOTIFICATION_SCHEMA)
+          .option("maxFilesPerTrigger", max_files_per_batch)
+          .json(events))
+    rec = ev.select(F.explode("Records").alias("r"))
+    key = url_unquote_plus(F.col("r.s3.object.key"))
+    path = F.concat(F.lit(scheme + "://"), F.col("r.s3.bucket.name"), F.lit("/"), key)
+    arrived = F.coalesce(F.try_to_timestamp(F.col("r.eventTime")), F.current_timestamp())
+    return rec.select(path.alias("path"), arrived.alias("arrived"))
+
+
 class Intake:
     """``foreachBatch`` handler: route, keep the latest per feed, load, audit."""
 
@@ -117,6 +143,20 @@ class Intake:
         append_audit_rows(rows, self.kw["audit_root"])
 
 
+def start_notified_intake(spark: SparkSession, events: str, specs, *, lake_root: str, audit_root: str,
+                          checkpoint: str, scheme: str = "s3", available_now: bool = True,
+                          processing_time: str | None = None, quarantine_root: str | None = None,
+                          load_ts: str | None = None, parallel_loads: int = 4) -> StreamingQuery:
+    """Intake driven by notification records instead of a folder listing."""
+    handler = Intake(specs, lake_root=lake_root, audit_root=audit_root,
+                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads)
+    w = (notified_arrivals(spark, events, scheme).writeStream
+         .foreachBatch(handler)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
+    return w.start()
+
+
 def start_intake(spark: SparkSession, landing: str, specs, *, lake_root: str, audit_root: str,
                  checkpoint: str, glob: str | None = None, unit: str = "file",
                  available_now: bool = True, processing_time: str | None = None,

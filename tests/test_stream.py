@@ -37,3 +37,31 @@ def test_intake_latest_wins(spark, workdir):
     n = read_audit(spark, kw["audit_root"]).count()
     start_intake(spark, land, feeds.ALL_FEEDS, **kw).awaitTermination()  # restart: nothing new
     assert read_audit(spark, kw["audit_root"]).count() == n
+
+
+def test_intake_from_notification_records(spark, workdir):
+    import json
+
+    from landfall.streaming.intake import start_notified_intake
+
+    land = f"{workdir}/landing"
+    write_text(f"{land}/patient_visits 1.txt", HDR + "1|1/5/2024\n")
+    write_text(f"{land}/patient_visits+2.txt", HDR + "2|1/5/2024\n")
+
+    def record(key, t):
+        return {"eventTime": t, "eventName": "ObjectCreated:Put",
+                "s3": {"bucket": {"name": ""}, "object": {"key": key, "size": 1}}}
+
+    # Keys arrive +-encoded; the store is empty so that file://<store>/<key> is local.
+    root = land.lstrip("/")
+    ev = {"Records": [record(f"{root}/patient_visits+1.txt", "2024-01-05T00:00:01Z"),
+                      record(f"{root}/patient_visits%2B2.txt", "2024-01-05T00:00:02Z")]}
+    write_text(f"{workdir}/events/e1.json", json.dumps(ev) + "\n")
+    kw = dict(lake_root=f"{workdir}/lake", audit_root=f"{workdir}/audit", checkpoint=f"{workdir}/ckpt",
+              scheme="file", load_ts="2024-01-05 00:00:00.000")
+    start_notified_intake(spark, f"{workdir}/events", feeds.ALL_FEEDS, **kw).awaitTermination()
+    target = feeds.VISITS.target
+    cur = read_current(spark, f"{workdir}/lake/{target}", kw["audit_root"], target)
+    assert [(r["Patient MRN"], r["File Name"]) for r in cur.collect()] == [("2", "patient_visits+2.txt")]
+    st = {(r["file"], r["status"]) for r in read_audit(spark, kw["audit_root"]).collect()}
+    assert st == {("patient_visits 1.txt", "SUPERSEDED"), ("patient_visits+2.txt", "SUCCEEDED")}
