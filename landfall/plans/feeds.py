@@ -1,8 +1,9 @@
 """The five feeds (C1-C5) as data.
 
-Column names are the data contract of the landing files. Prefixes and target
-names are this library's defaults; a deployment passes its own with
-``FeedSpec.with_options(prefix=..., target=...)``.
+Fixed values: the column names each feed's rules read and the output order of
+the two closed feeds are the data contract of the landing files and must stay
+as they are. Prefixes and target names are this library's defaults; a
+deployment passes its own with ``FeedSpec.with_options(prefix=..., target=...)``.
 """
 
 from landfall.plans.spec import (

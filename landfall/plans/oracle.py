@@ -142,6 +142,9 @@ FROM (SELECT c_custkey, {_SEGMENT} AS s FROM customer)""",
 SELECT c_custkey, coalesce(t, '') AS segment_filled, nullif(coalesce(t, ''), '') AS segment_back
 FROM (SELECT c_custkey, CASE WHEN s IN ({_TOKENS}) THEN NULL ELSE s END AS t
       FROM (SELECT c_custkey, {_SEGMENT} AS s FROM customer))""",
+    "empty_to_null": """
+SELECT c_custkey, nullif(CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN ' ' ELSE c_name END, '') AS name_or_null
+FROM customer""",
     "date_strict": "SELECT o_orderkey, strftime(o_orderdate, '%m-%d-%Y') AS order_date FROM orders",
     "date_lenient": """
 SELECT event_id, CASE WHEN event_id % 13 IN (0, 1) THEN NULL ELSE strftime(ts, '%m-%d-%Y') END AS event_date

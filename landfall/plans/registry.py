@@ -128,6 +128,14 @@ def q_fill_missing(spark, sf):
     return c.select("c_custkey", filled.alias("segment_filled"), LF.empty_to_null(filled).alias("segment_back"))
 
 
+def q_empty_to_null(spark, sf):
+    """N3 alone: empty text becomes NULL, blanks and other text stay."""
+    c = L.table(spark, sf, "customer")
+    k = F.col("c_custkey") % 3
+    text = F.when(k == 0, F.lit("")).when(k == 1, F.lit(" ")).otherwise(F.col("c_name"))
+    return c.select("c_custkey", LF.empty_to_null(text).alias("name_or_null"))
+
+
 # ---------------------------------------------------------------- scalar functions
 def q_date_strict(spark, sf):
     o = L.table(spark, sf, "orders")
@@ -295,6 +303,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_lineage": q_file_lineage,
     "null_tokens": q_null_tokens,
     "fill_missing": q_fill_missing,
+    "empty_to_null": q_empty_to_null,
     "date_strict": q_date_strict,
     "date_lenient": q_date_lenient,
     "time_strict": q_time_strict,

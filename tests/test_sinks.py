@@ -79,3 +79,17 @@ def test_superseded_loads_lists_all_but_the_latest(spark, workdir):
     old = superseded_loads(spark, f"{lake}/{feeds.VISITS.target}", audit, feeds.VISITS.target, keep=1).collect()
     assert sorted(r["load_id"] for r in old) == sorted(ids[:2])
     assert all(r["path"].endswith(f"load_id={r['load_id']}") for r in old)
+
+
+def test_header_only_file_and_all_empty_row(spark, workdir):
+    lake, audit = f"{workdir}/lake", f"{workdir}/audit"
+    p = write_text(f"{workdir}/in/empty.txt", HDR)
+    o = run_load(spark, feeds.VISITS, p, lake_root=lake, audit_root=audit)
+    assert (o.status, o.rows_read, o.rows_target) == ("SUCCEEDED", 0, 0)
+    cur = read_current(spark, f"{lake}/{feeds.VISITS.target}", audit, feeds.VISITS.target)
+    assert cur.count() == 0 and "Patient MRN" in cur.columns
+    p = write_text(f"{workdir}/in/blank.txt", HDR + "|\n")
+    o = run_load(spark, feeds.VISITS, p, lake_root=lake, audit_root=audit)
+    assert (o.status, o.rows_read, o.rows_target) == ("SUCCEEDED", 1, 1)
+    row = read_current(spark, f"{lake}/{feeds.VISITS.target}", audit, feeds.VISITS.target).first()
+    assert row["Patient MRN"] is None and row["Admit Date or Service Date"] is None
