@@ -9,12 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.errors import HeaderError
 from landfall.functions.dates import load_stamp_text
 from landfall.functions.nulls import empty_to_null, fill_missing, null_tokens
 from landfall.operators.counts import observe_counts
 from landfall.operators.projection import qcol
 from landfall.operators.rows import is_long_row
-from landfall.plans.spec import FeedSpec, Rename, RuleContext, long_row_message
+from landfall.plans.spec import FeedSpec, RuleContext, long_row_message
 from landfall.sources.delimited import (
     CORRUPT,
     check_header,
@@ -73,8 +74,6 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
     if spec.output is not None:
         absent = [n for n in spec.output if n not in cols]
         if absent:
-            from landfall.errors import HeaderError
-
             raise HeaderError(f"output columns not produced: {absent}")
         cols = {n: cols[n] for n in spec.output}
     out = [empty_to_null(v).alias(k) for k, v in cols.items()]
@@ -101,10 +100,3 @@ def load(spark: SparkSession, spec: FeedSpec, path: str, **kw) -> DataFrame:
     """The target rows of one landed object as a lazy DataFrame."""
     return build_load(spark, spec, path, **kw).rows
 
-
-def renamed_header(spec: FeedSpec, header) -> list[str]:
-    out = list(header)
-    for r in spec.rules:
-        if isinstance(r, Rename) and r.old in out:
-            out[out.index(r.old)] = r.new
-    return out

@@ -30,6 +30,7 @@ from landfall.plans.load import build_load, file_name_of
 from landfall.plans.spec import FeedSpec
 from landfall.sinks.audit import append_audit, has_outcome
 from landfall.sinks.jdbc import replace_jdbc
+from landfall.sources.jdbc import read_jdbc
 from landfall.sinks.lake import read_snapshot, snapshot_path, write_snapshot
 from landfall.sources.delimited import count_invalid_utf8
 
@@ -68,6 +69,10 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
              file_name: str | None = None, jdbc: dict | None = None) -> LoadOutcome:
     """Load one landed object into the target of ``spec``; returns the audited outcome.
 
+    ``jdbc`` (``url``, ``table`` and optionally ``user``, ``password``,
+    ``driver``, ``num_partitions``, ``batch_size``) also replaces a database
+    table with the validated snapshot and reconciles its row count.
+
     A problem with the data or the source is audited as FAILED and returned;
     any other error is raised after nothing was switched, so a retry is safe.
     """
@@ -100,7 +105,10 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
         out.rows_target = snap.count()
         reconcile(counts.rows_read - quarantined, out.rows_target)
         if jdbc is not None:
+            # The database gets a copy of the validated snapshot, then is counted.
             replace_jdbc(snap, **jdbc)
+            conn = {k: jdbc.get(k) for k in ("url", "table", "user", "password", "driver")}
+            reconcile(out.rows_target, read_jdbc(spark, **conn).count())
         out.status = "SUCCEEDED"
     except LoadError as e:
         out.status, out.error_type, out.error = "FAILED", e.error_type, str(e)[:300]

@@ -70,3 +70,28 @@ def test_partitioned_read_options():
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("id", "0", "100", "8")
     with pytest.raises(ValueError):
         read_jdbc(s, "jdbc:x://h/db", "t", partition_column="id")
+
+
+def test_run_load_copies_validated_snapshot_and_reconciles(spark, tmp_path, monkeypatch):
+    import landfall.plans.run as R
+    from landfall.plans import feeds
+    from tests.conftest import write_text
+
+    p = write_text(str(tmp_path / "v.txt"), "Patient MRN|Admit Date or Service Date\n1|1/5/2024\n2|1/6/2024\n")
+    copied = {}
+
+    def fake_replace(df, **kw):
+        copied["rows"] = df.count()
+        copied["kw"] = kw
+
+    monkeypatch.setattr(R, "replace_jdbc", fake_replace)
+    monkeypatch.setattr(R, "read_jdbc", lambda spark, **kw: spark.range(copied["rows"]))
+    conn = dict(url="jdbc:x://h/db", table="dbo.visits", user="u", password="p", num_partitions=4)
+    o = R.run_load(spark, feeds.VISITS, p, lake_root=str(tmp_path / "lake"), audit_root=str(tmp_path / "a"),
+                   jdbc=conn)
+    assert o.status == "SUCCEEDED" and copied["rows"] == 2 and copied["kw"]["table"] == "dbo.visits"
+
+    monkeypatch.setattr(R, "read_jdbc", lambda spark, **kw: spark.range(1))  # the table lost a row
+    o = R.run_load(spark, feeds.VISITS, p, lake_root=str(tmp_path / "lake"), audit_root=str(tmp_path / "a"),
+                   jdbc=conn)
+    assert o.status == "FAILED" and o.error_type == "CountMismatch"
