@@ -54,7 +54,9 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
     check_header(header, required=spec.required())
     multi_line = spec.multi_line
     if multi_line is None:
-        multi_line = choose_multi_line(spark, path)
+        # The split check reads bytes as text; wide charsets are parsed whole.
+        wide = spec.encoding.replace("-", "").upper().startswith(("UTF16", "UTF32"))
+        multi_line = True if wide else choose_multi_line(spark, path)
     raw = read_delimited(spark, path, header, spec.sep, multi_line, spec.encoding)
 
     load_ts = load_ts or load_stamp_text()

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from landfall.functions.paths import base_name, url_unquote, url_unquote_plus
 from landfall.functions.predicates import route_prefix
 from landfall.plans.run import run_arrival
-from landfall.sinks.audit import AUDIT_SCHEMA, append_audit_rows
+from landfall.sinks.audit import AUDIT_SCHEMA, append_audit_rows, read_audit
 from landfall.functions.text import outcome_message
 
 
@@ -138,6 +138,10 @@ class Intake:
                ("error_type", "string"), ("error", "string"), ("load_ts", "string"))])
         rows = rows.select("*", outcome_message("feed", "status", "file", "error").alias("message"),
                            F.current_timestamp().alias("recorded_at"))
+        # Ids are derived from feed, path and time, so a replayed batch finds
+        # its rows already there and adds none.
+        seen = read_audit(rows.sparkSession, self.kw["audit_root"]).select("load_id")
+        rows = rows.join(seen, "load_id", "left_anti")
         names = [f.split()[0] for f in AUDIT_SCHEMA.split(", ")]
         assert names == rows.columns[:len(names)]
         append_audit_rows(rows, self.kw["audit_root"])

@@ -65,3 +65,23 @@ def test_intake_from_notification_records(spark, workdir):
     assert [(r["Patient MRN"], r["File Name"]) for r in cur.collect()] == [("2", "patient_visits+2.txt")]
     st = {(r["file"], r["status"]) for r in read_audit(spark, kw["audit_root"]).collect()}
     assert st == {("patient_visits 1.txt", "SUPERSEDED"), ("patient_visits+2.txt", "SUCCEEDED")}
+
+
+def test_replayed_batch_adds_no_second_outcome(spark, workdir):
+    from landfall.streaming.intake import Intake
+
+    land = f"{workdir}/landing"
+    write_text(f"{land}/patient_visits_1.txt", HDR + "1|1/5/2024\n")
+    time.sleep(0.05)
+    write_text(f"{land}/patient_visits_2.txt", HDR + "2|1/5/2024\n")
+    write_text(f"{land}/other.txt", "a\n1\n")
+    batch = (spark.read.format("binaryFile").load(land)
+             .select(F.regexp_replace("path", "^file:", "").alias("path"), F.col("modificationTime").alias("arrived")))
+    h = Intake(feeds.ALL_FEEDS, lake_root=f"{workdir}/lake", audit_root=f"{workdir}/audit",
+               load_ts="2024-01-05 00:00:00.000")
+    h(batch, 0)
+    first = sorted((r["file"], r["status"]) for r in read_audit(spark, f"{workdir}/audit").collect())
+    h(batch, 0)  # the same batch again, as after a crash
+    again = sorted((r["file"], r["status"]) for r in read_audit(spark, f"{workdir}/audit").collect())
+    assert first == again == [("other.txt", "SKIPPED"), ("patient_visits_1.txt", "SUPERSEDED"),
+                              ("patient_visits_2.txt", "SUCCEEDED")]
