@@ -1,9 +1,11 @@
-"""Job entry points for ``spark-submit``.
+"""Job entry points (``python -m landfall`` or ``landfall_job.py`` under ``spark-submit``).
 
-    spark-submit -m landfall load   --feed providers --input_path s3://landing/providers_20240105.txt \\
-                                    --lake s3://lake --audit s3://lake/_audit
-    spark-submit -m landfall intake --landing s3://landing/ --lake s3://lake --audit s3://lake/_audit \\
-                                    --checkpoint s3://lake/_intake_checkpoint [--glob '*.txt'] [--poll '30 seconds']
+    spark-submit --py-files landfall.zip landfall_job.py load \\
+        --feed providers --input_path s3://landing/providers_20240105.txt \\
+        --lake s3://lake --audit s3://lake/_audit
+    spark-submit --py-files landfall.zip landfall_job.py intake \\
+        --landing s3://landing/ --lake s3://lake --audit s3://lake/_audit \\
+        --checkpoint s3://lake/_intake [--glob '*.txt'] [--poll '30 seconds']
 
 ``load`` exits non-zero when the load FAILED, so a scheduler sees the outcome.
 """
