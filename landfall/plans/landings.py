@@ -15,7 +15,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.session import scratch_dir
+from landfall.session import parallelism, scratch_dir
 from landfall.sinks.delimited import write_delimited
 
 # Fixed values for the checks: the stamp every registered load uses, so that
@@ -161,7 +161,7 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _parts(spark: SparkSession) -> int:
-    return max(2, spark.sparkContext.defaultParallelism)
+    return max(2, parallelism(spark))
 
 
 def write_landing(spark: SparkSession, df: DataFrame, path: str, sep: str = "|") -> None:

@@ -13,7 +13,11 @@ def scratch_dir(spark: SparkSession) -> str:
     The cluster names that folder; only when it is unset (tests, a laptop) is
     a local one chosen here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="landfall-ckpt-")
+        return d.rstrip("/") + "/landfall"
     d = sc.getCheckpointDir()
     if not d:
         conf = sc.getConf().get("spark.checkpoint.dir", None)
@@ -22,6 +26,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return d.rstrip("/") + "/landfall"
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (shuffle partitions under Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "landfall") -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{cores}]")
              .appName(app)
