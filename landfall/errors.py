@@ -33,3 +33,11 @@ class CountMismatch(LoadError):
 def is_data_check_failure(exc: BaseException) -> bool:
     """A task failed on one of our row checks (strict date, time, long row)."""
     return CHECK_MARK in str(exc)
+
+
+# Spark's text when a file of a landed folder has another header than the first.
+HEADER_MISMATCH = "CSV header does not conform to the schema"
+
+
+def is_header_mismatch(exc: BaseException) -> bool:
+    return HEADER_MISMATCH in str(exc)

@@ -22,8 +22,10 @@ from landfall.errors import (
     CountMismatch,
     DataError,
     EncodingError,
+    HeaderError,
     LoadError,
     is_data_check_failure,
+    is_header_mismatch,
 )
 from landfall.operators.counts import counts_of, reconcile
 from landfall.plans.load import build_load, file_name_of
@@ -85,9 +87,11 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
         out.load_ts = fl.load_ts
         try:
             write_snapshot(fl.rows, target_root, load_id)
-        except Exception as e:  # a row check failed inside the tasks
+        except Exception as e:  # a row or header check failed inside the tasks
             if is_data_check_failure(e):
                 raise DataError(_check_text(e, spec)) from None
+            if is_header_mismatch(e):
+                raise HeaderError("a file of the landed folder has another header") from None
             raise
         counts = counts_of(fl.observation)
         # Second passes only when the first one saw a reason for them.

@@ -93,3 +93,11 @@ def test_header_only_file_and_all_empty_row(spark, workdir):
     assert (o.status, o.rows_read, o.rows_target) == ("SUCCEEDED", 1, 1)
     row = read_current(spark, f"{lake}/{feeds.VISITS.target}", audit, feeds.VISITS.target).first()
     assert row["Patient MRN"] is None and row["Admit Date or Service Date"] is None
+
+
+def test_folder_with_a_different_header_fails_as_header_error(spark, workdir):
+    write_text(f"{workdir}/in/drop.txt/part-0.csv", HDR + "1|1/5/2024\n")
+    write_text(f"{workdir}/in/drop.txt/part-1.csv", "Patient MRN|Visit Date\n2|1/5/2024\n")
+    o = run_load(spark, feeds.VISITS, f"{workdir}/in/drop.txt", lake_root=f"{workdir}/lake",
+                 audit_root=f"{workdir}/audit")
+    assert (o.status, o.error_type) == ("FAILED", "HeaderError")
