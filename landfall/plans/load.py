@@ -64,7 +64,8 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
     ctx = RuleContext(spec.name, file_name, load_ts, spec.date_layouts, spec.pivot_year)
 
     long_row = is_long_row(F.col(CORRUPT), spec.sep, len(header))
-    observed, obs = observe_counts(raw, long_row, header + [CORRUPT])
+    utf8 = spec.strict_utf8 and spec.encoding.replace("-", "").upper() == "UTF8"
+    observed, obs = observe_counts(raw, long_row, header + [CORRUPT] if utf8 else [])
 
     # N1 (and N2) first, then the rules in order, then N3 on every output column.
     cols = {}

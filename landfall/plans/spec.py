@@ -163,6 +163,10 @@ class FeedSpec:
     ``output`` set means a closed projection (P2) in that order; ``None`` keeps
     every input column in input order with new ones last (P3).
 
+    ``strict_utf8``: bytes that are not UTF-8 fail the load (S5); the load pass
+    counts rows holding U+FFFD and only then runs the exact check. Off, that
+    per-value search is skipped.
+
     ``multi_line``: ``True`` parses each file whole (quoted line breaks allowed,
     one task per file), ``False`` splits files (no quoted line breaks), ``None``
     chooses per load from the file sizes (``choose_multi_line``).
@@ -181,6 +185,7 @@ class FeedSpec:
     multi_line: bool | None = None
     long_rows: str = "fail"
     encoding: str = "UTF-8"
+    strict_utf8: bool = True
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def __post_init__(self):

@@ -101,3 +101,10 @@ def test_folder_with_a_different_header_fails_as_header_error(spark, workdir):
     o = run_load(spark, feeds.VISITS, f"{workdir}/in/drop.txt", lake_root=f"{workdir}/lake",
                  audit_root=f"{workdir}/audit")
     assert (o.status, o.error_type) == ("FAILED", "HeaderError")
+
+
+def test_utf8_check_can_be_switched_off(spark, workdir):
+    p = write_text(f"{workdir}/in/u.txt", (HDR + "1|1/5/2024\n").encode() + b"2\xff|1/5/2024\n")
+    o = run_load(spark, feeds.VISITS.with_options(strict_utf8=False), p, lake_root=f"{workdir}/lake",
+                 audit_root=f"{workdir}/audit")
+    assert (o.status, o.rows_target) == ("SUCCEEDED", 2)
