@@ -16,10 +16,11 @@ from landfall.operators.counts import observe_counts
 from landfall.operators.projection import qcol
 from landfall.operators.rows import is_long_row
 from landfall.plans.spec import FeedSpec, RuleContext, long_row_message
+from landfall.sources.split_csv import read_split_records
 from landfall.sources.delimited import (
     CORRUPT,
     check_header,
-    choose_multi_line,
+    choose_read_mode,
     read_delimited,
     read_header,
 )
@@ -39,6 +40,7 @@ class FeedLoad:
     quarantine: DataFrame | None    # long rows, when the feed quarantines them
     columns: list[str]
     multi_line: bool = True
+    read_mode: str = "whole"
 
 
 def file_name_of(path: str) -> str:
@@ -52,19 +54,24 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
     """Plan the load of one landed object. Only the header is read now."""
     header = read_header(spark, path, spec.sep, spec.multi_line is not False, spec.encoding)
     check_header(header, required=spec.required())
-    multi_line = spec.multi_line
-    if multi_line is None:
+    enc = spec.encoding.replace("-", "").upper()
+    if spec.multi_line is None:
         # The split check reads bytes as text; wide charsets are parsed whole.
-        wide = spec.encoding.replace("-", "").upper().startswith(("UTF16", "UTF32"))
-        multi_line = True if wide else choose_multi_line(spark, path)
-    raw = read_delimited(spark, path, header, spec.sep, multi_line, spec.encoding)
+        mode = "whole" if enc.startswith(("UTF16", "UTF32")) else choose_read_mode(spark, path, utf8=enc == "UTF8")
+    else:
+        mode = "whole" if spec.multi_line else "split"
+    multi_line = mode != "split"
+    if mode == "records":
+        raw = read_split_records(spark, path, header, spec.sep)
+    else:
+        raw = read_delimited(spark, path, header, spec.sep, multi_line, spec.encoding)
 
     load_ts = load_ts or load_stamp_text()
     file_name = file_name if file_name is not None else file_name_of(path)
     ctx = RuleContext(spec.name, file_name, load_ts, spec.date_layouts, spec.pivot_year)
 
     long_row = is_long_row(F.col(CORRUPT), spec.sep, len(header))
-    utf8 = spec.strict_utf8 and spec.encoding.replace("-", "").upper() == "UTF8"
+    utf8 = spec.strict_utf8 and enc == "UTF8"
     observed, obs = observe_counts(raw, long_row, header + [CORRUPT] if utf8 else [])
 
     # N1 (and N2) first, then the rules in order, then N3 on every output column.
@@ -96,7 +103,7 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
             qcol(header[0]).alias("record_key"), F.col(CORRUPT).alias("raw_record"),
             F.lit("long_row").alias("reason"))
     rows = kept.select(*out)
-    return FeedLoad(spec, path, file_name, load_ts, header, rows, obs, quarantine, list(cols), multi_line)
+    return FeedLoad(spec, path, file_name, load_ts, header, rows, obs, quarantine, list(cols), multi_line, mode)
 
 
 def load(spark: SparkSession, spec: FeedSpec, path: str, **kw) -> DataFrame:

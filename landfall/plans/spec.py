@@ -169,7 +169,8 @@ class FeedSpec:
 
     ``multi_line``: ``True`` parses each file whole (quoted line breaks allowed,
     one task per file), ``False`` splits files (no quoted line breaks), ``None``
-    chooses per load from the file sizes (``choose_multi_line``).
+    chooses per load (``choose_read_mode``): whole files, CSV splits, or records
+    rebuilt from lines read in splits when big files hold quoted line breaks.
     """
 
     name: str

@@ -160,12 +160,19 @@ def has_quoted_line_breaks(spark: SparkSession, path: str, quote: str = '"') ->
     return bool(spark.read.text(path).agg(F.max(odd).alias("odd")).first()["odd"])
 
 
-def choose_multi_line(spark: SparkSession, path: str, split_bytes: int | None = None) -> bool:
-    """Whole-file parsing (exact with quoted line breaks, one task per file) for
-    files up to one split; beyond that, splittable reading unless a text scan
-    finds a quoted line break."""
+def choose_read_mode(spark: SparkSession, path: str, split_bytes: int | None = None,
+                     utf8: bool = True) -> str:
+    """How to read a landed object:
+
+    ``whole``: every file is at most one split (or not UTF-8): parse files whole;
+    ``split``: big files with no quoted line break: the CSV reader splits them;
+    ``records``: big files with quoted line breaks: rebuild records from lines
+    read in splits (``split_csv``), still in parallel.
+    """
     if split_bytes is None:
         split_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
     if largest_file_bytes(spark, path) <= split_bytes:
-        return True
-    return has_quoted_line_breaks(spark, path)
+        return "whole"
+    if not has_quoted_line_breaks(spark, path):
+        return "split"
+    return "records" if utf8 else "whole"

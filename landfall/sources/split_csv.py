@@ -1,0 +1,165 @@
+"""Parallel reading of big delimited files that hold quoted line breaks.
+
+A file with a line break inside a quoted field cannot be cut at arbitrary
+bytes by the CSV reader, which would then read each such file in one task. Here
+the file is read as lines in ordinary splits and the records are rebuilt:
+
+1. per split (``_metadata.file_block_start``) a native aggregate counts lines
+   with an odd number of quotes; a window over this small per-split table gives
+   the quote parity at each split's start, and so whether the split starts
+   inside a record and which earlier split that record began in;
+2. per split, in order and without a shuffle, lines are joined into records
+   (``mapInPandas``); a record that crosses a split boundary is cut into
+   pieces, and only those pieces (at most one record per boundary) are shuffled
+   and joined;
+3. ``from_csv`` parses each record with the header's columns, in PERMISSIVE
+   mode with the raw record kept for rows of the wrong length, as the file
+   reader does.
+
+The per-split table has one small row per split. It is broadcast: its size is
+bounded by the scan's task count.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from landfall.errors import HEADER_MISMATCH
+from landfall.functions._col import sql_name
+from landfall.sources.delimited import CORRUPT
+
+PIECE_SCHEMA = "fk long, rec_block long, part long, text string, kind string, is_header boolean"
+
+
+def _lines(spark: SparkSession, path: str, quote: str) -> DataFrame:
+    v = F.col("value")
+    odd = F.when(F.instr(v, quote) > 0,
+                 (F.length(v) - F.length(F.replace(v, F.lit(quote), F.lit("")))) % 2).otherwise(F.lit(0))
+    return spark.read.text(path).select(
+        "value",
+        F.xxhash64("_metadata.file_path").alias("fk"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+        odd.cast("int").alias("odd"))
+
+
+def split_table(lines: DataFrame) -> DataFrame:
+    """One row per split: parity at its start (``p0``) and the split whose last
+    record continues into it (``owner``)."""
+    stats = (lines.groupBy("fk", "block")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("odd").alias("odd_lines"),
+                  F.max_by("odd", "seq").alias("last_odd")))
+    w = Window.partitionBy("fk").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    p0 = (F.coalesce(F.sum("odd_lines").over(w), F.lit(0)) % 2).cast("int")
+    t = stats.withColumn("p0", p0)
+    has_start = ((F.col("p0") == 0) & (F.col("n") > 0)) | ((F.col("p0") == 1) & (F.col("odd_lines") - F.col("last_odd") > 0))
+    t = t.withColumn("has_start", has_start)
+    return t.select("fk", "block", "p0",
+                    F.max(F.when(F.col("has_start"), F.col("block"))).over(w).alias("owner"))
+
+
+def any_quoted_break(lines: DataFrame) -> bool:
+    return bool(lines.agg(F.max("odd").alias("m")).first()["m"] or 0)
+
+
+def _walk(batches: Iterator[pd.DataFrame], emit_records: bool) -> Iterator[pd.DataFrame]:
+    """Join each split's lines into records, in order. With ``emit_records``
+    yield whole records; otherwise yield only the pieces of records that cross
+    a split boundary."""
+    cur_key = None
+    parity = 0
+    head: list[str] = []
+    rec: list[str] = []
+    first_in_file = False
+    owner = None
+    out: list[tuple] = []
+
+    def flush_split():
+        # End of a split: a head piece joins the record begun in ``owner``;
+        # an unfinished record waits for the pieces of the next splits.
+        if cur_key is None:
+            return
+        fk, block = cur_key
+        if head and not emit_records and owner is not None:
+            out.append((fk, int(owner), int(block), "\n".join(head), "piece", False))
+        if rec and not emit_records:
+            out.append((fk, int(block), int(block), "\n".join(rec), "piece", rec_is_header))
+
+    rec_is_header = False
+    for pdf in batches:
+        values = pdf["value"].tolist()
+        fks = pdf["fk"].tolist()
+        blocks = pdf["block"].tolist()
+        odds = pdf["odd"].tolist()
+        p0s = pdf["p0"].tolist()
+        owners = pdf["owner"].tolist()
+        for value, fk, block, odd, p0, own in zip(values, fks, blocks, odds, p0s, owners):
+            if (fk, block) != cur_key:
+                flush_split()
+                cur_key, parity, head, rec = (fk, block), int(p0), [], []
+                owner = None if pd.isna(own) else own
+                first_in_file = block == 0
+                rec_is_header = False
+            if parity == 1 and not rec:
+                # Inside a record begun in an earlier split.
+                head.append(value)
+                parity ^= odd
+                continue
+            if not rec:
+                if not value.strip():
+                    continue  # blank line between records
+                rec_is_header = first_in_file
+                first_in_file = False
+            rec.append(value)
+            parity ^= odd
+            if parity == 0:
+                if emit_records:
+                    out.append((fk, int(block), 0, "\n".join(rec), "record", rec_is_header))
+                rec, rec_is_header = [], False
+        if out:
+            yield pd.DataFrame(out, columns=["fk", "rec_block", "part", "text", "kind", "is_header"])
+            out = []
+    flush_split()
+    if out:
+        yield pd.DataFrame(out, columns=["fk", "rec_block", "part", "text", "kind", "is_header"])
+
+
+def _records(batches):
+    return _walk(batches, True)
+
+
+def _pieces(batches):
+    return _walk(batches, False)
+
+
+def read_split_records(spark: SparkSession, path: str, columns, sep: str = "|",
+                       quote: str = '"', lines: DataFrame | None = None) -> DataFrame:
+    """The same rows as ``read_delimited(..., multi_line=True)`` (every column as
+    text, the raw record in ``_corrupt_record`` for rows of the wrong length,
+    header and blank lines dropped), read in parallel splits."""
+    lines = lines if lines is not None else _lines(spark, path, quote)
+    splits = F.broadcast(split_table(lines))  # one small row per split
+    tagged = lines.join(splits, ["fk", "block"]).select("value", "fk", "block", "odd", "p0", "owner")
+    whole = tagged.mapInPandas(_records, PIECE_SCHEMA)
+    pieces = (tagged.mapInPandas(_pieces, PIECE_SCHEMA)
+              .groupBy("fk", "rec_block")
+              .agg(F.sort_array(F.collect_list(F.struct("part", "text", "is_header"))).alias("p"))
+              .select(F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text"),
+                      F.exists("p", lambda x: x["is_header"]).alias("is_header")))
+    records = whole.select("text", "is_header").unionByName(pieces)
+    ddl = ", ".join(f"{sql_name(c)} STRING" for c in list(columns) + [CORRUPT])
+    opts = {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT}
+    parsed = records.select("is_header", F.from_csv("text", ddl, opts).alias("r"))
+    # Every file of the landed object must carry the same header.
+    same = F.col(f"r.{sql_name(CORRUPT)}").isNull()
+    for c in columns:
+        same = same & F.coalesce(F.col("r." + sql_name(c)) == F.lit(c), F.lit(False))
+    checked = parsed.filter(F.when(F.col("is_header") & ~same,
+                                   F.raise_error(F.lit(HEADER_MISMATCH + ": a file of the landed folder")))
+                            .otherwise(~F.col("is_header")))
+    return checked.select("r.*")

@@ -2,7 +2,7 @@
 
 from landfall.plans import feeds
 from landfall.plans.load import build_load
-from landfall.sources.delimited import choose_multi_line, has_quoted_line_breaks, largest_file_bytes
+from landfall.sources.delimited import choose_read_mode, has_quoted_line_breaks, largest_file_bytes
 from tests.conftest import write_text
 
 HDR = "Patient MRN|Admit Date or Service Date|Note\n"
@@ -14,10 +14,12 @@ def test_quoted_line_break_detection(spark, workdir):
     assert not has_quoted_line_breaks(spark, plain)
     assert has_quoted_line_breaks(spark, broken)
     assert largest_file_bytes(spark, plain) == len((HDR + '1|1/5/2024|"a ""q"" b"\n2|1/5/2024|x\n').encode())
-    # Small files are parsed whole; big ones split unless a line break is quoted.
-    assert choose_multi_line(spark, plain) is True
-    assert choose_multi_line(spark, plain, split_bytes=10) is False
-    assert choose_multi_line(spark, broken, split_bytes=10) is True
+    # Small files are parsed whole; big ones are split by the CSV reader, or,
+    # with quoted line breaks, rebuilt from lines read in splits.
+    assert choose_read_mode(spark, plain) == "whole"
+    assert choose_read_mode(spark, plain, split_bytes=10) == "split"
+    assert choose_read_mode(spark, broken, split_bytes=10) == "records"
+    assert choose_read_mode(spark, broken, split_bytes=10, utf8=False) == "whole"
 
 
 def test_splittable_read_of_a_big_file(spark, workdir):
