@@ -22,9 +22,12 @@ bounded by the scan's task count.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +35,10 @@ from landfall.errors import HEADER_MISMATCH
 from landfall.functions._col import sql_name
 from landfall.sources.delimited import CORRUPT
 
+# The per-split functions below travel with the job (by value), so Python
+# workers need not import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PIECE_SCHEMA = "fk long, rec_block long, part long, text string, kind string, is_header boolean"
 
 
@@ -52,7 +59,8 @@ def split_table(lines: DataFrame) -> DataFrame:
     record continues into it (``owner``)."""
     stats = (lines.groupBy("fk", "block")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("odd").alias("odd_lines"),
-                  F.max_by("odd", "seq").alias("last_odd")))
+                  # parity of the split's last line, kept fixed-width: max of seq*2+odd
+                  (F.max(F.col("seq") * 2 + F.col("odd")) % 2).cast("int").alias("last_odd")))
     w = Window.partitionBy("fk").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     p0 = (F.coalesce(F.sum("odd_lines").over(w), F.lit(0)) % 2).cast("int")
     t = stats.withColumn("p0", p0)
@@ -66,66 +74,109 @@ def any_quoted_break(lines: DataFrame) -> bool:
     return bool(lines.agg(F.max("odd").alias("m")).first()["m"] or 0)
 
 
+_COLS = ["fk", "rec_block", "part", "text", "kind", "is_header"]
+
+
 def _walk(batches: Iterator[pd.DataFrame], emit_records: bool) -> Iterator[pd.DataFrame]:
     """Join each split's lines into records, in order. With ``emit_records``
-    yield whole records; otherwise yield only the pieces of records that cross
-    a split boundary."""
-    cur_key = None
+    yield the records that begin in a split and end in it; otherwise yield only
+    the pieces of records that cross a split boundary: the head of a split
+    (lines still inside a record begun earlier, keyed to that record's split)
+    and its unfinished last record.
+
+    Vectorised per run of lines of one split: the quote parity before each line
+    comes from a cumulative sum; a line with even parity before it starts a
+    record (blank ones are skipped), one with odd parity continues the open
+    record. Single-line records, nearly all of them, are taken as they are.
+    """
+    key = None
     parity = 0
-    head: list[str] = []
-    rec: list[str] = []
-    first_in_file = False
-    owner = None
-    out: list[tuple] = []
-
-    def flush_split():
-        # End of a split: a head piece joins the record begun in ``owner``;
-        # an unfinished record waits for the pieces of the next splits.
-        if cur_key is None:
-            return
-        fk, block = cur_key
-        if head and not emit_records and owner is not None:
-            out.append((fk, int(owner), int(block), "\n".join(head), "piece", False))
-        if rec and not emit_records:
-            out.append((fk, int(block), int(block), "\n".join(rec), "piece", rec_is_header))
-
-    rec_is_header = False
+    started = False      # a record has begun in the current split
+    owner = None         # split whose last record the head continues
+    header_next = False  # the next record is the file's header
+    open_lines: list[str] = []
+    open_header = False
+
+    def piece(fk, rec_block, part, lines, is_header):
+        return (fk, int(rec_block), int(part), "\n".join(lines), "piece", bool(is_header))
+
     for pdf in batches:
-        values = pdf["value"].tolist()
-        fks = pdf["fk"].tolist()
-        blocks = pdf["block"].tolist()
-        odds = pdf["odd"].tolist()
-        p0s = pdf["p0"].tolist()
-        owners = pdf["owner"].tolist()
-        for value, fk, block, odd, p0, own in zip(values, fks, blocks, odds, p0s, owners):
-            if (fk, block) != cur_key:
-                flush_split()
-                cur_key, parity, head, rec = (fk, block), int(p0), [], []
-                owner = None if pd.isna(own) else own
-                first_in_file = block == 0
-                rec_is_header = False
-            if parity == 1 and not rec:
-                # Inside a record begun in an earlier split.
-                head.append(value)
-                parity ^= odd
+        n = len(pdf)
+        if n == 0:
+            continue
+        vals = pdf["value"].to_numpy(dtype=object)
+        fks = pdf["fk"].to_numpy()
+        blocks = pdf["block"].to_numpy()
+        odds = pdf["odd"].to_numpy().astype("int64")
+        p0s = pdf["p0"].to_numpy()
+        owners = pdf["owner"].to_numpy()
+        cuts = np.flatnonzero((fks[1:] != fks[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+        out: list[tuple] = []
+        singles: list[pd.DataFrame] = []
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), n]):
+            k = (int(fks[a]), int(blocks[a]))
+            if k != key:
+                if key is not None and not emit_records and open_lines:
+                    # End of the previous split: its head or its unfinished record.
+                    out.append(piece(key[0], key[1] if started else owner, key[1], open_lines, open_header))
+                key, parity, started = k, int(p0s[a]), False
+                owner = None if pd.isna(owners[a]) else int(owners[a])
+                header_next, open_lines, open_header = k[1] == 0, [], False
+            v, odd = vals[a:b], odds[a:b]
+            after = (parity + np.cumsum(odd)) % 2
+            before = np.concatenate(([parity], after[:-1]))
+            blank = np.zeros(len(v), dtype=bool)
+            even_before = np.flatnonzero(before == 0)
+            if len(even_before):
+                blank[even_before] = pd.Series(v[even_before]).str.strip().eq("").to_numpy()
+            start = (before == 0) & ~blank
+            keep = start | (before == 1)
+            rid = np.cumsum(start)
+            parity = int(after[-1])
+            starts = np.flatnonzero(start)
+            # Lines before the first start continue the open record (or head).
+            lead = np.flatnonzero(keep & (rid == 0))
+            if len(lead):
+                open_lines.extend(v[lead].tolist())
+            if not len(starts):
                 continue
-            if not rec:
-                if not value.strip():
-                    continue  # blank line between records
-                rec_is_header = first_in_file
-                first_in_file = False
-            rec.append(value)
-            parity ^= odd
-            if parity == 0:
-                if emit_records:
-                    out.append((fk, int(block), 0, "\n".join(rec), "record", rec_is_header))
-                rec, rec_is_header = [], False
-        if out:
-            yield pd.DataFrame(out, columns=["fk", "rec_block", "part", "text", "kind", "is_header"])
-            out = []
-    flush_split()
-    if out:
-        yield pd.DataFrame(out, columns=["fk", "rec_block", "part", "text", "kind", "is_header"])
+            # The open record ended before the first start of this run.
+            if open_lines:
+                if started and emit_records:
+                    out.append((k[0], k[1], 0, "\n".join(open_lines), "record", open_header))
+                elif not started and not emit_records and owner is not None:
+                    out.append(piece(k[0], owner, k[1], open_lines, False))
+            open_lines, open_header = [], False
+            is_hdr = np.zeros(len(v), dtype=bool)
+            if header_next:
+                is_hdr[starts[0]] = True
+                header_next = False
+            started = True
+            last = starts[-1]
+            single = start & (after == 0)
+            if emit_records:
+                one = np.flatnonzero(single)
+                one = one[one != last] if parity == 1 else one
+                if len(one):
+                    singles.append(pd.DataFrame({"fk": k[0], "rec_block": k[1], "part": 0,
+                                                 "text": v[one], "kind": "record", "is_header": is_hdr[one]}))
+                multi = starts[~single[starts]]
+                for s_i in multi:
+                    r = rid[s_i]
+                    lines = np.flatnonzero(keep & (rid == r))
+                    if s_i == last and parity == 1:
+                        continue
+                    out.append((k[0], k[1], 0, "\n".join(v[lines].tolist()), "record", bool(is_hdr[s_i])))
+            if parity == 1:
+                # The last record is still open at the end of this run.
+                open_lines = v[np.flatnonzero(keep & (rid == rid[last]))].tolist()
+                open_header = bool(is_hdr[last])
+        frames = singles + ([pd.DataFrame(out, columns=_COLS)] if out else [])
+        if frames:
+            yield pd.concat(frames, ignore_index=True)[_COLS]
+    if key is not None and not emit_records and open_lines:
+        yield pd.DataFrame([piece(key[0], key[1] if started else owner, key[1], open_lines, open_header)],
+                           columns=_COLS)
 
 
 def _records(batches):

@@ -78,3 +78,18 @@ def test_header_mismatch_in_record_mode(spark, workdir, tiny_splits):
     write_text(f"{workdir}/d.txt/part-1.csv", "Patient MRN|Admit Date or Service Date|Other\n" + body)
     o = run_load(spark, feeds.VISITS, f"{workdir}/d.txt", lake_root=f"{workdir}/lake", audit_root=f"{workdir}/a")
     assert (o.status, o.error_type) == ("FAILED", "HeaderError")
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_split_records_across_small_arrow_batches(spark, workdir, seed):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rng = random.Random(seed)
+        p = write_text(f"{workdir}/g{seed}.txt", make_file(rng, 200))
+        header = read_header(spark, p)
+        assert rows_of(read_split_records(spark, p, header)) == rows_of(
+            read_delimited(spark, p, header, multi_line=True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
