@@ -22,3 +22,11 @@ def test_column_queries_run_on_smallest_tables(spark):
     for name in ("rename_column", "name_parts", "date_strict", "route_feed", "head_rows", "long_rows"):
         df = E.queries()[name](spark, sf)
         assert df.count() >= 1, name
+
+
+def test_feed_query_survives_several_actions(spark):
+    df = E.queries()["feed_visits"](spark, "/root/testdata/sf0.001")
+    n = df.count()
+    assert len(df.collect()) == n
+    assert df.limit(3).count() == 3
+    df.write.format("noop").mode("overwrite").save()
