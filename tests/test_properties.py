@@ -6,7 +6,6 @@ import urllib.parse
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from landfall import functions as LF
 

@@ -1,8 +1,6 @@
 """Lake snapshot replace, audit, reconciliation, delimited export."""
 
-import os
 
-from pyspark.sql import functions as F
 
 from landfall.plans import feeds
 from landfall.plans.run import run_load

@@ -1,7 +1,6 @@
 """Arrival stream: two files of one feed in a batch, one unmatched file, a
 later arrival, and a restart that finds nothing new."""
 
-import os
 import time
 
 from pyspark.sql import functions as F
