@@ -38,7 +38,7 @@ def main(argv=None) -> int:
     it.add_argument("--landing", required=True)
     it.add_argument("--lake", required=True)
     it.add_argument("--audit", required=True)
-    it.add_argument("--checkpoint", required=True)
+    it.add_argument("--checkpoint", help="default: a folder under spark.checkpoint.dir")
     it.add_argument("--glob")
     it.add_argument("--unit", choices=("file", "directory"), default="file")
     it.add_argument("--poll", help="poll interval; without it, take what has landed and stop")

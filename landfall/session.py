@@ -26,6 +26,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return d.rstrip("/") + "/landfall"
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The configured ``spark.checkpoint.dir`` itself, the same for every
+    application (``scratch_dir`` adds a per-application folder). Falls back to
+    ``scratch_dir`` when nothing is configured."""
+    try:
+        conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # Spark Connect
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+    return conf.rstrip("/") + "/landfall" if conf else scratch_dir(spark)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Task slots of the session (shuffle partitions under Spark Connect)."""
     try:

@@ -10,6 +10,7 @@ batch rewrites its own snapshot folders and adds no second outcome.
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from landfall.functions.paths import base_name, url_unquote, url_unquote_plus
 from landfall.functions.predicates import route_prefix
 from landfall.functions.text import outcome_message
 from landfall.plans.run import run_arrival
+from landfall.session import shared_dir
 from landfall.sinks.audit import AUDIT_SCHEMA, append_audit_rows, read_audit
 
 
@@ -148,8 +150,16 @@ class Intake:
         append_audit_rows(rows, self.kw["audit_root"])
 
 
+def default_checkpoint(spark: SparkSession, source: str) -> str:
+    """A checkpoint folder for one intake source under the configured
+    ``spark.checkpoint.dir``: the same for every run, so a restarted intake
+    resumes where it stopped."""
+    digest = hashlib.sha256(source.rstrip("/").encode()).hexdigest()[:16]
+    return f"{shared_dir(spark)}/intake/{digest}"
+
+
 def start_notified_intake(spark: SparkSession, events: str, specs, *, lake_root: str, audit_root: str,
-                          checkpoint: str, scheme: str = "s3", available_now: bool = True,
+                          checkpoint: str | None = None, scheme: str = "s3", available_now: bool = True,
                           processing_time: str | None = None, quarantine_root: str | None = None,
                           load_ts: str | None = None, parallel_loads: int = 4) -> StreamingQuery:
     """Intake driven by notification records instead of a folder listing."""
@@ -157,23 +167,24 @@ def start_notified_intake(spark: SparkSession, events: str, specs, *, lake_root:
                      quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads)
     w = (notified_arrivals(spark, events, scheme).writeStream
          .foreachBatch(handler)
-         .option("checkpointLocation", checkpoint))
+         .option("checkpointLocation", checkpoint or default_checkpoint(spark, events)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
     return w.start()
 
 
 def start_intake(spark: SparkSession, landing: str, specs, *, lake_root: str, audit_root: str,
-                 checkpoint: str, glob: str | None = None, unit: str = "file",
+                 checkpoint: str | None = None, glob: str | None = None, unit: str = "file",
                  available_now: bool = True, processing_time: str | None = None,
                  quarantine_root: str | None = None, load_ts: str | None = None,
                  parallel_loads: int = 4, max_files_per_batch: int = 10000,
                  archive_dir: str | None = None) -> StreamingQuery:
     """Start the intake. ``available_now`` takes what has landed and stops;
-    otherwise it polls every ``processing_time``."""
+    otherwise it polls every ``processing_time``. Without ``checkpoint`` the
+    stream keeps its progress under ``spark.checkpoint.dir``."""
     handler = Intake(specs, lake_root=lake_root, audit_root=audit_root,
                      quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads)
     w = (arrivals(spark, landing, glob, unit, max_files_per_batch, archive_dir).writeStream
          .foreachBatch(handler)
-         .option("checkpointLocation", checkpoint))
+         .option("checkpointLocation", checkpoint or default_checkpoint(spark, landing)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
     return w.start()
