@@ -33,7 +33,12 @@ def append_audit(spark: SparkSession, audit_root: str, record: dict) -> None:
 
 def append_audit_rows(df: DataFrame, audit_root: str) -> None:
     """Append outcome rows; the table is partitioned by target, so a lookup of
-    one target's current load lists only that target's folder."""
+    one target's current load lists only that target's folder.
+
+    The rows are few (one per arrival of a stream batch, which
+    ``maxFilesPerTrigger`` bounds), so they go out as one file per target
+    rather than one per shuffle partition.
+    """
     df.coalesce(1).write.mode("append").partitionBy("target").parquet(audit_root)
 
 
