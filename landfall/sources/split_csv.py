@@ -16,8 +16,8 @@ the file is read as lines in ordinary splits and the records are rebuilt:
    mode with the raw record kept for rows of the wrong length, as the file
    reader does.
 
-The per-split table has one small row per split. It is broadcast: its size is
-bounded by the scan's task count.
+The per-split table has one small row per split. It is checkpointed to the
+shared folder, counted, and broadcast only below ``MAX_SPLITS`` rows.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from landfall.errors import HEADER_MISMATCH
 from landfall.functions._col import sql_name
+from landfall.session import scratch_dir
 from landfall.sources.delimited import CORRUPT
 
 # The per-split functions below travel with the job (by value), so Python
@@ -187,13 +188,27 @@ def _pieces(batches):
     return _walk(batches, False)
 
 
+# Rows of the broadcast per-split table allowed (about 32 bytes each).
+MAX_SPLITS = 4_000_000
+
+
 def read_split_records(spark: SparkSession, path: str, columns, sep: str = "|",
-                       quote: str = '"', lines: DataFrame | None = None) -> DataFrame:
+                       quote: str = '"', lines: DataFrame | None = None,
+                       max_splits: int = MAX_SPLITS) -> DataFrame:
     """The same rows as ``read_delimited(..., multi_line=True)`` (every column as
     text, the raw record in ``_corrupt_record`` for rows of the wrong length,
     header and blank lines dropped), read in parallel splits."""
     lines = lines if lines is not None else _lines(spark, path, quote)
-    splits = F.broadcast(split_table(lines))  # one small row per split
+    # The per-split table is written once to the shared checkpoint folder
+    # (computed once, lineage cut, safe from lost executors) and its size
+    # checked before it is broadcast.
+    scratch_dir(spark)  # makes sure a checkpoint folder is set
+    table = split_table(lines).checkpoint(eager=True)
+    n_splits = table.count()
+    if n_splits > max_splits:
+        raise ValueError(f"{n_splits} splits exceed the broadcast bound {max_splits}; "
+                         "raise spark.sql.files.maxPartitionBytes")
+    splits = F.broadcast(table)
     tagged = lines.join(splits, ["fk", "block"]).select("value", "fk", "block", "odd", "p0", "owner")
     whole = tagged.mapInPandas(_records, PIECE_SCHEMA)
     pieces = (tagged.mapInPandas(_pieces, PIECE_SCHEMA)

@@ -93,3 +93,10 @@ def test_split_records_across_small_arrow_batches(spark, workdir, seed):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_split_table_size_is_checked(spark, workdir, tiny_splits):
+    rng = random.Random(9)
+    p = write_text(f"{workdir}/h.txt", make_file(rng, 80))
+    with pytest.raises(ValueError):
+        read_split_records(spark, p, read_header(spark, p), max_splits=2)
