@@ -12,6 +12,7 @@ The audit row is the pointer: until it is written the old snapshot stays current
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -57,6 +58,12 @@ def stable_load_id(feed: str, path: str, stamp) -> str:
     return hashlib.sha256(f"{feed}\n{path}\n{stamp}".encode()).hexdigest()[:24]
 
 
+def _error_class(exc: BaseException) -> str | None:
+    """Spark's error class (``[NAME]`` at the start of its message), if any."""
+    m = re.match(r"\s*\[([A-Z0-9_.]+)\]", str(exc))
+    return m.group(1) if m else None
+
+
 def _check_text(exc: BaseException, spec: FeedSpec) -> str:
     """Our own check message only; Spark's text may quote row values."""
     s = str(exc)
@@ -76,7 +83,8 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
     table with the validated snapshot and reconciles its row count.
 
     A problem with the data or the source is audited as FAILED and returned;
-    any other error is raised after nothing was switched, so a retry is safe.
+    any other error is noted as ERROR (not final) and raised after nothing was
+    switched, so a retry is safe.
     """
     load_id = load_id or uuid.uuid4().hex[:24]
     target_root = f"{lake_root.rstrip('/')}/{spec.target}"
@@ -115,6 +123,16 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
         out.status = "SUCCEEDED"
     except LoadError as e:
         out.status, out.error_type, out.error = "FAILED", e.error_type, str(e)[:300]
+    except Exception as e:
+        # Not a data problem: note it (type and Spark error class only, as the
+        # text may quote row values), then raise so the caller or the stream
+        # retries. ERROR is not final, so a retry loads the file again.
+        out.status, out.error_type, out.error = "ERROR", type(e).__name__, _error_class(e)
+        try:
+            append_audit(spark, audit_root, asdict(out))
+        except Exception:  # noqa: BLE001 - the original error matters more
+            pass
+        raise
     append_audit(spark, audit_root, asdict(out))
     return out
 

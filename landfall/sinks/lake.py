@@ -53,14 +53,14 @@ def read_current(spark: SparkSession, root: str, audit_root: str, target: str,
 
 def superseded_loads(spark: SparkSession, root: str, audit_root: str, target: str, keep: int = 2) -> DataFrame:
     """Snapshot folders of ``target`` that retention may remove: every load
-    except the ``keep`` latest SUCCEEDED ones (failed loads included). Deleting
+    except the ``keep`` latest SUCCEEDED ones (failed and errored loads included). Deleting
     them is left to the storage's own lifecycle tooling."""
     w = Window.orderBy(F.col("recorded_at").desc(), F.col("load_id").desc())
     audit = read_audit(spark, audit_root).filter(F.col("target") == target)
     ranked = (audit.filter(F.col("status") == "SUCCEEDED")
               .select("load_id", F.row_number().over(w).alias("rank")))
     kept = ranked.filter(F.col("rank") <= keep).select("load_id")
-    return (audit.filter(F.col("status").isin("SUCCEEDED", "FAILED"))
+    return (audit.filter(F.col("status").isin("SUCCEEDED", "FAILED", "ERROR"))
             .select("load_id", "status", "recorded_at").distinct()
             .join(kept, "load_id", "left_anti")
             .select("load_id", "status", F.concat(F.lit(root.rstrip("/") + "/load_id="), "load_id").alias("path")))

@@ -106,3 +106,21 @@ def test_utf8_check_can_be_switched_off(spark, workdir):
     o = run_load(spark, feeds.VISITS.with_options(strict_utf8=False), p, lake_root=f"{workdir}/lake",
                  audit_root=f"{workdir}/audit")
     assert (o.status, o.rows_target) == ("SUCCEEDED", 2)
+
+
+def test_unexpected_error_is_noted_and_raised(spark, workdir, monkeypatch):
+    import pytest
+
+    import landfall.plans.run as R
+
+    p = write_text(f"{workdir}/in/v.txt", HDR + "1|1/5/2024\n")
+
+    def boom(*a, **k):
+        raise RuntimeError("[SOME_SINK_FAILURE] value 1|1/5/2024 could not be written")
+
+    monkeypatch.setattr(R, "write_snapshot", boom)
+    with pytest.raises(RuntimeError):
+        R.run_load(spark, feeds.VISITS, p, lake_root=f"{workdir}/lake", audit_root=f"{workdir}/audit")
+    row = read_audit(spark, f"{workdir}/audit").first()
+    assert (row["status"], row["error_type"], row["error"]) == ("ERROR", "RuntimeError", "SOME_SINK_FAILURE")
+    assert "1/5/2024" not in row["message"]
