@@ -12,7 +12,8 @@ from landfall.functions._col import col, null_string
 # The layouts a date text may have, tried in this order. Month
 # first comes before day first, so ``01/05/2024`` is 5 January and ``13/01/2024``
 # falls through to 13 January. Each layout may carry a time of day, which is
-# checked and then dropped. Two-digit years are not accepted.
+# checked and then dropped. Month names (any case) come last. Two-digit years
+# are not accepted.
 DATE_LAYOUTS = (
     "M/d/yyyy[ H:m[:s][.SSSSSSSSS]]",
     "d/M/yyyy[ H:m[:s][.SSSSSSSSS]]",
@@ -21,6 +22,11 @@ DATE_LAYOUTS = (
     "yyyyMMdd",
     "M-d-yyyy[ H:m[:s][.SSSSSSSSS]]",
     "yyyy/M/d[ H:m[:s][.SSSSSSSSS]]",
+    "d-MMM-yyyy[ H:m[:s][.SSSSSSSSS]]",
+    "d MMM yyyy[ H:m[:s][.SSSSSSSSS]]",
+    "MMM d, yyyy[ H:m[:s][.SSSSSSSSS]]",
+    "MMMM d, yyyy[ H:m[:s][.SSSSSSSSS]]",
+    "MMM d yyyy[ H:m[:s][.SSSSSSSSS]]",
 )
 
 DATE_OUT = "MM-dd-yyyy"
@@ -70,16 +76,23 @@ def _parse_default_layouts(t: Column) -> Column:
     the same result: a year field needs four or more digits, month and day any
     number (leading zeros), and every other layout needs a separator.
     """
-    m_d_y, d_m_y, y_m_d, y_m_d_t, ymd8, m_d_y_dash, y_m_d_slash = DATE_LAYOUTS
+    (m_d_y, d_m_y, y_m_d, y_m_d_t, ymd8, m_d_y_dash, y_m_d_slash,
+     d_mon_y_dash, d_mon_y, mon_d_c_y, month_d_c_y, mon_d_y) = DATE_LAYOUTS
     lead = F.length(F.regexp_extract(t, r"^[0-9]*", 0))
     nxt = F.substring(t, lead + 1, 1)
+    letter_after = F.substring(t, lead + 2, 1).rlike("[A-Za-z]")
     year_first = lead >= 4
     iso = F.when(F.instr(t, "T") > 0, F.try_to_date(t, y_m_d_t)).otherwise(F.try_to_date(t, y_m_d))
+    dash = (F.when(year_first, F.coalesce(iso, F.try_to_date(t, m_d_y_dash), F.try_to_date(t, d_mon_y_dash)))
+            .when(letter_after, F.try_to_date(t, d_mon_y_dash))
+            .otherwise(F.try_to_date(t, m_d_y_dash)))
     return (F.when(nxt == "/", F.coalesce(F.try_to_date(t, m_d_y), F.try_to_date(t, d_m_y),
                                           F.when(year_first, F.try_to_date(t, y_m_d_slash))))
-            .when(nxt == "-", F.when(year_first, F.coalesce(iso, F.try_to_date(t, m_d_y_dash)))
-                  .otherwise(F.try_to_date(t, m_d_y_dash)))
-            .when((lead == 8) & (F.length(t) == 8), F.try_to_date(t, ymd8)))
+            .when(nxt == "-", dash)
+            .when((lead == 8) & (F.length(t) == 8), F.try_to_date(t, ymd8))
+            .when((lead > 0) & (nxt == " "), F.try_to_date(t, d_mon_y))
+            .when(lead == 0, F.coalesce(F.try_to_date(t, mon_d_c_y), F.try_to_date(t, month_d_c_y),
+                                        F.try_to_date(t, mon_d_y))))
 
 
 def reformat_date(c, strict: bool = True, out: str = DATE_OUT, layouts=DATE_LAYOUTS,

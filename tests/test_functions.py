@@ -22,6 +22,11 @@ DATES = [
     ("12/31/9999", "12-31-9999"),
     ("2024-01-05T03:04:05", "01-05-2024"),
     ("2024-01-05 00:00:00", "01-05-2024"),
+    ("05-JAN-2024", "01-05-2024"),
+    ("5 Jan 2024", "01-05-2024"),
+    ("Jan 5, 2024", "01-05-2024"),
+    ("January 5, 2024 10:00", "01-05-2024"),
+    ("jan 5 2024", "01-05-2024"),
     (" 1/5/2024 ", "01-05-2024"),
     ("", None),
     ("   ", None),
@@ -143,7 +148,9 @@ def test_dispatch_equals_trying_every_layout(spark):
     vals = ["1/5/2024", "13/1/2024", "2/30/2024", "2024-1-5", "2024-01-05T03:04", "2024-01-05 3:04:05.5",
             "20240105", "2024010", "1-5-2024", "2024/1/5", "12024-01-05", "1/5/12024", "001/5/2024",
             "x1/5/2024", "1/5/2024x", "31/12/2024 23:59", "2024-13-01", "", "garbage", "1//2024",
-            "0001-01-0001", "0012-05-2024", "0001/5/2024", "2024/13/1", "1/5/2024T", " 20240105 "]
+            "0001-01-0001", "0012-05-2024", "0001/5/2024", "2024/13/1", "1/5/2024T", " 20240105 ",
+            "05-JAN-2024", "5 Jan 2024", "Jan 5, 2024", "January 5, 2024", "Jan 5 2024", "2024-Jan-05",
+            "5-Jxn-2024", "Foo 5, 2024", "5 5 2024", "1-Jan-24"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     every = F.coalesce(*[F.try_to_date(F.trim("v"), f) for f in DATE_LAYOUTS])
     got = df.select(LF.parse_date("v").alias("a"), every.alias("b")).collect()
