@@ -10,8 +10,9 @@ from landfall.plans.feeds import ALL_FEEDS, APPOINTMENTS, DEMOGRAPHICS, PROVIDER
 from landfall.plans.load import FeedLoad, build_load, load
 from landfall.plans.run import LoadOutcome, run_load
 from landfall.plans.spec import FeedSpec
-from landfall.sinks.lake import read_current
-from landfall.streaming.intake import start_intake
+from landfall.sinks.lake import read_current, superseded_loads
+from landfall.sources.delimited import choose_read_mode
+from landfall.streaming.intake import start_intake, start_notified_intake
 
 __all__ = [
     "ALL_FEEDS",
@@ -24,8 +25,11 @@ __all__ = [
     "RX_ORDERS",
     "VISITS",
     "build_load",
+    "choose_read_mode",
     "load",
     "read_current",
     "run_load",
     "start_intake",
+    "start_notified_intake",
+    "superseded_loads",
 ]
