@@ -69,30 +69,32 @@ def parse_date(c, layouts=DATE_LAYOUTS, pivot_year: int | None = None) -> Column
 
 
 def _parse_default_layouts(t: Column) -> Column:
-    """The ordered list ``DATE_LAYOUTS``, dispatched on the separator after the
-    leading digits, so each value meets only the layouts that could read it,
-    in list order: usually one parse. A failed parse costs an exception inside
-    Spark, so this is far cheaper than trying every layout in turn, and it gives
-    the same result: a year field needs four or more digits, month and day any
-    number (leading zeros), and every other layout needs a separator.
+    """The ordered list ``DATE_LAYOUTS``, dispatched on the shape of the text's
+    start, so each value meets only the layouts that could read it, in list
+    order: usually one anchored regex test and one parse. A failed parse costs
+    an exception inside Spark, so this is far cheaper than trying every layout
+    in turn, and it gives the same result: a year field needs four or more
+    digits, month and day any number (leading zeros), month names letters, and
+    every layout has a fixed separator after its first field.
     """
     (m_d_y, d_m_y, y_m_d, y_m_d_t, ymd8, m_d_y_dash, y_m_d_slash,
      d_mon_y_dash, d_mon_y, mon_d_c_y, month_d_c_y, mon_d_y) = DATE_LAYOUTS
-    lead = F.length(F.regexp_extract(t, r"^[0-9]*", 0))
-    nxt = F.substring(t, lead + 1, 1)
-    letter_after = F.substring(t, lead + 2, 1).rlike("[A-Za-z]")
-    year_first = lead >= 4
-    iso = F.when(F.instr(t, "T") > 0, F.try_to_date(t, y_m_d_t)).otherwise(F.try_to_date(t, y_m_d))
-    dash = (F.when(year_first, F.coalesce(iso, F.try_to_date(t, m_d_y_dash), F.try_to_date(t, d_mon_y_dash)))
-            .when(letter_after, F.try_to_date(t, d_mon_y_dash))
-            .otherwise(F.try_to_date(t, m_d_y_dash)))
-    return (F.when(nxt == "/", F.coalesce(F.try_to_date(t, m_d_y), F.try_to_date(t, d_m_y),
-                                          F.when(year_first, F.try_to_date(t, y_m_d_slash))))
-            .when(nxt == "-", dash)
-            .when((lead == 8) & (F.length(t) == 8), F.try_to_date(t, ymd8))
-            .when((lead > 0) & (nxt == " "), F.try_to_date(t, d_mon_y))
-            .when(lead == 0, F.coalesce(F.try_to_date(t, mon_d_c_y), F.try_to_date(t, month_d_c_y),
-                                        F.try_to_date(t, mon_d_y))))
+
+    def d(layout):
+        return F.try_to_date(t, layout)
+
+    year_first = t.rlike(r"^[0-9]{4}")
+    iso = F.when(F.instr(t, "T") > 0, d(y_m_d_t)).otherwise(d(y_m_d))
+    return (F.when(t.rlike(r"^[0-9]+/"), F.coalesce(d(m_d_y), d(d_m_y), F.when(year_first, d(y_m_d_slash))))
+            .when(t.rlike(r"^[0-9]+-"),
+                  F.when(year_first, F.coalesce(iso, d(m_d_y_dash), d(d_mon_y_dash)))
+                  .when(t.rlike(r"^[0-9]+-[A-Za-z]"), d(d_mon_y_dash))
+                  .otherwise(d(m_d_y_dash)))
+            .when(t.rlike(r"^[0-9]{8}$"), d(ymd8))
+            .when(t.rlike(r"^[0-9]+ [A-Za-z]"), d(d_mon_y))
+            # Month-name layouts need letters, a blank, then a digit; other text
+            # (e.g. ``garbage``) is settled without a failing parse.
+            .when(t.rlike(r"^[A-Za-z]+ [0-9]"), F.coalesce(d(mon_d_c_y), d(month_d_c_y), d(mon_d_y))))
 
 
 def reformat_date(c, strict: bool = True, out: str = DATE_OUT, layouts=DATE_LAYOUTS,

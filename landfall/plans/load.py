@@ -75,10 +75,13 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
     observed, obs = observe_counts(raw, long_row, header + [CORRUPT] if utf8 else [])
 
     # N1 (and N2) first, then the rules in order, then N3 on every output column.
-    cols = {}
+    # The cleaned values are a projection of their own: a rule that reads a
+    # value several times (dates do) then reads a column, not the expression.
+    cleaned = []
     for h in header:
         c = null_tokens(h, spec.null_tokens)
-        cols[h] = fill_missing(c) if spec.fill_missing else c
+        cleaned.append((fill_missing(c) if spec.fill_missing else c).alias(h))
+    cols = {h: qcol(h) for h in header}
     for rule in spec.rules:
         cols = rule.apply(cols, ctx)
     if spec.output is not None:
@@ -102,7 +105,7 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
             F.lit(spec.name).alias("feed"), F.lit(file_name).alias("file"),
             qcol(header[0]).alias("record_key"), F.col(CORRUPT).alias("raw_record"),
             F.lit("long_row").alias("reason"))
-    rows = kept.select(*out)
+    rows = kept.select(*cleaned).select(*out)
     return FeedLoad(spec, path, file_name, load_ts, header, rows, obs, quarantine, list(cols), multi_line, mode)
 
 

@@ -144,7 +144,10 @@ def q_date_strict(spark, sf):
             .when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
             .when(k == 2, F.date_format("o_orderdate", "yyyyMMdd"))
             .otherwise(F.col("o_orderdate").cast("string")))
-    return o.select("o_orderkey", LF.reformat_date(text, strict=True).alias("order_date"))
+    # The text is a column of its own, so the rule reads it rather than
+    # recomputing it at each of its references.
+    return (o.select("o_orderkey", text.alias("text"))
+            .select("o_orderkey", LF.reformat_date("text", strict=True).alias("order_date")))
 
 
 def q_date_lenient(spark, sf):
@@ -152,12 +155,14 @@ def q_date_lenient(spark, sf):
     k = F.col("event_id") % 13
     text = (F.when(k == 0, F.lit("garbage")).when(k == 1, F.lit("2/30/2024"))
             .otherwise(F.date_format("ts", "M/d/yyyy H:m:s")))
-    return e.select("event_id", LF.reformat_date(text, strict=False).alias("event_date"))
+    return (e.select("event_id", text.alias("text"))
+            .select("event_id", LF.reformat_date("text", strict=False).alias("event_date")))
 
 
 def q_time_strict(spark, sf):
     e = L.table(spark, sf, "events")
-    return e.select("event_id", LF.reformat_time(F.date_format("ts", "H:mm:ss")).alias("event_time"))
+    return (e.select("event_id", F.date_format("ts", "H:mm:ss").alias("text"))
+            .select("event_id", LF.reformat_time("text").alias("event_time")))
 
 
 def q_digits_only(spark, sf):
