@@ -13,7 +13,7 @@ from landfall.functions._col import col, null_string
 # first comes before day first, so ``01/05/2024`` is 5 January and ``13/01/2024``
 # falls through to 13 January. Each layout may carry a time of day, which is
 # checked and then dropped. Month names (any case) come last. Two-digit years
-# are not accepted.
+# are read only when a feed states a pivot year (``SHORT_YEAR_LAYOUTS``).
 DATE_LAYOUTS = (
     "M/d/yyyy[ H:m[:s][.SSSSSSSSS]]",
     "d/M/yyyy[ H:m[:s][.SSSSSSSSS]]",
