@@ -84,6 +84,10 @@ def _neighbours(one_part: bool):
     """Reads rows sorted by part and descending id, each part ended by its tail rows; pairs each row
     with the one that follows it."""
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     def row(doc_id, text, own, next_text, following):
         n = len(text)
@@ -111,9 +115,9 @@ def _neighbours(one_part: bool):
                 if first is None and one_part and not tail:
                     first = (text, own)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
+                yield batch(out)
         if one_part and held is not None:  # without tails: the first row follows the last
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row(*held, first[0], first[1][0])], names)
+            yield batch([row(*held, first[0], first[1][0])])
 
     return run
 
