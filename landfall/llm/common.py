@@ -65,7 +65,7 @@ def stream64(n: int, seed: int) -> np.ndarray:
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[np.frombuffer(SPACE_BYTES, dtype=np.uint8)] = True
 _BYTE_VALUE = stream64(256, 11)
-_HASH_BYTES = 1 << 22
+_HASH_BYTES = 1 << 20
 _POWERS = [np.ones(1, dtype=np.uint64)]
 
 
@@ -93,11 +93,15 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     if start.size == 0:
         return np.empty(0, dtype=np.uint64)
     size = end - start
-    first = np.cumsum(size) - size
-    total = int(size.sum())
-    if total > _HASH_BYTES and start.size > 1:  # in parts, for bounded memory
-        cut = max(1, int(np.searchsorted(first, _HASH_BYTES)))
-        return np.concatenate([word_hashes(data, start[k:k + cut], end[k:k + cut]) for k in range(0, start.size, cut)])
+    first, total = np.cumsum(size) - size, int(size.sum())
+    if total > _HASH_BYTES:  # in parts, for bounded memory
+        cuts = np.unique(np.append(np.searchsorted(first, np.arange(0, total, _HASH_BYTES)), size.size))
+        return np.concatenate([_hash_part(data, start[a:b], size[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
+    return _hash_part(data, start, size)
+
+
+def _hash_part(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    first, total = np.cumsum(size) - size, int(size.sum())
     within = np.arange(total) - np.repeat(first, size)
     at = within + np.repeat(start, size)
     with np.errstate(over="ignore"):

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from landfall.llm.common import count_groups, fold, mix64, run_starts, word_hashes, word_spans, written
 
-CHUNK_CHARS = 12_000_000
-RANGE_CHARS = 8_000_000
+CHUNK_CHARS = 4_000_000
+RANGE_CHARS = 4_000_000
 #: Context buckets: 0 for a context never seen, then one for each power of two; the last is open.
 CONTEXT_BUCKETS = 25
 #: Steps per power of two in which the deleted part's probabilities are tabulated for the EM.

@@ -302,3 +302,15 @@ def test_chat_query_equals_its_sql(spark):
     names = [c[0] for c in cur.description]
     df = queries.op7_chat_format(spark, SF)
     assert sorted(map(tuple, df.select(*names).collect())) == sorted(cur.fetchall())
+
+
+def test_word_hashes_in_parts(monkeypatch):
+    from landfall.llm import common
+
+    text = np.frombuffer(("a bb ccc " * 400 + "x" * 500 + " bb " + "y" * 700).encode(), dtype=np.uint8)
+    spans = common.word_spans(text)
+    whole = common.word_hashes(text, *spans)
+    assert len(set(whole[:1200].tolist())) == 3 and whole[1201] == whole[1]
+    for limit in (1, 7, 100, 512):
+        monkeypatch.setattr(common, "_HASH_BYTES", limit)
+        assert (common.word_hashes(text, *spans) == whole).all()
