@@ -11,7 +11,6 @@ from landfall.plans.load import FeedLoad, build_load, load
 from landfall.plans.run import LoadOutcome, run_load
 from landfall.plans.spec import FeedSpec
 from landfall.sinks.lake import read_current, superseded_loads
-from landfall.sources.delimited import choose_read_mode
 from landfall.streaming.intake import start_intake, start_notified_intake
 
 __all__ = [
@@ -25,7 +24,6 @@ __all__ = [
     "RX_ORDERS",
     "VISITS",
     "build_load",
-    "choose_read_mode",
     "load",
     "read_current",
     "run_load",

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 from dataclasses import asdict
 
@@ -21,7 +22,14 @@ from pyspark.sql import SparkSession
 
 from landfall.plans.feeds import ALL_FEEDS, BY_NAME
 from landfall.plans.run import run_load
-from landfall.streaming.intake import start_intake
+from landfall.streaming.intake import start_intake, start_notified_intake
+
+
+def jdbc_options(url: str | None, table: str, user: str | None) -> dict | None:
+    """``run_load``'s ``jdbc``; the password comes from the environment, never from the command line."""
+    if not url:
+        return None
+    return {"url": url, "table": table, "user": user, "password": os.environ.get("LANDFALL_JDBC_PASSWORD")}
 
 
 def main(argv=None) -> int:
@@ -33,9 +41,18 @@ def main(argv=None) -> int:
     ld.add_argument("--lake", required=True)
     ld.add_argument("--audit", required=True)
     ld.add_argument("--long_rows", choices=("fail", "quarantine"))
-    ld.add_argument("--multi_line", choices=("auto", "true", "false"), default="auto")
+    ld.add_argument("--multi_line", choices=("true", "false"), default="true",
+                    help="whether fields may hold line breaks; files of a feed without them split")
+    ld.add_argument("--jdbc_url", help="also replace a database table with the loaded snapshot")
+    ld.add_argument("--jdbc_table")
+    ld.add_argument("--jdbc_user")
     it = sub.add_parser("intake", help="load files as they land")
-    it.add_argument("--landing", required=True)
+    src = it.add_mutually_exclusive_group(required=True)
+    src.add_argument("--landing", help="folder to list for new files")
+    src.add_argument("--events", help="folder of object-store notification records (JSON) instead")
+    it.add_argument("--scheme", default="s3", help="scheme of the locations that records name")
+    it.add_argument("--jdbc_url", help="database that gets a copy of every feed's snapshot, in the table named like its target")
+    it.add_argument("--jdbc_user")
     it.add_argument("--lake", required=True)
     it.add_argument("--audit", required=True)
     it.add_argument("--checkpoint", help="default: a folder under spark.checkpoint.dir")
@@ -48,15 +65,22 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.appName(f"landfall-{a.cmd}").getOrCreate()
     if a.cmd == "load":
         spec = BY_NAME[a.feed]
-        opts = {"multi_line": {"auto": None, "true": True, "false": False}[a.multi_line]}
+        opts = {"multi_line": a.multi_line == "true"}
         if a.long_rows:
             opts["long_rows"] = a.long_rows
-        out = run_load(spark, spec.with_options(**opts), a.input_path, lake_root=a.lake, audit_root=a.audit)
+        out = run_load(spark, spec.with_options(**opts), a.input_path, lake_root=a.lake, audit_root=a.audit,
+                       jdbc=jdbc_options(a.jdbc_url, a.jdbc_table or spec.target, a.jdbc_user))
         print(json.dumps(asdict(out)))
         return 0 if out.status == "SUCCEEDED" else 1
+    jdbc = {s.name: o for s in ALL_FEEDS if (o := jdbc_options(a.jdbc_url, s.target, a.jdbc_user))}
+    if a.events:
+        q = start_notified_intake(spark, a.events, ALL_FEEDS, lake_root=a.lake, audit_root=a.audit, checkpoint=a.checkpoint,
+                                  scheme=a.scheme, available_now=a.poll is None, processing_time=a.poll, jdbc=jdbc)
+        q.awaitTermination()
+        return 0
     q = start_intake(spark, a.landing, ALL_FEEDS, lake_root=a.lake, audit_root=a.audit,
                      checkpoint=a.checkpoint, glob=a.glob, unit=a.unit,
-                     available_now=a.poll is None, processing_time=a.poll, archive_dir=a.archive_dir)
+                     available_now=a.poll is None, processing_time=a.poll, archive_dir=a.archive_dir, jdbc=jdbc)
     q.awaitTermination()
     return 0
 

@@ -27,8 +27,18 @@ DATE_LAYOUTS = (
     "MMM d, yyyy[ H:m[:s][.SSSSSSSSS]]",
     "MMMM d, yyyy[ H:m[:s][.SSSSSSSSS]]",
     "MMM d yyyy[ H:m[:s][.SSSSSSSSS]]",
+    "MMMM d yyyy[ H:m[:s][.SSSSSSSSS]]",
+    "d MMMM yyyy[ H:m[:s][.SSSSSSSSS]]",
+    "MMM-d-yyyy[ H:m[:s][.SSSSSSSSS]]",
+    "yyyy.M.d[ H:m[:s][.SSSSSSSSS]]",
 )
 
+# A 12-hour time, a zone suffix after a time, and a compact time: each is checked
+# and cut off before the layouts are tried, so they need no layouts of their own.
+_HALF_DAY = r"(?i)^(.*\S) +(?:0?[1-9]|1[0-2])(?::[0-5]?[0-9]){1,2}(?:\.[0-9]+)? ?[ap]\.?m\.?$"
+_ZONE = r"^(.*[0-9]:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]+)?)?) ?(?:Z|[+-](?:0[0-9]|1[0-8]):?[0-5][0-9])$"
+_COMPACT_TIME = r"^([0-9]{8})[ T](?:[01][0-9]|2[0-3])[0-5][0-9](?:[0-5][0-9])?$"
+
 DATE_OUT = "MM-dd-yyyy"
 TIME_IN = "H:m:s"
 TIME_OUT = "HH:mm"
@@ -44,7 +54,9 @@ SHORT_YEAR_LAYOUTS = (
     "M/d/yy[ H:m[:s][.SSSSSSSSS]]",
     "d/M/yy[ H:m[:s][.SSSSSSSSS]]",
     "M-d-yy[ H:m[:s][.SSSSSSSSS]]",
+    "d-MMM-yy[ H:m[:s][.SSSSSSSSS]]",
 )
+_SHORT_YEAR = r"^[0-9]{1,2}([/-])(?:[0-9]{1,2}|[A-Za-z]{3})\1[0-9]{2}(?: |$)"
 
 
 def parse_date(c, layouts=DATE_LAYOUTS, pivot_year: int | None = None) -> Column:
@@ -55,6 +67,8 @@ def parse_date(c, layouts=DATE_LAYOUTS, pivot_year: int | None = None) -> Column
     land in 2000-2099 and those after the pivot move back a century.
     """
     t = F.trim(col(c))
+    t = (F.when(t.rlike(_HALF_DAY), F.regexp_extract(t, _HALF_DAY, 1)).when(t.rlike(_ZONE), F.regexp_extract(t, _ZONE, 1))
+         .when(t.rlike(_COMPACT_TIME), F.regexp_extract(t, _COMPACT_TIME, 1)).otherwise(t))
     if tuple(layouts) == DATE_LAYOUTS:
         parsed = _parse_default_layouts(t)
     else:
@@ -65,7 +79,7 @@ def parse_date(c, layouts=DATE_LAYOUTS, pivot_year: int | None = None) -> Column
         raise ValueError("pivot_year must be within 2000-2099")
     short = F.coalesce(*[F.try_to_date(t, f) for f in SHORT_YEAR_LAYOUTS])
     short = F.when(F.year(short) > pivot_year, F.add_months(short, -1200)).otherwise(short)
-    return F.coalesce(parsed, short)
+    return F.coalesce(parsed, F.when(t.rlike(_SHORT_YEAR), short))
 
 
 def _parse_default_layouts(t: Column) -> Column:
@@ -78,7 +92,7 @@ def _parse_default_layouts(t: Column) -> Column:
     every layout has a fixed separator after its first field.
     """
     (m_d_y, d_m_y, y_m_d, y_m_d_t, ymd8, m_d_y_dash, y_m_d_slash,
-     d_mon_y_dash, d_mon_y, mon_d_c_y, month_d_c_y, mon_d_y) = DATE_LAYOUTS
+     d_mon_y_dash, d_mon_y, mon_d_c_y, month_d_c_y, mon_d_y, month_d_y, d_month_y, mon_d_y_dash, y_m_d_dot) = DATE_LAYOUTS
 
     def d(layout):
         return F.try_to_date(t, layout)
@@ -91,10 +105,12 @@ def _parse_default_layouts(t: Column) -> Column:
                   .when(t.rlike(r"^[0-9]+-[A-Za-z]"), d(d_mon_y_dash))
                   .otherwise(d(m_d_y_dash)))
             .when(t.rlike(r"^[0-9]{8}$"), d(ymd8))
-            .when(t.rlike(r"^[0-9]+ [A-Za-z]"), d(d_mon_y))
+            .when(t.rlike(r"^[0-9]+ [A-Za-z]"), F.coalesce(d(d_mon_y), d(d_month_y)))
+            .when(t.rlike(r"^[0-9]{4}\."), d(y_m_d_dot))
+            .when(t.rlike(r"^[A-Za-z]{3}-[0-9]"), d(mon_d_y_dash))
             # Month-name layouts need letters, a blank, then a digit; other text
             # (e.g. ``garbage``) is settled without a failing parse.
-            .when(t.rlike(r"^[A-Za-z]+ [0-9]"), F.coalesce(d(mon_d_c_y), d(month_d_c_y), d(mon_d_y))))
+            .when(t.rlike(r"^[A-Za-z]+ [0-9]"), F.coalesce(d(mon_d_c_y), d(month_d_c_y), d(mon_d_y), d(month_d_y))))
 
 
 def reformat_date(c, strict: bool = True, out: str = DATE_OUT, layouts=DATE_LAYOUTS,

@@ -5,14 +5,16 @@ from pyspark.sql import functions as F
 
 from landfall.functions._col import col
 
-# A quoted field: quote, any run of non-quotes and doubled quotes, quote. Written
-# as an unrolled loop so long fields do not recurse in the regex engine.
+# The body of a quoted field: quote, any run of non-quotes and doubled quotes, quote.
+# Written as an unrolled loop so long fields do not recurse in the regex engine.
 _QUOTED = r'"[^"]*(?:""[^"]*)*"'
 
 
 def field_count(raw, sep: str = "|") -> Column:
-    """Fields in a raw record: separators outside quotes, plus one."""
-    unquoted = F.regexp_replace(col(raw), _QUOTED, "")
+    """Fields in a raw record: separators outside quoted fields, plus one. A quote opens a field
+    only at its start and closes it only at its end; one inside a field (an inch mark) is text."""
+    s = r"\Q" + sep + r"\E"
+    unquoted = F.regexp_replace(col(raw), rf"(\A|{s}){_QUOTED}(?={s}|\z)", "$1")
     return F.size(F.split(unquoted, r"\Q" + sep + r"\E"))
 
 

@@ -16,13 +16,12 @@ from landfall.operators.counts import observe_counts
 from landfall.operators.projection import qcol
 from landfall.operators.rows import is_long_row
 from landfall.plans.spec import FeedSpec, RuleContext, long_row_message
-from landfall.sources.split_csv import read_split_records
 from landfall.sources.delimited import (
     CORRUPT,
     check_header,
-    choose_read_mode,
     read_delimited,
     read_header,
+    without_blank_lines,
 )
 
 QUARANTINE_COLUMNS = ("feed", "file", "record_key", "raw_record", "reason")
@@ -40,7 +39,6 @@ class FeedLoad:
     quarantine: DataFrame | None    # long rows, when the feed quarantines them
     columns: list[str]
     multi_line: bool = True
-    read_mode: str = "whole"
 
 
 def file_name_of(path: str) -> str:
@@ -52,19 +50,10 @@ def file_name_of(path: str) -> str:
 def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str | None = None,
                file_name: str | None = None) -> FeedLoad:
     """Plan the load of one landed object. Only the header is read now."""
-    header = read_header(spark, path, spec.sep, spec.multi_line is not False, spec.encoding)
+    header = read_header(spark, path, spec.sep, spec.multi_line, spec.encoding)
     check_header(header, required=spec.required())
     enc = spec.encoding.replace("-", "").upper()
-    if spec.multi_line is None:
-        # The split check reads bytes as text; wide charsets are parsed whole.
-        mode = "whole" if enc.startswith(("UTF16", "UTF32")) else choose_read_mode(spark, path, utf8=enc == "UTF8")
-    else:
-        mode = "whole" if spec.multi_line else "split"
-    multi_line = mode != "split"
-    if mode == "records":
-        raw = read_split_records(spark, path, header, spec.sep)
-    else:
-        raw = read_delimited(spark, path, header, spec.sep, multi_line, spec.encoding)
+    raw = without_blank_lines(read_delimited(spark, path, header, spec.sep, spec.multi_line, spec.encoding), header)
 
     load_ts = load_ts or load_stamp_text()
     file_name = file_name if file_name is not None else file_name_of(path)
@@ -106,7 +95,7 @@ def build_load(spark: SparkSession, spec: FeedSpec, path: str, *, load_ts: str |
             qcol(header[0]).alias("record_key"), F.col(CORRUPT).alias("raw_record"),
             F.lit("long_row").alias("reason"))
     rows = kept.select(*cleaned).select(*out)
-    return FeedLoad(spec, path, file_name, load_ts, header, rows, obs, quarantine, list(cols), multi_line, mode)
+    return FeedLoad(spec, path, file_name, load_ts, header, rows, obs, quarantine, list(cols), spec.multi_line)
 
 
 def load(spark: SparkSession, spec: FeedSpec, path: str, **kw) -> DataFrame:

@@ -122,7 +122,7 @@ def run_load(spark: SparkSession, spec: FeedSpec, path: str, *, lake_root: str,
             reconcile(out.rows_target, read_jdbc(spark, **conn).count())
         out.status = "SUCCEEDED"
     except LoadError as e:
-        out.status, out.error_type, out.error = "FAILED", e.error_type, str(e)[:300]
+        out.status, out.error_type, out.error = "FAILED", e.error_type, str(e)
     except Exception as e:
         # Not a data problem: note it (type and Spark error class only, as the
         # text may quote row values), then raise so the caller or the stream

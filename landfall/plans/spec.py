@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -167,10 +167,11 @@ class FeedSpec:
     counts rows holding U+FFFD and only then runs the exact check. Off, that
     per-value search is skipped.
 
-    ``multi_line``: ``True`` parses each file whole (quoted line breaks allowed,
-    one task per file), ``False`` splits files (no quoted line breaks), ``None``
-    chooses per load (``choose_read_mode``): whole files, CSV splits, or records
-    rebuilt from lines read in splits when big files hold quoted line breaks.
+    ``multi_line`` declares whether fields may hold line breaks: ``True`` parses
+    each file in one task, ``False`` lets files split by bytes. The choice is the
+    feed's, never one by file size, so a file reads alike at every size.
+
+    ``pivot_year``: two-digit years after it belong to the century before.
     """
 
     name: str
@@ -182,12 +183,11 @@ class FeedSpec:
     sep: str = "|"
     null_tokens: tuple[str, ...] = NULL_TOKENS
     date_layouts: tuple[str, ...] = DATE_LAYOUTS
-    pivot_year: int | None = None
-    multi_line: bool | None = None
+    pivot_year: int | None = 2068
+    multi_line: bool = True
     long_rows: str = "fail"
     encoding: str = "UTF-8"
     strict_utf8: bool = True
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def __post_init__(self):
         if not re.fullmatch(r"[A-Za-z0-9_.\-]+", self.target):

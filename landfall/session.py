@@ -7,21 +7,28 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def _own_folder(master: str) -> str:
+    """A folder on this machine, for local sessions only: on a cluster the executors would not see it."""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="landfall-ckpt-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A folder every executor can reach: under ``spark.checkpoint.dir``.
 
-    The cluster names that folder; only when it is unset (tests, a laptop) is
-    a local one chosen here.
+    The cluster names that folder; only a local session (tests, a laptop) may
+    leave it unset and gets one of its own.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session has no SparkContext
-        d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="landfall-ckpt-")
+        d = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.conf.get("spark.master", "remote"))
         return d.rstrip("/") + "/landfall"
     d = sc.getCheckpointDir()
     if not d:
         conf = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="landfall-ckpt-"))
+        sc.setCheckpointDir(conf or _own_folder(sc.master))
         d = sc.getCheckpointDir()
     return d.rstrip("/") + "/landfall"
 

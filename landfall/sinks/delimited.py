@@ -5,10 +5,14 @@ from pyspark.sql import DataFrame
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
                     mode: str = "overwrite") -> None:
-    """Quotes where needed, a doubled quote inside; NULL as an empty field."""
+    """Quotes where needed, a doubled quote inside; NULL and empty text as an empty
+    field; blanks at either end of a value are kept."""
     (df.write.mode(mode)
      .option("header", header)
      .option("sep", sep)
      .option("quote", '"')
      .option("escape", '"')
+     .option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False)
      .csv(path))

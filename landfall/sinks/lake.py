@@ -8,7 +8,7 @@ overwrites only its own folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.sinks.audit import read_audit
@@ -55,11 +55,9 @@ def superseded_loads(spark: SparkSession, root: str, audit_root: str, target: st
     """Snapshot folders of ``target`` that retention may remove: every load
     except the ``keep`` latest SUCCEEDED ones (failed and errored loads included). Deleting
     them is left to the storage's own lifecycle tooling."""
-    w = Window.orderBy(F.col("recorded_at").desc(), F.col("load_id").desc())
     audit = read_audit(spark, audit_root).filter(F.col("target") == target)
-    ranked = (audit.filter(F.col("status") == "SUCCEEDED")
-              .select("load_id", F.row_number().over(w).alias("rank")))
-    kept = ranked.filter(F.col("rank") <= keep).select("load_id")
+    kept = (audit.filter(F.col("status") == "SUCCEEDED")
+            .orderBy(F.col("recorded_at").desc(), F.col("load_id").desc()).limit(keep).select("load_id"))
     return (audit.filter(F.col("status").isin("SUCCEEDED", "FAILED", "ERROR"))
             .select("load_id", "status", "recorded_at").distinct()
             .join(kept, "load_id", "left_anti")

@@ -66,7 +66,7 @@ def read_header(spark: SparkSession, path: str, sep: str = "|", multi_line: bool
     return fields
 
 
-def check_header(header: list[str], required=(), output=None, renames=None) -> None:
+def check_header(header: list[str], required=()) -> None:
     """R2: every name present once, required names there (exact case).
 
     Spark matches columns without case, so ``A`` and ``a`` count as duplicates.
@@ -99,8 +99,8 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
     The header of every file is checked against ``columns`` (``enforceSchema``
     off), so a folder of parts with a different header fails. Rows with a wrong
     field count keep their raw text in ``corrupt``. ``multi_line`` allows quoted
-    line breaks but reads each file in one task; switch it off for a few huge
-    files so they split.
+    line breaks but reads each file in one task; a feed whose producer writes no
+    line break inside a field declares it off, and its files split by bytes.
     """
     reader = (_csv_reader(spark, sep, multi_line, encoding)
               .schema(string_schema(columns, corrupt))
@@ -138,41 +138,11 @@ def utf8_report(spark: SparkSession, path: str) -> DataFrame:
                  F.count(F.lit(1)).alias("lines")))
 
 
-def largest_file_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the biggest file of a landed object (a file or a folder of parts);
-    file contents are not read."""
-    top = (spark.read.format("binaryFile").load(path)
-           .select("length").orderBy(F.desc("length")).limit(1).collect())  # top-1, no shuffle
-    return int(top[0]["length"]) if top else 0
-
-
-def has_quoted_line_breaks(spark: SparkSession, path: str, quote: str = '"') -> bool:
-    """True if some line ends inside a quoted field.
-
-    In a well-formed file every complete quoted field holds an even number of
-    quote characters, so a line with an odd count continues on the next line.
-    One plain splittable text scan, no parsing.
-    """
-    v = F.col("value")
-    # Most lines hold no quote: a byte search settles them before any copy.
-    has_quote = F.instr(v, quote) > 0
-    odd = has_quote & (((F.length(v) - F.length(F.replace(v, F.lit(quote), F.lit("")))) % 2) == 1)
-    return bool(spark.read.text(path).agg(F.max(odd).alias("odd")).first()["odd"])
-
-
-def choose_read_mode(spark: SparkSession, path: str, split_bytes: int | None = None,
-                     utf8: bool = True) -> str:
-    """How to read a landed object:
-
-    ``whole``: every file is at most one split (or not UTF-8): parse files whole;
-    ``split``: big files with no quoted line break: the CSV reader splits them;
-    ``records``: big files with quoted line breaks: rebuild records from lines
-    read in splits (``split_csv``), still in parallel.
-    """
-    if split_bytes is None:
-        split_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
-    if largest_file_bytes(spark, path) <= split_bytes:
-        return "whole"
-    if not has_quoted_line_breaks(spark, path):
-        return "split"
-    return "records" if utf8 else "whole"
+def without_blank_lines(df: DataFrame, columns) -> DataFrame:
+    """Rows of a line of blanks are skipped, as empty lines are, at every file size: with several
+    columns such a line is a short row whose raw text is blank, with one its only value is."""
+    raw = F.col(CORRUPT)
+    blank = raw.isNotNull() & (F.trim(F.translate(raw, "\t\r", "  ")) == "")
+    if len(columns) == 1:
+        blank = blank | F.coalesce(F.trim(F.col("`" + columns[0].replace("`", "``") + "`")) == "", F.lit(False))
+    return df.filter(~blank)

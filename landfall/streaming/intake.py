@@ -75,7 +75,9 @@ def notified_arrivals(spark: SparkSession, events: str, scheme: str = "s3",
     ev = (spark.readStream.schema(NOTIFICATION_SCHEMA)
           .option("maxFilesPerTrigger", max_files_per_batch)
           .json(events))
-    rec = ev.select(F.explode("Records").alias("r"))
+    # Only records of a created object are arrivals; a deletion starts no load.
+    created = F.col("r.eventName").isNull() | F.col("r.eventName").contains("ObjectCreated")
+    rec = ev.select(F.explode("Records").alias("r")).filter(created)
     key = url_unquote_plus(F.col("r.s3.object.key"))
     path = F.concat(F.lit(scheme + "://"), F.col("r.s3.bucket.name"), F.lit("/"), key)
     # A fixed fallback keeps load ids stable when a batch is replayed.
@@ -83,11 +85,24 @@ def notified_arrivals(spark: SparkSession, events: str, scheme: str = "s3",
     return rec.select(path.alias("path"), arrived.alias("arrived"))
 
 
+def route_path(path, routes: dict[str, str]):
+    """Feed of a location by folder and name prefix. A prefix ``a/b_`` asks for files ``b_...`` in a
+    folder ``a``; a prefix without a folder looks at the base name alone. More folders go first."""
+    by_depth: dict[int, dict[str, str]] = {}
+    for prefix, name in routes.items():
+        by_depth.setdefault(prefix.count("/"), {})[prefix] = name
+    tails = [route_prefix(F.regexp_extract(path, rf"((?:[^/]*/){{{depth}}}[^/]*)$", 1), own)
+             for depth, own in sorted(by_depth.items(), reverse=True)]
+    return F.coalesce(*tails)
+
+
 class Intake:
     """``foreachBatch`` handler: route, keep the latest per feed, load, audit."""
 
     def __init__(self, specs, *, lake_root: str, audit_root: str, quarantine_root: str | None = None,
-                 load_ts: str | None = None, parallel_loads: int = 4):
+                 load_ts: str | None = None, parallel_loads: int = 4, jdbc: dict[str, dict] | None = None):
+        """``jdbc`` names, by feed, the database table (``run_load``'s ``jdbc``) that gets a copy."""
+        self.jdbc = jdbc or {}
         self.parallel_loads = max(1, parallel_loads)
         self.specs = {s.name: s for s in specs}
         self.routes = {s.prefix: s.name for s in specs}
@@ -97,7 +112,7 @@ class Intake:
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         units = batch.groupBy("path").agg(F.max("arrived").alias("arrived"))
-        routed = units.withColumn("feed", route_prefix(base_name("path"), self.routes))
+        routed = units.withColumn("feed", route_path("path", self.routes))
         per_feed = (routed.groupBy("feed")
                     .agg(F.max_by(F.struct("path", "arrived"), F.struct("arrived", "path")).alias("w"),
                          F.count(F.lit(1)).alias("arrivals"))
@@ -113,7 +128,7 @@ class Intake:
             self._audit_others(routed, won)
 
         def one(w):
-            return run_arrival(spark, self.specs[w["feed"]], w["path"], w["arrived"], **self.kw)
+            return run_arrival(spark, self.specs[w["feed"]], w["path"], w["arrived"], jdbc=self.jdbc.get(w["feed"]), **self.kw)
 
         # Loads of different feeds are independent Spark jobs; submitted from
         # a few threads they share the cluster's task slots.
@@ -143,7 +158,10 @@ class Intake:
                            F.current_timestamp().alias("recorded_at"))
         # Ids are derived from feed, path and time, so a replayed batch finds
         # its rows already there and adds none.
-        seen = read_audit(rows.sparkSession, self.kw["audit_root"]).select("load_id")
+        # Only the folders of these feeds' targets (and of unrouted files) are read.
+        targets = sorted({s.target for s in self.specs.values()})
+        seen = (read_audit(rows.sparkSession, self.kw["audit_root"])
+                .filter(F.col("target").isin(targets) | F.col("target").isNull()).select("load_id"))
         rows = rows.join(seen, "load_id", "left_anti")
         names = [f.split()[0] for f in AUDIT_SCHEMA.split(", ")]
         assert names == rows.columns[:len(names)]
@@ -161,10 +179,11 @@ def default_checkpoint(spark: SparkSession, source: str) -> str:
 def start_notified_intake(spark: SparkSession, events: str, specs, *, lake_root: str, audit_root: str,
                           checkpoint: str | None = None, scheme: str = "s3", available_now: bool = True,
                           processing_time: str | None = None, quarantine_root: str | None = None,
-                          load_ts: str | None = None, parallel_loads: int = 4) -> StreamingQuery:
+                          load_ts: str | None = None, parallel_loads: int = 4,
+                          jdbc: dict[str, dict] | None = None) -> StreamingQuery:
     """Intake driven by notification records instead of a folder listing."""
     handler = Intake(specs, lake_root=lake_root, audit_root=audit_root,
-                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads)
+                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads, jdbc=jdbc)
     w = (notified_arrivals(spark, events, scheme).writeStream
          .foreachBatch(handler)
          .option("checkpointLocation", checkpoint or default_checkpoint(spark, events)))
@@ -177,12 +196,12 @@ def start_intake(spark: SparkSession, landing: str, specs, *, lake_root: str, au
                  available_now: bool = True, processing_time: str | None = None,
                  quarantine_root: str | None = None, load_ts: str | None = None,
                  parallel_loads: int = 4, max_files_per_batch: int = 10000,
-                 archive_dir: str | None = None) -> StreamingQuery:
+                 archive_dir: str | None = None, jdbc: dict[str, dict] | None = None) -> StreamingQuery:
     """Start the intake. ``available_now`` takes what has landed and stops;
     otherwise it polls every ``processing_time``. Without ``checkpoint`` the
     stream keeps its progress under ``spark.checkpoint.dir``."""
     handler = Intake(specs, lake_root=lake_root, audit_root=audit_root,
-                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads)
+                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads, jdbc=jdbc)
     w = (arrivals(spark, landing, glob, unit, max_files_per_batch, archive_dir).writeStream
          .foreachBatch(handler)
          .option("checkpointLocation", checkpoint or default_checkpoint(spark, landing)))

@@ -4,8 +4,6 @@ bounded broadcasts, hot files split by bytes."""
 import __spark_entry__ as E
 from landfall.plans import feeds
 from landfall.plans.load import build_load
-from landfall.sources.delimited import read_header
-from landfall.sources.split_csv import read_split_records
 from tests.conftest import write_text
 
 SF = "/root/testdata/sf0.001"
@@ -36,18 +34,6 @@ def test_no_cartesian_or_nested_loop_anywhere(spark):
         assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
 
 
-def test_record_mode_broadcasts_the_split_table(spark, workdir):
-    body = "\n".join(f'{i}|1/5/2024|"a\nb"' for i in range(50)) + "\n"
-    p = write_text(f"{workdir}/v.txt", "Patient MRN|Admit Date or Service Date|Note\n" + body)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "128")
-    try:
-        df = read_split_records(spark, p, read_header(spark, p))
-        text = plan(df)
-        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
 def test_a_hot_file_is_split_by_bytes(spark, workdir):
     # One part holds a third of the rows: it is cut into several tasks.
     hdr = "Patient MRN|Admit Date or Service Date\n"
@@ -57,8 +43,7 @@ def test_a_hot_file_is_split_by_bytes(spark, workdir):
         write_text(f"{workdir}/drop.txt/part-{k + 2}.csv", hdr + "".join(f"{i}|1/5/2024\n" for i in range(1500)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
-        fl = build_load(spark, feeds.VISITS, f"{workdir}/drop.txt", load_ts="x")
-        assert fl.read_mode == "split"
+        fl = build_load(spark, feeds.VISITS.with_options(multi_line=False), f"{workdir}/drop.txt", load_ts="x")
         assert fl.rows.rdd.getNumPartitions() > 5
         assert fl.rows.count() == 9000
     finally:
