@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import mix64
+from landfall.llm.common import mix64, written
 
 BUCKETS = 8192
 ORDERS = (1, 2, 3)
@@ -31,6 +31,8 @@ SAMPLE_ROWS = 2000
 #: A text is rejected when its cosine is under this share of the lowest cosine of the fitted rows of its size.
 REJECT_SHARE = 0.6
 UNKNOWN = "und"
+#: The table of languages is broadcast up to this many rows.
+FEW_LANGUAGES = 10_000
 _CHARS_AT_ONCE = 1 << 20
 
 
@@ -151,10 +153,13 @@ def fit(train: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTR
     seen = {r["bucket"]: r["n"] for r in df}
     idf = np.log((1 + seen.get(-1, 0)) / (1 + np.array([seen.get(i, 0) for i in range(BUCKETS)]))) + 1
     # One row per language: as many shares of the sample as there are languages, each taken by hash.
-    langs = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    each = max(1, sample_rows // max(1, langs.count()))
+    langs = written(train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    names = langs.count()
+    each = max(1, sample_rows // max(1, names))
     place = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     share = langs.select(F.col("lang").alias("_lf_lang"), (F.lit(float(each)) / F.col("n")).alias("share"))
+    if names <= FEW_LANGUAGES:  # broadcast, so that no text is dealt out by language
+        share = F.broadcast(share)
     sample = (train.join(share, train["lang"] == F.col("_lf_lang")).filter(place < F.col("share")).select("lang", "text")
               .mapInArrow(_sparse, "lang string, at binary, val binary, letters long").filter("letters > 0")
               .limit(2 * sample_rows).collect())
