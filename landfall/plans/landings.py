@@ -28,6 +28,7 @@ FILE_NAMES = {
     "visits": "patient_visits_20240105.txt",
     "rx_orders": "rx_orders_20240105.txt",
     "customer": "customer_20240105.txt",
+    "documents": "documents_20240105.txt",
     "supplier": "supplier_20240105.csv",
     "orders_long": "patient_visits_long_20240105.txt",
     "lineitem_bytes": "rx_orders_bytes_20240105.txt",
@@ -165,15 +166,15 @@ def _parts(spark: SparkSession) -> int:
 
 
 def write_landing(spark: SparkSession, df: DataFrame, path: str, sep: str = "|") -> None:
-    """A landing folder whose rows are spread round-robin over one part per core."""
-    write_delimited(df.repartition(_parts(spark)), path, sep=sep)
+    """A landing folder with the source's own partitions as its parts."""
+    write_delimited(df, path, sep=sep)
 
 
 def land(spark: SparkSession, sf_dir: str, key: str, make, sep: str = "|") -> str:
     """Write ``make()`` once as a landing folder named ``FILE_NAMES[key]``.
 
-    Rows are spread round-robin over as many parts as there are cores, so a
-    load of the folder reads in parallel even with quoted line breaks allowed.
+    Its parts are the source's partitions, so a load of the folder reads in
+    parallel, with quoted line breaks allowed, and parts grow in number with the data.
     """
     path = f"{landing_root(spark, sf_dir)}/{FILE_NAMES[key]}"
     with _lock:

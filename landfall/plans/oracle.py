@@ -116,6 +116,9 @@ ORACLE = {
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        {_money('c_acctbal')} AS c_acctbal, c_mktsegment
 FROM customer""",
+    "scan_quoted": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang, nullif(source, '') AS source
+FROM documents""",
     "scan_comma": f"""
 SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
        {_money('s_acctbal')} AS s_acctbal

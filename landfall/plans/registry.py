@@ -72,6 +72,15 @@ def scan_delimited(spark, sf):
     return read_delimited(spark, path, header).drop(CORRUPT)
 
 
+def scan_quoted(spark, sf):
+    """S2 with hard text: whole document texts (quotes, separators, line breaks) in a ``|`` file."""
+    def make():
+        d = L.table(spark, sf, "documents")
+        return d.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
+    path = L.land(spark, sf, "documents", make)
+    return read_delimited(spark, path, read_header(spark, path), multi_line=True).drop(CORRUPT)
+
+
 def scan_comma(spark, sf):
     """K5 then S3: comma export with header, read back as text."""
     def make():
@@ -300,6 +309,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_visits": _feed(VISITS),
     "feed_rx_orders": _feed(RX_ORDERS),
     "scan_delimited": scan_delimited,
+    "scan_quoted": scan_quoted,
     "scan_comma": scan_comma,
     "rename_column": q_rename_column,
     "closed_projection": q_closed_projection,
