@@ -41,7 +41,6 @@ BUCKET_ROWS = 1 << 14
 
 _SEED = stream64(64, 3)
 _STEP = np.uint64(0x9E3779B97F4A7C55)
-_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _cuts(pair: np.ndarray, text_of: np.ndarray) -> np.ndarray:
