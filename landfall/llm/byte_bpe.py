@@ -14,7 +14,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
+from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -41,6 +44,11 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         self.token_bytes = {i: t for t, i in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
+        # Finds the tokens that end at each byte; bytes are its characters of the same number.
+        self.ending = ahocorasick.Automaton()
+        for t, i in self.ranks.items():
+            self.ending.add_word(t.decode("latin-1"), (i, len(t)))
+        self.ending.make_automaton()
         self.apart = Cache(self._stay_apart)
         self.halves = Cache(lambda t: self._halves(t), 1 << 20)
         self.history = Cache(lambda t: self._history(t) or False, 1 << 20)
@@ -108,23 +116,27 @@ class ByteBpe:
         """Fills ``last`` (the last token of each prefix of 1, 2, ... bytes) up to ``data``. With
         ``stop_at``, the tokens of a text whose end agrees, ``shift`` bytes further on, it ends early
         when they have agreed for as many bytes as the longest token has."""
-        ranks, apart, agreed = self.ranks, self.apart, 0
-        for end in range(len(last) + 1, len(data) + 1):
-            found = -1
-            for start in range(max(0, end - self.longest), end):
-                t = ranks.get(data[start:end])
-                if t is not None and (apart[last[start - 1], t] if start else self.sound[t]):
-                    found = t
-                    break
-            if found < 0:
-                raise ValueError("the vocabulary has no token for a byte")
-            last.append(found)
+        apart, sound, done, agreed = self.apart, self.sound, len(last), 0
+        at = max(0, done - self.longest + 1)  # no token that ends after the known prefixes starts before
+        for end, (token, size) in self.ending.iter(data[at:].decode("latin-1")):
+            end += at
+            if end < done:
+                continue
+            if end > done:
+                break
+            start = end + 1 - size
+            if not (apart[last[start - 1], token] if start else sound[token]):
+                continue
+            last.append(token)
+            done += 1
             if stop_at is not None:
-                old = end + shift
-                agreed = agreed + 1 if 0 < old <= len(stop_at) and stop_at[old - 1] == found else 0
+                old = done + shift
+                agreed = agreed + 1 if 0 < old <= len(stop_at) and stop_at[old - 1] == token else 0
                 if agreed >= self.longest:
                     last.extend(stop_at[old:])
-                    break
+                    return last
+        if len(last) < len(data):
+            raise ValueError("the vocabulary has no token for a byte")
         return last
 
     def walk(self, last: list[int]) -> list[int]:
@@ -139,7 +151,7 @@ class ByteBpe:
         data = piece.encode()
         whole = self.ranks.get(data)
         ids = [whole] if whole is not None else self.walk(self.extend(data, []))
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _cut(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
@@ -181,9 +193,15 @@ class PrefixEncoding:
         return self.bpe.walk(self.last)
 
 
+@lru_cache(maxsize=1)
+def shared(path: str) -> ByteBpe:
+    """One vocabulary a Python worker: tasks that follow each other there find its caches warm."""
+    return ByteBpe(path)
+
+
 def _round_trip(path: str | None):
     def run(batches):
-        bpe = ByteBpe(path or tokenizer_path(VOCABULARY))
+        bpe = shared(path or tokenizer_path(VOCABULARY))
         for b in batches:
             n, ids_hash, text_hash = [], [], []
             for text in b.column(1).to_pylist():
@@ -207,7 +225,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def _ids(path: str | None, decode: bool):
     def run(batches):
-        bpe = ByteBpe(path or tokenizer_path(VOCABULARY))
+        bpe = shared(path or tokenizer_path(VOCABULARY))
         for b in batches:
             if decode:
                 out = [None if x is None else bpe.decode(np.array(x, dtype="<u4").tobytes()) for x in b.column(1).to_pylist()]
