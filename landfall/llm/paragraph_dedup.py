@@ -36,8 +36,12 @@ PIECE_BANDS = 2
 #: Text handled at once in a task, and band rows gathered before equal contents are dropped there.
 BLOCK_BYTES = 1 << 21
 FLUSH_ROWS = 1 << 19
-#: Contents of a band bucket compared at once; a larger bucket is keyed again on prefix shingles.
+#: Contents of a band bucket compared at once, and bytes of their shingle sets; a larger bucket is keyed
+#: again on prefix shingles, and one that is still larger is compared block against block.
 BUCKET_ROWS = 1 << 14
+BUCKET_BYTES = 64 << 20
+#: Contents of more shingles are not keyed on prefixes, whose number grows with theirs.
+LONG_SET = 512
 
 _SEED = stream64(64, 3)
 _STEP = np.uint64(0x9E3779B97F4A7C55)
@@ -252,16 +256,16 @@ def similar_forest(content: np.ndarray, sets: list[np.ndarray]) -> tuple[list[in
     return us, vs
 
 
-def _verify(rows: int | None):
-    """Edges (kind 0) of the buckets in rows sorted by key; with ``rows``, those of a larger bucket
-    come back as (kind 1) to be keyed again."""
+def _verify(rows: int | None, size: int = BUCKET_BYTES):
+    """Edges (kind 0) of the buckets in rows sorted by key; with ``rows``, those of a bucket with more
+    contents or over ``size`` bytes of shingles come back as (kind 1) to be keyed again."""
     names = ["kind", "u", "v", "shingles"]
 
     def out(kind, u, v, shingles):
         return pa.RecordBatch.from_arrays([pa.array([kind] * len(u), pa.int8()), pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(shingles, pa.binary())], names)
 
     def run(batches):
-        key, contents, sets, over = None, [], [], False
+        key, contents, sets, held, over = None, [], [], 0, False
 
         def close():
             if over:
@@ -274,44 +278,72 @@ def _verify(rows: int | None):
             for k, c, s in zip(*(b.column(i).to_pylist() for i in range(3))):
                 if k != key:
                     yield from close()
-                    key, contents, sets, over = k, [], [], False
+                    key, contents, sets, held, over = k, [], [], 0, False
                 contents.append(c)
                 sets.append(s)
-                if rows is not None and len(contents) > rows:
+                held += len(s)
+                if rows is not None and len(contents) > 1 and (len(contents) > rows or held > size):
                     over = True
                     yield out(1, [key] * len(contents), contents, sets)
-                    contents, sets = [], []
+                    contents, sets, held = [], [], 0
         yield from close()
 
     return run
 
 
-def _prefix_keys(batches):
-    """Two sets of similarity 0.8 share one of their first n - ceil(0.8 n) + 1 shingles in sorted order."""
-    for b in batches:
-        keys, contents, sets = [], [], []
-        for k, c, s in zip(*(b.column(i).to_pylist() for i in range(3))):
-            x = np.frombuffer(s, dtype=np.uint64)
-            head = x[: x.size - int(np.ceil(SIMILARITY * x.size - 1e-9)) + 1]
-            with np.errstate(over="ignore"):
-                own = mix64(head + np.uint64(k & (1 << 64) - 1)).view(np.int64).tolist()
-            keys += own
-            contents += [c] * len(own)
-            sets += [s] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(contents, pa.int64()), pa.array(sets, pa.binary())], ["key", "content", "shingles"])
+def _prefix_keys(long_set: int):
+    """Two sets of similarity 0.8 share one of their first n - ceil(0.8 n) + 1 shingles in sorted order.
+    Sets of more than ``long_set`` shingles, and those they may be similar to, meet in one bucket of
+    their own instead."""
+
+    def run(batches):
+        for b in batches:
+            keys, contents, sets = [], [], []
+            for k, c, s in zip(*(b.column(i).to_pylist() for i in range(3))):
+                x, k = np.frombuffer(s, dtype=np.uint64), np.uint64(k & (1 << 64) - 1)
+                own = []
+                with np.errstate(over="ignore"):
+                    if x.size <= long_set:
+                        own += mix64(x[: x.size - int(np.ceil(SIMILARITY * x.size - 1e-9)) + 1] + k).view(np.int64).tolist()
+                    if x.size >= SIMILARITY * long_set:
+                        own += mix64(np.array([k ^ _SEED[63]])).view(np.int64).tolist()
+                keys += own
+                contents += [c] * len(own)
+                sets += [s] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(contents, pa.int64()), pa.array(sets, pa.binary())], ["key", "content", "shingles"])
+
+    return run
+
+
+def _block_pairs(rows: DataFrame, bucket_rows: int, bucket_bytes: int) -> DataFrame:
+    """The contents of each bucket ``(key, content, shingles)`` dealt into blocks, once for each pair of
+    blocks: any two contents meet in one of the pairs, which holds two blocks however large the bucket is."""
+    size = rows.groupBy(F.col("key").alias("bucket")).agg(F.greatest(
+        F.lit(1), F.ceil(F.count(F.lit(1)) / bucket_rows), F.ceil(F.sum(F.octet_length("shingles")) / bucket_bytes)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
+    return (rows.join(size, F.col("key") == F.col("bucket")).withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "content", "shingles"))
 
 
-def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES, long_set: int = LONG_SET) -> DataFrame:
     """Edges ``(u, v)`` between contents: spanning forests of the verified links of every bucket."""
-    schema = "kind byte, u long, v long, shingles binary"
-    todo = collided.join(sets, "content").select("key", "content", "shingles")
-    found = written(todo.repartition("key").sortWithinPartitions("key").mapInArrow(_verify(bucket_rows), schema), "paragraph-links")
-    edges, over = found.filter("kind = 0").select("u", "v"), found.filter("kind = 1")
+    def verified(rows, limit, name):
+        found = written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(
+            _verify(limit, bucket_bytes), "kind byte, u long, v long, shingles binary"), name)
+        over = found.filter("kind = 1").select(F.col("u").alias("key"), F.col("v").alias("content"), "shingles")
+        return found.filter("kind = 0").select("u", "v"), over
+
+    edges, over = verified(collided.join(sets, "content").select("key", "content", "shingles"), bucket_rows, "paragraph-links")
+    if over.isEmpty():
+        return edges
+    again = over.mapInArrow(_prefix_keys(long_set), "key long, content long, shingles binary")
+    more, over = verified(again, bucket_rows, "paragraph-links2")
+    edges = edges.union(more)
     if over.isEmpty():
         return edges
-    again = over.select(F.col("u").alias("key"), F.col("v").alias("content"), "shingles").mapInArrow(_prefix_keys, "key long, content long, shingles binary")
-    more = again.repartition("key").sortWithinPartitions("key").mapInArrow(_verify(None), schema)
-    return edges.union(written(more, "paragraph-links2").select("u", "v"))
+    more, _ = verified(_block_pairs(over, bucket_rows, bucket_bytes), None, "paragraph-links3")
+    return edges.union(more)
 
 
 def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

@@ -116,7 +116,10 @@ def test_repeated_passages_are_found_wherever_they_stand(spark):
     for u in units:  # a cut near a passage's edge may hang on what stands beside it, so a component need not start in the first document
         assert u["component_id"] % 4 == u["doc_id"] % 4 and u["kept"] == (u["doc_id"] == u["component_id"])
         at = rows[u["doc_id"]][1].encode()[u["start"]:u["start"] + u["size"]]
-        assert " ".join(at.decode().split()[2:-2]) in passages[u["doc_id"] % 4]  # a similar unit may reach a word past the passage
+        # A unit may reach past the passage, but what it shares with a similar one, 0.8 of its shingles or more, lies in it.
+        words, passage = at.decode().split(), " ".join(passages[u["doc_id"] % 4].split())
+        inside = [" ".join(words[i:i + 5]) in passage for i in range(len(words) - 4)]
+        assert sum(inside) >= 0.8 * len(inside)
 
 
 def test_similar_lines_are_linked(spark):
@@ -129,7 +132,7 @@ def test_similar_lines_are_linked(spark):
 
 
 def test_content_links_equal_brute_force(spark):
-    """A bucket of many similar contents, compared in full and keyed again on prefixes."""
+    """A bucket of many similar contents, compared in full, keyed again on prefixes and in blocks."""
     base = [random.getrandbits(63) for _ in range(30)]
     sets = {}
     for c in range(60):
@@ -147,8 +150,8 @@ def test_content_links_equal_brute_force(spark):
             if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both) and label[a] != label[b]:
                 lo, hi = sorted((label[a], label[b]))
                 label = {c: lo if x == hi else x for c, x in label.items()}
-    for rows in (1 << 14, 8):
-        edges = paragraph_dedup.content_links(collided, df, rows)
+    for rows, size, long_set in ((1 << 14, 1 << 26, 512), (8, 1 << 26, 512), (8, 1 << 26, 10), (1 << 14, 1000, 29)):
+        edges = paragraph_dedup.content_links(collided, df, rows, size, long_set)
         got = {r["node"]: r["label"] for r in components(edges).collect()}
         assert {c: got.get(c, c) for c in sets} == label
 
