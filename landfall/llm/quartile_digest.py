@@ -27,6 +27,9 @@ APART = np.array([0, 1, 2, 6])
 #: Difference at which the likeness is 0.
 FULL_DIFFERENCE = 300
 CHUNK_CHARS = 16_000_000
+#: Most parts; beyond, parts grow instead. Parts are sorted with spilling and read row by row, so only
+#: the cuts, which the driver holds, need a bound.
+MOST_PARTS = 30_000
 _BLOCK = 1 << 18
 _TABLE = mix64(np.arange(1, 3 * 256 + 1, dtype=np.uint64)).astype(np.uint32).reshape(3, 256)
 _SALT = mix64(np.arange(1001, 1001 + len(TRIPLETS), dtype=np.uint64)).astype(np.uint32)
@@ -71,11 +74,12 @@ def digest(text: str | None) -> Digest:
 
 
 def splits(docs: DataFrame) -> list[float]:
-    """Ids that start the parts of about ``CHUNK_CHARS`` characters in ascending order, the largest last."""
+    """Ids that start the parts of about ``CHUNK_CHARS`` characters (or ``MOST_PARTS`` equal ones) in
+    ascending order, the largest last."""
     r = docs.agg(F.sum(F.length("text") + 1).alias("n"), F.max("doc_id").cast("double").alias("top")).first()
     if r["top"] is None:
         return []
-    n = count_groups(r["n"] or 0, CHUNK_CHARS, 1)
+    n = min(MOST_PARTS, count_groups(r["n"] or 0, CHUNK_CHARS, 1))
     cuts = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)) if n > 1 else []
     return sorted({*cuts, r["top"]})
 
@@ -151,7 +155,7 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
         ordered = d.select(F.lit(0).alias("part"), F.lit(False).alias("tail"), "doc_id", "text", text_key("text").alias("text_key"))
     else:
         # Binary search of the id among the cuts; a row at a cut starts its part.
-        points = F.array(*map(F.lit, cuts))
+        points = F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>")  # folded into one literal
         low = F.aggregate(
             F.sequence(F.lit(1), F.lit(n.bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(n - 1).alias("hi")),
             lambda a, _: F.when(

@@ -282,6 +282,8 @@ def test_digests_of_neighbours_equal_brute_force(spark, docs, odd_docs, monkeypa
         want[i] = (n, hashlib.sha256(edited.encode()).hexdigest(), a.hex(), b.hex(), a.likeness(b), a.likeness(c))
     got = quartile_digest.edited_neighbours(df).collect()
     assert {r["doc_id"]: tuple(r)[1:] for r in got} == want and len(got) == len(want)
+    monkeypatch.setattr(quartile_digest, "MOST_PARTS", 2)
+    assert sorted(map(tuple, quartile_digest.edited_neighbours(df).collect())) == sorted(map(tuple, got))
 
 
 def test_digest_edge_rows(spark, odd_docs, no_docs):
