@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +92,12 @@ class WordIds:
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f]")
 
 
+@lru_cache(maxsize=1)
+def shared(path: str) -> WordIds:
+    """One tokenizer a Python worker: tasks that follow each other there find its caches warm."""
+    return WordIds(path)
+
+
 @dataclass
 class Piece:
     doc_id: int | None
@@ -125,9 +132,11 @@ class Packer:
 
     def add(self, piece: Piece):
         tokens = int(self.limits[0])
-        while piece.length >= tokens and _loss(tokens) <= self.limits[2]:
-            full, piece = piece.cut(tokens)
-            yield [full]
+        if _loss(tokens) <= self.limits[2]:  # full sequences first, each sliced once from the whole
+            first, edge = piece.start, piece.length // tokens * tokens
+            for k in range(0, edge, tokens):
+                yield [Piece(piece.doc_id, first + k, piece.ids[4 * k:4 * (k + tokens)], piece.doc_tokens)]
+            _, piece = piece.cut(edge)
         while piece.length:
             n = piece.length
             demand = np.array([n, 1, _loss(n)])
@@ -198,7 +207,7 @@ def _pack(path: str | None, limits, opened: int):
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches):
-        words = WordIds(path or tokenizer_path(VOCABULARY))
+        words = shared(path or tokenizer_path(VOCABULARY))
         packer, rows, at = Packer(limits, opened), [], TaskContext.get().partitionId() << 40
 
         def flush():
