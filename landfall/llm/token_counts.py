@@ -10,6 +10,7 @@ merged by the library and remembered in a bounded cache.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,9 +56,15 @@ class TokenCounter:
         return sum(map(self.counts.__getitem__, text.split(" ")))
 
 
+@lru_cache(maxsize=1)
+def shared(path: str) -> TokenCounter:
+    """One counter a Python worker: its proof is made once and tasks that follow find its cache warm."""
+    return TokenCounter(path)
+
+
 def _count(path: str | None):
     def run(batches):
-        counter = TokenCounter(path or tokenizer_path(VOCABULARY))
+        counter = shared(path or tokenizer_path(VOCABULARY))
         for b in batches:
             n = [counter.count(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
