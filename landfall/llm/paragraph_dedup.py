@@ -42,6 +42,10 @@ BUCKET_ROWS = 1 << 14
 BUCKET_BYTES = 64 << 20
 #: Contents of more shingles are not keyed on prefixes, whose number grows with theirs.
 LONG_SET = 512
+#: Band keys with so many contents in a sample of about so many rows are dealt out by content; at most so many keys.
+SAMPLE_ROWS = 10_000
+HOT_CONTENTS = 32
+MOST_HOT = 4096
 
 _SEED = stream64(64, 3)
 _STEP = np.uint64(0x9E3779B97F4A7C55)
@@ -192,12 +196,37 @@ def find_units(docs: DataFrame) -> DataFrame:
     return _source(docs).mapInArrow(_find_units, "doc_id long, text_key long, kind byte, start int, size int, words int, content long")
 
 
-def colliding(docs: DataFrame) -> DataFrame:
-    """``(key, content)`` of the bands that hold different contents."""
-    w = Window.partitionBy("key")
-    return (_source(docs).mapInArrow(_find_bands, "key long, content long")
-            .select("key", "content", F.min("content").over(w).alias("a"), F.max("content").over(w).alias("b"))
-            .filter("a <> b").select("key", "content").distinct())
+def hot_keys(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, contents: int = HOT_CONTENTS) -> list[int]:
+    """Band keys that hold at least ``contents`` different contents in a sample of rows chosen by hash.
+    They only decide how rows are dealt to tasks; every key collides whether or not it is found here."""
+    d = _source(docs)
+    share = sample_rows / max(1, docs.count())
+    if share < 1:
+        d = d.filter(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    seen = d.mapInArrow(_find_bands, "key long, content long").distinct().groupBy("key").count()
+    top = seen.filter(F.col("count") >= contents).orderBy(F.desc("count"), "key").limit(MOST_HOT)
+    return [r["key"] for r in top.collect()]
+
+
+def colliding(docs: DataFrame, hot: list[int], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``(key, content, hot, large)`` of the bands that hold different contents; ``large`` marks keys of
+    more than ``bucket_rows`` rows. The rows of a key in ``hot``, which is known to collide, are dealt by
+    content, so no task gets them all; they are not counted here."""
+    bands = _source(docs).mapInArrow(_find_bands, "key long, content long")
+    bands = bands.withColumn("hot", F.col("key").isin(hot) if hot else F.lit(False))
+    bands = bands.withColumn("salt", F.when(F.col("hot"), F.col("content")).otherwise(F.lit(0).cast("long")))
+    w = Window.partitionBy("key", "salt")
+    return (bands.select("key", "salt", "content", "hot", F.min("content").over(w).alias("a"), F.max("content").over(w).alias("b"),
+                         F.count(F.lit(1)).over(w).alias("n"))
+            .filter("hot OR a <> b").select("key", "salt", "content", "hot", (~F.col("hot") & (F.col("n") > bucket_rows)).alias("large"))
+            .distinct().drop("salt"))
+
+
+def count_hot(collided: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``colliding`` with ``large`` told for hot keys too (of which there are ``MOST_HOT`` at most)."""
+    over = collided.filter("hot").groupBy("key").count().filter(F.col("count") > bucket_rows)
+    keys = [r["key"] for r in over.collect()]
+    return collided.withColumn("large", F.col("large") | F.col("key").isin(keys)) if keys else collided
 
 
 def _shingle_sets(batches):
@@ -327,15 +356,28 @@ def _block_pairs(rows: DataFrame, bucket_rows: int, bucket_bytes: int) -> DataFr
 
 
 def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES, long_set: int = LONG_SET) -> DataFrame:
-    """Edges ``(u, v)`` between contents: spanning forests of the verified links of every bucket."""
+    """Edges ``(u, v)`` between contents: spanning forests of the verified links of every bucket.
+    ``collided (key, content)`` may mark buckets as ``large``; these are keyed again at once, so that
+    none moves to one task whole."""
+    large = collided.filter("large") if "large" in collided.columns else collided.limit(0)
+    if large.isEmpty():
+        large = None
+    else:
+        collided = collided.filter(~F.col("large"))
+
+    def with_sets(rows):
+        return rows.join(sets, "content").select("key", "content", "shingles")
+
     def verified(rows, limit, name):
         found = written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(
             _verify(limit, bucket_bytes), "kind byte, u long, v long, shingles binary"), name)
         over = found.filter("kind = 1").select(F.col("u").alias("key"), F.col("v").alias("content"), "shingles")
         return found.filter("kind = 0").select("u", "v"), over
 
-    edges, over = verified(collided.join(sets, "content").select("key", "content", "shingles"), bucket_rows, "paragraph-links")
-    if over.isEmpty():
+    edges, over = verified(with_sets(collided), bucket_rows, "paragraph-links")
+    if large is not None:
+        over = over.union(with_sets(large))
+    elif over.isEmpty():
         return edges
     again = over.mapInArrow(_prefix_keys(long_set), "key long, content long, shingles binary")
     more, over = verified(again, bucket_rows, "paragraph-links2")
@@ -355,7 +397,7 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     units; rows that repeat whole (id and text) count as one place, so both are kept or cut alike;
     other columns are ignored; an empty table gives no rows."""
     units = written(find_units(docs), "paragraph-units")
-    collided = written(colliding(docs), "paragraph-bands")
+    collided = count_hot(written(colliding(docs, hot_keys(docs), bucket_rows), "paragraph-bands"), bucket_rows)
     place = F.struct("doc_id", "text_key", "start", "size")
     near = collided.select("content").distinct().withColumn("near", F.lit(True))
     classes = written(units.groupBy("content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))

@@ -156,6 +156,20 @@ def test_content_links_equal_brute_force(spark):
         assert {c: got.get(c, c) for c in sets} == label
 
 
+def test_hot_band_keys_lose_no_link(spark):
+    """Many similar lines under the same band keys: dealt by content and keyed again, all are linked."""
+    line = prose(60).split()
+    rows = [(d, " ".join([*line[:d % 60], f"edit{d}", *line[d % 60 + 1:]])) for d in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hot = paragraph_dedup.hot_keys(df)
+    every = lambda keys: sorted((r["key"], r["content"]) for r in paragraph_dedup.colliding(df, keys).collect())
+    assert hot and every(hot) == every([])
+    for rows in (paragraph_dedup.BUCKET_ROWS, 100):  # 100: the buckets count as large
+        lines = [u for u in paragraph_dedup.repeated_units(df, rows).collect() if u["kind"] == paragraph_dedup.LINE]
+        assert len(lines) == 150 and {u["component_id"] for u in lines} == {0}
+        assert sum(u["kept"] for u in lines) == 1
+
+
 def test_repeats_are_cut_once(spark, odd_docs, no_docs):
     p, q = prose(70), prose(60)
     rows = [(1, f"{prose(30)}\n{p}\n{prose(30)}"), (2, f"{p}\n{q}"), (3, q), (4, prose(100)), (None, q)]
