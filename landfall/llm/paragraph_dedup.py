@@ -12,7 +12,9 @@ values: at a similarity of 0.8 a pair is missed with probability (1 - 0.64) ** 7
 few shingles; they use two bands of one value (0.2 ** 2 = 0.04 at 0.8, none for equal pieces).
 Equal units are one content. Different contents that collide in a band are verified by the exact
 Jaccard similarity of their shingle sets, and a band bucket yields a spanning forest of its links.
-Of each component the first unit (by doc_id, then place) stays and the others are to be removed.
+Of each component the first unit (by doc_id, then place) stays and the others are to be removed, with
+what they share with its text on both sides: a removed span grows word by word over equal words, and
+over differences as long as the shingles of the whole span stay similar by 0.8 (aligned in order).
 """
 
 from __future__ import annotations
@@ -46,6 +48,9 @@ LONG_SET = 512
 SAMPLE_ROWS = 10_000
 HOT_CONTENTS = 32
 MOST_HOT = 4096
+#: Words compared at first on either side of a repeat, and words that may be skipped in a text at a difference.
+CONTEXT = 32
+SKIP = 3
 
 _SEED = stream64(64, 3)
 _STEP = np.uint64(0x9E3779B97F4A7C55)
@@ -65,7 +70,8 @@ def _cuts(pair: np.ndarray, text_of: np.ndarray) -> np.ndarray:
 
 class Units:
     """The units of a block of texts: ``text`` (index), ``kind``, ``start``, ``size`` (bytes in its
-    text), ``words``, ``content`` and, of each, its place among the block's words."""
+    text), ``word`` (words of its text before it), ``words``, ``content`` and, of each, its place among
+    the block's words."""
 
     def __init__(self, texts: list[bytes]):
         data = np.frombuffer(b"\n".join(texts).lower(), dtype=np.uint8)
@@ -89,6 +95,7 @@ class Units:
         self.kind = np.repeat(np.array([LINE, PIECE], dtype=np.int8), [int(long.sum()), int(enough.sum())])
         self.words = self.last - self.first
         self.text = text_of[self.first]
+        self.word = self.first - np.searchsorted(text_of, self.text)
         self.start = start[self.first] - begin[self.text]
         self.size = end[self.last - 1] - start[self.first]
         # A content's hash: polynomial over its word hashes, and their number.
@@ -160,8 +167,8 @@ def _find_units(batches):
         at = pa.array(u.text)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()).take(at), pa.array(keys, pa.int64()).take(at), pa.array(u.kind), pa.array(u.start.astype(np.int32)),
-             pa.array(u.size.astype(np.int32)), pa.array(u.words.astype(np.int32)), pa.array(u.content)],
-            ["doc_id", "text_key", "kind", "start", "size", "words", "content"])
+             pa.array(u.size.astype(np.int32)), pa.array(u.word.astype(np.int32)), pa.array(u.words.astype(np.int32)), pa.array(u.content)],
+            ["doc_id", "text_key", "kind", "start", "size", "word", "words", "content"])
 
 
 def _find_bands(batches):
@@ -193,7 +200,7 @@ def _source(docs: DataFrame) -> DataFrame:
 
 def find_units(docs: DataFrame) -> DataFrame:
     """Every unit of every whole text; NULL and empty texts have none."""
-    return _source(docs).mapInArrow(_find_units, "doc_id long, text_key long, kind byte, start int, size int, words int, content long")
+    return _source(docs).mapInArrow(_find_units, "doc_id long, text_key long, kind byte, start int, size int, word int, words int, content long")
 
 
 def hot_keys(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, contents: int = HOT_CONTENTS) -> list[int]:
@@ -388,29 +395,212 @@ def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKE
     return edges.union(more)
 
 
+def _texts(batches):
+    """(row, word hashes, starts and ends of words) of the texts in column 0; row holds the other columns."""
+    held, size = [], 0
+
+    def tokenised():
+        texts = [t for t, _ in held]
+        data = np.frombuffer(b"\n".join(texts).lower(), dtype=np.uint8)
+        begin = np.cumsum([0] + [len(t) + 1 for t in texts])
+        start, end = word_spans(data)
+        h = word_hashes(data, start, end)
+        edge = np.searchsorted(start, begin)
+        for k, (_, row) in enumerate(held):
+            own = slice(edge[k], edge[k + 1])
+            yield row, h[own], start[own] - begin[k], end[own] - begin[k]
+
+    for b in batches:
+        for text, *row in zip(*(c.to_pylist() for c in b.columns)):
+            if held and size + len(text) > BLOCK_BYTES:
+                yield from tokenised()
+                held, size = [], 0
+            held.append((text, row))
+            size += len(text)
+    if held:
+        yield from tokenised()
+
+
+def _with_texts(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``text, of_id, of_key, rows``: the rows of each text that has any, once for each place."""
+    asked = rows.groupBy("of_id", "of_key").agg(F.collect_list(F.struct(*columns)).alias("rows"))
+    d = _source(docs)
+    return (d.join(asked, d["doc_id"].eqNullSafe(F.col("of_id")) & (d["text_key"] == F.col("of_key")))
+            .select("text", "of_id", "of_key", "rows"))
+
+
+def _contexts(width: int):
+    """Hashes of up to ``width`` words before (side 0, nearest first) or from (side 1) word ``at``."""
+
+    def run(batches):
+        out = [[] for _ in range(5)]
+
+        def flush():
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int8(), pa.binary()))],
+                                              ["c_id", "c_key", "c_at", "c_side", "context"])
+            for c in out:
+                c.clear()
+            return made
+
+        for (i, k, asked), h, _, _ in _texts(batches):
+            for r in asked:
+                at = r["at"]
+                near = h[at:at + width] if r["side"] else h[max(0, at - width):at][::-1]
+                for c, v in zip(out, (i, k, at, r["side"], near.tobytes())):
+                    c.append(v)
+                if len(out[0]) >= 4096:
+                    yield flush()
+        if out[0]:
+            yield flush()
+
+    return run
+
+
+#: After a difference, words to skip in either text before the next ``SHINGLE`` equal words; fewest first.
+_SKIPS = sorted(((a, b) for a in range(SKIP + 1) for b in range(SKIP + 1) if a + b), key=lambda x: (max(x), sum(x)))
+
+
+def grow(own: np.ndarray, other: np.ndarray, shared: int, union: int) -> tuple[int, int, int, int, bool]:
+    """How far two runs of words go on alike from their beginnings: words of either run, the shared and
+    all shingles with those given, and whether more of ``other`` could matter. Equal words are always
+    taken, words beyond a difference where the shingles of all that is taken are similar by ``SIMILARITY``."""
+    a = b = far_a = far_b = 0
+    s, u, best = shared, union, (shared, union)
+    first = True
+    while True:
+        n = min(own.size - a, other.size - b)
+        differ = np.flatnonzero(own[a:a + n] != other[b:b + n])
+        run = int(differ[0]) if differ.size else n
+        new = run if first and shared else max(0, run - SHINGLE + 1)
+        s, u = s + new, u + 2 * run - new
+        a, b = a + run, b + run
+        if run and (first or s >= SIMILARITY * u - 1e-9):
+            far_a, far_b, best = a, b, (s, u)
+        first = False
+        for i, j in _SKIPS:
+            x, y = own[a + i:a + i + SHINGLE], other[b + j:b + j + SHINGLE]
+            if x.size == y.size == SHINGLE and x.tobytes() == y.tobytes():
+                a, b, u = a + i, b + j, u + i + j
+                break
+        else:
+            return far_a, far_b, *best, own.size > a and other.size - b < SKIP + SHINGLE
+
+
+_GROWN = "of_id long, of_key long, chain long, begin int, end int, r_id long, r_key long, r_begin int, r_end int, shared long, whole long, more0 boolean, more1 boolean, start int, size int, units array<struct<kind:tinyint,words:int,n_units:bigint,copies:bigint>>"
+
+
+def _grown(width: int):
+    names = [c.split()[0] for c in _GROWN.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32(),
+             pa.list_(pa.struct([("kind", pa.int8()), ("words", pa.int32()), ("n_units", pa.int64()), ("copies", pa.int64())]))]
+
+    def run(batches):
+        rows = []
+
+        def flush():
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+            rows.clear()
+            return made
+
+        for (i, k, asked), h, start, end in _texts(batches):
+            for r in asked:
+                at, r_at, s, u = [r["begin"], r["end"]], [r["r_begin"], r["r_end"]], r["shared"], r["whole"]
+                more = [False, False]
+                # Both sides grow in turn, so that what one side takes counts for the other.
+                for side in (0, 1, 0):
+                    other = r[f"context{side}"]
+                    if other is None:
+                        continue
+                    other = np.frombuffer(other, dtype=np.uint64)
+                    full = other.size == width
+                    other = other[abs(r_at[side] - r[("r_begin", "r_end")[side]]):]
+                    x = at[side]
+                    own = h[x:] if side else h[:x][::-1]
+                    far, r_far, s, u, spent = grow(own, other, s, u)
+                    at[side] += far if side else -far
+                    r_at[side] += r_far if side else -r_far
+                    more[side] = bool(full and spent)
+                rows.append((i, k, r["chain"], *at, r["r_id"], r["r_key"], *r_at, s, u, *more, int(start[at[0]]), int(end[at[1] - 1] - start[at[0]]), r["units"]))
+            if len(rows) >= 4096:
+                yield flush()
+        if rows:
+            yield flush()
+
+    return run
+
+
+def grown_spans(docs: DataFrame, rows: DataFrame, width: int = CONTEXT) -> DataFrame:
+    """``rows`` of units that are to go, with the span that goes with each: units that follow each other
+    as those they repeat do are one chain, and a chain takes in the words to both sides that are shared
+    with the text around the units it repeats. Contexts have ``width`` words; a chain whose context is
+    used up is compared again with eight times as many."""
+    copies = rows.groupBy("doc_id", "text_key", "kind", "word", "words", "content", "first", "n_units").agg(F.count(F.lit(1)).alias("copies"))
+    w = Window.partitionBy("doc_id", "text_key").orderBy("kind", "word")
+    last = F.lag(F.struct("kind", "word", "words", "first")).over(w)
+    f = F.col("first")
+    follows = ((last["kind"] == F.col("kind")) & (last["word"] + last["words"] == F.col("word")) & last["first"]["doc_id"].eqNullSafe(f["doc_id"])
+               & (last["first"]["text_key"] == f["text_key"]) & (last["first"]["word"] + last["first"]["words"] == f["word"]))
+    chains = copies.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("chain", F.sum("new").over(w))
+    equal = F.when(F.col("content") == f["content"], F.col("words")).otherwise(F.lit(0))
+    chains = chains.groupBy(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "chain").agg(
+        F.min("word").alias("begin"), F.max(F.col("word") + F.col("words")).alias("end"), F.min(f["doc_id"]).alias("r_id"), F.min(f["text_key"]).alias("r_key"),
+        F.min(f["word"]).alias("r_begin"), F.max(f["word"] + f["words"]).alias("r_end"),
+        F.greatest(F.lit(0), F.sum(equal) - (SHINGLE - 1)).cast("long").alias("shared"),
+        F.collect_list(F.struct("kind", "words", "n_units", "copies")).alias("units"))
+    todo = written(chains.withColumn("whole", F.col("shared")).withColumn("more0", F.lit(True)).withColumn("more1", F.lit(True)), "paragraph-chains")
+    done = []
+    while True:
+        sides = [todo.filter(f"more{i}").select(F.col("r_id").alias("of_id"), F.col("r_key").alias("of_key"), F.col(c).alias("at"), F.lit(i).cast("byte").alias("side"))
+                 for i, c in enumerate(("r_begin", "r_end"))]
+        near = written(_with_texts(docs, sides[0].union(sides[1]).distinct(), ["at", "side"])
+                       .mapInArrow(_contexts(width), "c_id long, c_key long, c_at int, c_side byte, context binary"), "paragraph-contexts")
+        asked = todo
+        for i, c in enumerate(("r_begin", "r_end")):
+            side = near.filter(F.col("c_side") == i).dropDuplicates(["c_id", "c_key", "c_at"]).withColumnRenamed("context", f"context{i}")
+            asked = asked.join(side, F.col(f"more{i}") & F.col("r_id").eqNullSafe(F.col("c_id")) & (F.col("r_key") == F.col("c_key")) & (F.col(c) == F.col("c_at")), "left"
+                               ).drop("c_id", "c_key", "c_at", "c_side")
+        texts = _with_texts(docs, asked, ["chain", "begin", "end", "r_id", "r_key", "r_begin", "r_end", "shared", "whole", "units", "context0", "context1"])
+        grown = written(texts.mapInArrow(_grown(width), _GROWN).dropDuplicates(["of_id", "of_key", "chain"]), "paragraph-grown")
+        done.append(grown.filter("NOT more0 AND NOT more1"))
+        todo = grown.filter("more0 OR more1")
+        if todo.isEmpty():
+            break
+        width *= 8
+    out = done[0]
+    for d in done[1:]:
+        out = out.union(d)
+    return out
+
+
 def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per unit that repeats in ``docs (doc_id, text, ...)``: ``doc_id, text_key, kind, start,
     size`` (bytes of the UTF-8 text), ``words``, ``component_id`` (smallest doc_id with a unit of the
-    component), ``n_units`` of the component, and ``kept`` (true for its first unit).
+    component), ``n_units`` of the component, and ``kept`` (true for its first unit). The span of a unit
+    that is not kept takes in what its text shares with the first unit's text on both sides of it.
 
     Units are ordered by doc_id (NULL first), text key and start. NULL, empty and short texts have no
     units; rows that repeat whole (id and text) count as one place, so both are kept or cut alike;
     other columns are ignored; an empty table gives no rows."""
     units = written(find_units(docs), "paragraph-units")
     collided = count_hot(written(colliding(docs, hot_keys(docs), bucket_rows), "paragraph-bands"), bucket_rows)
-    place = F.struct("doc_id", "text_key", "start", "size")
+    place = F.struct("doc_id", "text_key", "start", "size", "word", "words", "content")
     near = collided.select("content").distinct().withColumn("near", F.lit(True))
     classes = written(units.groupBy("content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                       .join(near, "content", "left").filter("n > 1 OR near"), "paragraph-classes")
-    sets = written(shingle_sets(docs, classes.filter("near").select("first.*", "content")), "paragraph-sets")
+    sets = written(shingle_sets(docs, classes.filter("near").select("first.doc_id", "first.text_key", "first.start", "first.size", "content")), "paragraph-sets")
     linked = components(content_links(collided, sets, bucket_rows), "paragraph")
     named = classes.join(linked.withColumnRenamed("node", "content"), "content", "left").select(
         "content", "first", "n", F.coalesce("label", "content").alias("label"))
     total = named.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("n_units")).filter("n_units > 1")
     total = written(named.select("content", "label").join(total, "label").select("content", "first", "n_units"), "paragraph-named")
     same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_key") == F.col("text_key")) & (F.col("first.start") == F.col("start"))
-    return units.join(total, "content").select(
-        "doc_id", "text_key", "kind", "start", "size", "words", F.col("first.doc_id").alias("component_id"), "n_units", same.alias("kept"))
+    rows = written(units.join(total, "content").withColumn("kept", same), "paragraph-repeats")
+    kept = rows.filter("kept").select("doc_id", "text_key", "kind", "start", "size", "words", F.col("first.doc_id").alias("component_id"), "n_units", "kept")
+    spans = grown_spans(docs, rows.filter("NOT kept").drop("kept")).select("*", F.explode("units").alias("unit"))
+    spans = spans.select("*", F.explode(F.array_repeat(F.lit(1), F.col("unit.copies").cast("int"))).alias("copy"))
+    return kept.union(spans.select(
+        F.col("of_id").alias("doc_id"), F.col("of_key").alias("text_key"), "unit.kind", "start", "size", (F.col("end") - F.col("begin")).alias("words"),
+        F.col("r_id").alias("component_id"), "unit.n_units", F.lit(False).alias("kept")))
 
 
 def _cut(batches):

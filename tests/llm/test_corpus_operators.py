@@ -269,3 +269,21 @@ def test_pipeline_runs_whole(spark):
     got = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(got.columns)
     assert got.count() > 0
+
+
+def left_of_passages(spark, copies, passages):
+    """Share of the words of each second copy that its text still has after the cut; the copies stand in lines of their own surroundings."""
+    rows = []
+    for d, (first, second) in enumerate(copies):
+        for k, p in ((0, first), (1000, second)):
+            rows.append((d + k, f"{prose(40)} {p} {prose(40)}"))
+    got = {r["doc_id"]: r["text"] for r in paragraph_dedup.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[d] == rows[2 * d][1] for d in range(len(copies)))  # the first copies stay whole
+    around = [len(got[1000 + d].split()) - 80 for d in range(len(copies))]
+    assert min(around) >= -5  # what is not shared stays, but for a similar piece's edge or a word that is equal by chance
+    return [max(0, n) / len(p.split()) for n, p in zip(around, passages)]
+
+
+def test_removed_span_is_the_whole_passage(spark):
+    exact = [prose(n) for n in range(51, 151, 5)]
+    assert left_of_passages(spark, [(p, p) for p in exact], exact) == [0.0] * len(exact)
