@@ -1,13 +1,14 @@
 """Substring deduplication by MinHash banding over paragraphs.
 
-Two kinds of units of a text are compared, both as lower-cased (A-Z) words:
+Three kinds of units of a text are compared, all as lower-cased (A-Z) words:
 
 * ``LINE``: a line of at least ``LINE_WORDS`` words, the paragraph as written;
+* ``BLOCK``: several lines between blank lines, their words joined: a paragraph broken into lines;
 * ``PIECE``: a run of words between two content-defined cuts (the local minima of a hash of word
   pairs). A cut depends on ``REACH`` words on either side only, so a passage that repeats inside
   other paragraphs is cut alike wherever it stands. Runs at the ends of a text are not compared.
 
-Every unit has a MinHash signature over its five-word shingles. Lines use ``LINE_BANDS`` bands of two
+Every unit has a MinHash signature over its five-word shingles. Lines and blocks use ``LINE_BANDS`` bands of two
 values: at a similarity of 0.8 a pair is missed with probability (1 - 0.64) ** 7 < 0.001. Pieces hold
 few shingles; they use two bands of one value (0.2 ** 2 = 0.04 at 0.8, none for equal pieces).
 Equal units are one content. Different contents that collide in a band are verified by the exact
@@ -29,7 +30,7 @@ from landfall.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-LINE, PIECE = 0, 1
+LINE, PIECE, BLOCK = 0, 1, 2
 LINE_WORDS = 20
 PIECE_WORDS = 7
 REACH = 6
@@ -90,9 +91,15 @@ class Units:
         same = text_of[cut[1:]] == text_of[cut[:-1]]
         p_first, p_last = cut[:-1][same], cut[1:][same]
         enough = p_last - p_first >= PIECE_WORDS
-        self.first = np.concatenate([first[long], p_first[enough]])
-        self.last = np.concatenate([last[long], p_last[enough]])
-        self.kind = np.repeat(np.array([LINE, PIECE], dtype=np.int8), [int(long.sum()), int(enough.sum())])
+        # Blocks: a blank line or a text's end stands between them.
+        apart = np.ones(n, dtype=bool)
+        apart[1:] = (line_of[1:] - line_of[:-1] > 1) | (text_of[1:] != text_of[:-1])
+        b_first = np.flatnonzero(apart)
+        b_last = np.append(b_first[1:], n) if n else b_first
+        several = (line_of[b_last - 1] > line_of[b_first]) & (b_last - b_first >= SHINGLE)
+        self.first = np.concatenate([first[long], b_first[several], p_first[enough]])
+        self.last = np.concatenate([last[long], b_last[several], p_last[enough]])
+        self.kind = np.repeat(np.array([LINE, BLOCK, PIECE], dtype=np.int8), [int(long.sum()), int(several.sum()), int(enough.sum())])
         self.words = self.last - self.first
         self.text = text_of[self.first]
         self.word = self.first - np.searchsorted(text_of, self.text)
@@ -127,7 +134,7 @@ class Units:
         if not self.first.size:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         s, n = self.shingles()
-        lines = int((self.kind == LINE).sum())
+        lines = int((self.kind != PIECE).sum())  # a block meets lines too: a paragraph may be wrapped in one text only
         edge = int(n[:lines].sum())
         keys, units = [], []
         with np.errstate(over="ignore"):
@@ -138,7 +145,7 @@ class Units:
                 for b in range(bands):
                     key = np.zeros(size.size, dtype=np.uint64)
                     for r in range(rows):
-                        key = (key + np.minimum.reduceat(mix64(part ^ _SEED[20 * kind + b * rows + r]), at)) * _STEP
+                        key = (key + np.minimum.reduceat(part * (_SEED[20 * kind + b * rows + r] | np.uint64(1)), at)) * _STEP
                     keys.append(mix64(key + _SEED[40 + 10 * kind + b]).view(np.int64))
                     units.append(np.arange(size.size) + (lines if kind == PIECE else 0))
         return np.concatenate(keys), np.concatenate(units)
@@ -530,18 +537,19 @@ def _grown(width: int):
 
 
 def grown_spans(docs: DataFrame, rows: DataFrame, width: int = CONTEXT) -> DataFrame:
-    """``rows`` of units that are to go, with the span that goes with each: units that follow each other
-    as those they repeat do are one chain, and a chain takes in the words to both sides that are shared
+    """``rows`` of units that are to go, with the span that goes with each: equal units that follow each
+    other as those they repeat do are one chain (a similar unit may begin and end elsewhere, and is alone), and a chain takes in the words to both sides that are shared
     with the text around the units it repeats. Contexts have ``width`` words; a chain whose context is
     used up is compared again with eight times as many."""
     copies = rows.groupBy("doc_id", "text_key", "kind", "word", "words", "content", "first", "n_units").agg(F.count(F.lit(1)).alias("copies"))
     w = Window.partitionBy("doc_id", "text_key").orderBy("kind", "word")
-    last = F.lag(F.struct("kind", "word", "words", "first")).over(w)
+    last = F.lag(F.struct("kind", "word", "words", "content", "first")).over(w)
     f = F.col("first")
     follows = ((last["kind"] == F.col("kind")) & (last["word"] + last["words"] == F.col("word")) & last["first"]["doc_id"].eqNullSafe(f["doc_id"])
-               & (last["first"]["text_key"] == f["text_key"]) & (last["first"]["word"] + last["first"]["words"] == f["word"]))
+               & (last["first"]["text_key"] == f["text_key"]) & (last["first"]["word"] + last["first"]["words"] == f["word"])
+               & (F.col("content") == f["content"]) & (last["content"] == last["first"]["content"]))
     chains = copies.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("chain", F.sum("new").over(w))
-    equal = F.when(F.col("content") == f["content"], F.col("words")).otherwise(F.lit(0))
+    equal = F.when(F.col("content") == f["content"], F.col("words")).otherwise(F.lit(0))  # what similar units share is not counted
     chains = chains.groupBy(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "chain").agg(
         F.min("word").alias("begin"), F.max(F.col("word") + F.col("words")).alias("end"), F.min(f["doc_id"]).alias("r_id"), F.min(f["text_key"]).alias("r_key"),
         F.min(f["word"]).alias("r_begin"), F.max(f["word"] + f["words"]).alias("r_end"),

@@ -287,3 +287,24 @@ def left_of_passages(spark, copies, passages):
 def test_removed_span_is_the_whole_passage(spark):
     exact = [prose(n) for n in range(51, 151, 5)]
     assert left_of_passages(spark, [(p, p) for p in exact], exact) == [0.0] * len(exact)
+
+
+def changed(p, n):
+    """``p`` with ``n`` words changed, evenly spread."""
+    words = p.split()
+    for k in range(n):
+        words[(2 * k + 1) * len(words) // (2 * n)] = f"changed{k}"
+    return " ".join(words)
+
+
+def test_near_copies_that_are_not_lines_are_removed(spark):
+    for size, n in ((60, 1), (100, 2), (200, 4)):
+        ps = [prose(size) for _ in range(25)]
+        left = left_of_passages(spark, [(p, changed(p, n)) for p in ps], ps)
+        print(size, n, np.mean(left), max(left), sum(x >= 0.5 for x in left))
+        assert np.mean(left) <= 0.15
+    wrapped = lambda p, n: "\n".join(" ".join(p.split()[k:k + n]) for k in range(0, len(p.split()), n))
+    p = prose(60)
+    rows = [(1, f"{prose(30)}\n\n{wrapped(p, 12)}\n \n{prose(30)}"), (2, f"{prose(30)}\n\n{wrapped(changed(p, 1), 9)}\n\n{prose(30)}"), (3, f"{p}\n{prose(30)}")]
+    got = [u for u in paragraph_dedup.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect() if u["kind"] != paragraph_dedup.PIECE]
+    assert sorted((u["doc_id"], u["component_id"], u["n_units"], u["kept"]) for u in got) == [(1, 1, 3, True), (2, 1, 3, False), (3, 1, 3, False)]
