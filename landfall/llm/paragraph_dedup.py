@@ -2,7 +2,7 @@
 
 Three kinds of units of a text are compared, all as lower-cased (A-Z) words:
 
-* ``LINE``: a line of at least ``LINE_WORDS`` words, the paragraph as written;
+* ``LINE``: a line of at least ``SHINGLE`` words, the paragraph as written;
 * ``BLOCK``: several lines between blank lines, their words joined: a paragraph broken into lines;
 * ``PIECE``: a run of words between two content-defined cuts (the local minima of a hash of word
   pairs). A cut depends on ``REACH`` words on either side only, so a passage that repeats inside
@@ -31,7 +31,6 @@ from landfall.llm.components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 LINE, PIECE, BLOCK = 0, 1, 2
-LINE_WORDS = 20
 PIECE_WORDS = 7
 REACH = 6
 LINE_BANDS, LINE_ROWS = 7, 2
@@ -50,7 +49,7 @@ SAMPLE_ROWS = 10_000
 HOT_CONTENTS = 32
 MOST_HOT = 4096
 #: Words compared at first on either side of a repeat, and words that may be skipped in a text at a difference.
-CONTEXT = 32
+CONTEXT = 24
 SKIP = 3
 
 _SEED = stream64(64, 3)
@@ -84,7 +83,7 @@ class Units:
         line_of = np.cumsum(data == 10)[start] if n else np.empty(0, dtype=np.int64)
         first = run_starts(line_of)
         last = np.append(first[1:], n) if n else first
-        long = last - first >= LINE_WORDS
+        long = last - first >= SHINGLE
         with np.errstate(over="ignore"):
             follow = np.append(self.hash[1:], np.uint64(0)) if n else self.hash
             cut = _cuts(mix64(self.hash + _STEP * follow), text_of)
@@ -134,6 +133,10 @@ class Units:
         if not self.first.size:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         s, n = self.shingles()
+        # Fewer than four shingles are similar to another set only if it is the same set: words of a period up to three.
+        at = self.first[:, None] + np.arange(4)
+        h = self.hash[at]
+        can = (n >= 4) | (h[:, :1] == h[:, 1:]).any(axis=1)
         lines = int((self.kind != PIECE).sum())  # a block meets lines too: a paragraph may be wrapped in one text only
         edge = int(n[:lines].sum())
         keys, units = [], []
@@ -146,8 +149,9 @@ class Units:
                     key = np.zeros(size.size, dtype=np.uint64)
                     for r in range(rows):
                         key = (key + np.minimum.reduceat(part * (_SEED[20 * kind + b * rows + r] | np.uint64(1)), at)) * _STEP
-                    keys.append(mix64(key + _SEED[40 + 10 * kind + b]).view(np.int64))
-                    units.append(np.arange(size.size) + (lines if kind == PIECE else 0))
+                    unit = np.arange(size.size) + (lines if kind == PIECE else 0)
+                    keys.append(mix64(key + _SEED[40 + 10 * kind + b]).view(np.int64)[can[unit]])
+                    units.append(unit[can[unit]])
         return np.concatenate(keys), np.concatenate(units)
 
 
@@ -437,27 +441,25 @@ def _with_texts(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFra
 
 
 def _contexts(width: int):
-    """Hashes of up to ``width`` words before (side 0, nearest first) or from (side 1) word ``at``."""
+    """32 bits of the hashes of up to ``width`` words before (nearest first) and after each asked span."""
 
     def run(batches):
-        out = [[] for _ in range(5)]
+        rows = []
 
         def flush():
-            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int8(), pa.binary()))],
-                                              ["c_id", "c_key", "c_at", "c_side", "context"])
-            for c in out:
-                c.clear()
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["r_id", "r_key", "r_begin", "r_end", "context0", "context1"])
+            rows.clear()
             return made
 
         for (i, k, asked), h, _, _ in _texts(batches):
+            h = (h >> np.uint64(32)).astype(np.uint32)
             for r in asked:
-                at = r["at"]
-                near = h[at:at + width] if r["side"] else h[max(0, at - width):at][::-1]
-                for c, v in zip(out, (i, k, at, r["side"], near.tobytes())):
-                    c.append(v)
-                if len(out[0]) >= 4096:
+                x, y = r["r_begin"], r["r_end"]
+                rows.append((i, k, x, y, h[max(0, x - width):x][::-1].tobytes(), h[y:y + width].tobytes()))
+                if len(rows) >= 4096:
                     yield flush()
-        if out[0]:
+        if rows:
             yield flush()
 
     return run
@@ -493,13 +495,13 @@ def grow(own: np.ndarray, other: np.ndarray, shared: int, union: int) -> tuple[i
             return far_a, far_b, *best, own.size > a and other.size - b < SKIP + SHINGLE
 
 
-_GROWN = "of_id long, of_key long, chain long, begin int, end int, r_id long, r_key long, r_begin int, r_end int, shared long, whole long, more0 boolean, more1 boolean, start int, size int, units array<struct<kind:tinyint,words:int,n_units:bigint,copies:bigint>>"
+_GROWN = ("of_id long, of_key long, begin int, end int, r_id long, r_key long, r_begin int, r_end int, shared long, whole long, "
+          "more0 boolean, more1 boolean, start int, size int, units array<long>")
 
 
 def _grown(width: int):
     names = [c.split()[0] for c in _GROWN.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32(),
-             pa.list_(pa.struct([("kind", pa.int8()), ("words", pa.int32()), ("n_units", pa.int64()), ("copies", pa.int64())]))]
+    kinds = [*[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.bool_()] * 2, *[pa.int32()] * 2, pa.list_(pa.int64())]
 
     def run(batches):
         rows = []
@@ -510,15 +512,15 @@ def _grown(width: int):
             return made
 
         for (i, k, asked), h, start, end in _texts(batches):
+            h = (h >> np.uint64(32)).astype(np.uint32)
             for r in asked:
                 at, r_at, s, u = [r["begin"], r["end"]], [r["r_begin"], r["r_end"]], r["shared"], r["whole"]
                 more = [False, False]
                 # Both sides grow in turn, so that what one side takes counts for the other.
                 for side in (0, 1, 0):
-                    other = r[f"context{side}"]
-                    if other is None:
+                    if not r[f"more{side}"]:
                         continue
-                    other = np.frombuffer(other, dtype=np.uint64)
+                    other = np.frombuffer(r[f"context{side}"], dtype=np.uint32)
                     full = other.size == width
                     other = other[abs(r_at[side] - r[("r_begin", "r_end")[side]]):]
                     x = at[side]
@@ -527,7 +529,7 @@ def _grown(width: int):
                     at[side] += far if side else -far
                     r_at[side] += r_far if side else -r_far
                     more[side] = bool(full and spent)
-                rows.append((i, k, r["chain"], *at, r["r_id"], r["r_key"], *r_at, s, u, *more, int(start[at[0]]), int(end[at[1] - 1] - start[at[0]]), r["units"]))
+                rows.append((i, k, *at, r["r_id"], r["r_key"], *r_at, s, u, *more, int(start[at[0]]), int(end[at[1] - 1] - start[at[0]]), r["units"]))
             if len(rows) >= 4096:
                 yield flush()
         if rows:
@@ -537,40 +539,38 @@ def _grown(width: int):
 
 
 def grown_spans(docs: DataFrame, rows: DataFrame, width: int = CONTEXT) -> DataFrame:
-    """``rows`` of units that are to go, with the span that goes with each: equal units that follow each
-    other as those they repeat do are one chain (a similar unit may begin and end elsewhere, and is alone), and a chain takes in the words to both sides that are shared
+    """``rows`` of units that are to go, with the span that goes with each: equal units that overlap or follow
+    each other as those they repeat do are one chain (a similar unit may begin and end elsewhere, and is alone), and a chain takes in the words to both sides that are shared
     with the text around the units it repeats. Contexts have ``width`` words; a chain whose context is
     used up is compared again with eight times as many."""
-    copies = rows.groupBy("doc_id", "text_key", "kind", "word", "words", "content", "first", "n_units").agg(F.count(F.lit(1)).alias("copies"))
-    w = Window.partitionBy("doc_id", "text_key").orderBy("kind", "word")
-    last = F.lag(F.struct("kind", "word", "words", "content", "first")).over(w)
     f = F.col("first")
-    follows = ((last["kind"] == F.col("kind")) & (last["word"] + last["words"] == F.col("word")) & last["first"]["doc_id"].eqNullSafe(f["doc_id"])
-               & (last["first"]["text_key"] == f["text_key"]) & (last["first"]["word"] + last["first"]["words"] == f["word"])
-               & (F.col("content") == f["content"]) & (last["content"] == last["first"]["content"]))
-    chains = copies.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("chain", F.sum("new").over(w))
-    equal = F.when(F.col("content") == f["content"], F.col("words")).otherwise(F.lit(0))  # what similar units share is not counted
-    chains = chains.groupBy(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "chain").agg(
-        F.min("word").alias("begin"), F.max(F.col("word") + F.col("words")).alias("end"), F.min(f["doc_id"]).alias("r_id"), F.min(f["text_key"]).alias("r_key"),
-        F.min(f["word"]).alias("r_begin"), F.max(f["word"] + f["words"]).alias("r_end"),
-        F.greatest(F.lit(0), F.sum(equal) - (SHINGLE - 1)).cast("long").alias("shared"),
-        F.collect_list(F.struct("kind", "words", "n_units", "copies")).alias("units"))
+    one = rows.distinct().select(
+        F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "word", "words", f["doc_id"].alias("r_id"), f["text_key"].alias("r_key"),
+        f["word"].alias("r_word"), f["words"].alias("r_words"), (F.col("content") == f["content"]).alias("equal"), (F.col("n_units") * 4 + F.col("kind")).alias("unit"))
+    alike = ["of_id", "of_key", "r_id", "r_key", "shift", "equal"]
+    w = Window.partitionBy(*alike).orderBy("word", "words", "unit")
+    before = F.max(F.col("word") + F.col("words")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    chains = one.withColumn("shift", F.col("word") - F.col("r_word")).withColumn("new", F.when(F.col("equal") & (before >= F.col("word")), 0).otherwise(1))
+    chains = chains.withColumn("chain", F.sum("new").over(w)).groupBy(*alike, "chain").agg(
+        F.min("word").alias("begin"), F.max(F.col("word") + F.col("words")).alias("end"), F.min("r_word").alias("r_begin"),
+        F.max(F.col("r_word") + F.col("r_words")).alias("r_end"), F.collect_list("unit").alias("units"))
+    # What similar units share is not counted.
+    chains = chains.withColumn("shared", F.when(F.col("equal"), F.col("end") - F.col("begin") - (SHINGLE - 1)).otherwise(0).cast("long")).drop("shift", "equal", "chain")
     todo = written(chains.withColumn("whole", F.col("shared")).withColumn("more0", F.lit(True)).withColumn("more1", F.lit(True)), "paragraph-chains")
     done = []
     while True:
-        sides = [todo.filter(f"more{i}").select(F.col("r_id").alias("of_id"), F.col("r_key").alias("of_key"), F.col(c).alias("at"), F.lit(i).cast("byte").alias("side"))
-                 for i, c in enumerate(("r_begin", "r_end"))]
-        near = written(_with_texts(docs, sides[0].union(sides[1]).distinct(), ["at", "side"])
-                       .mapInArrow(_contexts(width), "c_id long, c_key long, c_at int, c_side byte, context binary"), "paragraph-contexts")
-        asked = todo
-        for i, c in enumerate(("r_begin", "r_end")):
-            side = near.filter(F.col("c_side") == i).dropDuplicates(["c_id", "c_key", "c_at"]).withColumnRenamed("context", f"context{i}")
-            asked = asked.join(side, F.col(f"more{i}") & F.col("r_id").eqNullSafe(F.col("c_id")) & (F.col("r_key") == F.col("c_key")) & (F.col(c) == F.col("c_at")), "left"
-                               ).drop("c_id", "c_key", "c_at", "c_side")
-        texts = _with_texts(docs, asked, ["chain", "begin", "end", "r_id", "r_key", "r_begin", "r_end", "shared", "whole", "units", "context0", "context1"])
-        grown = written(texts.mapInArrow(_grown(width), _GROWN).dropDuplicates(["of_id", "of_key", "chain"]), "paragraph-grown")
+        place = ["r_id", "r_key", "r_begin", "r_end"]
+        asked = todo.select(F.col("r_id").alias("of_id"), F.col("r_key").alias("of_key"), "r_begin", "r_end").distinct()
+        near = _with_texts(docs, asked, ["r_begin", "r_end"]).mapInArrow(
+            _contexts(width), "r_id long, r_key long, r_begin int, r_end int, context0 binary, context1 binary")
+        # A NULL id as two columns, so that one exchange serves both the grouping and the join.
+        known = lambda d: d.withColumn("no_id", F.col("r_id").isNull()).withColumn("r_id", F.coalesce("r_id", F.lit(0).cast("long")))
+        asked = known(todo).join(known(near).dropDuplicates([*place, "no_id"]), [*place, "no_id"])
+        asked = asked.withColumn("r_id", F.when(~F.col("no_id"), F.col("r_id")))
+        texts = _with_texts(docs, asked, ["begin", "end", *place, "shared", "whole", "more0", "more1", "units", "context0", "context1"])
+        grown = written(texts.mapInArrow(_grown(width), _GROWN), "paragraph-grown")
         done.append(grown.filter("NOT more0 AND NOT more1"))
-        todo = grown.filter("more0 OR more1")
+        todo = grown.filter("more0 OR more1").distinct()
         if todo.isEmpty():
             break
         width *= 8
@@ -604,11 +604,10 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_key") == F.col("text_key")) & (F.col("first.start") == F.col("start"))
     rows = written(units.join(total, "content").withColumn("kept", same), "paragraph-repeats")
     kept = rows.filter("kept").select("doc_id", "text_key", "kind", "start", "size", "words", F.col("first.doc_id").alias("component_id"), "n_units", "kept")
-    spans = grown_spans(docs, rows.filter("NOT kept").drop("kept")).select("*", F.explode("units").alias("unit"))
-    spans = spans.select("*", F.explode(F.array_repeat(F.lit(1), F.col("unit.copies").cast("int"))).alias("copy"))
+    spans = grown_spans(docs, rows.filter("NOT kept").drop("kept", "start", "size")).withColumn("unit", F.explode("units"))
     return kept.union(spans.select(
-        F.col("of_id").alias("doc_id"), F.col("of_key").alias("text_key"), "unit.kind", "start", "size", (F.col("end") - F.col("begin")).alias("words"),
-        F.col("r_id").alias("component_id"), "unit.n_units", F.lit(False).alias("kept")))
+        F.col("of_id").alias("doc_id"), F.col("of_key").alias("text_key"), F.pmod("unit", F.lit(4)).cast("byte").alias("kind"), "start", "size",
+        (F.col("end") - F.col("begin")).alias("words"), F.col("r_id").alias("component_id"), F.shiftright("unit", 2).alias("n_units"), F.lit(False).alias("kept")))
 
 
 def _cut(batches):

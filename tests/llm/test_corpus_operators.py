@@ -308,3 +308,15 @@ def test_near_copies_that_are_not_lines_are_removed(spark):
     rows = [(1, f"{prose(30)}\n\n{wrapped(p, 12)}\n \n{prose(30)}"), (2, f"{prose(30)}\n\n{wrapped(changed(p, 1), 9)}\n\n{prose(30)}"), (3, f"{p}\n{prose(30)}")]
     got = [u for u in paragraph_dedup.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect() if u["kind"] != paragraph_dedup.PIECE]
     assert sorted((u["doc_id"], u["component_id"], u["n_units"], u["kept"]) for u in got) == [(1, 1, 3, True), (2, 1, 3, False), (3, 1, 3, False)]
+
+
+def test_short_lines_are_compared(spark):
+    lines = [prose(n) for n in (5, 8, 12, 15, 19)]
+    near = " ".join([*lines[4].split()[:18], "other"])  # 14 of 16 shingles are shared
+    rows = [(d, "\n".join(f"{prose(25)}\n{x}" for x in (*lines, "four words stay here"))) for d in range(3)] + [(3, f"{prose(25)}\n{near}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split("\n") for r in paragraph_dedup.cut_repeats(df).collect()}
+    assert got[0] == rows[0][1].split("\n")
+    for d in (1, 2):
+        assert not set(lines) & set(got[d]) and "four words stay here" in got[d] and len(got[d]) == 7
+    assert near not in got[3] and got[3][0] == rows[3][1].split("\n")[0]
