@@ -249,10 +249,14 @@ def count_hot(collided: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
 
 def _shingle_sets(batches):
     """(content, shingles) of the wanted units; ``places`` has their (start, size, content)."""
+    seen = set()  # a text that stands in several rows has its sets once a task
     for b in batches:
         contents, sets = [], []
         for text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             for p in places:
+                if p["content"] in seen:
+                    continue
+                seen.add(p["content"])
                 data = np.frombuffer(text[p["start"]:p["start"] + p["size"]].lower(), dtype=np.uint8)
                 h = word_hashes(data, *word_spans(data))
                 with np.errstate(over="ignore"):
@@ -270,8 +274,7 @@ def shingle_sets(docs: DataFrame, places: DataFrame) -> DataFrame:
         F.collect_list(F.struct("start", "size", "content")).alias("places"))
     d = _source(docs)
     return (d.join(wanted, d["doc_id"].eqNullSafe(F.col("_lf_id")) & (d["text_key"] == F.col("_lf_key")))
-            .select("text", "places").mapInArrow(_shingle_sets, "content long, shingles binary")
-            .dropDuplicates(["content"]))
+            .select("text", "places").mapInArrow(_shingle_sets, "content long, shingles binary"))
 
 
 def similar_forest(content: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
@@ -373,6 +376,13 @@ def _block_pairs(rows: DataFrame, bucket_rows: int, bucket_bytes: int) -> DataFr
             .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "content", "shingles"))
 
 
+def one_of_equal_buckets(collided: DataFrame) -> DataFrame:
+    """``collided`` without the keys whose contents are those of another key: they give the same links."""
+    of = F.xxhash64("content").cast("decimal(38,0)")
+    each = collided.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(of).alias("h"), F.min("content").alias("a"), F.max("content").alias("b"))
+    return collided.join(each.groupBy("n", "h", "a", "b").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
 def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES, long_set: int = LONG_SET) -> DataFrame:
     """Edges ``(u, v)`` between contents: spanning forests of the verified links of every bucket.
     ``collided (key, content)`` may mark buckets as ``large``; these are keyed again at once, so that
@@ -539,10 +549,11 @@ def _grown(width: int):
 
 
 def grown_spans(docs: DataFrame, rows: DataFrame, width: int = CONTEXT) -> DataFrame:
-    """``rows`` of units that are to go, with the span that goes with each: equal units that overlap or follow
-    each other as those they repeat do are one chain (a similar unit may begin and end elsewhere, and is alone), and a chain takes in the words to both sides that are shared
-    with the text around the units it repeats. Contexts have ``width`` words; a chain whose context is
-    used up is compared again with eight times as many."""
+    """``rows`` of units that are to go, with the span that goes with each: equal units that overlap or
+    follow each other as those they repeat do are one chain (a similar unit may begin and end elsewhere,
+    and is alone), and a chain takes in the words to both sides that are shared with the text around the
+    units it repeats. Contexts have ``width`` words; a chain whose context is used up is compared again
+    with eight times as many."""
     f = F.col("first")
     one = rows.distinct().select(
         F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "word", "words", f["doc_id"].alias("r_id"), f["text_key"].alias("r_key"),
@@ -591,12 +602,13 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     other columns are ignored; an empty table gives no rows."""
     units = written(find_units(docs), "paragraph-units")
     collided = count_hot(written(colliding(docs, hot_keys(docs), bucket_rows), "paragraph-bands"), bucket_rows)
-    place = F.struct("doc_id", "text_key", "start", "size", "word", "words", "content")
+    place = F.struct("doc_id", "text_key", "start", "size", "word")
     near = collided.select("content").distinct().withColumn("near", F.lit(True))
-    classes = written(units.groupBy("content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                      .join(near, "content", "left").filter("n > 1 OR near"), "paragraph-classes")
+    classes = written(units.groupBy("content").agg(F.min(place).alias("first"), F.max("words").alias("words"), F.count(F.lit(1)).alias("n"))
+                      .join(near, "content", "left").filter("n > 1 OR near")
+                      .select("content", F.struct("first.*", "words", "content").alias("first"), "n", "near"), "paragraph-classes")
     sets = written(shingle_sets(docs, classes.filter("near").select("first.doc_id", "first.text_key", "first.start", "first.size", "content")), "paragraph-sets")
-    linked = components(content_links(collided, sets, bucket_rows), "paragraph")
+    linked = components(content_links(one_of_equal_buckets(collided), sets, bucket_rows), "paragraph")
     named = classes.join(linked.withColumnRenamed("node", "content"), "content", "left").select(
         "content", "first", "n", F.coalesce("label", "content").alias("label"))
     total = named.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("n_units")).filter("n_units > 1")
