@@ -25,6 +25,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables in the shared scratch folder that an operator needs for a while; ``free`` removes them
+    once what was made of them is itself written, so they don't pile up on the disk."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._held = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{scratch_dir(self._spark)}/llm/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        table = self._spark.read.schema(df.schema).parquet(path)
+        self._held.append((table, path))
+        return table
+
+    def free(self, *tables: DataFrame) -> None:
+        jvm = getattr(self._spark, "_jvm", None)  # none in a Spark Connect session: the folders stay
+        if jvm is None:
+            return
+        for _, path in [x for x in self._held if any(x[0] is t for t in tables)]:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+        self._held = [x for x in self._held if not any(x[0] is t for t in tables)]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import written
+from landfall.llm.common import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,11 +38,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``(node, label)`` for every node of ``edges (u, v)`` (longs): ``label`` is the smallest node
     reachable. Self-links are ignored; an empty graph gives no rows. Rounds grow with the logarithm
     of the longest chain."""
-    e = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-                f"{name}-edges")
+    scratch = Scratch(edges.sparkSession)
+    e = scratch.written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
+                        f"{name}-edges")
     before = _state(e)
     while before[0]:
-        e = written(_small_star(_large_star(e)), f"{name}-star")
+        last, e = e, scratch.written(_small_star(_large_star(e)), f"{name}-star")
+        scratch.free(last)
         now = _state(e)
         if now == before:
             break

@@ -13,9 +13,12 @@ values: at a similarity of 0.8 a pair is missed with probability (1 - 0.64) ** 7
 few shingles; they use two bands of one value (0.2 ** 2 = 0.04 at 0.8, none for equal pieces).
 Equal units are one content. Different contents that collide in a band are verified by the exact
 Jaccard similarity of their shingle sets, and a band bucket yields a spanning forest of its links.
-Of each component the first unit (by doc_id, then place) stays and the others are to be removed, with
-what they share with its text on both sides: a removed span grows word by word over equal words, and
-over differences as long as the shingles of the whole span stay similar by 0.8 (aligned in order).
+Of each component the first unit (by doc_id, then place) stays and the others are to be removed, but
+for units that overlap it in its own text: a line and the block around it are no copies of each other.
+Of a unit that is similar only what lies between its first and last shingle of the kept unit goes. A
+removed span takes in what it shares with the kept unit's text on both sides: it grows word by word over
+equal words, and over differences as long as the shingles of the whole span stay similar by 0.8 (aligned
+in order). It never overlaps the kept unit, so of exact copies every shingle stays somewhere.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import column_bytes, mix64, run_starts, stream64, text_key, word_hashes, word_spans, written
+from landfall.llm.common import Scratch, column_bytes, mix64, run_starts, stream64, text_key, word_hashes, word_spans
 from landfall.llm.components import components
 
 SHINGLE = 5
@@ -35,9 +38,9 @@ PIECE_WORDS = 7
 REACH = 6
 LINE_BANDS, LINE_ROWS = 7, 2
 PIECE_BANDS = 2
-#: Text handled at once in a task, and band rows gathered before equal contents are dropped there.
+#: Text handled at once in a task, and contents remembered there so that equal ones give their rows once.
 BLOCK_BYTES = 1 << 21
-FLUSH_ROWS = 1 << 19
+SEEN_CONTENTS = 1 << 20
 #: Contents of a band bucket compared at once, and bytes of their shingle sets; a larger bucket is keyed
 #: again on prefix shingles, and one that is still larger is compared block against block.
 BUCKET_ROWS = 1 << 14
@@ -172,37 +175,40 @@ def _blocks(batches):
         yield ids, keys, texts
 
 
-def _find_units(batches):
-    for ids, keys, texts in _blocks(batches):
-        u = Units(texts)
-        at = pa.array(u.text)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()).take(at), pa.array(keys, pa.int64()).take(at), pa.array(u.kind), pa.array(u.start.astype(np.int32)),
-             pa.array(u.size.astype(np.int32)), pa.array(u.word.astype(np.int32)), pa.array(u.words.astype(np.int32)), pa.array(u.content)],
-            ["doc_id", "text_key", "kind", "start", "size", "word", "words", "content"])
+class _Seen:
+    """Contents that a task has met, forgotten from time to time so that it stays bounded."""
 
+    def __init__(self, most: int = SEEN_CONTENTS):
+        self.known, self.most = np.empty(0, dtype=np.int64), most
 
-def _find_bands(batches):
-    held, rows = [], 0
+    def new(self, content: np.ndarray) -> np.ndarray:
+        """Places of the contents that were not met before, each once."""
+        every, at = np.unique(content, return_index=True)
+        if self.known.size:
+            where = np.minimum(np.searchsorted(self.known, every), self.known.size - 1)
+            fresh = self.known[where] != every
+            every, at = every[fresh], at[fresh]
+        self.known = np.sort(np.concatenate([self.known, every]), kind="stable") if self.known.size + every.size <= self.most else every
+        return at
 
-    def flush():
-        key, content = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((content, key))
-        key, content = key[order], content[order]
-        at = run_starts(key, content)
-        for k in range(0, at.size, 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(key[at[k:k + (1 << 16)]]), pa.array(content[at[k:k + (1 << 16)]])], ["key", "content"])
 
-    for _, _, texts in _blocks(batches):
+def _find_units(batches):
+    seen = _Seen()
+    for ids, keys, texts in _blocks(batches):
         u = Units(texts)
         key, unit = u.bands()
-        held.append((key, u.content[unit]))
-        rows += key.size
-        if rows > FLUSH_ROWS:
-            yield from flush()
-            held, rows = [], 0
-    if held:
-        yield from flush()
+        first = np.zeros(u.content.size, dtype=bool)
+        first[seen.new(u.content)] = True
+        own = first[unit]
+        key, unit = key[own], unit[own]
+        order = np.argsort(unit, kind="stable")
+        offset = np.append(0, np.cumsum(np.bincount(unit, minlength=u.content.size)))
+        bands = pa.ListArray.from_arrays(pa.array(offset.astype(np.int32)), pa.array(key[order], pa.int64()))
+        at = pa.array(u.text)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()).take(at), pa.array(keys, pa.int64()).take(at), pa.array(u.kind), pa.array(u.start.astype(np.int32)),
+             pa.array(u.size.astype(np.int32)), pa.array(u.word.astype(np.int32)), pa.array(u.words.astype(np.int32)), pa.array(u.content), bands],
+            ["doc_id", "text_key", "kind", "start", "size", "word", "words", "content", "bands"])
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -210,34 +216,36 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def find_units(docs: DataFrame) -> DataFrame:
-    """Every unit of every whole text; NULL and empty texts have none."""
-    return _source(docs).mapInArrow(_find_units, "doc_id long, text_key long, kind byte, start int, size int, word int, words int, content long")
+    """Every unit of every whole text, with its band keys (once for each content that a task meets, else
+    none); NULL and empty texts have no units."""
+    return _source(docs).mapInArrow(
+        _find_units, "doc_id long, text_key long, kind byte, start int, size int, word int, words int, content long, bands array<long>")
 
 
-def hot_keys(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, contents: int = HOT_CONTENTS) -> list[int]:
-    """Band keys that hold at least ``contents`` different contents in a sample of rows chosen by hash.
+def hot_keys(units: DataFrame, n_docs: int, sample_rows: int = SAMPLE_ROWS, contents: int = HOT_CONTENTS) -> list[int]:
+    """Band keys that hold at least ``contents`` different contents in a sample of texts chosen by hash.
     They only decide how rows are dealt to tasks; every key collides whether or not it is found here."""
-    d = _source(docs)
-    share = sample_rows / max(1, docs.count())
+    share = sample_rows / max(1, n_docs)
     if share < 1:
-        d = d.filter(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    seen = d.mapInArrow(_find_bands, "key long, content long").distinct().groupBy("key").count()
+        units = units.filter(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    seen = units.select(F.explode("bands").alias("key"), "content").distinct().groupBy("key").count()
     top = seen.filter(F.col("count") >= contents).orderBy(F.desc("count"), "key").limit(MOST_HOT)
     return [r["key"] for r in top.collect()]
 
 
-def colliding(docs: DataFrame, hot: list[int], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def colliding(units: DataFrame, hot: list[int], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``(key, content, hot, large)`` of the bands that hold different contents; ``large`` marks keys of
     more than ``bucket_rows`` rows. The rows of a key in ``hot``, which is known to collide, are dealt by
     content, so no task gets them all; they are not counted here."""
-    bands = _source(docs).mapInArrow(_find_bands, "key long, content long")
-    bands = bands.withColumn("hot", F.col("key").isin(hot) if hot else F.lit(False))
-    bands = bands.withColumn("salt", F.when(F.col("hot"), F.col("content")).otherwise(F.lit(0).cast("long")))
-    w = Window.partitionBy("key", "salt")
-    return (bands.select("key", "salt", "content", "hot", F.min("content").over(w).alias("a"), F.max("content").over(w).alias("b"),
+    is_hot = F.col("key").isin(hot) if hot else F.lit(False)
+    dealt = F.xxhash64("key", F.when(is_hot, F.col("content")).otherwise(F.lit(0).cast("long")))
+    bands = units.select(F.explode("bands").alias("key"), "content").repartition(dealt)
+    bands = bands.withColumn("hot", is_hot).withColumn("dealt", dealt)
+    w = Window.partitionBy("dealt", "key")
+    return (bands.select("key", "dealt", "content", "hot", F.min("content").over(w).alias("a"), F.max("content").over(w).alias("b"),
                          F.count(F.lit(1)).over(w).alias("n"))
-            .filter("hot OR a <> b").select("key", "salt", "content", "hot", (~F.col("hot") & (F.col("n") > bucket_rows)).alias("large"))
-            .distinct().drop("salt"))
+            .filter("hot OR a <> b").select("key", "dealt", "content", "hot", (~F.col("hot") & (F.col("n") > bucket_rows)).alias("large"))
+            .distinct().drop("dealt"))
 
 
 def count_hot(collided: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -256,6 +264,8 @@ def _shingle_sets(batches):
             for p in places:
                 if p["content"] in seen:
                     continue
+                if len(seen) >= SEEN_CONTENTS:
+                    seen.clear()
                 seen.add(p["content"])
                 data = np.frombuffer(text[p["start"]:p["start"] + p["size"]].lower(), dtype=np.uint8)
                 h = word_hashes(data, *word_spans(data))
@@ -383,10 +393,12 @@ def one_of_equal_buckets(collided: DataFrame) -> DataFrame:
     return collided.join(each.groupBy("n", "h", "a", "b").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
 
 
-def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES, long_set: int = LONG_SET) -> DataFrame:
+def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES, long_set: int = LONG_SET,
+                  scratch: Scratch | None = None) -> DataFrame:
     """Edges ``(u, v)`` between contents: spanning forests of the verified links of every bucket.
     ``collided (key, content)`` may mark buckets as ``large``; these are keyed again at once, so that
     none moves to one task whole."""
+    scratch = scratch or Scratch(collided.sparkSession)
     large = collided.filter("large") if "large" in collided.columns else collided.limit(0)
     if large.isEmpty():
         large = None
@@ -397,7 +409,7 @@ def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKE
         return rows.join(sets, "content").select("key", "content", "shingles")
 
     def verified(rows, limit, name):
-        found = written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(
+        found = scratch.written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(
             _verify(limit, bucket_bytes), "kind byte, u long, v long, shingles binary"), name)
         over = found.filter("kind = 1").select(F.col("u").alias("key"), F.col("v").alias("content"), "shingles")
         return found.filter("kind = 0").select("u", "v"), over
@@ -442,7 +454,7 @@ def _texts(batches):
         yield from tokenised()
 
 
-def _with_texts(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+def _with_texts(docs: DataFrame, rows: DataFrame, columns: list) -> DataFrame:
     """``text, of_id, of_key, rows``: the rows of each text that has any, once for each place."""
     asked = rows.groupBy("of_id", "of_key").agg(F.collect_list(F.struct(*columns)).alias("rows"))
     d = _source(docs)
@@ -451,14 +463,15 @@ def _with_texts(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFra
 
 
 def _contexts(width: int):
-    """32 bits of the hashes of up to ``width`` words before (nearest first) and after each asked span."""
+    """32 bits of the hashes of up to ``width`` words before (nearest first) and after each asked span,
+    and of its own words where they are asked for."""
 
     def run(batches):
-        rows = []
+        rows, held = [], 0
 
         def flush():
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["r_id", "r_key", "r_begin", "r_end", "context0", "context1"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["r_id", "r_key", "r_begin", "r_end", "context0", "context1", "inner"])
             rows.clear()
             return made
 
@@ -466,9 +479,11 @@ def _contexts(width: int):
             h = (h >> np.uint64(32)).astype(np.uint32)
             for r in asked:
                 x, y = r["r_begin"], r["r_end"]
-                rows.append((i, k, x, y, h[max(0, x - width):x][::-1].tobytes(), h[y:y + width].tobytes()))
-                if len(rows) >= 4096:
+                rows.append((i, k, x, y, h[max(0, x - width):x][::-1].tobytes(), h[y:y + width].tobytes(), h[x:y].tobytes() if r["ends"] else None))
+                held += 4 * (y - x) if r["ends"] else 0
+                if len(rows) >= 4096 or held > BLOCK_BYTES:
                     yield flush()
+                    held = 0
         if rows:
             yield flush()
 
@@ -505,13 +520,31 @@ def grow(own: np.ndarray, other: np.ndarray, shared: int, union: int) -> tuple[i
             return far_a, far_b, *best, own.size > a and other.size - b < SKIP + SHINGLE
 
 
+def shared_ends(own: np.ndarray, other: np.ndarray) -> tuple[int, int, int, int] | None:
+    """Where the first shingle that two runs of words share begins and the last one ends, in either run;
+    None if they share none."""
+    def shingles(h):
+        s = np.zeros(max(0, h.size - SHINGLE + 1), dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(SHINGLE):
+                s = mix64((s + h[k:k + s.size]) * _STEP)
+        return s
+
+    a, b = shingles(own), shingles(other)
+    shared = np.flatnonzero(np.isin(a, b))
+    if not shared.size:
+        return None
+    x, y = int(shared[0]), int(shared[-1])
+    return x, y + SHINGLE, int(np.flatnonzero(b == a[x])[0]), int(np.flatnonzero(b == a[y])[-1]) + SHINGLE
+
+
 _GROWN = ("of_id long, of_key long, begin int, end int, r_id long, r_key long, r_begin int, r_end int, shared long, whole long, "
-          "more0 boolean, more1 boolean, start int, size int, units array<long>")
+          "more0 boolean, more1 boolean, ends boolean, least int, start int, size int, units array<long>")
 
 
 def _grown(width: int):
     names = [c.split()[0] for c in _GROWN.split(", ")]
-    kinds = [*[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.bool_()] * 2, *[pa.int32()] * 2, pa.list_(pa.int64())]
+    kinds = [*[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.bool_()] * 3, *[pa.int32()] * 3, pa.list_(pa.int64())]
 
     def run(batches):
         rows = []
@@ -525,21 +558,31 @@ def _grown(width: int):
             h = (h >> np.uint64(32)).astype(np.uint32)
             for r in asked:
                 at, r_at, s, u = [r["begin"], r["end"]], [r["r_begin"], r["r_end"]], r["shared"], r["whole"]
-                more = [False, False]
+                more, near = [r["more0"], r["more1"]], [np.frombuffer(r[f"context{side}"], dtype=np.uint32) for side in (0, 1)]
+                full = [x.size == width for x in near]
+                if r["ends"]:  # of a similar unit only what lies between its first and last shared shingle
+                    inner = np.frombuffer(r["inner"], dtype=np.uint32)
+                    found = shared_ends(h[at[0]:at[1]], inner)
+                    if found is None:
+                        continue
+                    x, y, r_x, r_y = found
+                    near = [np.concatenate([inner[:r_x][::-1], near[0]]), np.concatenate([inner[r_y:], near[1]])]
+                    at, r_at = [at[0] + x, at[0] + y], [r_at[0] + r_x, r_at[0] + r_y]
+                    more = [r_x < r_y] * 2
+                begun = list(r_at)
+                ends = list(more)
                 # Both sides grow in turn, so that what one side takes counts for the other.
                 for side in (0, 1, 0):
-                    if not r[f"more{side}"]:
+                    if not ends[side]:
                         continue
-                    other = np.frombuffer(r[f"context{side}"], dtype=np.uint32)
-                    full = other.size == width
-                    other = other[abs(r_at[side] - r[("r_begin", "r_end")[side]]):]
+                    other = near[side][abs(r_at[side] - begun[side]):]
                     x = at[side]
-                    own = h[x:] if side else h[:x][::-1]
+                    own = h[x:] if side else h[r["least"]:x][::-1]
                     far, r_far, s, u, spent = grow(own, other, s, u)
                     at[side] += far if side else -far
                     r_at[side] += r_far if side else -r_far
-                    more[side] = bool(full and spent)
-                rows.append((i, k, *at, r["r_id"], r["r_key"], *r_at, s, u, *more, int(start[at[0]]), int(end[at[1] - 1] - start[at[0]]), r["units"]))
+                    more[side] = bool(full[side] and spent)
+                rows.append((i, k, *at, r["r_id"], r["r_key"], *r_at, s, u, *more, False, r["least"], int(start[at[0]]), int(end[at[1] - 1] - start[at[0]]), r["units"]))
             if len(rows) >= 4096:
                 yield flush()
         if rows:
@@ -548,11 +591,13 @@ def _grown(width: int):
     return run
 
 
-def grown_spans(docs: DataFrame, rows: DataFrame, width: int = CONTEXT) -> DataFrame:
+def grown_spans(docs: DataFrame, rows: DataFrame, scratch: Scratch, width: int = CONTEXT) -> DataFrame:
     """``rows`` of units that are to go, with the span that goes with each: equal units that overlap or
     follow each other as those they repeat do are one chain (a similar unit may begin and end elsewhere,
     and is alone), and a chain takes in the words to both sides that are shared with the text around the
-    units it repeats. Contexts have ``width`` words; a chain whose context is used up is compared again
+    units it repeats. A similar unit is first cut back to the shingles it shares with that unit, and goes
+    not at all if it has none (it may be linked through others). In the kept unit's own text a span does
+    not grow over that unit. Contexts have ``width`` words; a chain whose context is used up is compared again
     with eight times as many."""
     f = F.col("first")
     one = rows.distinct().select(
@@ -566,20 +611,24 @@ def grown_spans(docs: DataFrame, rows: DataFrame, width: int = CONTEXT) -> DataF
         F.min("word").alias("begin"), F.max(F.col("word") + F.col("words")).alias("end"), F.min("r_word").alias("r_begin"),
         F.max(F.col("r_word") + F.col("r_words")).alias("r_end"), F.collect_list("unit").alias("units"))
     # What similar units share is not counted.
-    chains = chains.withColumn("shared", F.when(F.col("equal"), F.col("end") - F.col("begin") - (SHINGLE - 1)).otherwise(0).cast("long")).drop("shift", "equal", "chain")
-    todo = written(chains.withColumn("whole", F.col("shared")).withColumn("more0", F.lit(True)).withColumn("more1", F.lit(True)), "paragraph-chains")
+    same_text = F.col("of_id").eqNullSafe(F.col("r_id")) & (F.col("of_key") == F.col("r_key"))
+    chains = (chains.withColumn("shared", F.when(F.col("equal"), F.col("end") - F.col("begin") - (SHINGLE - 1)).otherwise(0).cast("long"))
+              .withColumn("ends", ~F.col("equal")).withColumn("least", F.when(same_text, F.least("begin", "r_end")).otherwise(0))
+              .drop("shift", "equal", "chain"))
+    todo = scratch.written(chains.withColumn("whole", F.col("shared")).withColumn("more0", F.lit(True)).withColumn("more1", F.lit(True)), "paragraph-chains")
     done = []
     while True:
         place = ["r_id", "r_key", "r_begin", "r_end"]
-        asked = todo.select(F.col("r_id").alias("of_id"), F.col("r_key").alias("of_key"), "r_begin", "r_end").distinct()
-        near = _with_texts(docs, asked, ["r_begin", "r_end"]).mapInArrow(
-            _contexts(width), "r_id long, r_key long, r_begin int, r_end int, context0 binary, context1 binary")
+        asked = todo.groupBy(F.col("r_id").alias("of_id"), F.col("r_key").alias("of_key"), "r_begin", "r_end").agg(F.max("ends").alias("ends"))
+        near = _with_texts(docs, asked, ["r_begin", "r_end", "ends"]).mapInArrow(
+            _contexts(width), "r_id long, r_key long, r_begin int, r_end int, context0 binary, context1 binary, inner binary")
         # A NULL id as two columns, so that one exchange serves both the grouping and the join.
         known = lambda d: d.withColumn("no_id", F.col("r_id").isNull()).withColumn("r_id", F.coalesce("r_id", F.lit(0).cast("long")))
         asked = known(todo).join(known(near).dropDuplicates([*place, "no_id"]), [*place, "no_id"])
         asked = asked.withColumn("r_id", F.when(~F.col("no_id"), F.col("r_id")))
-        texts = _with_texts(docs, asked, ["begin", "end", *place, "shared", "whole", "more0", "more1", "units", "context0", "context1"])
-        grown = written(texts.mapInArrow(_grown(width), _GROWN), "paragraph-grown")
+        texts = _with_texts(docs, asked, ["begin", "end", *place, "shared", "whole", "more0", "more1", "ends", "least", "units", "context0", "context1",
+                                           F.when(F.col("ends"), F.col("inner")).alias("inner")])
+        grown = scratch.written(texts.mapInArrow(_grown(width), _GROWN), "paragraph-grown")
         done.append(grown.filter("NOT more0 AND NOT more1"))
         todo = grown.filter("more0 OR more1").distinct()
         if todo.isEmpty():
@@ -594,29 +643,42 @@ def grown_spans(docs: DataFrame, rows: DataFrame, width: int = CONTEXT) -> DataF
 def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per unit that repeats in ``docs (doc_id, text, ...)``: ``doc_id, text_key, kind, start,
     size`` (bytes of the UTF-8 text), ``words``, ``component_id`` (smallest doc_id with a unit of the
-    component), ``n_units`` of the component, and ``kept`` (true for its first unit). The span of a unit
-    that is not kept takes in what its text shares with the first unit's text on both sides of it.
+    component), ``n_units`` (the first unit and those that don't overlap it), and ``kept`` (true for the
+    first unit). The span of a unit that is not kept takes in what its text shares with the first unit's
+    text on both sides of it.
 
     Units are ordered by doc_id (NULL first), text key and start. NULL, empty and short texts have no
     units; rows that repeat whole (id and text) count as one place, so both are kept or cut alike;
     other columns are ignored; an empty table gives no rows."""
-    units = written(find_units(docs), "paragraph-units")
-    collided = count_hot(written(colliding(docs, hot_keys(docs), bucket_rows), "paragraph-bands"), bucket_rows)
+    scratch = Scratch(docs.sparkSession)
+    units = scratch.written(find_units(docs), "paragraph-units")
+    bands = scratch.written(colliding(units, hot_keys(units, docs.count()), bucket_rows), "paragraph-bands")
+    collided = count_hot(bands, bucket_rows)
     place = F.struct("doc_id", "text_key", "start", "size", "word")
     near = collided.select("content").distinct().withColumn("near", F.lit(True))
-    classes = written(units.groupBy("content").agg(F.min(place).alias("first"), F.max("words").alias("words"), F.count(F.lit(1)).alias("n"))
-                      .join(near, "content", "left").filter("n > 1 OR near")
-                      .select("content", F.struct("first.*", "words", "content").alias("first"), "n", "near"), "paragraph-classes")
-    sets = written(shingle_sets(docs, classes.filter("near").select("first.doc_id", "first.text_key", "first.start", "first.size", "content")), "paragraph-sets")
-    linked = components(content_links(one_of_equal_buckets(collided), sets, bucket_rows), "paragraph")
+    classes = scratch.written(units.groupBy("content").agg(F.min(place).alias("first"), F.max("words").alias("words"), F.count(F.lit(1)).alias("n"))
+                              .join(near, "content", "left").filter("n > 1 OR near")
+                              .select("content", F.struct("first.*", "words", "content").alias("first"), "n", "near"), "paragraph-classes")
+    sets = scratch.written(shingle_sets(docs, classes.filter("near").select("first.doc_id", "first.text_key", "first.start", "first.size", "content")), "paragraph-sets")
+    linked = components(content_links(one_of_equal_buckets(collided), sets, bucket_rows, scratch=scratch), "paragraph")
+    scratch.free(bands, sets)
     named = classes.join(linked.withColumnRenamed("node", "content"), "content", "left").select(
         "content", "first", "n", F.coalesce("label", "content").alias("label"))
     total = named.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("n_units")).filter("n_units > 1")
-    total = written(named.select("content", "label").join(total, "label").select("content", "first", "n_units"), "paragraph-named")
-    same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_key") == F.col("text_key")) & (F.col("first.start") == F.col("start"))
-    rows = written(units.join(total, "content").withColumn("kept", same), "paragraph-repeats")
+    total = scratch.written(named.select("content", "label").join(total, "label").select("content", "first", "n_units"), "paragraph-named")
+    scratch.free(classes)
+    f = F.col("first")
+    same_text = f["doc_id"].eqNullSafe(F.col("doc_id")) & (f["text_key"] == F.col("text_key"))
+    # Units that overlap the kept one in its own text are no repeats of it.
+    own = same_text & (F.col("start") < f["start"] + f["size"]) & (f["start"] < F.col("start") + F.col("size"))
+    rows = scratch.written(units.drop("bands").join(total, "content").withColumn("own", own)
+                           .withColumn("kept", same_text & (F.col("start") == f["start"]) & (F.col("size") == f["size"])), "paragraph-repeats")
+    scratch.free(units, total)
+    around = rows.filter("own").groupBy(f["content"].alias("of")).agg(F.count(F.lit(1)).alias("n_own"))
+    rows = rows.join(around, f["content"] == F.col("of"), "left").drop("of")
+    rows = rows.withColumn("n_units", F.col("n_units") - F.coalesce("n_own", F.lit(1)) + 1).drop("n_own").filter("n_units > 1")
     kept = rows.filter("kept").select("doc_id", "text_key", "kind", "start", "size", "words", F.col("first.doc_id").alias("component_id"), "n_units", "kept")
-    spans = grown_spans(docs, rows.filter("NOT kept").drop("kept", "start", "size")).withColumn("unit", F.explode("units"))
+    spans = grown_spans(docs, rows.filter("NOT own").drop("kept", "own", "start", "size"), scratch).withColumn("unit", F.explode("units"))
     return kept.union(spans.select(
         F.col("of_id").alias("doc_id"), F.col("of_key").alias("text_key"), F.pmod("unit", F.lit(4)).cast("byte").alias("kind"), "start", "size",
         (F.col("end") - F.col("begin")).alias("words"), F.col("r_id").alias("component_id"), F.shiftright("unit", 2).alias("n_units"), F.lit(False).alias("kept")))
