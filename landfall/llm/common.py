@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -40,6 +41,8 @@ class Scratch:
         return table
 
     def free(self, *tables: DataFrame) -> None:
+        """Removes ``tables``; shuffle files of jobs that are over go too, which Spark does only when
+        the driver's garbage is collected."""
         jvm = getattr(self._spark, "_jvm", None)  # none in a Spark Connect session: the folders stay
         if jvm is None:
             return
@@ -47,6 +50,8 @@ class Scratch:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
         self._held = [x for x in self._held if not any(x[0] is t for t in tables)]
+        gc.collect()
+        jvm.System.gc()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

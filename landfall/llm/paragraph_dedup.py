@@ -131,11 +131,26 @@ class Units:
                 s = (s + self.hash[at + k]) * _STEP
             return mix64(s), n
 
+    def _distinct(self, s, n):
+        """How many different shingles each unit has."""
+        unit = np.repeat(np.arange(n.size), n)
+        with np.errstate(over="ignore"):
+            own = mix64(s + unit.astype(np.uint64) * _STEP)
+        every = np.sort(own)
+        again = every[1:][every[1:] == every[:-1]]
+        if not again.size:
+            return n
+        few = np.flatnonzero(np.isin(own, again))
+        order = few[np.lexsort((s[few], unit[few]))]
+        first = run_starts(unit[order], s[order])
+        return n - np.bincount(unit[order], minlength=n.size) + np.bincount(unit[order][first], minlength=n.size)
+
     def bands(self):
-        """Rows (key, unit): the band keys of every unit."""
+        """Rows (key, unit): the band keys of every unit; and the different shingles of each unit."""
         if not self.first.size:
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+            return (np.empty(0, dtype=np.int64),) * 3
         s, n = self.shingles()
+        distinct = self._distinct(s, n)
         # Fewer than four shingles are similar to another set only if it is the same set: words of a period up to three.
         at = self.first[:, None] + np.arange(4)
         h = self.hash[at]
@@ -155,7 +170,7 @@ class Units:
                     unit = np.arange(size.size) + (lines if kind == PIECE else 0)
                     keys.append(mix64(key + _SEED[40 + 10 * kind + b]).view(np.int64)[can[unit]])
                     units.append(unit[can[unit]])
-        return np.concatenate(keys), np.concatenate(units)
+        return np.concatenate(keys), np.concatenate(units), distinct
 
 
 def _blocks(batches):
@@ -196,7 +211,7 @@ def _find_units(batches):
     seen = _Seen()
     for ids, keys, texts in _blocks(batches):
         u = Units(texts)
-        key, unit = u.bands()
+        key, unit, distinct = u.bands()
         first = np.zeros(u.content.size, dtype=bool)
         first[seen.new(u.content)] = True
         own = first[unit]
@@ -207,8 +222,9 @@ def _find_units(batches):
         at = pa.array(u.text)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()).take(at), pa.array(keys, pa.int64()).take(at), pa.array(u.kind), pa.array(u.start.astype(np.int32)),
-             pa.array(u.size.astype(np.int32)), pa.array(u.word.astype(np.int32)), pa.array(u.words.astype(np.int32)), pa.array(u.content), bands],
-            ["doc_id", "text_key", "kind", "start", "size", "word", "words", "content", "bands"])
+             pa.array(u.size.astype(np.int32)), pa.array(u.word.astype(np.int32)), pa.array(u.words.astype(np.int32)),
+             pa.array(u.content), pa.array(distinct.astype(np.int32)), bands],
+            ["doc_id", "text_key", "kind", "start", "size", "word", "words", "content", "distinct", "bands"])
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -216,10 +232,10 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def find_units(docs: DataFrame) -> DataFrame:
-    """Every unit of every whole text, with its band keys (once for each content that a task meets, else
+    """Every unit of every whole text, with the number of its different shingles and its band keys (once for each content that a task meets, else
     none); NULL and empty texts have no units."""
     return _source(docs).mapInArrow(
-        _find_units, "doc_id long, text_key long, kind byte, start int, size int, word int, words int, content long, bands array<long>")
+        _find_units, "doc_id long, text_key long, kind byte, start int, size int, word int, words int, content long, distinct int, bands array<long>")
 
 
 def hot_keys(units: DataFrame, n_docs: int, sample_rows: int = SAMPLE_ROWS, contents: int = HOT_CONTENTS) -> list[int]:
@@ -248,6 +264,17 @@ def colliding(units: DataFrame, hot: list[int], bucket_rows: int = BUCKET_ROWS)
             .distinct().drop("dealt"))
 
 
+def comparable(collided: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``collided`` without the contents that are too small or too large for all others of their bucket:
+    sets of a similarity of 0.8 or more differ in size by a fifth at most. Hot and large buckets stay."""
+    open_ = F.col("hot") | F.col("large")
+    w = Window.partitionBy("key").orderBy("distinct")
+    rows = (collided.filter(~open_).join(sizes.select("content", "distinct"), "content")
+            .withColumn("less", F.lag("distinct").over(w)).withColumn("more", F.lead("distinct").over(w)))
+    fits = (F.col("less") * 5 >= F.col("distinct") * 4) | (F.col("distinct") * 5 >= F.col("more") * 4)
+    return rows.filter(fits).select(*collided.columns).union(collided.filter(open_))
+
+
 def count_hot(collided: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``colliding`` with ``large`` told for hot keys too (of which there are ``MOST_HOT`` at most)."""
     over = collided.filter("hot").groupBy("key").count().filter(F.col("count") > bucket_rows)
@@ -631,6 +658,7 @@ def grown_spans(docs: DataFrame, rows: DataFrame, scratch: Scratch, width: int =
         grown = scratch.written(texts.mapInArrow(_grown(width), _GROWN), "paragraph-grown")
         done.append(grown.filter("NOT more0 AND NOT more1"))
         todo = grown.filter("more0 OR more1").distinct()
+        scratch.free()
         if todo.isEmpty():
             break
         width *= 8
@@ -653,15 +681,19 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     scratch = Scratch(docs.sparkSession)
     units = scratch.written(find_units(docs), "paragraph-units")
     bands = scratch.written(colliding(units, hot_keys(units, docs.count()), bucket_rows), "paragraph-bands")
-    collided = count_hot(bands, bucket_rows)
+    sizes = units.join(bands.select("content").distinct(), "content", "left_semi").groupBy("content").agg(F.max("distinct").alias("distinct"))
+    pairs = scratch.written(comparable(count_hot(bands, bucket_rows), sizes), "paragraph-pairs")
+    scratch.free(bands)
+    collided = pairs
     place = F.struct("doc_id", "text_key", "start", "size", "word")
     near = collided.select("content").distinct().withColumn("near", F.lit(True))
     classes = scratch.written(units.groupBy("content").agg(F.min(place).alias("first"), F.max("words").alias("words"), F.count(F.lit(1)).alias("n"))
                               .join(near, "content", "left").filter("n > 1 OR near")
                               .select("content", F.struct("first.*", "words", "content").alias("first"), "n", "near"), "paragraph-classes")
     sets = scratch.written(shingle_sets(docs, classes.filter("near").select("first.doc_id", "first.text_key", "first.start", "first.size", "content")), "paragraph-sets")
+    scratch.free()
     linked = components(content_links(one_of_equal_buckets(collided), sets, bucket_rows, scratch=scratch), "paragraph")
-    scratch.free(bands, sets)
+    scratch.free(pairs, sets)
     named = classes.join(linked.withColumnRenamed("node", "content"), "content", "left").select(
         "content", "first", "n", F.coalesce("label", "content").alias("label"))
     total = named.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("n_units")).filter("n_units > 1")
@@ -671,7 +703,7 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     same_text = f["doc_id"].eqNullSafe(F.col("doc_id")) & (f["text_key"] == F.col("text_key"))
     # Units that overlap the kept one in its own text are no repeats of it.
     own = same_text & (F.col("start") < f["start"] + f["size"]) & (f["start"] < F.col("start") + F.col("size"))
-    rows = scratch.written(units.drop("bands").join(total, "content").withColumn("own", own)
+    rows = scratch.written(units.drop("bands", "distinct").join(total, "content").withColumn("own", own)
                            .withColumn("kept", same_text & (F.col("start") == f["start"]) & (F.col("size") == f["size"])), "paragraph-repeats")
     scratch.free(units, total)
     around = rows.filter("own").groupBy(f["content"].alias("of")).agg(F.count(F.lit(1)).alias("n_own"))
