@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from landfall.llm import (
     byte_bpe,
     chat_format,
+    curve_search,
     language_id,
     lm_scoring,
     paragraph_dedup,
     quality_rules,
     quartile_digest,
+    ranked_search,
     simhash_dedup,
     token_counts,
     vector_packing,
+    whitening,
 )
 from landfall.llm.common import documents, fold
 
@@ -68,6 +71,18 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.repeated_units(documents(spark, sf_dir)).drop("text_key")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_search.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,7 +91,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_language_id, op3_token_counts, op4_lm_scoring, op5_simhash_dedup, op6_byte_bpe,
-    op7_chat_format, op8_quartile_digest, op9_vector_packing, op10_paragraph_dedup, pipeline)}
+    op7_chat_format, op8_quartile_digest, op9_vector_packing, op10_paragraph_dedup,
+    op11_whitening, op12_ranked_search, op13_curve_search, pipeline)}
 
 ORACLE = {
     "op1_quality_rules": r"""
@@ -129,5 +145,28 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length(escaped) - 1 + length('<|im_start|><|im_sep|><|im_end|>')) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
+""",
+    "op12_ranked_search": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), whole AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes
+), held AS (
+  SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, whole GROUP BY term
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), whole GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 50
 """,
 }
