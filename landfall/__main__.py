@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 
 from landfall.plans.feeds import ALL_FEEDS, BY_NAME
 from landfall.plans.run import run_load
+from landfall.sinks.audit import compact_audit
 from landfall.streaming.intake import start_intake, start_notified_intake
 
 
@@ -41,8 +42,9 @@ def main(argv=None) -> int:
     ld.add_argument("--lake", required=True)
     ld.add_argument("--audit", required=True)
     ld.add_argument("--long_rows", choices=("fail", "quarantine"))
-    ld.add_argument("--multi_line", choices=("true", "false"), default="true",
-                    help="whether fields may hold line breaks; files of a feed without them split")
+    ld.add_argument("--multi_line", choices=("true", "false"),
+                    help="whether fields may hold line breaks (default: as the feed declares); files of a feed without them split")
+    ld.add_argument("--reconcile", choices=("rows", "content"), help="compare the target's row count, or all its values")
     ld.add_argument("--jdbc_url", help="also replace a database table with the loaded snapshot")
     ld.add_argument("--jdbc_table")
     ld.add_argument("--jdbc_user")
@@ -58,19 +60,25 @@ def main(argv=None) -> int:
     it.add_argument("--checkpoint", help="default: a folder under spark.checkpoint.dir")
     it.add_argument("--glob")
     it.add_argument("--unit", choices=("file", "directory"), default="file")
+    it.add_argument("--marker", help="name of the file that a producer writes last into a landed folder (unit directory)")
     it.add_argument("--poll", help="poll interval; without it, take what has landed and stop")
     it.add_argument("--archive_dir")
+    co = sub.add_parser("compact", help="put the audit's rows into few files")
+    co.add_argument("--audit", required=True)
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"landfall-{a.cmd}").getOrCreate()
+    if a.cmd == "compact":
+        print(json.dumps({"epoch": compact_audit(spark, a.audit)}))
+        return 0
     if a.cmd == "load":
         spec = BY_NAME[a.feed]
-        opts = {"multi_line": a.multi_line == "true"}
-        if a.long_rows:
-            opts["long_rows"] = a.long_rows
+        opts = {k: v for k in ("long_rows", "reconcile") if (v := getattr(a, k))}
+        if a.multi_line:
+            opts["multi_line"] = a.multi_line == "true"
         out = run_load(spark, spec.with_options(**opts), a.input_path, lake_root=a.lake, audit_root=a.audit,
                        jdbc=jdbc_options(a.jdbc_url, a.jdbc_table or spec.target, a.jdbc_user))
-        print(json.dumps(asdict(out)))
+        print(json.dumps(asdict(out), default=str))
         return 0 if out.status == "SUCCEEDED" else 1
     jdbc = {s.name: o for s in ALL_FEEDS if (o := jdbc_options(a.jdbc_url, s.target, a.jdbc_user))}
     if a.events:
@@ -80,7 +88,7 @@ def main(argv=None) -> int:
         return 0
     q = start_intake(spark, a.landing, ALL_FEEDS, lake_root=a.lake, audit_root=a.audit,
                      checkpoint=a.checkpoint, glob=a.glob, unit=a.unit,
-                     available_now=a.poll is None, processing_time=a.poll, archive_dir=a.archive_dir, jdbc=jdbc)
+                     available_now=a.poll is None, processing_time=a.poll, archive_dir=a.archive_dir, jdbc=jdbc, marker=a.marker)
     q.awaitTermination()
     return 0
 

@@ -48,7 +48,7 @@ def given_name(c) -> Column:
     return F.nullif(F.regexp_extract(t, rf"(?U){_WORD}{_WS}+({_WORD}+)$", 1), F.lit(""))
 
 
-# Wording of the outcome notice and the default error text.
+# Fixed value: the text for an outcome without an error of its own.
 NO_ERROR_TEXT = "No error message provided"
 
 

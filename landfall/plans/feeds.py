@@ -2,7 +2,9 @@
 
 Fixed values: the column names each feed's rules read and the output order of
 the two closed feeds are the data contract of the landing files and must stay
-as they are. Prefixes and target names are this library's defaults; a
+as they are. Their producers write no line break inside a field, so big files
+split; a file with such a break fails its load and needs
+``with_options(multi_line=True)``. Prefixes and target names are this library's defaults; a
 deployment passes its own with ``FeedSpec.with_options(prefix=..., target=...)``.
 """
 
@@ -25,6 +27,7 @@ DEMOGRAPHICS = FeedSpec(
     name="demographics",
     prefix="patient_demographics",
     target="patient_demographics",
+    multi_line=False,
     fill_missing=True,
     rules=(
         DateText("Patient DOB", strict=False),
@@ -39,6 +42,7 @@ APPOINTMENTS = FeedSpec(
     name="appointments",
     prefix="appointments",
     target="appointments",
+    multi_line=False,
     rules=(
         TimeText("Appointment Time"),
         DateText("Appointment Date"),
@@ -58,6 +62,7 @@ PROVIDERS = FeedSpec(
     name="providers",
     prefix="providers",
     target="providers",
+    multi_line=False,
     rules=(
         DateText("Start Date"),
         DateText("End Date"),
@@ -77,6 +82,7 @@ VISITS = FeedSpec(
     name="visits",
     prefix="patient_visits",
     target="patient_visits",
+    multi_line=False,
     fill_missing=True,
     rules=(
         DateText("Admit Date or Service Date"),
@@ -90,6 +96,7 @@ RX_ORDERS = FeedSpec(
     name="rx_orders",
     prefix="rx_orders",
     target="rx_orders",
+    multi_line=False,
     rules=(
         Rename("pharmacyid", "Pharmacy ID"),
         DateText("Date Sent"),

@@ -34,6 +34,9 @@ FILE_NAMES = {
     "lineitem_bytes": "rx_orders_bytes_20240105.txt",
     "providers_bad": "providers_bad_20240105.txt",
     "providers_missing": "providers_missing_20240105.txt",
+    "documents_crlf": "documents_crlf_20240105.txt",
+    "visits_breaks": "patient_visits_breaks_20240105.txt",
+    "rx_orders_old": "rx_orders_20240104.txt",
     "visits_wave": "patient_visits_20240105_{wave}.txt",
 }
 
@@ -165,12 +168,20 @@ def _parts(spark: SparkSession) -> int:
     return max(2, parallelism(spark))
 
 
-def write_landing(spark: SparkSession, df: DataFrame, path: str, sep: str = "|") -> None:
+def write_landing(spark: SparkSession, df: DataFrame, path: str, sep: str = "|", line_sep: str | None = None) -> None:
     """A landing folder with the source's own partitions as its parts."""
-    write_delimited(df, path, sep=sep)
+    write_delimited(df, path, sep=sep, line_sep=line_sep)
 
 
-def land(spark: SparkSession, sf_dir: str, key: str, make, sep: str = "|") -> str:
+def write_marker(spark: SparkSession, path: str) -> None:
+    """A producer's marker: a file of one line end."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(at, True)
+    out.write(10)
+    out.close()
+
+
+def land(spark: SparkSession, sf_dir: str, key: str, make, sep: str = "|", line_sep: str | None = None) -> str:
     """Write ``make()`` once as a landing folder named ``FILE_NAMES[key]``.
 
     Its parts are the source's partitions, so a load of the folder reads in
@@ -179,7 +190,7 @@ def land(spark: SparkSession, sf_dir: str, key: str, make, sep: str = "|") -> st
     path = f"{landing_root(spark, sf_dir)}/{FILE_NAMES[key]}"
     with _lock:
         if _written.get(path) != "ok":
-            write_landing(spark, make(), path, sep)
+            write_landing(spark, make(), path, sep, line_sep)
             _written[path] = "ok"
     return path
 

@@ -187,7 +187,7 @@ FROM (SELECT o_orderkey, {_ORDER_STATE.format(open='RUNNING')} AS state FROM ord
     "count_rows": "SELECT count(*) AS rows_read FROM orders",
     "reconcile": f"""
 SELECT 'visits' AS feed, '{FN['visits']}' AS file, 'SUCCEEDED' AS status, count(*) AS rows_read,
-       CAST(0 AS BIGINT) AS rows_quarantined, count(*) AS rows_target
+       CAST(0 AS BIGINT) AS rows_quarantined, count(*) AS rows_target, true AS content_equal
 FROM orders""",
     "head_rows": f"""
 SELECT * FROM ({VISITS}) ORDER BY "Visit ID" LIMIT 10""",
@@ -204,18 +204,42 @@ FROM lineitem""",
     "load_audit": f"""
 SELECT 'demographics' AS feed, '{FN['demographics']}' AS file, 'SUCCEEDED' AS status,
        count(*) AS rows_read, count(*) AS rows_target, CAST(NULL AS VARCHAR) AS error_type,
-       'The load demographics has SUCCEEDED for file {FN['demographics']}.' AS message
+       'The load demographics has SUCCEEDED for file {FN['demographics']}.' AS message,
+       count(*) FILTER (WHERE c_custkey % 17 = 0) AS lost_dates, CAST(0 AS BIGINT) AS lost_phones
 FROM customer
 UNION ALL
 SELECT 'providers', '{FN['providers_bad']}', 'FAILED', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'DataError',
-       'The load providers has FAILED for file {FN['providers_bad']}. Error: load check failed: feed providers, column Start Date: unreadable date'
+       'The load providers has FAILED for file {FN['providers_bad']}. Error: load check failed: feed providers, column Start Date: unreadable date', NULL, NULL
 UNION ALL
 SELECT 'providers', '{FN['providers_missing']}', 'FAILED', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-       'SourceMissing', 'The load providers has FAILED for file {FN['providers_missing']}. Error: source not found'
+       'SourceMissing', 'The load providers has FAILED for file {FN['providers_missing']}. Error: source not found', NULL, NULL
 UNION ALL
 SELECT 'appointments', '{FN['visits']}', 'FAILED', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'HeaderError',
        'The load appointments has FAILED for file {FN['visits']}. Error: missing required columns: '
-       || '[''Appointment Time'', ''Appointment Date'', ''Provider Name'']'""",
+       || '[''Appointment Time'', ''Appointment Date'', ''Provider Name'']', NULL, NULL""",
+    "line_ends": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+       nullif(replace(text, chr(10), CASE WHEN doc_id % 2 = 0 THEN chr(13) || chr(10) ELSE chr(13) END), '') AS text
+FROM documents""",
+    "quoted_breaks": f"""
+SELECT 'visits' AS feed, '{FN['visits_breaks']}' AS file, 'FAILED' AS status, CAST(NULL AS BIGINT) AS rows_target,
+       CAST(count(*) AS VARCHAR) || ' lines hold a quoted field with a line break; load feed visits with multi_line=True' AS error
+FROM orders WHERE o_orderkey % 64 = 1
+UNION ALL
+SELECT 'visits', '{FN['visits_breaks']}', 'SUCCEEDED', count(*), NULL FROM orders""",
+    "pointer_by_arrival": RX_ORDERS,
+    "dead_letters": """
+SELECT 'providers' AS feed, 'ERROR' AS status, CAST(n AS INTEGER) AS attempt, count(*) AS rows_target, true AS given_up
+FROM part, range(1, 4) AS tries(n) GROUP BY n
+UNION ALL SELECT 'providers', 'DEAD', 3, NULL, true
+UNION ALL SELECT 'visits', 'SUCCEEDED', 1, count(*), false FROM orders""",
+    "audit_epochs": """
+SELECT 'visits' AS feed, 'SUCCEEDED' AS status, CAST(2 AS BIGINT) AS loads, CAST(2 * count(*) AS BIGINT) AS rows_target FROM orders
+UNION ALL SELECT 'providers', 'SUCCEEDED', 1, count(*) FROM part
+UNION ALL SELECT 'demographics', 'SUCCEEDED', 1, count(*) FROM customer""",
+    "whole_drops": f"""
+SELECT '{FN['visits_wave'].format(wave='w1')}' AS file, 'SUCCEEDED' AS status, count(*) AS rows_target FROM orders
+UNION ALL SELECT '{FN['visits_wave'].format(wave='w2')}', 'HELD', NULL""",
     "file_intake": f"""
 SELECT {VISITS_COLUMNS},
        'w3' AS "Wave",

@@ -22,19 +22,20 @@ from landfall.operators.projection import (
 from landfall.plans import landings as L
 from landfall.plans.feeds import APPOINTMENTS, DEMOGRAPHICS, PROVIDERS, RX_ORDERS, VISITS
 from landfall.plans.load import build_load
-from landfall.plans.run import run_load
+from landfall.plans.run import run_arrival, run_load
 from landfall.plans.spec import FeedSpec, LoadStamp, FileName
 from landfall.session import scratch_dir
-from landfall.sinks.audit import read_audit
+from landfall.sinks.audit import compact_audit, dead_letters, read_audit
 from landfall.sinks.lake import read_current
 from landfall.sources.delimited import (
     CORRUPT,
     read_delimited,
+    read_head,
     read_header,
     read_table_text,
     utf8_report,
 )
-from landfall.streaming.intake import start_intake
+from landfall.streaming.intake import pending_folders, start_intake
 
 STAMP = L.FIXED_STAMP
 FN = L.FILE_NAMES
@@ -81,6 +82,18 @@ def scan_quoted(spark, sf):
     return read_delimited(spark, path, read_header(spark, path), multi_line=True).drop(CORRUPT)
 
 
+def q_line_ends(spark, sf):
+    """S2 in a file with CR LF record ends: line ends inside quoted fields stay as landed, in whole
+    document texts whose lines end in CR LF (which the export makes of a line feed) or in CR."""
+    def make():
+        d = L.table(spark, sf, "documents")
+        text = F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(F.replace("text", F.lit("\n"), F.lit("\r")))
+        return d.select(F.col("doc_id").cast("string").alias("doc_id"), text.alias("text"))
+    path = L.land(spark, sf, "documents_crlf", make, line_sep="\r\n")
+    header, line_sep = read_head(spark, path)
+    return read_delimited(spark, path, header, line_sep=line_sep).drop(CORRUPT)
+
+
 def scan_comma(spark, sf):
     """K5 then S3: comma export with header, read back as text."""
     def make():
@@ -221,11 +234,13 @@ def q_count_rows(spark, sf):
 
 
 def q_reconcile(spark, sf):
+    """A3 over counts and content: the checksum observed in the write and that of the snapshot."""
     d = _run_dir(spark, "reconcile")
-    out = run_load(spark, VISITS, L.land_feed(spark, sf, "visits"), lake_root=f"{d}/lake",
+    out = run_load(spark, VISITS.with_options(reconcile="content"), L.land_feed(spark, sf, "visits"), lake_root=f"{d}/lake",
                    audit_root=f"{d}/audit", load_ts=STAMP)
     return (read_audit(spark, f"{d}/audit").filter(F.col("load_id") == out.load_id)
-            .select("feed", "file", "status", "rows_read", "rows_quarantined", "rows_target"))
+            .select("feed", "file", "status", "rows_read", "rows_quarantined", "rows_target",
+                    (F.col("sum_written") == F.col("sum_target")).alias("content_equal")))
 
 
 def q_head_rows(spark, sf):
@@ -273,7 +288,78 @@ def q_load_audit(spark, sf):
     run_load(spark, PROVIDERS, f"{L.landing_root(spark, sf)}/{FN['providers_missing']}", **kw)
     run_load(spark, APPOINTMENTS, L.land_feed(spark, sf, "visits"), **kw)
     return read_audit(spark, f"{d}/audit").select(
-        "feed", "file", "status", "rows_read", "rows_target", "error_type", "message")
+        "feed", "file", "status", "rows_read", "rows_target", "error_type", "message",
+        F.col("lost_values")["Patient DOB"].alias("lost_dates"), F.col("lost_values")["Patient Phone Number"].alias("lost_phones"))
+
+
+def q_quoted_breaks(spark, sf):
+    """S1's guard in a load: a feed that splits its files fails one with a quoted line break and loads
+    it with ``multi_line``."""
+    d = _run_dir(spark, "breaks")
+    kw = dict(lake_root=f"{d}/lake", audit_root=f"{d}/audit", load_ts=STAMP)
+
+    def make():
+        note = F.when(F.col("Visit ID").cast("bigint") % 64 == 1, F.concat("Priority", F.lit("\nnext line"))).otherwise(F.concat(F.lit('5" '), "Priority"))
+        return L.visits_source(spark, sf).withColumn("Note", note)
+
+    path = L.land(spark, sf, "visits_breaks", make)
+    run_load(spark, VISITS, path, **kw)
+    run_load(spark, VISITS.with_options(multi_line=True), path, **kw)
+    return read_audit(spark, f"{d}/audit").select("feed", "file", "status", "rows_target", "error")
+
+
+def q_pointer_by_arrival(spark, sf):
+    """K3: the older of two files is loaded last; the newer one's rows stay current."""
+    d = _run_dir(spark, "pointer")
+    kw = dict(lake_root=f"{d}/lake", audit_root=f"{d}/audit", load_ts=STAMP)
+    run_load(spark, RX_ORDERS, L.land_feed(spark, sf, "rx_orders"), arrived=2_000_000, **kw)
+    old = L.land(spark, sf, "rx_orders_old", lambda: L.rx_orders_source(spark, sf).withColumn("Quantity", F.lit("0")))
+    run_load(spark, RX_ORDERS, old, arrived=1_000_000, **kw)
+    return read_current(spark, f"{d}/lake/{RX_ORDERS.target}", f"{d}/audit", RX_ORDERS.target)
+
+
+def q_dead_letters(spark, sf):
+    """T4: an arrival whose database copy fails with an unexpected error is given up after three
+    attempts; another feed's file loads."""
+    d = _run_dir(spark, "dead")
+    kw = dict(lake_root=f"{d}/lake", audit_root=f"{d}/audit", load_ts=STAMP)
+    nowhere = {"url": "jdbc:nowhere:x", "table": "t"}
+    for _ in range(4):
+        try:
+            run_arrival(spark, PROVIDERS, L.land_feed(spark, sf, "providers"), "fixed", jdbc=nowhere, **kw)
+        except Exception:  # noqa: BLE001 - a stream would be started again
+            pass
+        run_arrival(spark, VISITS, L.land_feed(spark, sf, "visits"), "fixed", **kw)
+    dead = dead_letters(spark, f"{d}/audit").select("load_id", F.lit(True).alias("dead"))
+    return (read_audit(spark, f"{d}/audit").join(dead, "load_id", "left")
+            .select("feed", "status", "attempt", "rows_target", F.coalesce("dead", F.lit(False)).alias("given_up")))
+
+
+def q_audit_epochs(spark, sf):
+    """The audit of many loads, compacted twice with loads in between, read as one table."""
+    d = _run_dir(spark, "epochs")
+    kw = dict(lake_root=f"{d}/lake", audit_root=f"{d}/audit", load_ts=STAMP)
+    for wave in (("visits", VISITS), ("providers", PROVIDERS)), (("visits", VISITS),), (("demographics", DEMOGRAPHICS),):
+        for key, spec in wave:
+            run_load(spark, spec, L.land_feed(spark, sf, key), **kw)
+        if key != "demographics":
+            compact_audit(spark, f"{d}/audit")
+    return read_audit(spark, f"{d}/audit").groupBy("feed", "status").agg(F.count(F.lit(1)).alias("loads"), F.sum("rows_target").alias("rows_target"))
+
+
+def q_whole_drops(spark, sf):
+    """A folder of parts is loaded once, when its marker is there, however the batches cut it; a
+    folder without one is not."""
+    d = _run_dir(spark, "drops")
+    landing = f"{d}/landing"
+    for wave in ("w1", "w2"):
+        L.write_landing(spark, L.visits_source(spark, sf).withColumn("Wave", F.lit(wave)).repartition(3), f"{landing}/{FN['visits_wave'].format(wave=wave)}")
+    L.write_marker(spark, f"{landing}/{FN['visits_wave'].format(wave='w1')}/DONE")
+    start_intake(spark, landing, (VISITS,), lake_root=f"{d}/lake", audit_root=f"{d}/audit", checkpoint=f"{d}/checkpoint", glob="*.csv",
+                 unit="directory", marker="DONE", max_files_per_batch=1, load_ts=STAMP).awaitTermination()
+    loaded = read_audit(spark, f"{d}/audit").select("file", "status", "rows_target")
+    held = pending_folders(spark, landing, "DONE").select(LF.base_name("path").alias("file"), F.lit("HELD").alias("status"), F.lit(None).cast("long").alias("rows_target"))
+    return loaded.unionByName(held)
 
 
 def _intake_run(spark, sf):
@@ -333,6 +419,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "long_rows": q_long_rows,
     "strict_utf8": q_strict_utf8,
     "load_audit": q_load_audit,
+    "line_ends": q_line_ends,
+    "quoted_breaks": q_quoted_breaks,
+    "pointer_by_arrival": q_pointer_by_arrival,
+    "dead_letters": q_dead_letters,
+    "audit_epochs": q_audit_epochs,
+    "whole_drops": q_whole_drops,
     "file_intake": q_file_intake,
     "latest_wins": q_latest_wins,
 }

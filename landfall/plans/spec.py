@@ -37,6 +37,10 @@ class Rule:
         """Text of the row check this rule runs inside tasks, if any."""
         return None
 
+    def may_lose(self) -> tuple[str, ...]:
+        """Columns whose text this rule may turn into nothing without failing; how often is counted."""
+        return ()
+
     def apply(self, cols: dict[str, Column], ctx: RuleContext) -> dict[str, Column]:
         raise NotImplementedError
 
@@ -74,6 +78,9 @@ class DateText(Rule):
     def check_message(self, feed):
         return f"{CHECK_MARK}: feed {feed}, column {self.column}: unreadable date" if self.strict else None
 
+    def may_lose(self):
+        return () if self.strict else (self.column,)
+
     def apply(self, cols, ctx):
         msg = self.check_message(ctx.feed) or ""
         expr = LF.reformat_date(cols[self.column], strict=self.strict, out=self.out,
@@ -95,6 +102,9 @@ class TimeText(Rule):
     def check_message(self, feed):
         return f"{CHECK_MARK}: feed {feed}, column {self.column}: unreadable time" if self.strict else None
 
+    def may_lose(self):
+        return () if self.strict else (self.column,)
+
     def apply(self, cols, ctx):
         msg = self.check_message(ctx.feed) or ""
         return _replace(cols, self.column, LF.reformat_time(cols[self.column], strict=self.strict,
@@ -110,6 +120,9 @@ class Digits(Rule):
     def reads(self):
         return (self.column,)
 
+    def may_lose(self):
+        return (self.column,)
+
     def apply(self, cols, ctx):
         return _replace(cols, self.column, LF.digits_only(cols[self.column]))
 
@@ -168,8 +181,13 @@ class FeedSpec:
     per-value search is skipped.
 
     ``multi_line`` declares whether fields may hold line breaks: ``True`` parses
-    each file in one task, ``False`` lets files split by bytes. The choice is the
-    feed's, never one by file size, so a file reads alike at every size.
+    each file in one task, ``False`` lets files split by bytes, and a file that
+    has such a break after all fails its load. The choice is the feed's, never one
+    by file size, so a file reads alike at every size.
+
+    ``reconcile``: ``"rows"`` compares the target's row count (from the written
+    footers), ``"content"`` also a checksum over all values, which reads the
+    written rows back.
 
     ``pivot_year``: two-digit years after it belong to the century before.
     """
@@ -188,12 +206,15 @@ class FeedSpec:
     long_rows: str = "fail"
     encoding: str = "UTF-8"
     strict_utf8: bool = True
+    reconcile: str = "rows"
 
     def __post_init__(self):
         if not re.fullmatch(r"[A-Za-z0-9_.\-]+", self.target):
             raise ValueError("target must be a plain name (letters, digits, _ . -)")
         if self.long_rows not in ("fail", "quarantine"):
             raise ValueError("long_rows must be 'fail' or 'quarantine'")
+        if self.reconcile not in ("rows", "content"):
+            raise ValueError("reconcile must be 'rows' or 'content'")
 
     def required(self) -> tuple[str, ...]:
         seen: list[str] = []
@@ -205,7 +226,7 @@ class FeedSpec:
 
     def check_messages(self) -> list[str]:
         msgs = [m for r in self.rules if (m := r.check_message(self.name))]
-        return msgs + [long_row_message(self.name)]
+        return msgs + [long_row_message(self.name), open_quote_message(self.name)]
 
     def with_options(self, **kw) -> "FeedSpec":
         from dataclasses import replace
@@ -222,5 +243,9 @@ def check_targets(specs) -> None:
         seen[s.target] = s.name
 
 
+def open_quote_message(feed: str) -> str:
+    return f"{CHECK_MARK}: feed {feed}: a quoted field holds a line break; load the feed with multi_line=True"
+
+
 def long_row_message(feed: str) -> str:
     return f"{CHECK_MARK}: feed {feed}: a row has more fields than the header"

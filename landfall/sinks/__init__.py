@@ -1,4 +1,4 @@
-from landfall.sinks.audit import AUDIT_SCHEMA, append_audit, has_outcome, read_audit
+from landfall.sinks.audit import AUDIT_SCHEMA, append_audit, compact_audit, dead_letters, has_outcome, read_audit
 from landfall.sinks.delimited import write_delimited
 from landfall.sinks.jdbc import append_jdbc, recreate_jdbc, replace_jdbc
 from landfall.sinks.lake import (
@@ -14,7 +14,9 @@ __all__ = [
     "AUDIT_SCHEMA",
     "append_audit",
     "append_jdbc",
+    "compact_audit",
     "current_load_id",
+    "dead_letters",
     "has_outcome",
     "read_audit",
     "read_current",

@@ -1,9 +1,10 @@
 """Snapshot replace in a lake folder (K3, lake form).
 
 Each load writes its own folder ``<root>/load_id=<id>``; the audit table is the
-pointer. Readers take the last SUCCEEDED load of the target, so a failed or
-half-written load never hides the previous snapshot, and a replayed load
-overwrites only its own folder.
+pointer. Readers take the SUCCEEDED load of the target whose file arrived last, so
+a failed or half-written load never hides the previous snapshot, an older file
+that is loaded late never hides a newer one, and a replayed load overwrites only
+its own folder.
 """
 
 from __future__ import annotations
@@ -33,11 +34,26 @@ def read_snapshot(spark: SparkSession, root: str, load_id: str, fmt: str = "parq
     return reader.load(snapshot_path(root, load_id))
 
 
+def _arrival_order():
+    """When a load's file arrived, then when the load was recorded (for rows without an arrival, and
+    for several loads of one file)."""
+    return F.struct(F.coalesce("arrived", "recorded_at").alias("arrived"), "recorded_at", "load_id")
+
+
+def is_newest(spark: SparkSession, audit_root: str, target: str, arrived: int | None) -> bool:
+    """No SUCCEEDED load of ``target`` is of a file that arrived after ``arrived`` (microseconds)."""
+    if arrived is None:
+        return True
+    later = (read_audit(spark, audit_root).filter((F.col("target") == target) & (F.col("status") == "SUCCEEDED"))
+             .filter(F.unix_micros(F.coalesce("arrived", "recorded_at")) > arrived))
+    return later.isEmpty()
+
+
 def current_load_id(spark: SparkSession, audit_root: str, target: str) -> str | None:
-    """The last SUCCEEDED load of ``target``: one aggregate row to the driver."""
+    """The SUCCEEDED load of ``target`` whose file arrived last: one aggregate row to the driver."""
     row = (read_audit(spark, audit_root)
            .filter((F.col("target") == target) & (F.col("status") == "SUCCEEDED"))
-           .agg(F.max_by("load_id", F.struct("recorded_at", "load_id")).alias("id"))
+           .agg(F.max_by("load_id", _arrival_order()).alias("id"))
            .first())
     return None if row is None else row["id"]
 
@@ -53,12 +69,12 @@ def read_current(spark: SparkSession, root: str, audit_root: str, target: str,
 
 def superseded_loads(spark: SparkSession, root: str, audit_root: str, target: str, keep: int = 2) -> DataFrame:
     """Snapshot folders of ``target`` that retention may remove: every load
-    except the ``keep`` latest SUCCEEDED ones (failed and errored loads included). Deleting
+    except the SUCCEEDED ones of the ``keep`` latest arrivals (failed and errored loads included). Deleting
     them is left to the storage's own lifecycle tooling."""
     audit = read_audit(spark, audit_root).filter(F.col("target") == target)
     kept = (audit.filter(F.col("status") == "SUCCEEDED")
-            .orderBy(F.col("recorded_at").desc(), F.col("load_id").desc()).limit(keep).select("load_id"))
-    return (audit.filter(F.col("status").isin("SUCCEEDED", "FAILED", "ERROR"))
+            .orderBy(_arrival_order().desc()).limit(keep).select("load_id"))
+    return (audit.filter(F.col("status").isin("SUCCEEDED", "FAILED", "ERROR", "DEAD"))
             .select("load_id", "status", "recorded_at").distinct()
             .join(kept, "load_id", "left_anti")
             .select("load_id", "status", F.concat(F.lit(root.rstrip("/") + "/load_id="), "load_id").alias("path")))

@@ -3,8 +3,10 @@ from landfall.sources.delimited import (
     check_header,
     count_invalid_utf8,
     read_delimited,
+    read_head,
     read_header,
     read_table_text,
+    record_report,
     utf8_report,
 )
 from landfall.sources.jdbc import read_jdbc
@@ -14,8 +16,10 @@ __all__ = [
     "check_header",
     "count_invalid_utf8",
     "read_delimited",
+    "read_head",
     "read_header",
     "read_jdbc",
     "read_table_text",
+    "record_report",
     "utf8_report",
 ]

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from landfall.functions.paths import base_name, url_unquote, url_unquote_plus
 from landfall.functions.predicates import route_prefix
 from landfall.functions.text import outcome_message
-from landfall.plans.run import run_arrival
+from landfall.plans.run import MAX_ATTEMPTS, run_arrival
 from landfall.session import shared_dir
 from landfall.sinks.audit import AUDIT_SCHEMA, append_audit_rows, read_audit
 
@@ -31,19 +31,27 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 
 
 def arrivals(spark: SparkSession, landing: str, glob: str | None = None, unit: str = "file",
-             max_files_per_batch: int = 10000, archive_dir: str | None = None) -> DataFrame:
+             max_files_per_batch: int = 10000, archive_dir: str | None = None, marker: str | None = None) -> DataFrame:
     """Arrival stream of ``(path, arrived)``.
 
     ``unit='file'``: each landed file is one load. ``unit='directory'``: files sit
     in folders under ``landing`` (a producer's multi-part drop, published whole),
-    and each folder is one load. A batch holds at most ``max_files_per_batch``
+    and each folder is one load. With ``marker`` a folder is not taken before the
+    file of that name is in it, which the producer writes last: parts that came in
+    earlier batches, or come in later ones, start no load of their own. The
+    marker holds a byte at least and its name begins with neither ``_`` nor ``.``
+    (Spark gives no row for an empty file and does not list such names). A batch holds at most ``max_files_per_batch``
     files, which bounds everything the handler gathers per batch. With
     ``archive_dir`` Spark moves files of committed batches there, so listing the
     landing folder does not grow with history.
     """
+    if marker is not None and (unit != "directory" or marker[:1] in ("_", ".")):
+        raise ValueError("a marker is the visible name of a file in a landed folder (unit 'directory')")
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_batch))
-    if glob:
+    if marker is not None:
+        reader = reader.option("pathGlobFilter", marker)
+    elif glob:
         reader = reader.option("pathGlobFilter", glob)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
@@ -56,6 +64,17 @@ def arrivals(spark: SparkSession, landing: str, glob: str | None = None, unit: s
     return src.select(path.alias("path"), F.col("modificationTime").alias("arrived"))
 
 
+def pending_folders(spark: SparkSession, landing: str, marker: str) -> DataFrame:
+    """Landed folders whose marker is not there yet: ``path``, ``files``, ``bytes``, ``last_change``.
+    Reads the listing only."""
+    files = (spark.read.format("binaryFile").schema(BINARY_FILE_SCHEMA).load(landing.rstrip("/") + "/*")
+             .select(url_unquote(F.col("path")).alias("file"), "modificationTime", "length"))
+    return (files.groupBy(F.regexp_replace("file", r"/[^/]*$", "").alias("path"))
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("last_change"),
+                 F.bool_or(base_name("file") == marker).alias("whole"))
+            .filter(~F.col("whole")).drop("whole"))
+
+
 # Schema of object-store notification records: a ``Records`` array whose
 # entries name the store (bucket) and the key, which arrives ``+``-encoded.
 NOTIFICATION_SCHEMA = (
@@ -100,9 +119,13 @@ class Intake:
     """``foreachBatch`` handler: route, keep the latest per feed, load, audit."""
 
     def __init__(self, specs, *, lake_root: str, audit_root: str, quarantine_root: str | None = None,
-                 load_ts: str | None = None, parallel_loads: int = 4, jdbc: dict[str, dict] | None = None):
-        """``jdbc`` names, by feed, the database table (``run_load``'s ``jdbc``) that gets a copy."""
+                 load_ts: str | None = None, parallel_loads: int = 4, jdbc: dict[str, dict] | None = None,
+                 max_attempts: int = MAX_ATTEMPTS, glob: str | None = None):
+        """``jdbc`` names, by feed, the database table (``run_load``'s ``jdbc``) that gets a copy;
+        ``glob`` picks the files of a landed folder (all but its marker)."""
         self.jdbc = jdbc or {}
+        self.max_attempts = max_attempts
+        self.glob = glob
         self.parallel_loads = max(1, parallel_loads)
         self.specs = {s.name: s for s in specs}
         self.routes = {s.prefix: s.name for s in specs}
@@ -117,7 +140,7 @@ class Intake:
                     .agg(F.max_by(F.struct("path", "arrived"), F.struct("arrived", "path")).alias("w"),
                          F.count(F.lit(1)).alias("arrivals"))
                     .select("feed", F.col("w.path").alias("path"), F.col("w.arrived").alias("arrived"),
-                            "arrivals"))
+                            F.unix_micros("w.arrived").alias("micros"), "arrivals"))
         # One row per configured feed plus one for unrouted files: a bounded
         # set, safe to collect.
         groups = per_feed.collect()
@@ -128,16 +151,26 @@ class Intake:
             self._audit_others(routed, won)
 
         def one(w):
-            return run_arrival(spark, self.specs[w["feed"]], w["path"], w["arrived"], jdbc=self.jdbc.get(w["feed"]), **self.kw)
+            """The unexpected error of a load, if any: the other feeds' loads go on first."""
+            try:
+                run_arrival(spark, self.specs[w["feed"]], w["path"], w["arrived"], jdbc=self.jdbc.get(w["feed"]), arrived=w["micros"],
+                            glob=self.glob, max_attempts=self.max_attempts, **self.kw)
+            except Exception as e:  # noqa: BLE001 - raised below
+                return e
+            return None
 
         # Loads of different feeds are independent Spark jobs; submitted from
         # a few threads they share the cluster's task slots.
         if self.parallel_loads == 1 or len(winners) < 2:
-            for w in winners:
-                one(w)
+            errors = [one(w) for w in winners]
         else:
             with ThreadPoolExecutor(max_workers=self.parallel_loads) as pool:
-                list(pool.map(one, winners))
+                errors = list(pool.map(one, winners))
+        # The batch is tried again as a whole: loads that have an outcome are not repeated, and an
+        # arrival that keeps failing is given up after ``max_attempts`` errors.
+        for e in errors:
+            if e is not None:
+                raise e
 
     def _audit_others(self, routed: DataFrame, won: DataFrame) -> None:
         # ``won`` holds at most one row per configured feed.
@@ -150,10 +183,9 @@ class Intake:
         rows = others.select(
             F.substring(F.sha2(F.concat_ws("\n", F.coalesce("feed", F.lit("")), "path",
                                            F.col("arrived").cast("string")), 256), 1, 24).alias("load_id"),
-            F.col("feed"), target.alias("target"), base_name("path").alias("file"), status.alias("status"),
-            *[F.lit(None).cast(t).alias(n) for n, t in
-              (("rows_read", "bigint"), ("rows_quarantined", "bigint"), ("rows_target", "bigint"),
-               ("error_type", "string"), ("error", "string"), ("load_ts", "string"))])
+            F.col("feed"), target.alias("target"), base_name("path").alias("file"), status.alias("status"), "path", "arrived")
+        fields = [f.split() for f in AUDIT_SCHEMA.split(", ")]
+        rows = rows.select(*[F.col(n) if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in fields])
         rows = rows.select("*", outcome_message("feed", "status", "file", "error").alias("message"),
                            F.current_timestamp().alias("recorded_at"))
         # Ids are derived from feed, path and time, so a replayed batch finds
@@ -163,8 +195,6 @@ class Intake:
         seen = (read_audit(rows.sparkSession, self.kw["audit_root"])
                 .filter(F.col("target").isin(targets) | F.col("target").isNull()).select("load_id"))
         rows = rows.join(seen, "load_id", "left_anti")
-        names = [f.split()[0] for f in AUDIT_SCHEMA.split(", ")]
-        assert names == rows.columns[:len(names)]
         append_audit_rows(rows, self.kw["audit_root"])
 
 
@@ -180,10 +210,11 @@ def start_notified_intake(spark: SparkSession, events: str, specs, *, lake_root:
                           checkpoint: str | None = None, scheme: str = "s3", available_now: bool = True,
                           processing_time: str | None = None, quarantine_root: str | None = None,
                           load_ts: str | None = None, parallel_loads: int = 4,
-                          jdbc: dict[str, dict] | None = None) -> StreamingQuery:
+                          jdbc: dict[str, dict] | None = None, max_attempts: int = MAX_ATTEMPTS) -> StreamingQuery:
     """Intake driven by notification records instead of a folder listing."""
     handler = Intake(specs, lake_root=lake_root, audit_root=audit_root,
-                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads, jdbc=jdbc)
+                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads, jdbc=jdbc,
+                     max_attempts=max_attempts)
     w = (notified_arrivals(spark, events, scheme).writeStream
          .foreachBatch(handler)
          .option("checkpointLocation", checkpoint or default_checkpoint(spark, events)))
@@ -196,13 +227,16 @@ def start_intake(spark: SparkSession, landing: str, specs, *, lake_root: str, au
                  available_now: bool = True, processing_time: str | None = None,
                  quarantine_root: str | None = None, load_ts: str | None = None,
                  parallel_loads: int = 4, max_files_per_batch: int = 10000,
-                 archive_dir: str | None = None, jdbc: dict[str, dict] | None = None) -> StreamingQuery:
+                 archive_dir: str | None = None, jdbc: dict[str, dict] | None = None,
+                 marker: str | None = None, max_attempts: int = MAX_ATTEMPTS) -> StreamingQuery:
     """Start the intake. ``available_now`` takes what has landed and stops;
-    otherwise it polls every ``processing_time``. Without ``checkpoint`` the
+    otherwise it polls every ``processing_time``. With ``marker`` and a ``glob``,
+    the glob picks the data files of a folder. Without ``checkpoint`` the
     stream keeps its progress under ``spark.checkpoint.dir``."""
     handler = Intake(specs, lake_root=lake_root, audit_root=audit_root,
-                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads, jdbc=jdbc)
-    w = (arrivals(spark, landing, glob, unit, max_files_per_batch, archive_dir).writeStream
+                     quarantine_root=quarantine_root, load_ts=load_ts, parallel_loads=parallel_loads, jdbc=jdbc,
+                     max_attempts=max_attempts, glob=glob if marker is not None else None)
+    w = (arrivals(spark, landing, glob, unit, max_files_per_batch, archive_dir, marker).writeStream
          .foreachBatch(handler)
          .option("checkpointLocation", checkpoint or default_checkpoint(spark, landing)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")

@@ -26,7 +26,9 @@ def test_providers_golden(spark, workdir):
                    '3|"Van Der\nBerg Anna"|RN|Active|12|Lab|S3|20240105|13/01/2024|N/A|z\n'
                    "\n"
                    "4|Doe Jane|MD\n")
-    got = rows(load(spark, feeds.PROVIDERS, p, load_ts=STAMP))
+    with pytest.raises(Exception, match="multi_line=True"):  # the feed says that no field has a line break
+        load(spark, feeds.PROVIDERS, p, load_ts=STAMP).collect()
+    got = rows(load(spark, feeds.PROVIDERS.with_options(multi_line=True), p, load_ts=STAMP))
     assert [list(r) for r in got][0] == list(feeds.PROVIDERS.output)
     by = {r["Provider NPI"]: r for r in got}
     assert len(got) == 4

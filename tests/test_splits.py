@@ -68,7 +68,7 @@ def test_bad_bytes_fail_the_load(spark, workdir, split_size, multi_line):
 
 def test_quoted_line_breaks_in_a_file_over_one_split(spark, workdir, split_size):
     text = HDR + "".join(f'{i:04d}|1/5/2024|"a {i}\nb"\n' for i in range(500))
-    out, rows = load(spark, workdir, text)
+    out, rows = load(spark, workdir, text, multi_line=True)
     assert out.rows_target == 500 and rows[7]["Note"] == "a 7\nb"
 
 
