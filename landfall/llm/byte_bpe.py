@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from landfall.llm.tokenizers_common import Cache, tokenizer_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+DECODED_AT_ONCE = 1 << 18
 #: Runs in which a blank stands between other white space: their pieces may span several words.
 _MIXED_SPACE = regex.compile(r"\s \s")
 
@@ -49,12 +50,17 @@ class ByteBpe:
         for t, i in self.ranks.items():
             self.ending.add_word(t.decode("latin-1"), (i, len(t)))
         self.ending.make_automaton()
-        self.apart = Cache(self._stay_apart)
+        self.apart = Cache(lambda k: self._stay_apart((k >> 32, k & 0xFFFFFFFF)))  # one number a pair
         self.halves = Cache(lambda t: self._halves(t), 1 << 20)
         self.history = Cache(lambda t: self._history(t) or False, 1 << 20)
         self.sound = Cache(lambda t: self.merge(self.token_bytes[t]) == [t])
-        self.pieces = Cache(self._piece, 250_000)
-        self.runs = Cache(lambda run: self._cut(" " + run), 250_000)
+        self.pieces = Cache(self._piece, 100_000)
+        self.runs = Cache(self._run)
+        # Bytes of all tokens one after the other, and where each begins.
+        top = max(self.token_bytes) + 1
+        self.sizes = np.array([len(self.token_bytes.get(i, b"")) for i in range(top)], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.token_bytes.get(i, b"") for i in range(top)), dtype=np.uint8)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids by repeated merging of the neighbours of lowest rank: the definition, for short inputs."""
@@ -125,7 +131,7 @@ class ByteBpe:
             if end > done:
                 break
             start = end + 1 - size
-            if not (apart[last[start - 1], token] if start else sound[token]):
+            if not (apart[last[start - 1] << 32 | token] if start else sound[token]):
                 continue
             last.append(token)
             done += 1
@@ -139,6 +145,21 @@ class ByteBpe:
             raise ValueError("the vocabulary has no token for a byte")
         return last
 
+    def prefixes(self, data: bytes) -> list[int]:
+        """``extend`` from nothing, for the many short pieces of a text."""
+        apart, sound, last, done = self.apart, self.sound, [], 0
+        for end, (token, size) in self.ending.iter(data.decode("latin-1")):
+            if end == done:
+                start = end + 1 - size
+                if apart[last[start - 1] << 32 | token] if start else sound[token]:
+                    last.append(token)
+                    done += 1
+            elif end > done:
+                break
+        if done < len(data):
+            raise ValueError("the vocabulary has no token for a byte")
+        return last
+
     def walk(self, last: list[int]) -> list[int]:
         """Ids of the whole, from the last tokens of its prefixes."""
         out, end = [], len(last)
@@ -150,12 +171,17 @@ class ByteBpe:
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.ranks.get(data)
-        ids = [whole] if whole is not None else self.walk(self.extend(data, []))
+        ids = [whole] if whole is not None else self.walk(self.prefixes(data))
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _cut(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
+    def _run(self, run: str) -> bytes:
+        """Ids of a blank and a run; a run of one piece is remembered as a run only."""
+        pieces = self.pattern.findall(" " + run)
+        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self.pieces.__getitem__, pieces))
+
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text. The pattern's matches never span a blank
         between two words, so runs between single blanks are cut one at a time."""
@@ -167,7 +193,18 @@ class ByteBpe:
         return self._cut(first) + b"".join(map(self.runs.__getitem__, rest))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        tokens = np.frombuffer(ids, dtype="<u4")
+        if tokens.size and int(tokens.max()) >= self.sizes.size:
+            raise KeyError(int(tokens.max()))
+        out = []
+        for k in range(0, tokens.size, DECODED_AT_ONCE):
+            own = tokens[k:k + DECODED_AT_ONCE]
+            size = self.sizes[own]
+            if not size.all():
+                raise KeyError(int(own[size == 0][0]))
+            ends = np.cumsum(size)
+            out.append(self.flat[np.arange(ends[-1]) + np.repeat(self.starts[own] - ends + size, size)].tobytes())
+        return b"".join(out)
 
 
 class PrefixEncoding:
