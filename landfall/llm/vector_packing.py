@@ -1,7 +1,8 @@
 """Packing of tokenised documents into fixed-length sequences by vector bin packing.
 
-Each example has a demand vector: tokens, segments (1) and loss-bearing tokens (every token that has
-one before it in its piece). A sequence has limits on all three. An example goes to the open sequence
+Each example has a demand vector: tokens, segments (1) and loss-bearing tokens (those of the last tokens
+of its document that bear loss, all unless said, but for the first of its piece, which has none before
+it there). A sequence has limits on all three. An example goes to the open sequence
 where the dot product of its demand and the sequence's free room, both as shares of the limits, is
 largest among those that it fits. When it fits none and ``OPEN`` sequences are open, it is cut to fill
 the best one and the rest is placed in turn, so sequences close without padding. What is still open at
@@ -22,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.tokenizers_common import Cache, tokenizer_path
@@ -84,12 +85,12 @@ class WordIds:
                 low = text.lower()
             except UnicodeEncodeError:
                 pass
-        runs = low.split() if low.isascii() and not _ODD_SPACE.search(low) else [r for r in _SPLIT.split(low) if r]
+        runs = [r for r in _SPLIT.split(low) if r] if _ODD_SPACE.search(low) else low.split()
         return b"".join(map(self.runs.__getitem__, runs)) + END_ID.to_bytes(4, "little")
 
 
-#: ASCII separators that str.split() also splits at.
-_ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f]")
+#: White space that str.split() splits at beside the four of ``_SPLIT``.
+_ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 @lru_cache(maxsize=1)
@@ -104,18 +105,23 @@ class Piece:
     start: int
     ids: bytes
     doc_tokens: int
+    loss_from: int = 0  # of the document's tokens, the first that bears loss
 
     @property
     def length(self) -> int:
         return len(self.ids) // 4
 
-    def cut(self, n: int) -> tuple[Piece, Piece]:
-        return (Piece(self.doc_id, self.start, self.ids[:4 * n], self.doc_tokens),
-                Piece(self.doc_id, self.start + n, self.ids[4 * n:], self.doc_tokens))
+    def loss(self, n: int) -> int:
+        """Loss-bearing tokens among the first ``n``."""
+        return max(0, self.start + n - max(self.loss_from, self.start + 1))
 
+    def within(self, loss: int) -> int:
+        """How many tokens from the first on hold at most ``loss`` loss-bearing ones."""
+        return loss + max(self.loss_from, self.start + 1) - self.start
 
-def _loss(n: int) -> int:
-    return n - 1
+    def cut(self, n: int) -> tuple[Piece, Piece]:
+        return (Piece(self.doc_id, self.start, self.ids[:4 * n], self.doc_tokens, self.loss_from),
+                Piece(self.doc_id, self.start + n, self.ids[4 * n:], self.doc_tokens, self.loss_from))
 
 
 class Packer:
@@ -124,49 +130,58 @@ class Packer:
     def __init__(self, limits: tuple[int, int, int] = LIMITS, opened: int = OPEN):
         if limits[0] & (limits[0] - 1) or min(limits[1:]) < 1:
             raise ValueError("the token limit must be a power of two and the other limits positive")
-        self.limits = np.array(limits, dtype=np.int64)
+        self.limits = limits
         self.opened = opened
-        self.room = np.zeros((0, 3), dtype=np.int64)
+        self.room: list[list[int]] = []  # of each open sequence: tokens, segments, loss-bearing tokens
         self.bins: list[list[Piece]] = []
-        self.spent: list[Piece] = []
+
+    def _best(self, n: int, loss: int, fitting: bool) -> int:
+        """The open sequence with the largest dot product of demand and room, as shares of the limits
+        (the first of equal ones); with ``fitting`` of those with room for all, or -1."""
+        a, b, c = (d / (x * x) for d, x in zip((n, 1, loss), self.limits))
+        at, most = -1, -1.0
+        for k, (tokens, segments, bearing) in enumerate(self.room):
+            if not fitting or (tokens >= n and segments >= 1 and bearing >= loss):
+                score = tokens * a + segments * b + bearing * c
+                if score > most:
+                    at, most = k, score
+        return at
+
+    def _open(self) -> int:
+        self.bins.append([])
+        self.room.append(list(self.limits))
+        return len(self.bins) - 1
 
     def add(self, piece: Piece):
-        tokens = int(self.limits[0])
-        if _loss(tokens) <= self.limits[2]:  # full sequences first, each sliced once from the whole
+        tokens = self.limits[0]
+        if tokens - 1 <= self.limits[2]:  # full sequences first, each sliced once from the whole
             first, edge = piece.start, piece.length // tokens * tokens
             for k in range(0, edge, tokens):
-                yield [Piece(piece.doc_id, first + k, piece.ids[4 * k:4 * (k + tokens)], piece.doc_tokens)]
+                yield [Piece(piece.doc_id, first + k, piece.ids[4 * k:4 * (k + tokens)], piece.doc_tokens, piece.loss_from)]
             _, piece = piece.cut(edge)
         while piece.length:
-            n = piece.length
-            demand = np.array([n, 1, _loss(n)])
-            fits = (self.room >= demand).all(axis=1) if len(self.bins) else np.zeros(0, dtype=bool)
-            score = (self.room / self.limits) @ (demand / self.limits)
-            if fits.any():
-                at = int(np.where(fits, score, -1.0).argmax())
+            n, loss = piece.length, piece.loss(piece.length)
+            at = self._best(n, loss, True)
+            if at >= 0:
                 here, piece = piece.cut(n)
-            elif len(self.bins) < self.opened and _loss(n) <= self.limits[2]:
-                self.bins.append([])
-                self.room = np.vstack([self.room, self.limits])
-                at = len(self.bins) - 1
+            elif len(self.bins) < self.opened and n <= tokens and loss <= self.limits[2]:
+                at = self._open()
                 here, piece = piece.cut(n)
             else:
-                if not len(self.bins):
-                    self.bins.append([])
-                    self.room = np.vstack([self.room, self.limits])
-                    score = np.ones(1)
-                at = int(score.argmax())
-                take = int(min(n, self.room[at, 0], self.room[at, 2] + 1))
-                here, piece = piece.cut(take)
+                at = self._best(n, loss, False) if self.bins else self._open()
+                here, piece = piece.cut(min(n, self.room[at][0], piece.within(self.room[at][2])))
+            room = self.room[at]
             self.bins[at].append(here)
-            self.room[at] -= [here.length, 1, _loss(here.length)]
-            if self.room[at, 0] == 0:
+            room[0] -= here.length
+            room[1] -= 1
+            room[2] -= here.loss(here.length)
+            if room[0] == 0:
                 yield self._close(at)
-            elif self.room[at, 1] == 0 or self.room[at, 2] <= 0:
+            elif room[1] == 0 or room[2] <= 0:
                 yield from self._powers(self._close(at))
 
     def _close(self, at: int) -> list[Piece]:
-        self.room = np.delete(self.room, at, axis=0)
+        self.room.pop(at)
         return self.bins.pop(at)
 
     def _powers(self, pieces: list[Piece]):
@@ -174,15 +189,15 @@ class Packer:
         pieces = pieces[::-1]
         left = sum(p.length for p in pieces)
         while left:
-            size = min(int(self.limits[0]), 1 << (left.bit_length() - 1))
+            size = min(self.limits[0], 1 << (left.bit_length() - 1))
             out, used, loss = [], 0, 0
             while used < size and len(out) < self.limits[1] and loss < self.limits[2]:
                 p = pieces.pop()
-                n = min(p.length, size - used, int(self.limits[2]) - loss + 1)
+                n = min(p.length, size - used, p.within(self.limits[2] - loss))
                 here, rest = p.cut(n)
                 out.append(here)
                 used += n
-                loss += _loss(n)
+                loss += here.loss(n)
                 if rest.length:
                     pieces.append(rest)
             keep = 1 << (used.bit_length() - 1)
@@ -199,7 +214,7 @@ class Packer:
 
     def finish(self):
         pieces = [p for b in self.bins for p in b]
-        self.bins, self.room = [], np.zeros((0, 3), dtype=np.int64)
+        self.bins, self.room = [], []
         yield from self._powers(pieces)
 
 
@@ -224,9 +239,10 @@ def _pack(path: str | None, limits, opened: int):
                 at += 1
 
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc_id, text, loss in zip(*(b.column(k).to_pylist() for k in range(3))):
                 ids = words.ids(text)
-                close(packer.add(Piece(doc_id, 0, ids, len(ids) // 4)))
+                n = len(ids) // 4
+                close(packer.add(Piece(doc_id, 0, ids, n, 0 if loss is None else max(0, n - max(0, loss)))))
                 if len(rows) >= ROWS_OUT:
                     yield from flush()
         close(packer.finish())
@@ -236,11 +252,14 @@ def _pack(path: str | None, limits, opened: int):
     return run
 
 
-def pack(docs: DataFrame, path: str | None = None, limits: tuple[int, int, int] = LIMITS, opened: int = OPEN) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, limits: tuple[int, int, int] = LIMITS, opened: int = OPEN, loss: Column | None = None) -> DataFrame:
     """One row per piece of ``docs (doc_id, text, ...)``: ``doc_id, start, length, ids_crc32,
     doc_tokens, sequence_id, offset``.
 
+    ``loss`` is how many of a row's last tokens, the end id among them, bear loss (the answer of an
+    instruction); all of them where it is not given, NULL or too large, none where it is negative.
     A NULL or empty text is its end id alone; a NULL doc_id stays NULL; rows that repeat are packed
     each; an empty table gives no rows; other columns are ignored."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    bearing = F.lit(None).cast("long") if loss is None else loss.cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", bearing.alias("loss")).mapInArrow(
         _pack(path, limits, opened), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from landfall.llm import paragraph_dedup, simhash_dedup, vector_packing
 from landfall.llm.components import components
@@ -222,6 +223,26 @@ def test_packing_covers_every_id_within_all_limits(spark, docs, odd_docs):
     check_packing(pairs(small), vector_packing.pack(small.coalesce(1), limits=tight).collect(), tight)
 
 
+def test_loss_bearing_tokens_limit_a_sequence(spark, docs):
+    """Instructions whose answers bear loss: the token and the loss limit both bind at production size."""
+    limits = (2048, 256, 512)
+    rows = docs.select("doc_id", "text").limit(80)
+    share = F.pmod(F.col("doc_id"), F.lit(4))
+    loss = F.when(share == 0, F.lit(None)).when(share == 1, F.lit(-1)).when(share == 2, F.lit(60)).otherwise(F.lit(10 ** 9))
+    got = vector_packing.pack(rows.coalesce(1), limits=limits, loss=loss).collect()
+    check_packing(pairs(rows), got, (2048, 256, 2048))
+    bearing = {r["doc_id"]: r["doc_tokens"] if r["doc_id"] % 4 in (0, 3) else 0 if r["doc_id"] % 4 == 1 else min(60, r["doc_tokens"]) for r in got}
+    held = defaultdict(int)
+    for r in got:
+        first = max(r["doc_tokens"] - bearing[r["doc_id"]], r["start"] + 1)
+        held[r["sequence_id"]] += max(0, r["start"] + r["length"] - first)
+    assert max(held.values()) <= 512 and sum(v > 400 for v in held.values()) > 3
+    tokens = defaultdict(int)
+    for r in got:
+        tokens[r["sequence_id"]] += r["length"]
+    assert any(t > 600 for t in tokens.values())  # prompts share sequences with answers
+
+
 def test_dot_product_places_examples():
     p = vector_packing.Packer((8, 4, 8), opened=2)
     piece = lambda i, n: vector_packing.Piece(i, 0, bytes(4 * n), n)
