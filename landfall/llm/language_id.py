@@ -8,7 +8,7 @@ over the limit learned for texts of that size.
 
 Document frequencies cover every training row. The centroids and limits are fitted on a bounded
 sample of at most ``SAMPLE_ROWS`` labelled rows (about ``SAMPLE_ROWS / languages`` of each language,
-chosen by a hash of the id).
+chosen by a hash of id and text; the row of the smallest hash of each language in any case).
 """
 
 from __future__ import annotations
@@ -44,12 +44,15 @@ def _codes() -> np.ndarray:
     return code
 
 
-def _letter_codes(text: str) -> np.ndarray:
-    """Codes of a text's characters; of a run of non-letters only the blank after a letter stays."""
+def _letter_codes(text: str, after_letter: bool) -> tuple[np.ndarray, bool]:
+    """Codes of a text's characters; of a run of non-letters only the blank after a letter stays.
+    ``after_letter``: a letter stands before the text; returned is whether it ends with one."""
     c = _codes()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
     letter = c != 0
+    ends = bool(letter[-1])
     letter[1:] |= letter[:-1].copy()
-    return c[letter]
+    letter[0] |= after_letter
+    return c[letter], ends
 
 
 def _counts(text: str | None) -> tuple[np.ndarray, int]:
@@ -58,9 +61,9 @@ def _counts(text: str | None) -> tuple[np.ndarray, int]:
     total, letters = np.zeros(BUCKETS, dtype=np.int64), 0
     if not text:
         return total, 0
-    carry, low = np.zeros(1, dtype=np.uint32), text.lower()
+    carry, low, after_letter = np.zeros(1, dtype=np.uint32), text.lower(), False
     for k in range(0, len(low), _CHARS_AT_ONCE):
-        c = _letter_codes(low[k:k + _CHARS_AT_ONCE])
+        c, after_letter = _letter_codes(low[k:k + _CHARS_AT_ONCE], after_letter)
         letters += int(np.count_nonzero(c))
         have = carry.size if k else 0  # codes that earlier parts have counted
         key = c = np.concatenate([carry, c])
@@ -91,8 +94,9 @@ class LanguageModel:
         columns = np.ascontiguousarray(self.centroids.T)
         for i, text in enumerate(texts):
             count, letters = _counts(text)
-            if not letters or not self.langs:
+            if not letters or not self.langs:  # with no language to compare with, none is rejected for it
                 langs.append(UNKNOWN)
+                rejected[i] = not letters
                 continue
             at = np.flatnonzero(count)
             x = count[at] * self.idf[at]
@@ -152,17 +156,17 @@ def fit(train: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTR
     df = train.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     seen = {r["bucket"]: r["n"] for r in df}
     idf = np.log((1 + seen.get(-1, 0)) / (1 + np.array([seen.get(i, 0) for i in range(BUCKETS)]))) + 1
-    # One row per language: as many shares of the sample as there are languages, each taken by hash.
-    langs = written(train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    # One row per language: as many shares of the sample as there are languages, each taken by hash, and
+    # at least the row of its smallest hash. Rows that repeat fall together and count once.
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    langs = written(train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")), "languages")
     names = langs.count()
     each = max(1, sample_rows // max(1, names))
-    place = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    share = langs.select(F.col("lang").alias("_lf_lang"), (F.lit(float(each)) / F.col("n")).alias("share"))
+    share = langs.select(F.col("lang").alias("_lf_lang"), (F.lit(float(each)) / F.col("n")).alias("share"), "least")
     if names <= FEW_LANGUAGES:  # broadcast, so that no text is dealt out by language
         share = F.broadcast(share)
-    sample = (train.join(share, train["lang"] == F.col("_lf_lang")).filter(place < F.col("share")).select("lang", "text")
-              .mapInArrow(_sparse, "lang string, at binary, val binary, letters long").filter("letters > 0")
-              .limit(2 * sample_rows).collect())
+    sample = (train.join(share, train["lang"] == F.col("_lf_lang")).filter((place < F.col("share")) | (place == F.col("least"))).select("lang", "text").distinct()
+              .mapInArrow(_sparse, "lang string, at binary, val binary, letters long").filter("letters > 0").collect())
     sample = sorted(sample, key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["val"])))
     out, names, rows = [], [], {}
     limits = np.zeros(13)

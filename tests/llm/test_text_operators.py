@@ -181,7 +181,73 @@ def test_counts_of_a_long_text_do_not_depend_on_parts(monkeypatch):
     monkeypatch.setattr(language_id, "_CHARS_AT_ONCE", 64)
     parts = language_id._counts(text)
     assert whole[1] == parts[1]
-    assert abs(whole[0] - parts[0]).sum() <= 0.05 * whole[0].sum()
+    assert (whole[0] == parts[0]).all()
+
+
+def test_counts_do_not_depend_on_where_a_part_ends(monkeypatch):
+    text = "Ab cd, e\nfgh  ijk"
+    whole = language_id._counts(text)
+    for size in range(1, len(text) + 1):
+        monkeypatch.setattr(language_id, "_CHARS_AT_ONCE", size)
+        parts = language_id._counts(text)
+        assert parts[1] == whole[1] and (parts[0] == whole[0]).all(), size
+
+
+def test_an_unlabelled_table_keeps_its_documents(spark):
+    rows = [(1, "some words here", None), (2, "", None), (3, None, None), (4, "12 34", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert not model.langs and [r["doc_id"] for r in language_id.keep_known(docs, model).collect()] == [1]
+
+
+def test_every_language_is_learned(spark):
+    """Languages of one row beside a large one, and many rows that share an id and a text."""
+    rows = [(k, f"alpha beta gamma {k}", "big") for k in range(3000)] + [(7, "same text", "copies")] * 500 + [(9000 + k, "w" + chr(97 + k) * 5, f"l{k}") for k in range(20)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=40)
+    assert set(model.langs) == {"big", "copies", *(f"l{k}" for k in range(20))}
+
+
+def test_predictions_equal_a_plain_nearest_centroid(spark, docs):
+    """n-grams counted one at a time and every centroid compared, with the same model."""
+    model = language_id.fit(docs)
+    codes = language_id._codes()
+
+    def plain(text):
+        out, last = [0], True
+        for ch in (text or "").lower():
+            c = int(codes[ord(ch)])
+            if c or not last:
+                out.append(c)
+            last = not c
+        if not any(out):
+            return None, 0
+        count = np.zeros(language_id.BUCKETS)
+        for i in range(1, len(out)):
+            for n in (1, 2, 3):
+                if i - n + 1 >= 0:
+                    key = out[i - n + 1]
+                    for c in out[i - n + 2:i + 1]:
+                        key = (key * 0x9E3779B1 + c) & 0xFFFFFFFF
+                    count[((key * 0x85EBCA6B) & 0xFFFFFFFF) >> 19] += 1
+        return count, sum(1 for c in out if c)
+
+    texts = [r["text"] for r in docs.limit(40).collect()]
+    texts = [t[:3000] if t else t for t in texts] + [None, "", "?!", "ein Wort"]
+    langs, score, _ = model.score(texts)
+    for t, lang, s in zip(texts, langs, score):
+        count, letters = plain(t)
+        got, n = language_id._counts(t)
+        assert n == letters
+        if count is None:
+            assert lang == language_id.UNKNOWN
+            continue
+        count_all = count.copy()
+        first = np.zeros(language_id.BUCKETS)  # the blank before the text counts as a 1-gram of its own
+        first[0] = got.sum() - count_all.sum()
+        assert (got == count_all + first).all()
+        x = got * model.idf
+        cos = model.centroids @ x / np.linalg.norm(x)
+        assert lang == model.langs[int(cos.argmax())] and abs(s - cos.max()) < 1e-5
 
 
 def lm_brute(rows):
