@@ -45,6 +45,8 @@ SEEN_CONTENTS = 1 << 20
 #: again on prefix shingles, and one that is still larger is compared block against block.
 BUCKET_ROWS = 1 << 14
 BUCKET_BYTES = 64 << 20
+#: Links that leave a task in one batch.
+EDGES_AT_ONCE = 4096
 #: Contents of more shingles are not keyed on prefixes, whose number grows with theirs.
 LONG_SET = 512
 #: Band keys with so many contents in a sample of about so many rows are dealt out by content; at most so many keys.
@@ -343,6 +345,15 @@ def similar_forest(content: np.ndarray, sets: list[np.ndarray]) -> tuple[list[in
     return us, vs
 
 
+def similar_pair(contents: list[int], sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """``similar_forest`` of two contents."""
+    (x, a), (y, b) = sorted(zip(contents, sets), key=lambda c: c[1].size)
+    if a.size < SIMILARITY * b.size - 1e-9:
+        return [], []
+    both = int((b[np.minimum(b.searchsorted(a), b.size - 1)] == a).sum())
+    return ([x], [y]) if both >= SIMILARITY * (a.size + b.size - both) - 1e-9 else ([], [])
+
+
 def _verify(rows: int | None, size: int = BUCKET_BYTES):
     """Edges (kind 0) of the buckets in rows sorted by key; with ``rows``, those of a bucket with more
     contents or over ``size`` bytes of shingles come back as (kind 1) to be keyed again."""
@@ -353,13 +364,24 @@ def _verify(rows: int | None, size: int = BUCKET_BYTES):
 
     def run(batches):
         key, contents, sets, held, over = None, [], [], 0, False
+        us, vs = [], []  # most buckets are small, so their edges leave together
 
         def close():
             if over:
                 yield out(1, [key] * len(contents), contents, sets)
             elif len(contents) > 1:
-                u, v = similar_forest(np.array(contents, dtype=np.int64), [np.frombuffer(s, dtype=np.uint64) for s in sets])
-                yield out(0, u, v, [None] * len(u))
+                found = [np.frombuffer(s, dtype=np.uint64) for s in sets]
+                u, v = similar_pair(contents, found) if len(found) == 2 else similar_forest(np.array(contents, dtype=np.int64), found)
+                us.extend(u)
+                vs.extend(v)
+                if len(us) >= EDGES_AT_ONCE:
+                    yield edges()
+
+        def edges():
+            made = out(0, us, vs, [None] * len(us))
+            us.clear()
+            vs.clear()
+            return made
 
         for b in batches:
             for k, c, s in zip(*(b.column(i).to_pylist() for i in range(3))):
@@ -374,6 +396,8 @@ def _verify(rows: int | None, size: int = BUCKET_BYTES):
                     yield out(1, [key] * len(contents), contents, sets)
                     contents, sets, held = [], [], 0
         yield from close()
+        if us:
+            yield edges()
 
     return run
 
