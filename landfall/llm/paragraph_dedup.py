@@ -284,11 +284,40 @@ def count_hot(collided: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     return collided.withColumn("large", F.col("large") | F.col("key").isin(keys)) if keys else collided
 
 
+def sets_of(units: list[bytes]) -> list[bytes]:
+    """The sorted distinct shingles of units of at least ``SHINGLE`` words each, as bytes."""
+    data = np.frombuffer(b"\n".join(units).lower(), dtype=np.uint8)
+    begin = np.cumsum([0] + [len(u) + 1 for u in units[:-1]])
+    start, end = word_spans(data)
+    h = word_hashes(data, start, end)
+    first = np.searchsorted(start, begin)
+    n = np.diff(first, append=start.size) - (SHINGLE - 1)
+    unit = np.repeat(np.arange(n.size), n)
+    at = np.arange(unit.size) + (SHINGLE - 1) * unit
+    with np.errstate(over="ignore"):
+        s = np.zeros(at.size, dtype=np.uint64)
+        for k in range(SHINGLE):
+            s = (s + h[at + k]) * _STEP
+    s = mix64(s)
+    order = np.lexsort((s, unit))
+    unit, s = unit[order], s[order]
+    own = run_starts(unit, s)
+    flat, edge = s[own].tobytes(), 8 * np.searchsorted(unit[own], np.arange(n.size + 1))
+    return [flat[x:y] for x, y in zip(edge[:-1].tolist(), edge[1:].tolist())]
+
+
 def _shingle_sets(batches):
     """(content, shingles) of the wanted units; ``places`` has their (start, size, content)."""
     seen = set()  # a text that stands in several rows has its sets once a task
+    contents, units, held = [], [], 0
+
+    def flush():
+        made = pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(sets_of(units), pa.binary())], ["content", "shingles"])
+        contents.clear()
+        units.clear()
+        return made
+
     for b in batches:
-        contents, sets = [], []
         for text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             for p in places:
                 if p["content"] in seen:
@@ -296,15 +325,14 @@ def _shingle_sets(batches):
                 if len(seen) >= SEEN_CONTENTS:
                     seen.clear()
                 seen.add(p["content"])
-                data = np.frombuffer(text[p["start"]:p["start"] + p["size"]].lower(), dtype=np.uint8)
-                h = word_hashes(data, *word_spans(data))
-                with np.errstate(over="ignore"):
-                    s = np.zeros(h.size - SHINGLE + 1, dtype=np.uint64)
-                    for k in range(SHINGLE):
-                        s = (s + h[k:k + s.size]) * _STEP
                 contents.append(p["content"])
-                sets.append(np.unique(mix64(s)).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(sets, pa.binary())], ["content", "shingles"])
+                units.append(text[p["start"]:p["start"] + p["size"]])
+                held += p["size"]
+                if held >= BLOCK_BYTES:
+                    yield flush()
+                    held = 0
+    if units:
+        yield flush()
 
 
 def shingle_sets(docs: DataFrame, places: DataFrame) -> DataFrame:
