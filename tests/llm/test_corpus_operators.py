@@ -431,3 +431,24 @@ def test_short_lines_are_compared(spark):
     for d in (1, 2):
         assert not set(lines) & set(got[d]) and "four words stay here" in got[d] and len(got[d]) == 7
     assert near not in got[3] and got[3][0] == rows[3][1].split("\n")[0]
+
+
+def test_sets_and_pairs_made_at_once_are_those_made_one_by_one():
+    rng = np.random.default_rng(5)
+    units = [" ".join(f"W{w}" for w in rng.integers(0, 40, n)) for n in rng.integers(5, 60, 40)]
+    units += [u + " tail" for u in units[:20]] + ["a b\nc\n\nd e", "A B C D E", "x " * 30, "é è ç à ù " * 3]
+    together = paragraph_dedup.sets_of([u.encode() for u in units])
+    assert together == [paragraph_dedup.sets_of([u.encode()])[0] for u in units]
+    sets = [np.frombuffer(s, dtype=np.uint64) for s in together]
+    for u, s in zip(units, sets):
+        words = u.lower().split()
+        assert s.size == len({tuple(words[k:k + 5]) for k in range(len(words) - 4)}) and (s[1:] > s[:-1]).all()
+    linked = 0
+    for i in range(len(sets)):
+        for j in range(i):
+            pair = paragraph_dedup.similar_pair([i, j], [sets[i], sets[j]])
+            both = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+            assert bool(pair[0]) == (both >= 0.8 * (sets[i].size + sets[j].size - both) - 1e-9)
+            assert pair == paragraph_dedup.similar_forest(np.array([i, j]), [sets[i], sets[j]])
+            linked += len(pair[0])
+    assert linked
