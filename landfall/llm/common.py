@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +27,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark's setting by which a query's shuffle files go as soon as it has ended.
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries that run inside leave no shuffle files behind. A plan that is run again makes its
+    shuffles anew, so a result never depends on this."""
+    before = spark.conf.get(_FILE_CLEANUP, None)
+    spark.conf.set(_FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FILE_CLEANUP)
+        else:
+            spark.conf.set(_FILE_CLEANUP, before)
+
+
 class Scratch:
     """Tables in the shared scratch folder that an operator needs for a while; ``free`` removes them
-    once what was made of them is itself written, so they don't pile up on the disk."""
+    once what was made of them is itself written, so they don't pile up on the disk. The shuffles that
+    made a table go when it is written."""
 
     def __init__(self, spark: SparkSession):
         self._spark, self._held = spark, []
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{scratch_dir(self._spark)}/llm/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        with shuffles_removed(self._spark):
+            df.write.parquet(path)
         table = self._spark.read.schema(df.schema).parquet(path)
         self._held.append((table, path))
         return table
