@@ -735,7 +735,8 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     bands = scratch.written(colliding(units, hot_keys(units, docs.count()), bucket_rows), "paragraph-bands")
     sizes = units.join(bands.select("content").distinct(), "content", "left_semi").groupBy("content").agg(F.max("distinct").alias("distinct"))
     pairs = scratch.written(comparable(count_hot(bands, bucket_rows), sizes), "paragraph-pairs")
-    scratch.free(bands)
+    with_bands, units = units, scratch.written(units.drop("bands", "distinct"), "paragraph-places")
+    scratch.free(bands, with_bands)
     collided = pairs
     place = F.struct("doc_id", "text_key", "start", "size", "word")
     near = collided.select("content").distinct().withColumn("near", F.lit(True))
@@ -755,7 +756,7 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     same_text = f["doc_id"].eqNullSafe(F.col("doc_id")) & (f["text_key"] == F.col("text_key"))
     # Units that overlap the kept one in its own text are no repeats of it.
     own = same_text & (F.col("start") < f["start"] + f["size"]) & (f["start"] < F.col("start") + F.col("size"))
-    rows = scratch.written(units.drop("bands", "distinct").join(total, "content").withColumn("own", own)
+    rows = scratch.written(units.join(total, "content").withColumn("own", own)
                            .withColumn("kept", same_text & (F.col("start") == f["start"]) & (F.col("size") == f["size"])), "paragraph-repeats")
     scratch.free(units, total)
     around = rows.filter("own").groupBy(f["content"].alias("of")).agg(F.count(F.lit(1)).alias("n_own"))

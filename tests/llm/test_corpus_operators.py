@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -185,6 +186,21 @@ def test_repeats_are_cut_once(spark, odd_docs, no_docs):
     assert paragraph_dedup.cut_repeats(no_docs).count() == 0 and paragraph_dedup.repeated_units(no_docs).count() == 0
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from landfall.llm import common
+
+    before = spark.conf.get(common._FILE_CLEANUP)
+    scratch = common.Scratch(spark)
+    table = scratch.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "shuffle-test")
+    assert sorted(r["k"] for r in table.collect()) == list(range(7))
+    assert spark.conf.get(common._FILE_CLEANUP) == before
+    with pytest.raises(ZeroDivisionError), common.shuffles_removed(spark):
+        assert spark.conf.get(common._FILE_CLEANUP) == "true"
+        raise ZeroDivisionError
+    assert spark.conf.get(common._FILE_CLEANUP) == before
+    scratch.free(table)
+
+
 def check_packing(rows, got, limits=(2048, 256, 2048)):
     from tokenizers import Tokenizer
 
