@@ -45,8 +45,11 @@ SEEN_CONTENTS = 1 << 20
 #: again on prefix shingles, and one that is still larger is compared block against block.
 BUCKET_ROWS = 1 << 14
 BUCKET_BYTES = 64 << 20
-#: Links that leave a task in one batch.
-EDGES_AT_ONCE = 4096
+#: Contents of buckets that are compared all at once, pair by pair, and bytes of shingle sets that wait for it;
+#: buckets of more contents than ``INDEXED`` are searched by an index of their rarest shingles.
+FEW = 8
+SETS_AT_ONCE = 4 << 20
+INDEXED = 48
 #: Contents of more shingles are not keyed on prefixes, whose number grows with theirs.
 LONG_SET = 512
 #: Band keys with so many contents in a sample of about so many rows are dealt out by content; at most so many keys.
@@ -142,7 +145,7 @@ class Units:
         again = every[1:][every[1:] == every[:-1]]
         if not again.size:
             return n
-        few = np.flatnonzero(np.isin(own, again))
+        few = np.flatnonzero(again[np.minimum(np.searchsorted(again, own), again.size - 1)] == own)
         order = few[np.lexsort((s[few], unit[few]))]
         first = run_starts(unit[order], s[order])
         return n - np.bincount(unit[order], minlength=n.size) + np.bincount(unit[order][first], minlength=n.size)
@@ -251,30 +254,72 @@ def hot_keys(units: DataFrame, n_docs: int, sample_rows: int = SAMPLE_ROWS, cont
     return [r["key"] for r in top.collect()]
 
 
-def colliding(units: DataFrame, hot: list[int], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``(key, content, hot, large)`` of the bands that hold different contents; ``large`` marks keys of
-    more than ``bucket_rows`` rows. The rows of a key in ``hot``, which is known to collide, are dealt by
-    content, so no task gets them all; they are not counted here."""
+def _fits(key: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """Rows sorted by key and size that are not too small or too large for all others of their key: sets
+    of a similarity of 0.8 or more differ in size by a fifth at most."""
+    near = (key[1:] == key[:-1]) & (distinct[:-1].astype(np.int64) * 5 >= distinct[1:].astype(np.int64) * 4)
+    return np.append(near, False) | np.append(False, near)
+
+
+def _buckets(hot: list[int], bucket_rows: int, fitting: bool):
+    """(key, content, distinct, hot, large) of the rows (key, content, distinct), sorted by key, whose key
+    holds several contents; with ``fitting`` without those that are too small or too large for all others
+    of their key. The rows of a key in ``hot`` and of large keys stay, and may come twice if the key has
+    more than ``bucket_rows`` contents here; all others come once."""
+    known = np.array(sorted(hot), dtype=np.int64)
+
+    def out(key, content, distinct, is_hot, large):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, content, distinct, is_hot, large)], ["key", "content", "distinct", "hot", "large"])
+
+    def run(batches):
+        held = [np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32)]
+        large = None  # the key whose rows went out as large before its end was seen
+
+        def once(key, content, distinct):
+            order = np.lexsort((content, distinct, key))
+            order = order[run_starts(key[order], content[order])]
+            return key[order], content[order], distinct[order]
+
+        def whole(key, content, distinct):
+            """Of keys that are seen to their end."""
+            first = run_starts(key)
+            n = np.diff(first, append=key.size)
+            n = np.repeat(n, n)
+            is_hot = np.isin(key, known)
+            over = ~is_hot & ((n > bucket_rows) | (key == large if large is not None else False))
+            wanted = is_hot | over | (n > 1)
+            if fitting:
+                wanted &= is_hot | over | _fits(key, distinct)
+            return out(key[wanted], content[wanted], distinct[wanted], is_hot[wanted], over[wanted])
+
+        for b in batches:
+            held = [np.concatenate([x, b.column(k).to_numpy(zero_copy_only=False)]) for k, x in enumerate(held)]
+            edge = int(np.searchsorted(held[0], held[0][-1:])[0]) if held[0].size else 0
+            if edge:
+                yield whole(*once(*(x[:edge] for x in held)))
+                held, large = [x[edge:] for x in held], None
+            if held[0].size > bucket_rows:
+                held = list(once(*held))
+                if held[0].size > bucket_rows or large is not None:
+                    large, is_hot = held[0][0], np.isin(held[0], known)
+                    yield out(*held, is_hot, ~is_hot)
+                    held = [x[:0] for x in held]
+        if held[0].size:
+            yield whole(*once(*held))
+
+    return run
+
+
+def colliding(units: DataFrame, hot: list[int], bucket_rows: int = BUCKET_ROWS, fitting: bool = False) -> DataFrame:
+    """``(key, content, distinct, hot, large)`` of the bands that hold different contents; ``large`` marks
+    keys of more than ``bucket_rows`` contents. The rows of a key in ``hot``, which is known to collide, are
+    dealt by content, so no task gets them all; they are not counted here. With ``fitting``, contents too
+    small or too large for all others of their bucket are left out; hot and large buckets stay."""
     is_hot = F.col("key").isin(hot) if hot else F.lit(False)
     dealt = F.xxhash64("key", F.when(is_hot, F.col("content")).otherwise(F.lit(0).cast("long")))
-    bands = units.select(F.explode("bands").alias("key"), "content").repartition(dealt)
-    bands = bands.withColumn("hot", is_hot).withColumn("dealt", dealt)
-    w = Window.partitionBy("dealt", "key")
-    return (bands.select("key", "dealt", "content", "hot", F.min("content").over(w).alias("a"), F.max("content").over(w).alias("b"),
-                         F.count(F.lit(1)).over(w).alias("n"))
-            .filter("hot OR a <> b").select("key", "dealt", "content", "hot", (~F.col("hot") & (F.col("n") > bucket_rows)).alias("large"))
-            .distinct().drop("dealt"))
-
-
-def comparable(collided: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``collided`` without the contents that are too small or too large for all others of their bucket:
-    sets of a similarity of 0.8 or more differ in size by a fifth at most. Hot and large buckets stay."""
-    open_ = F.col("hot") | F.col("large")
-    w = Window.partitionBy("key").orderBy("distinct")
-    rows = (collided.filter(~open_).join(sizes.select("content", "distinct"), "content")
-            .withColumn("less", F.lag("distinct").over(w)).withColumn("more", F.lead("distinct").over(w)))
-    fits = (F.col("less") * 5 >= F.col("distinct") * 4) | (F.col("distinct") * 5 >= F.col("more") * 4)
-    return rows.filter(fits).select(*collided.columns).union(collided.filter(open_))
+    bands = units.select(F.explode("bands").alias("key"), "content", "distinct").repartition(dealt)
+    return bands.sortWithinPartitions("key").mapInArrow(
+        _buckets(hot, bucket_rows, fitting), "key long, content long, distinct int, hot boolean, large boolean")
 
 
 def count_hot(collided: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -344,12 +389,43 @@ def shingle_sets(docs: DataFrame, places: DataFrame) -> DataFrame:
             .select("text", "places").mapInArrow(_shingle_sets, "content long, shingles binary"))
 
 
-def similar_forest(content: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs whose Jaccard similarity is ``SIMILARITY`` or more."""
+def _prefix_size(size: np.ndarray) -> np.ndarray:
+    """Two sets of similarity 0.8 share one of their first so many shingles in any order common to both."""
+    return size - np.ceil(SIMILARITY * size - 1e-9).astype(np.int64) + 1
+
+
+class _Rarest:
+    """Which sets of a bucket hold which of their rarest shingles: sets that are similar share one of
+    them. ``flat`` has the sets one after the other, each of ``size`` shingles from ``offset`` on."""
+
+    def __init__(self, flat: np.ndarray, offset: np.ndarray, size: np.ndarray):
+        _, name, count = np.unique(flat, return_inverse=True, return_counts=True)
+        place = np.empty(count.size, dtype=np.int64)  # of a shingle when all are sorted by the sets that hold it
+        place[np.argsort(count, kind="stable")] = np.arange(count.size)
+        held = place[name] + (np.repeat(np.arange(size.size), size) << 32)
+        held.sort()
+        first = np.arange(flat.size) - np.repeat(offset, size) < np.repeat(_prefix_size(size), size)
+        held = held[first & (held & 0xFFFFFFFF >= np.count_nonzero(count == 1))]
+        self.name, holder = held & 0xFFFFFFFF, held >> 32
+        self.edge = np.searchsorted(holder, np.arange(size.size + 1))
+        by_name = np.argsort(self.name, kind="stable")
+        self.holder, self.start = holder[by_name], np.searchsorted(self.name[by_name], np.arange(count.size + 1))
+
+    def sharing(self, x: int) -> np.ndarray:
+        """The sets that share a rare shingle with set ``x``, itself among them, some more than once."""
+        names = self.name[self.edge[x]:self.edge[x + 1]].tolist()
+        found = [self.holder[self.start[k]:self.start[k + 1]] for k in names]
+        return np.concatenate(found) if found else np.empty(0, dtype=np.int64)
+
+
+def similar_forest(content: np.ndarray, sets: list[np.ndarray], indexed: int = INDEXED) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs whose Jaccard similarity is ``SIMILARITY`` or more. With more than
+    ``indexed`` sets only those that share a rare shingle are compared, which loses no pair."""
     size = np.array([x.size for x in sets])
     order = np.argsort(size, kind="stable")
     content, size, sets = content[order], size[order], [sets[i] for i in order]
     flat, offset = np.concatenate(sets), np.cumsum(size) - size
+    rarest = _Rarest(flat, offset, size) if size.size > indexed else None
     left, us, vs = np.ones(size.size, dtype=bool), [], []
     for seed in range(size.size):
         if not left[seed]:
@@ -359,13 +435,23 @@ def similar_forest(content: np.ndarray, sets: list[np.ndarray]) -> tuple[list[in
         while queue:
             x = queue.pop()
             lo, hi = np.searchsorted(size, [int(np.ceil(SIMILARITY * size[x] - 1e-9)), int(size[x] / SIMILARITY + 1e-9) + 1])
-            if lo >= hi or not left[lo:hi].any():
-                continue
-            end = offset[hi - 1] + size[hi - 1]
-            part = flat[offset[lo]:end]
+            if rarest is not None:
+                other = rarest.sharing(x)
+                other = np.unique(other[left[other] & (other >= lo) & (other < hi)])
+                if not other.size:
+                    continue
+                n = size[other]
+                begin = np.cumsum(n) - n
+                part = flat[np.arange(int(n.sum())) + np.repeat(offset[other] - begin, n)]
+            else:
+                if lo >= hi or not left[lo:hi].any():
+                    continue
+                other, n = np.arange(lo, hi), size[lo:hi]
+                begin = offset[lo:hi] - offset[lo]
+                part = flat[offset[lo]:offset[hi - 1] + size[hi - 1]]
             at = np.minimum(np.searchsorted(sets[x], part), sets[x].size - 1)
-            both = np.add.reduceat((sets[x][at] == part).astype(np.int64), offset[lo:hi] - offset[lo])
-            near = lo + np.flatnonzero(left[lo:hi] & (both >= SIMILARITY * (size[x] + size[lo:hi] - both) - 1e-9))
+            both = np.add.reduceat((sets[x][at] == part).astype(np.int64), begin)
+            near = other[left[other] & (both >= SIMILARITY * (size[x] + n - both) - 1e-9)]
             left[near] = False
             us += [int(content[x])] * near.size
             vs += content[near].tolist()
@@ -373,13 +459,43 @@ def similar_forest(content: np.ndarray, sets: list[np.ndarray]) -> tuple[list[in
     return us, vs
 
 
+def similar_pairs(contents: list[int], sets: list[bytes], rows: list[int]) -> tuple[list[int], list[int]]:
+    """The pairs whose Jaccard similarity is ``SIMILARITY`` or more of many buckets of few contents, which
+    stand one after the other, ``rows`` of each."""
+    rows, content = np.array(rows), np.array(contents, dtype=np.int64)
+    flat = np.frombuffer(b"".join(sets), dtype=np.uint64)
+    size = np.array([len(s) for s in sets]) >> 3
+    offset = np.cumsum(size) - size
+    # The pairs of a bucket: each content with those that follow it.
+    after = np.repeat(np.cumsum(rows), rows) - np.arange(content.size) - 1
+    a = np.repeat(np.arange(content.size), after)
+    b = a + 1 + np.arange(a.size) - np.repeat(np.cumsum(after) - after, after)
+    a, b = np.where(size[a] <= size[b], a, b), np.where(size[a] <= size[b], b, a)
+    fits = size[a] >= SIMILARITY * size[b] - 1e-9
+    a, b = a[fits], b[fits]
+    if not a.size:
+        return [], []
+    # Sets are sorted, so (set, shingle) is sorted too where shingles are numbered in their order.
+    names, name = np.unique(flat, return_inverse=True)
+    held = np.repeat(np.arange(size.size), size) * names.size + name
+    us, vs = [], []
+    many = np.cumsum(size[a])
+    edges = np.unique(np.append(np.searchsorted(many, np.arange(0, int(many[-1]), SETS_AT_ONCE >> 2)), a.size))
+    for x, y in zip(edges[:-1], edges[1:]):  # in parts, for bounded memory
+        n = size[a[x:y]]
+        begin = np.cumsum(n) - n
+        part = name[np.arange(int(n.sum())) + np.repeat(offset[a[x:y]] - begin, n)] + np.repeat(b[x:y] * names.size, n)
+        found = held[np.minimum(np.searchsorted(held, part), held.size - 1)] == part
+        both = np.add.reduceat(found.astype(np.int64), begin)
+        near = both >= SIMILARITY * (n + size[b[x:y]] - both) - 1e-9
+        us += content[a[x:y][near]].tolist()
+        vs += content[b[x:y][near]].tolist()
+    return us, vs
+
+
 def similar_pair(contents: list[int], sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
     """``similar_forest`` of two contents."""
-    (x, a), (y, b) = sorted(zip(contents, sets), key=lambda c: c[1].size)
-    if a.size < SIMILARITY * b.size - 1e-9:
-        return [], []
-    both = int((b[np.minimum(b.searchsorted(a), b.size - 1)] == a).sum())
-    return ([x], [y]) if both >= SIMILARITY * (a.size + b.size - both) - 1e-9 else ([], [])
+    return similar_pairs(contents, [s.tobytes() for s in sets], [2])
 
 
 def _verify(rows: int | None, size: int = BUCKET_BYTES):
@@ -392,24 +508,32 @@ def _verify(rows: int | None, size: int = BUCKET_BYTES):
 
     def run(batches):
         key, contents, sets, held, over = None, [], [], 0, False
-        us, vs = [], []  # most buckets are small, so their edges leave together
+        few = ([], [], [])  # contents, sets and rows of buckets of few contents, compared together
+        waiting = 0
 
         def close():
+            nonlocal waiting
             if over:
                 yield out(1, [key] * len(contents), contents, sets)
-            elif len(contents) > 1:
-                found = [np.frombuffer(s, dtype=np.uint64) for s in sets]
-                u, v = similar_pair(contents, found) if len(found) == 2 else similar_forest(np.array(contents, dtype=np.int64), found)
-                us.extend(u)
-                vs.extend(v)
-                if len(us) >= EDGES_AT_ONCE:
+            elif 1 < len(contents) <= FEW:
+                few[0].extend(contents)
+                few[1].extend(sets)
+                few[2].append(len(contents))
+                waiting += held
+                if waiting >= SETS_AT_ONCE:
                     yield edges()
+            elif len(contents) > 1:
+                u, v = similar_forest(np.array(contents, dtype=np.int64), [np.frombuffer(s, dtype=np.uint64) for s in sets])
+                if u:
+                    yield out(0, u, v, [None] * len(u))
 
         def edges():
-            made = out(0, us, vs, [None] * len(us))
-            us.clear()
-            vs.clear()
-            return made
+            nonlocal waiting
+            u, v = similar_pairs(*few)
+            for x in few:
+                x.clear()
+            waiting = 0
+            return out(0, u, v, [None] * len(u))
 
         for b in batches:
             for k, c, s in zip(*(b.column(i).to_pylist() for i in range(3))):
@@ -424,7 +548,7 @@ def _verify(rows: int | None, size: int = BUCKET_BYTES):
                     yield out(1, [key] * len(contents), contents, sets)
                     contents, sets, held = [], [], 0
         yield from close()
-        if us:
+        if few[0]:
             yield edges()
 
     return run
@@ -478,7 +602,7 @@ def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKE
     ``collided (key, content)`` may mark buckets as ``large``; these are keyed again at once, so that
     none moves to one task whole."""
     scratch = scratch or Scratch(collided.sparkSession)
-    large = collided.filter("large") if "large" in collided.columns else collided.limit(0)
+    large = collided.filter("large").distinct() if "large" in collided.columns else collided.limit(0)
     if large.isEmpty():
         large = None
     else:
@@ -534,16 +658,18 @@ def _texts(batches):
 
 
 def _with_texts(docs: DataFrame, rows: DataFrame, columns: list) -> DataFrame:
-    """``text, of_id, of_key, rows``: the rows of each text that has any, once for each place."""
-    asked = rows.groupBy("of_id", "of_key").agg(F.collect_list(F.struct(*columns)).alias("rows"))
-    d = _source(docs)
-    return (d.join(asked, d["doc_id"].eqNullSafe(F.col("of_id")) & (d["text_key"] == F.col("of_key")))
-            .select("text", "of_id", "of_key", "rows"))
+    """``text, of_id, of_key, rows``: the rows of each text that has any, once for each place. A NULL id is
+    two columns, so that one exchange of the rows serves both the grouping and the join."""
+    place = ["_lf_id", "_lf_none", "of_key"]
+    asked = (rows.withColumn("_lf_id", F.coalesce("of_id", F.lit(0).cast("long"))).withColumn("_lf_none", F.col("of_id").isNull())
+             .groupBy(*place).agg(F.collect_list(F.struct(*columns)).alias("rows")))
+    d = _source(docs).select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("_lf_id"), F.col("doc_id").isNull().alias("_lf_none"), F.col("text_key").alias("of_key"), "text")
+    return d.join(asked, place).select("text", F.when(~F.col("_lf_none"), F.col("_lf_id")).alias("of_id"), "of_key", "rows")
 
 
 def _contexts(width: int):
-    """32 bits of the hashes of up to ``width`` words before (nearest first) and after each asked span,
-    and of its own words where they are asked for."""
+    """32 bits of the hashes of up to ``width`` words before (nearest first) and after each asked span, on the
+    sides where more may be shared, and of its own words where they are asked for."""
 
     def run(batches):
         rows, held = [], 0
@@ -558,8 +684,9 @@ def _contexts(width: int):
             h = (h >> np.uint64(32)).astype(np.uint32)
             for r in asked:
                 x, y = r["r_begin"], r["r_end"]
-                rows.append((i, k, x, y, h[max(0, x - width):x][::-1].tobytes(), h[y:y + width].tobytes(), h[x:y].tobytes() if r["ends"] else None))
-                held += 4 * (y - x) if r["ends"] else 0
+                rows.append((i, k, x, y, h[max(0, x - width):x][::-1].tobytes() if r["more0"] else None, h[y:y + width].tobytes() if r["more1"] else None,
+                             h[x:y].tobytes() if r["ends"] else None))
+                held += sum(len(c) for c in rows[-1][4:] if c)
                 if len(rows) >= 4096 or held > BLOCK_BYTES:
                     yield flush()
                     held = 0
@@ -590,9 +717,9 @@ def grow(own: np.ndarray, other: np.ndarray, shared: int, union: int) -> tuple[i
         if run and (first or s >= SIMILARITY * u - 1e-9):
             far_a, far_b, best = a, b, (s, u)
         first = False
+        x, y = own[a:a + SKIP + SHINGLE].tolist(), other[b:b + SKIP + SHINGLE].tolist()
         for i, j in _SKIPS:
-            x, y = own[a + i:a + i + SHINGLE], other[b + j:b + j + SHINGLE]
-            if x.size == y.size == SHINGLE and x.tobytes() == y.tobytes():
+            if x[i:i + SHINGLE] == y[j:j + SHINGLE] and min(len(x) - i, len(y) - j) >= SHINGLE:
                 a, b, u = a + i, b + j, u + i + j
                 break
         else:
@@ -603,25 +730,77 @@ def shared_ends(own: np.ndarray, other: np.ndarray) -> tuple[int, int, int, int]
     """Where the first shingle that two runs of words share begins and the last one ends, in either run;
     None if they share none."""
     def shingles(h):
-        s = np.zeros(max(0, h.size - SHINGLE + 1), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for k in range(SHINGLE):
-                s = mix64((s + h[k:k + s.size]) * _STEP)
-        return s
+        h = h.tolist()
+        return list(zip(*(h[k:] for k in range(SHINGLE))))
 
     a, b = shingles(own), shingles(other)
-    shared = np.flatnonzero(np.isin(a, b))
-    if not shared.size:
+    first = {}
+    last = {}
+    for k, s in enumerate(b):
+        first.setdefault(s, k)
+        last[s] = k
+    shared = [k for k, s in enumerate(a) if s in last]
+    if not shared:
         return None
-    x, y = int(shared[0]), int(shared[-1])
-    return x, y + SHINGLE, int(np.flatnonzero(b == a[x])[0]), int(np.flatnonzero(b == a[y])[-1]) + SHINGLE
+    x, y = shared[0], shared[-1]
+    return x, y + SHINGLE, first[a[x]], last[a[y]] + SHINGLE
 
 
 _GROWN = ("of_id long, of_key long, begin int, end int, r_id long, r_key long, r_begin int, r_end int, shared long, whole long, "
           "more0 boolean, more1 boolean, ends boolean, least int, start int, size int, units array<long>")
 
 
-def _grown(width: int):
+class _Growing:
+    """A span that grows: its words ``at``, those of the kept unit's text ``r_at``, shared and all shingles,
+    and on which sides ``more`` may be shared."""
+
+    def __init__(self, r: dict, h: np.ndarray, width: int):
+        self.r, self.h = r, h
+        self.at, self.r_at, self.s, self.u = [r["begin"], r["end"]], [r["r_begin"], r["r_end"]], r["shared"], r["whole"]
+        self.more, self.context = [r["more0"], r["more1"]], [np.frombuffer(r[f"context{side}"] or b"", dtype=np.uint32) for side in (0, 1)]
+        self.none = False
+        near = [x[:width] for x in self.context]
+        full = [x.size == width for x in near]
+        if r["ends"]:  # of a similar unit only what lies between its first and last shared shingle
+            inner = np.frombuffer(r["inner"], dtype=np.uint32)
+            found = shared_ends(h[self.at[0]:self.at[1]], inner)
+            if found is None:
+                self.none = True
+                return
+            x, y, r_x, r_y = found
+            near = [np.concatenate([inner[:r_x][::-1], near[0]]), np.concatenate([inner[r_y:], near[1]])]
+            self.at, self.r_at = [self.at[0] + x, self.at[0] + y], [self.r_at[0] + r_x, self.r_at[0] + r_y]
+            self.more = [r_x < r_y] * 2
+        self._grow(near, full)
+
+    def again(self, width: int) -> None:
+        near = [self.context[side][abs(self.r_at[side] - self.r[place]):][:width] for side, place in ((0, "r_begin"), (1, "r_end"))]
+        self._grow(near, [x.size == width for x in near])
+
+    def _grow(self, near, full):
+        begun, ends = list(self.r_at), list(self.more)
+        # Both sides grow in turn, so that what one side takes counts for the other.
+        for side in (0, 1, 0):
+            if not ends[side]:
+                continue
+            other = near[side][abs(self.r_at[side] - begun[side]):]
+            x = self.at[side]
+            own = self.h[x:] if side else self.h[self.r["least"]:x][::-1]
+            far, r_far, self.s, self.u, spent = grow(own, other, self.s, self.u)
+            self.at[side] += far if side else -far
+            self.r_at[side] += r_far if side else -r_far
+            self.more[side] = bool(full[side] and spent)
+
+    def row(self, start: np.ndarray, end: np.ndarray) -> tuple:
+        x, y = self.at
+        return (x, y, self.r["r_id"], self.r["r_key"], *self.r_at, self.s, self.u, *self.more, False, self.r["least"], int(start[x]), int(end[y - 1] - start[x]),
+                tuple(self.r["units"]))
+
+
+def _grown(widths: list[int]):
+    """The asked rows with the spans grown with contexts of ``widths[0]`` words, then with the next ones where
+    these are used up; the contexts have as many words as all widths. Spans that have become the same grow
+    on as one."""
     names = [c.split()[0] for c in _GROWN.split(", ")]
     kinds = [*[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.bool_()] * 3, *[pa.int32()] * 3, pa.list_(pa.int64())]
 
@@ -635,33 +814,13 @@ def _grown(width: int):
 
         for (i, k, asked), h, start, end in _texts(batches):
             h = (h >> np.uint64(32)).astype(np.uint32)
-            for r in asked:
-                at, r_at, s, u = [r["begin"], r["end"]], [r["r_begin"], r["r_end"]], r["shared"], r["whole"]
-                more, near = [r["more0"], r["more1"]], [np.frombuffer(r[f"context{side}"], dtype=np.uint32) for side in (0, 1)]
-                full = [x.size == width for x in near]
-                if r["ends"]:  # of a similar unit only what lies between its first and last shared shingle
-                    inner = np.frombuffer(r["inner"], dtype=np.uint32)
-                    found = shared_ends(h[at[0]:at[1]], inner)
-                    if found is None:
-                        continue
-                    x, y, r_x, r_y = found
-                    near = [np.concatenate([inner[:r_x][::-1], near[0]]), np.concatenate([inner[r_y:], near[1]])]
-                    at, r_at = [at[0] + x, at[0] + y], [r_at[0] + r_x, r_at[0] + r_y]
-                    more = [r_x < r_y] * 2
-                begun = list(r_at)
-                ends = list(more)
-                # Both sides grow in turn, so that what one side takes counts for the other.
-                for side in (0, 1, 0):
-                    if not ends[side]:
-                        continue
-                    other = near[side][abs(r_at[side] - begun[side]):]
-                    x = at[side]
-                    own = h[x:] if side else h[r["least"]:x][::-1]
-                    far, r_far, s, u, spent = grow(own, other, s, u)
-                    at[side] += far if side else -far
-                    r_at[side] += r_far if side else -r_far
-                    more[side] = bool(full[side] and spent)
-                rows.append((i, k, *at, r["r_id"], r["r_key"], *r_at, s, u, *more, False, r["least"], int(start[at[0]]), int(end[at[1] - 1] - start[at[0]]), r["units"]))
+            spans = [g for r in asked if not (g := _Growing(r, h, widths[0])).none]
+            for width in widths[1:]:
+                rows += [(i, k, *g.row(start, end)) for g in spans if not any(g.more)]
+                spans = list({g.row(start, end): g for g in spans if any(g.more)}.values())
+                for g in spans:
+                    g.again(width)
+            rows += [(i, k, *g.row(start, end)) for g in spans]
             if len(rows) >= 4096:
                 yield flush()
         if rows:
@@ -677,15 +836,16 @@ def grown_spans(docs: DataFrame, rows: DataFrame, scratch: Scratch, width: int =
     units it repeats. A similar unit is first cut back to the shingles it shares with that unit, and goes
     not at all if it has none (it may be linked through others). In the kept unit's own text a span does
     not grow over that unit. Contexts have ``width`` words; a chain whose context is used up is compared again
-    with eight times as many."""
+    with eight times as many, and where these are used up too with eight times as many again in the same round."""
     f = F.col("first")
-    one = rows.distinct().select(
+    one = rows.select(
         F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "word", "words", f["doc_id"].alias("r_id"), f["text_key"].alias("r_key"),
         f["word"].alias("r_word"), f["words"].alias("r_words"), (F.col("content") == f["content"]).alias("equal"), (F.col("n_units") * 4 + F.col("kind")).alias("unit"))
     alike = ["of_id", "of_key", "r_id", "r_key", "shift", "equal"]
+    one = one.withColumn("shift", F.col("word") - F.col("r_word")).repartition(*alike).distinct()
     w = Window.partitionBy(*alike).orderBy("word", "words", "unit")
     before = F.max(F.col("word") + F.col("words")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    chains = one.withColumn("shift", F.col("word") - F.col("r_word")).withColumn("new", F.when(F.col("equal") & (before >= F.col("word")), 0).otherwise(1))
+    chains = one.withColumn("new", F.when(F.col("equal") & (before >= F.col("word")), 0).otherwise(1))
     chains = chains.withColumn("chain", F.sum("new").over(w)).groupBy(*alike, "chain").agg(
         F.min("word").alias("begin"), F.max(F.col("word") + F.col("words")).alias("end"), F.min("r_word").alias("r_begin"),
         F.max(F.col("r_word") + F.col("r_words")).alias("r_end"), F.collect_list("unit").alias("units"))
@@ -695,25 +855,26 @@ def grown_spans(docs: DataFrame, rows: DataFrame, scratch: Scratch, width: int =
               .withColumn("ends", ~F.col("equal")).withColumn("least", F.when(same_text, F.least("begin", "r_end")).otherwise(0))
               .drop("shift", "equal", "chain"))
     todo = scratch.written(chains.withColumn("whole", F.col("shared")).withColumn("more0", F.lit(True)).withColumn("more1", F.lit(True)), "paragraph-chains")
-    done = []
+    done, widths = [], [width]
     while True:
         place = ["r_id", "r_key", "r_begin", "r_end"]
-        asked = todo.groupBy(F.col("r_id").alias("of_id"), F.col("r_key").alias("of_key"), "r_begin", "r_end").agg(F.max("ends").alias("ends"))
-        near = _with_texts(docs, asked, ["r_begin", "r_end", "ends"]).mapInArrow(
-            _contexts(width), "r_id long, r_key long, r_begin int, r_end int, context0 binary, context1 binary, inner binary")
+        asked = todo.groupBy(F.col("r_id").alias("of_id"), F.col("r_key").alias("of_key"), "r_begin", "r_end").agg(
+            *[F.max(c).alias(c) for c in ("ends", "more0", "more1")])
+        near = _with_texts(docs, asked, ["r_begin", "r_end", "ends", "more0", "more1"]).mapInArrow(
+            _contexts(sum(widths)), "r_id long, r_key long, r_begin int, r_end int, context0 binary, context1 binary, inner binary")
         # A NULL id as two columns, so that one exchange serves both the grouping and the join.
         known = lambda d: d.withColumn("no_id", F.col("r_id").isNull()).withColumn("r_id", F.coalesce("r_id", F.lit(0).cast("long")))
         asked = known(todo).join(known(near).dropDuplicates([*place, "no_id"]), [*place, "no_id"])
         asked = asked.withColumn("r_id", F.when(~F.col("no_id"), F.col("r_id")))
-        texts = _with_texts(docs, asked, ["begin", "end", *place, "shared", "whole", "more0", "more1", "ends", "least", "units", "context0", "context1",
-                                           F.when(F.col("ends"), F.col("inner")).alias("inner")])
-        grown = scratch.written(texts.mapInArrow(_grown(width), _GROWN), "paragraph-grown")
+        texts = _with_texts(docs, asked, ["begin", "end", *place, "shared", "whole", "more0", "more1", "ends", "least", "units", F.when(F.col("more0"), F.col("context0")).alias("context0"),
+                                           F.when(F.col("more1"), F.col("context1")).alias("context1"), F.when(F.col("ends"), F.col("inner")).alias("inner")])
+        grown = scratch.written(texts.mapInArrow(_grown(widths), _GROWN), "paragraph-grown")
         done.append(grown.filter("NOT more0 AND NOT more1"))
         todo = grown.filter("more0 OR more1").distinct()
         scratch.free()
         if todo.isEmpty():
             break
-        width *= 8
+        widths = [8 * widths[-1], 64 * widths[-1]]  # two steps in a round, as each round reads the texts
     out = done[0]
     for d in done[1:]:
         out = out.union(d)
@@ -732,14 +893,14 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     other columns are ignored; an empty table gives no rows."""
     scratch = Scratch(docs.sparkSession)
     units = scratch.written(find_units(docs), "paragraph-units")
-    bands = scratch.written(colliding(units, hot_keys(units, docs.count()), bucket_rows), "paragraph-bands")
-    sizes = units.join(bands.select("content").distinct(), "content", "left_semi").groupBy("content").agg(F.max("distinct").alias("distinct"))
-    pairs = scratch.written(comparable(count_hot(bands, bucket_rows), sizes), "paragraph-pairs")
-    with_bands, units = units, scratch.written(units.drop("bands", "distinct"), "paragraph-places")
-    scratch.free(bands, with_bands)
-    collided = pairs
+    pairs = scratch.written(colliding(units, hot_keys(units, docs.count()), bucket_rows, fitting=True).drop("distinct"), "paragraph-pairs")
+    collided = count_hot(pairs, bucket_rows)
+    # Units whose content stands once and meets no other are done with.
+    again = units.groupBy("content").count().filter("count > 1").select("content").union(pairs.select("content")).distinct()
+    every, units = units, scratch.written(units.drop("bands", "distinct").join(again, "content", "left_semi"), "paragraph-places")
+    scratch.free(every)
     place = F.struct("doc_id", "text_key", "start", "size", "word")
-    near = collided.select("content").distinct().withColumn("near", F.lit(True))
+    near = pairs.select("content").distinct().withColumn("near", F.lit(True))
     classes = scratch.written(units.groupBy("content").agg(F.min(place).alias("first"), F.max("words").alias("words"), F.count(F.lit(1)).alias("n"))
                               .join(near, "content", "left").filter("n > 1 OR near")
                               .select("content", F.struct("first.*", "words", "content").alias("first"), "n", "near"), "paragraph-classes")

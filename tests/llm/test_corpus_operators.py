@@ -468,3 +468,85 @@ def test_sets_and_pairs_made_at_once_are_those_made_one_by_one():
             assert pair == paragraph_dedup.similar_forest(np.array([i, j]), [sets[i], sets[j]])
             linked += len(pair[0])
     assert linked
+
+
+def joined(contents, us, vs):
+    label = {int(c): int(c) for c in contents}
+    for u, v in zip(us, vs):
+        lo, hi = sorted((label[u], label[v]))
+        label = {c: lo if x == hi else x for c, x in label.items()}
+    return label
+
+
+def test_indexed_and_paired_links_are_those_of_all_pairs():
+    rng = np.random.default_rng(7)
+    for _ in range(40):
+        n = int(rng.integers(2, 70))
+        base = [rng.integers(0, 2 ** 62, 30, dtype=np.uint64) for _ in range(3)]
+        sets = [np.unique(np.concatenate([base[rng.integers(3)][:rng.integers(1, 30)], rng.integers(0, 2 ** 62, rng.integers(0, 4), dtype=np.uint64)])) for _ in range(n)]
+        near = [(a, b) for a in range(n) for b in range(a) if (x := np.intersect1d(sets[a], sets[b]).size) >= 0.8 * (sets[a].size + sets[b].size - x) - 1e-9]
+        want = joined(range(n), *(zip(*near) if near else ((), ())))
+        for indexed in (1, n):
+            assert joined(range(n), *paragraph_dedup.similar_forest(np.arange(n), sets, indexed)) == want
+        pairs = paragraph_dedup.similar_pairs([*range(n), n, n + 1], [x.tobytes() for x in (*sets, sets[0], sets[0])], [n, 2])
+        assert sorted(map(sorted, zip(*pairs))) == sorted([sorted(x) for x in near] + [[n, n + 1]])
+
+
+def test_a_bucket_of_unlike_contents_is_not_compared_pair_by_pair(monkeypatch):
+    """Many contents that share a shingle and little else, as under a band key of a common passage."""
+    rng = np.random.default_rng(8)
+    sets = [np.append(np.uint64(1), np.sort(rng.integers(2, 2 ** 62, 9, dtype=np.uint64))) for _ in range(2000)]
+    sets.append(sets[0].copy())
+    compared = []
+    spy = type(np)("spy")
+    spy.__dict__.update(vars(np))
+    spy.searchsorted = lambda a, v, *x, **y: (compared.append(np.size(v)), np.searchsorted(a, v, *x, **y))[1]
+    monkeypatch.setattr(paragraph_dedup, "np", spy)
+    assert joined([0, 2000], *paragraph_dedup.similar_forest(np.arange(2001), sets)) == {0: 0, 2000: 0}
+    assert sum(compared) < 20 * sum(x.size for x in sets)
+
+
+def test_buckets_across_batches_are_whole():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    for most, fitting in ((4, True), (4, False), (100, True)):
+        key = np.sort(np.concatenate([rng.integers(0, 60, 300), np.full(150, 7), np.full(90, 8)]))
+        content = rng.integers(0, 40, key.size)
+        rows = list(zip(key.tolist(), content.tolist(), (3 + content % 13).tolist()))
+        batches = [pa.RecordBatch.from_arrays([pa.array(key[k:k + 11]), pa.array(content[k:k + 11]), pa.array((3 + content[k:k + 11] % 13).astype(np.int32))], ["a", "b", "c"]) for k in range(0, key.size, 11)]
+        got = [tuple(r.values()) for b in paragraph_dedup._buckets([8, 3], most, fitting)(batches) for r in b.to_pylist()]
+        want = set()
+        for k in set(key.tolist()):
+            own = sorted({x[1:] for x in rows if x[0] == k})
+            over = k not in (3, 8) and len(own) > most
+            for c, n in own:
+                fits = any(d != c and 5 * min(m, n) >= 4 * max(m, n) for d, m in own)
+                if k in (3, 8) or over or (fits if fitting else len(own) > 1):
+                    want.add((k, c, n, k in (3, 8), over))
+        assert set(got) == want and len({x[4] for x in want}) == (2 if most == 4 else 1)
+        once = [x for x in got if not x[4] and x[0] not in (3, 8)]
+        assert len(once) == len(set(once))
+
+
+def test_widths_of_one_round_grow_as_rounds_do():
+    rng = np.random.default_rng(10)
+    words = [f"w{k}" for k in rng.integers(0, 10 ** 6, 400)]
+    kept, own = ["x"] * 9 + words, ["y"] * 3 + [w if k % 97 else f"c{k}" for k, w in enumerate(words)]
+    _, h, _, _ = next(paragraph_dedup._texts([paragraph_dedup.pa.RecordBatch.from_arrays([paragraph_dedup.pa.array([" ".join(kept).encode()])], ["t"])]))
+    h = (h >> np.uint64(32)).astype(np.uint32)
+
+    def ask(r, widths):
+        n, (x, y) = sum(widths), (r["r_begin"], r["r_end"])
+        r = {**r, "context0": h[max(0, x - n):x][::-1].tobytes(), "context1": h[y:y + n].tobytes(), "inner": None}
+        pa = paragraph_dedup.pa
+        b = pa.RecordBatch.from_arrays([pa.array([" ".join(own).encode()]), pa.array([1]), pa.array([2]), pa.array([[r, r]])], ["text", "i", "k", "rows"])
+        return [x for out in paragraph_dedup._grown(widths)([b]) for x in out.to_pylist()]
+
+    r = {"begin": 203, "end": 213, "r_id": 3, "r_key": 4, "r_begin": 209, "r_end": 219, "shared": 6, "whole": 6, "more0": True, "more1": True, "ends": False, "least": 0, "units": [8]}
+    one = ask(r, [8])[0]
+    assert one["more0"] or one["more1"]
+    two = ask(one, [64])[0]
+    assert two["end"] - two["begin"] > 100
+    three = ask(two, [512])[0] if two["more0"] or two["more1"] else two
+    assert ask(r, [8, 64, 512]) == [three] and (three["begin"], three["end"]) == (4, 403)
