@@ -116,7 +116,7 @@ def stream64(n: int, seed: int) -> np.ndarray:
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[np.frombuffer(SPACE_BYTES, dtype=np.uint8)] = True
 _BYTE_VALUE = stream64(256, 11)
-_HASH_BYTES = 1 << 20
+_HASH_BYTES = 1 << 17
 _POWERS = [np.ones(1, dtype=np.uint64)]
 
 

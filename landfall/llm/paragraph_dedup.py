@@ -25,10 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import Scratch, column_bytes, mix64, run_starts, stream64, text_key, word_hashes, word_spans
+from landfall.llm.common import Scratch, column_bytes, count_groups, mix64, run_starts, stream64, text_key, word_hashes, word_spans
 from landfall.llm.components import components
 
 SHINGLE = 5
@@ -56,6 +57,10 @@ LONG_SET = 512
 SAMPLE_ROWS = 10_000
 HOT_CONTENTS = 32
 MOST_HOT = 4096
+#: Text whose band rows make a part that is searched at once, band rows that a task gathers before it deals them, and bytes of each.
+PART_BYTES = 1 << 23
+HELD_ROWS = 1 << 20
+ROW_BYTES = 20
 #: Words compared at first on either side of a repeat, and words that may be skipped in a text at a difference.
 CONTEXT = 24
 SKIP = 3
@@ -64,22 +69,41 @@ _SEED = stream64(64, 3)
 _STEP = np.uint64(0x9E3779B97F4A7C55)
 
 
+def _least(x: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of each ``width`` values that follow each other."""
+    k, m = 1, x
+    while 2 * k <= width:
+        m, k = np.minimum(m[:-k], m[k:]), 2 * k
+    return np.minimum(m[:x.size - width + 1], m[width - k:])
+
+
 def _cuts(pair: np.ndarray, text_of: np.ndarray) -> np.ndarray:
     """Words that start a piece: their pair hash is the smallest within ``REACH`` words on either
     side (the first of equal ones), all of the same text."""
     n = pair.size
     if n <= 2 * REACH:
         return np.empty(0, dtype=np.int64)
-    windows = np.lib.stride_tricks.sliding_window_view(pair, 2 * REACH + 1)
-    at = np.flatnonzero(windows.argmin(axis=1) == REACH) + REACH
+    least, own = _least(pair, REACH), pair[REACH:n - REACH]
+    at = np.flatnonzero((own < least[:own.size]) & (own <= least[REACH + 1:])) + REACH
     at = at[at + REACH + 1 < n]
     return at[text_of[at - REACH] == text_of[at + REACH + 1]]
 
 
+_STEP_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def _step_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to ``n`` of ``_STEP`` and of its inverse modulo 2**64, grown on demand."""
+    if _STEP_POWERS[0].size <= n:
+        for k, x in enumerate((int(_STEP), pow(int(_STEP), -1, 1 << 64))):
+            _STEP_POWERS[k] = np.cumprod(np.append(np.uint64(1), np.full(max(n, 2 * _STEP_POWERS[k].size), x, dtype=np.uint64)))
+    return _STEP_POWERS[0][:n + 1], _STEP_POWERS[1][:n + 1]
+
+
 class Units:
     """The units of a block of texts: ``text`` (index), ``kind``, ``start``, ``size`` (bytes in its
     text), ``word`` (words of its text before it), ``words``, ``content`` and, of each, its place among
-    the block's words."""
+    the block's words. Units of a kind follow each other and don't overlap."""
 
     def __init__(self, texts: list[bytes]):
         data = np.frombuffer(b"\n".join(texts).lower(), dtype=np.uint8)
@@ -87,8 +111,9 @@ class Units:
         start, end = word_spans(data)
         self.hash = word_hashes(data, start, end)
         n = start.size
-        text_of = np.searchsorted(begin, start, side="right") - 1
-        line_of = np.cumsum(data == 10)[start] if n else np.empty(0, dtype=np.int64)
+        text_first = np.searchsorted(start, begin)
+        self.text_of = text_of = np.repeat(np.arange(begin.size), np.diff(text_first, append=n))
+        line_of = np.cumsum(np.bincount(np.searchsorted(start, np.flatnonzero(data == 10)), minlength=n + 1)[:n])
         first = run_starts(line_of)
         last = np.append(first[1:], n) if n else first
         long = last - first >= SHINGLE
@@ -109,75 +134,98 @@ class Units:
         self.kind = np.repeat(np.array([LINE, BLOCK, PIECE], dtype=np.int8), [int(long.sum()), int(several.sum()), int(enough.sum())])
         self.words = self.last - self.first
         self.text = text_of[self.first]
-        self.word = self.first - np.searchsorted(text_of, self.text)
+        self.word = self.first - text_first[self.text]
         self.start = start[self.first] - begin[self.text]
         self.size = end[self.last - 1] - start[self.first]
-        # A content's hash: polynomial over its word hashes, and their number.
-        if self.first.size:
-            with np.errstate(over="ignore"):
-                power = np.cumprod(np.full(int(self.words.max()), _STEP, dtype=np.uint64))
-                at, within = self._spread(self.words)
-                total = np.add.reduceat(self.hash[at] * power[within], np.cumsum(self.words) - self.words)
-                self.content = mix64(total + self.words.astype(np.uint64)).view(np.int64)
-        else:
-            self.content = np.empty(0, dtype=np.int64)
-
-    def _spread(self, size):
-        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        return within + np.repeat(self.first, size), within
-
-    def shingles(self):
-        """64-bit shingle hashes of the units one after the other, and the count of each."""
-        n = self.words - (SHINGLE - 1)
-        at, _ = self._spread(n)
+        # A content's hash: polynomial over its word hashes (a difference of two sums), and their number.
         with np.errstate(over="ignore"):
-            s = np.zeros(at.size, dtype=np.uint64)
+            power, inverse = _step_powers(n)
+            total = np.append(np.uint64(0), np.cumsum(self.hash * power[1:]))
+            total = (total[self.last] - total[self.first]) * inverse[self.first]
+            self.content = mix64(total + self.words.astype(np.uint64)).view(np.int64)
+
+    def shingles(self) -> np.ndarray:
+        """64-bit hash of the shingle at each word of the block; a unit has those from its first word on, ``SHINGLE`` - 1 fewer than words."""
+        n = max(0, self.hash.size - (SHINGLE - 1))
+        with np.errstate(over="ignore"):
+            s = np.zeros(n, dtype=np.uint64)
             for k in range(SHINGLE):
-                s = (s + self.hash[at + k]) * _STEP
-            return mix64(s), n
+                s = (s + self.hash[k:k + n]) * _STEP
+            return mix64(s)
 
-    def _distinct(self, s, n):
-        """How many different shingles each unit has."""
-        unit = np.repeat(np.arange(n.size), n)
+    def _distinct(self, s: np.ndarray) -> np.ndarray:
+        """How many different shingles each unit has: those that don't stand in it once more before."""
+        n = self.words - (SHINGLE - 1)
         with np.errstate(over="ignore"):
-            own = mix64(s + unit.astype(np.uint64) * _STEP)
+            own = mix64(s + self.text_of[:s.size].astype(np.uint64) * _STEP)
         every = np.sort(own)
         again = every[1:][every[1:] == every[:-1]]
         if not again.size:
             return n
-        few = np.flatnonzero(again[np.minimum(np.searchsorted(again, own), again.size - 1)] == own)
-        order = few[np.lexsort((s[few], unit[few]))]
-        first = run_starts(unit[order], s[order])
-        return n - np.bincount(unit[order], minlength=n.size) + np.bincount(unit[order][first], minlength=n.size)
+        low = np.uint64((1 << 20) - 1)
+        may = np.zeros(1 << 20, dtype=bool)
+        may[(again & low).astype(np.int64)] = True
+        few = np.flatnonzero(may[(own & low).astype(np.int64)])
+        order = few[np.argsort(own[few], kind="stable")]
+        follows = own[order[1:]] == own[order[:-1]]
+        place, before = order[1:][follows], order[:-1][follows]
+        for kind in (LINE, BLOCK, PIECE):
+            units = np.flatnonzero(self.kind == kind)
+            if units.size:
+                at = units[np.maximum(np.searchsorted(self.first[units], place, side="right") - 1, 0)]
+                inside = (before >= self.first[at]) & (place <= self.last[at] - SHINGLE)
+                n = n - np.bincount(at[inside], minlength=n.size)
+        return n
 
     def bands(self):
         """Rows (key, unit): the band keys of every unit; and the different shingles of each unit."""
         if not self.first.size:
             return (np.empty(0, dtype=np.int64),) * 3
-        s, n = self.shingles()
-        distinct = self._distinct(s, n)
+        s, n = self.shingles(), self.words - (SHINGLE - 1)
+        distinct = self._distinct(s)
         # Fewer than four shingles are similar to another set only if it is the same set: words of a period up to three.
         at = self.first[:, None] + np.arange(4)
         h = self.hash[at]
         can = (n >= 4) | (h[:, :1] == h[:, 1:]).any(axis=1)
-        lines = int((self.kind != PIECE).sum())  # a block meets lines too: a paragraph may be wrapped in one text only
-        edge = int(n[:lines].sum())
+
+        def edges(units):
+            """Where the units' shingles begin and end."""
+            at = np.stack([self.first[units], self.last[units] - (SHINGLE - 1)], axis=1).ravel()
+            return at[:-1] if at.size and at[-1] == s.size else at
+
         keys, units = [], []
-        with np.errstate(over="ignore"):
-            for part, size, kind, bands, rows in ((s[:edge], n[:lines], LINE, LINE_BANDS, LINE_ROWS), (s[edge:], n[lines:], PIECE, PIECE_BANDS, 1)):
-                if not size.size:
-                    continue
-                at = np.cumsum(size) - size
-                for b in range(bands):
-                    key = np.zeros(size.size, dtype=np.uint64)
+        # A block meets lines too: a paragraph may be wrapped in one text only.
+        for kind, parts, bands, rows in ((LINE, (LINE, BLOCK), LINE_BANDS, LINE_ROWS), (PIECE, (PIECE,), PIECE_BANDS, 1)):
+            own = [u for k in parts if (u := np.flatnonzero(self.kind == k)).size]
+            if not own:
+                continue
+            unit, own = np.concatenate(own), [edges(u) for u in own]
+            for b in range(bands):
+                key = np.zeros(unit.size, dtype=np.uint64)
+                with np.errstate(over="ignore"):
                     for r in range(rows):
-                        key = (key + np.minimum.reduceat(part * (_SEED[20 * kind + b * rows + r] | np.uint64(1)), at)) * _STEP
-                    unit = np.arange(size.size) + (lines if kind == PIECE else 0)
+                        x = s * (_SEED[20 * kind + b * rows + r] | np.uint64(1))
+                        key = (key + np.concatenate([np.minimum.reduceat(x, e)[::2] for e in own])) * _STEP
                     keys.append(mix64(key + _SEED[40 + 10 * kind + b]).view(np.int64)[can[unit]])
-                    units.append(unit[can[unit]])
+                units.append(unit[can[unit]])
         return np.concatenate(keys), np.concatenate(units), distinct
 
 
+def _plain(c: pa.Array) -> list:
+    """``c.to_pylist()``, with rows of lists and structs taken from whole columns."""
+    if c.null_count:
+        return c.to_pylist()
+    if pa.types.is_list(c.type):
+        flat, edge = _plain(c.flatten()), [0, *np.cumsum(c.value_lengths().to_numpy()).tolist()]
+        return [flat[x:y] for x, y in zip(edge, edge[1:])]
+    if pa.types.is_struct(c.type):
+        names = [f.name for f in c.type]
+        return [dict(zip(names, x)) for x in zip(*map(_plain, c.flatten()))]
+    if pa.types.is_integer(c.type) or pa.types.is_boolean(c.type):
+        return c.to_numpy(zero_copy_only=False).tolist()
+    return c.to_pylist()
+
+
 def _blocks(batches):
     """(doc_id, text_key, texts) blocks of bounded size; a longer text is a block of its own."""
     ids, keys, texts, size = [], [], [], 0
@@ -212,24 +260,60 @@ class _Seen:
         return at
 
 
-def _find_units(batches):
-    seen = _Seen()
-    for ids, keys, texts in _blocks(batches):
-        u = Units(texts)
-        key, unit, distinct = u.bands()
-        first = np.zeros(u.content.size, dtype=bool)
-        first[seen.new(u.content)] = True
-        own = first[unit]
-        key, unit = key[own], unit[own]
-        order = np.argsort(unit, kind="stable")
-        offset = np.append(0, np.cumsum(np.bincount(unit, minlength=u.content.size)))
-        bands = pa.ListArray.from_arrays(pa.array(offset.astype(np.int32)), pa.array(key[order], pa.int64()))
-        at = pa.array(u.text)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()).take(at), pa.array(keys, pa.int64()).take(at), pa.array(u.kind), pa.array(u.start.astype(np.int32)),
-             pa.array(u.size.astype(np.int32)), pa.array(u.word.astype(np.int32)), pa.array(u.words.astype(np.int32)),
-             pa.array(u.content), pa.array(distinct.astype(np.int32)), bands],
-            ["doc_id", "text_key", "kind", "start", "size", "word", "words", "content", "distinct", "bands"])
+def _packed(rows: list, parts: int, known: np.ndarray | None = None) -> tuple[pa.Array, pa.Array]:
+    """(part, rows): band rows (key, content, distinct) dealt by key to ``parts`` parts, those of ``known`` keys by
+    content too; ``rows`` holds all keys, then all contents and all numbers of shingles of the rows for one part."""
+    key, content, distinct = (np.concatenate(x) for x in zip(*rows))
+    of = key.view(np.uint64)
+    if known is not None:
+        with np.errstate(over="ignore"):
+            of = np.where(np.isin(key, known), of + _STEP * content.view(np.uint64), of)
+    part = (mix64(of ^ _SEED[62]) % np.uint64(parts)).astype(np.int32 if parts > 1 << 16 else np.uint16)
+    order = np.argsort(part, kind="stable")
+    part, key, content, distinct = part[order], key[order], content[order], distinct[order].astype(np.int32)
+    first = run_starts(part)
+    cut = zip(first.tolist(), [*first[1:].tolist(), part.size])
+    return pa.array(part[first].astype(np.int32)), pa.array([key[x:y].tobytes() + content[x:y].tobytes() + distinct[x:y].tobytes() for x, y in cut], pa.binary())
+
+
+def _unpacked(rows: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(rows) // ROW_BYTES
+    return np.frombuffer(rows, np.int64, n), np.frombuffer(rows, np.int64, n, 8 * n), np.frombuffer(rows, np.int32, n, 16 * n)
+
+
+_UNITS = "doc_id long, text_key long, kind byte, start int, size int, word int, words int, content long"
+
+
+def _find_units(parts: int):
+    names, kinds = zip(*(c.split() for c in _UNITS.split(", ")))
+    kinds = [{"long": pa.int64(), "byte": pa.int8(), "int": pa.int32()}[k] for k in kinds]
+
+    def dealt(rows):
+        part, packed = _packed(rows, parts)
+        return pa.RecordBatch.from_arrays([*(pa.nulls(len(part), k) for k in kinds), part, packed], [*names, "part", "rows"])
+
+    def run(batches):
+        seen = _Seen()
+        rows, held = [], 0
+        for ids, keys, texts in _blocks(batches):
+            u = Units(texts)
+            key, unit, distinct = u.bands()
+            first = np.zeros(u.content.size, dtype=bool)
+            first[seen.new(u.content)] = True
+            own = first[unit]
+            key, unit = key[own], unit[own]
+            rows.append((key, u.content[unit], distinct[unit]))
+            held += key.size
+            at = pa.array(u.text)
+            columns = [pa.array(ids, pa.int64()).take(at), pa.array(keys, pa.int64()).take(at), *(pa.array(x) for x in (u.kind, *(c.astype(np.int32) for c in (u.start, u.size, u.word, u.words)), u.content))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], [*names, "part", "rows"])
+            if held >= HELD_ROWS:
+                yield dealt(rows)
+                rows, held = [], 0
+        if held:
+            yield dealt(rows)
+
+    return run
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -237,21 +321,51 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def find_units(docs: DataFrame) -> DataFrame:
-    """Every unit of every whole text, with the number of its different shingles and its band keys (once for each content that a task meets, else
-    none); NULL and empty texts have no units."""
-    return _source(docs).mapInArrow(
-        _find_units, "doc_id long, text_key long, kind byte, start int, size int, word int, words int, content long, distinct int, bands array<long>")
+    """Every unit of every whole text (``part`` is NULL), and the band keys of the contents, with these and the numbers of their
+    different shingles, once for each content that a task meets: they go by key to parts for about ``PART_BYTES`` of text, and the
+    rows of one part leave a task together (``part, rows``). NULL and empty texts have no units."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = count_groups(size, PART_BYTES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _source(docs).mapInArrow(_find_units(parts), f"{_UNITS}, part int, rows binary")
+
+
+def _sampled(share: float):
+    """The packed rows of about a ``share`` of the contents."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for x in b.column(1).to_pylist():
+                rows = _unpacked(x)
+                own = mix64(rows[1].view(np.uint64)) >> np.uint64(34) < np.uint64(int(share * (1 << 30)))
+                out.append(b"".join(r[own].tobytes() for r in rows))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["part", "rows"])
+
+    return run
+
+
+def _counted(contents: int):
+    """(key, n) of the keys with at least so many different contents."""
+
+    def run(batches):
+        for rows in _parts(batches):
+            key, content, _ = _different(*(np.concatenate(x) for x in zip(*map(_unpacked, rows))))
+            first = run_starts(key)
+            n = np.diff(first, append=key.size)
+            yield pa.RecordBatch.from_arrays([pa.array(key[first][n >= contents]), pa.array(n[n >= contents])], ["key", "n"])
+
+    return run
 
 
 def hot_keys(units: DataFrame, n_docs: int, sample_rows: int = SAMPLE_ROWS, contents: int = HOT_CONTENTS) -> list[int]:
-    """Band keys that hold at least ``contents`` different contents in a sample of texts chosen by hash.
-    They only decide how rows are dealt to tasks; every key collides whether or not it is found here."""
+    """Band keys that hold at least ``contents`` different contents in a sample chosen by hash, as many as ``sample_rows`` texts
+    have. They only decide how rows are dealt to tasks; every key collides whether or not it is found here."""
     share = sample_rows / max(1, n_docs)
+    bands = units.filter("part IS NOT NULL").select("part", "rows")
     if share < 1:
-        units = units.filter(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    seen = units.select(F.explode("bands").alias("key"), "content").distinct().groupBy("key").count()
-    top = seen.filter(F.col("count") >= contents).orderBy(F.desc("count"), "key").limit(MOST_HOT)
-    return [r["key"] for r in top.collect()]
+        bands = bands.mapInArrow(_sampled(share), "part int, rows binary")
+    seen = bands.repartition("part").sortWithinPartitions("part").mapInArrow(_counted(contents), "key long, n long")
+    return [r["key"] for r in seen.orderBy(F.desc("n"), "key").limit(MOST_HOT).collect()]
 
 
 def _fits(key: np.ndarray, distinct: np.ndarray) -> np.ndarray:
@@ -310,16 +424,110 @@ def _buckets(hot: list[int], bucket_rows: int, fitting: bool):
     return run
 
 
+def _different(key: np.ndarray, content: np.ndarray, distinct: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different rows, sorted by key and content."""
+    order = np.lexsort((content, key))
+    order = order[run_starts(key[order], content[order])]
+    return key[order], content[order], distinct[order]
+
+
+def _parts(batches):
+    """The packed rows of each part, of rows sorted by part."""
+    part, held = None, []
+    for b in batches:
+        for p, x in zip(_plain(b.column(0)), b.column(1).to_pylist()):
+            if p != part and held:
+                yield held
+                held = []
+            part = p
+            held.append(x)
+    if held:
+        yield held
+
+
+def _dealt_anew(hot: list[int]):
+    """Packed rows with those of hot keys dealt by content, in parts of their own."""
+    known = np.array(sorted(hot), dtype=np.int64)
+
+    def run(batches):
+        for b in batches:
+            parts, out, moved = _plain(b.column(0)), [], []
+            for x in b.column(1).to_pylist():
+                rows = _unpacked(x)
+                is_hot = np.isin(rows[0], known)
+                if is_hot.any():
+                    moved.append([r[is_hot] for r in rows])
+                    x = b"".join(r[~is_hot].tobytes() for r in rows)
+                out.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(out, pa.binary())], ["part", "rows"])
+            if moved:
+                part, packed = _packed(moved, 1 << 10, known)
+                yield pa.RecordBatch.from_arrays([pc.subtract(-1, part).cast(pa.int32()), packed], ["part", "rows"])
+
+    return run
+
+
+def _part_buckets(hot: list[int], bucket_rows: int, fitting: bool):
+    """``_buckets`` of the packed rows of each part; of a part with very many rows those of hot keys and of keys with
+    more than ``bucket_rows`` contents go out before its end."""
+    known = np.array(sorted(hot), dtype=np.int64)
+    buckets = _buckets(hot, bucket_rows, fitting)
+
+    def early(key, content, distinct):
+        is_hot = np.isin(key, known)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, content, distinct, is_hot, ~is_hot)], ["key", "content", "distinct", "hot", "large"])
+
+    def run(batches):
+        part, rows, held, most, large = None, [], 0, 8 * HELD_ROWS, known[:0]
+
+        def close():
+            key, content, distinct = (np.concatenate(x) for x in zip(*rows))
+            order = np.argsort(key)
+            key, content, distinct = key[order], content[order], distinct[order]
+            met = np.append(key[1:] == key[:-1], False)
+            met[1:] |= met[:-1]
+            gone = np.isin(key, large)
+            if gone.any():
+                yield early(key[gone], content[gone], distinct[gone])
+            met = (met | np.isin(key, known)) & ~gone
+            yield from buckets([pa.RecordBatch.from_arrays([pa.array(x[met]) for x in (key, content, distinct)], ["key", "content", "distinct"])])
+
+        for b in batches:
+            for p, x in zip(_plain(b.column(0)), b.column(1).to_pylist()):
+                if p != part:
+                    if held:
+                        yield from close()
+                    part, rows, held, most, large = p, [], 0, 8 * HELD_ROWS, known[:0]
+                rows.append(_unpacked(x))
+                held += rows[-1][0].size
+                if held >= most:
+                    key, content, distinct = _different(*(np.concatenate(x) for x in zip(*rows)))
+                    first = run_starts(key)
+                    n = np.diff(first, append=key.size)
+                    is_hot = np.isin(key, known)
+                    go = np.repeat(n > bucket_rows, n) | is_hot | np.isin(key, large)
+                    if go.any():
+                        yield early(key[go], content[go], distinct[go])
+                    large = np.union1d(large, key[go & ~is_hot])
+                    rows = [(key[~go], content[~go], distinct[~go])]
+                    held = rows[0][0].size
+                    most = max(most, 2 * held)
+        if held:
+            yield from close()
+
+    return run
+
+
 def colliding(units: DataFrame, hot: list[int], bucket_rows: int = BUCKET_ROWS, fitting: bool = False) -> DataFrame:
     """``(key, content, distinct, hot, large)`` of the bands that hold different contents; ``large`` marks
     keys of more than ``bucket_rows`` contents. The rows of a key in ``hot``, which is known to collide, are
     dealt by content, so no task gets them all; they are not counted here. With ``fitting``, contents too
     small or too large for all others of their bucket are left out; hot and large buckets stay."""
-    is_hot = F.col("key").isin(hot) if hot else F.lit(False)
-    dealt = F.xxhash64("key", F.when(is_hot, F.col("content")).otherwise(F.lit(0).cast("long")))
-    bands = units.select(F.explode("bands").alias("key"), "content", "distinct").repartition(dealt)
-    return bands.sortWithinPartitions("key").mapInArrow(
-        _buckets(hot, bucket_rows, fitting), "key long, content long, distinct int, hot boolean, large boolean")
+    bands = units.filter("part IS NOT NULL").select("part", "rows")
+    if hot:
+        bands = bands.mapInArrow(_dealt_anew(hot), "part int, rows binary")
+    return bands.repartition("part").sortWithinPartitions("part").mapInArrow(
+        _part_buckets(hot, bucket_rows, fitting), "key long, content long, distinct int, hot boolean, large boolean")
 
 
 def count_hot(collided: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -363,7 +571,7 @@ def _shingle_sets(batches):
         return made
 
     for b in batches:
-        for text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for text, places in zip(_plain(b.column(0)), _plain(b.column(1))):
             for p in places:
                 if p["content"] in seen:
                     continue
@@ -536,7 +744,7 @@ def _verify(rows: int | None, size: int = BUCKET_BYTES):
             return out(0, u, v, [None] * len(u))
 
         for b in batches:
-            for k, c, s in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for k, c, s in zip(*(_plain(b.column(i)) for i in range(3))):
                 if k != key:
                     yield from close()
                     key, contents, sets, held, over = k, [], [], 0, False
@@ -647,7 +855,7 @@ def _texts(batches):
             yield row, h[own], start[own] - begin[k], end[own] - begin[k]
 
     for b in batches:
-        for text, *row in zip(*(c.to_pylist() for c in b.columns)):
+        for text, *row in zip(*map(_plain, b.columns)):
             if held and size + len(text) > BLOCK_BYTES:
                 yield from tokenised()
                 held, size = [], 0
@@ -706,24 +914,37 @@ def grow(own: np.ndarray, other: np.ndarray, shared: int, union: int) -> tuple[i
     taken, words beyond a difference where the shingles of all that is taken are similar by ``SIMILARITY``."""
     a = b = far_a = far_b = 0
     s, u, best = shared, union, (shared, union)
+    sizes, short = (own.size, other.size), other.size <= 64
+    if short:  # of the own words no more than differences may skip
+        own, other = own[:2 * other.size + 16].tolist(), other.tolist()
     first = True
     while True:
-        n = min(own.size - a, other.size - b)
-        differ = np.flatnonzero(own[a:a + n] != other[b:b + n])
-        run = int(differ[0]) if differ.size else n
+        n = run = min(sizes[0] - a, sizes[1] - b)
+        if n and own[a] != other[b]:
+            run = 0
+        elif short:
+            run = 1 if n else 0
+            while run < n and own[a + run] == other[b + run]:
+                run += 1
+        elif n:
+            differ = own[a:a + n] != other[b:b + n]
+            run = int(differ.argmax())
+            run = run if differ[run] else n
         new = run if first and shared else max(0, run - SHINGLE + 1)
         s, u = s + new, u + 2 * run - new
         a, b = a + run, b + run
         if run and (first or s >= SIMILARITY * u - 1e-9):
             far_a, far_b, best = a, b, (s, u)
         first = False
-        x, y = own[a:a + SKIP + SHINGLE].tolist(), other[b:b + SKIP + SHINGLE].tolist()
-        for i, j in _SKIPS:
-            if x[i:i + SHINGLE] == y[j:j + SHINGLE] and min(len(x) - i, len(y) - j) >= SHINGLE:
+        x, y = own[a:a + SKIP + SHINGLE], other[b:b + SKIP + SHINGLE]
+        if not short:
+            x, y = x.tolist(), y.tolist()
+        for i, j in _SKIPS if not set(x).isdisjoint(y) else ():
+            if len(x) - i >= SHINGLE <= len(y) - j and x[i] == y[j] and x[i:i + SHINGLE] == y[j:j + SHINGLE]:
                 a, b, u = a + i, b + j, u + i + j
                 break
         else:
-            return far_a, far_b, *best, own.size > a and other.size - b < SKIP + SHINGLE
+            return far_a, far_b, *best, sizes[0] > a and sizes[1] - b < SKIP + SHINGLE
 
 
 def shared_ends(own: np.ndarray, other: np.ndarray) -> tuple[int, int, int, int] | None:
@@ -780,8 +1001,9 @@ class _Growing:
     def _grow(self, near, full):
         begun, ends = list(self.r_at), list(self.more)
         # Both sides grow in turn, so that what one side takes counts for the other.
+        taken = None
         for side in (0, 1, 0):
-            if not ends[side]:
+            if not ends[side] or not side and taken == (self.s, self.u):
                 continue
             other = near[side][abs(self.r_at[side] - begun[side]):]
             x = self.at[side]
@@ -790,6 +1012,7 @@ class _Growing:
             self.at[side] += far if side else -far
             self.r_at[side] += r_far if side else -r_far
             self.more[side] = bool(full[side] and spent)
+            taken = taken if side else (self.s, self.u)
 
     def row(self, start: np.ndarray, end: np.ndarray) -> tuple:
         x, y = self.at
@@ -896,8 +1119,9 @@ def repeated_units(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     pairs = scratch.written(colliding(units, hot_keys(units, docs.count()), bucket_rows, fitting=True).drop("distinct"), "paragraph-pairs")
     collided = count_hot(pairs, bucket_rows)
     # Units whose content stands once and meets no other are done with.
-    again = units.groupBy("content").count().filter("count > 1").select("content").union(pairs.select("content")).distinct()
-    every, units = units, scratch.written(units.drop("bands", "distinct").join(again, "content", "left_semi"), "paragraph-places")
+    places = units.filter("part IS NULL").drop("part", "rows")
+    again = places.groupBy("content").count().filter("count > 1").select("content").union(pairs.select("content")).distinct()
+    every, units = units, scratch.written(places.join(again, "content", "left_semi"), "paragraph-places")
     scratch.free(every)
     place = F.struct("doc_id", "text_key", "start", "size", "word")
     near = pairs.select("content").distinct().withColumn("near", F.lit(True))
