@@ -18,7 +18,7 @@ for units that overlap it in its own text: a line and the block around it are no
 Of a unit that is similar only what lies between its first and last shingle of the kept unit goes. A
 removed span takes in what it shares with the kept unit's text on both sides: it grows word by word over
 equal words, and over differences as long as the shingles of the whole span stay similar by 0.8 (aligned
-in order). It never overlaps the kept unit, so of exact copies every shingle stays somewhere.
+in order). Of its outer lines a span takes ``SHINGLE`` words at least, or the whole line. It never overlaps the kept unit, so of exact copies every shingle stays somewhere.
 """
 
 from __future__ import annotations
@@ -839,8 +839,9 @@ def content_links(collided: DataFrame, sets: DataFrame, bucket_rows: int = BUCKE
     return edges.union(more)
 
 
-def _texts(batches):
-    """(row, word hashes, starts and ends of words) of the texts in column 0; row holds the other columns."""
+def _texts(batches, lines: bool = False):
+    """(row, word hashes, starts and ends of words) of the texts in column 0, with ``lines`` also the number of each
+    word's line; row holds the other columns."""
     held, size = [], 0
 
     def tokenised():
@@ -850,9 +851,11 @@ def _texts(batches):
         start, end = word_spans(data)
         h = word_hashes(data, start, end)
         edge = np.searchsorted(start, begin)
+        if lines:
+            line = np.cumsum(np.bincount(np.searchsorted(start, np.flatnonzero(data == 10)), minlength=start.size + 1))
         for k, (_, row) in enumerate(held):
             own = slice(edge[k], edge[k + 1])
-            yield row, h[own], start[own] - begin[k], end[own] - begin[k]
+            yield row, h[own], start[own] - begin[k], end[own] - begin[k], *([line[own]] if lines else [])
 
     for b in batches:
         for text, *row in zip(*map(_plain, b.columns)):
@@ -975,8 +978,8 @@ class _Growing:
     """A span that grows: its words ``at``, those of the kept unit's text ``r_at``, shared and all shingles,
     and on which sides ``more`` may be shared."""
 
-    def __init__(self, r: dict, h: np.ndarray, width: int):
-        self.r, self.h = r, h
+    def __init__(self, r: dict, h: np.ndarray, line: np.ndarray, width: int):
+        self.r, self.h, self.line = r, h, line
         self.at, self.r_at, self.s, self.u = [r["begin"], r["end"]], [r["r_begin"], r["r_end"]], r["shared"], r["whole"]
         self.more, self.context = [r["more0"], r["more1"]], [np.frombuffer(r[f"context{side}"] or b"", dtype=np.uint32) for side in (0, 1)]
         self.none = False
@@ -1013,6 +1016,19 @@ class _Growing:
             self.r_at[side] += r_far if side else -r_far
             self.more[side] = bool(full[side] and spent)
             taken = taken if side else (self.s, self.u)
+        for side in (0, 1):
+            if not self.more[side]:
+                self.at[side] = self._whole_line(side)
+
+    def _whole_line(self, side: int) -> int:
+        """Where a side ends that grows no more: of the outer line of several, fewer than ``SHINGLE`` words are
+        alike by chance and stay, unless they are the whole line."""
+        line, edge = self.line, self.at[side]
+        first, beyond, inside = (edge - 1, edge, self.at[0]) if side else (edge, edge - 1, self.at[1] - 1)
+        if line[first] == line[inside] or not 0 <= beyond < line.size or line[beyond] != line[first]:
+            return edge
+        to = int(np.searchsorted(line, line[first], side="left" if side else "right"))
+        return to if abs(to - edge) < SHINGLE else edge
 
     def row(self, start: np.ndarray, end: np.ndarray) -> tuple:
         x, y = self.at
@@ -1035,9 +1051,9 @@ def _grown(widths: list[int]):
             rows.clear()
             return made
 
-        for (i, k, asked), h, start, end in _texts(batches):
+        for (i, k, asked), h, start, end, line in _texts(batches, lines=True):
             h = (h >> np.uint64(32)).astype(np.uint32)
-            spans = [g for r in asked if not (g := _Growing(r, h, widths[0])).none]
+            spans = [g for r in asked if not (g := _Growing(r, h, line, widths[0])).none]
             for width in widths[1:]:
                 rows += [(i, k, *g.row(start, end)) for g in spans if not any(g.more)]
                 spans = list({g.row(start, end): g for g in spans if any(g.more)}.values())

@@ -357,6 +357,58 @@ def test_shared_lines_stay_once_and_unique_neighbours_whole(spark):
     assert all(texts.count(x) == 1 for x in used)
 
 
+def test_a_neighbour_line_keeps_a_word_that_is_alike_by_chance(spark):
+    """Unique lines beside a shared one that begin or end with the same few words; a short line that is the same goes whole."""
+    shared, other = prose(40), prose(40)
+    for gap in ("\n", "\n\n"):
+        rows = [(d, gap.join([f"{prose(12)} same end", shared, f"same three words {prose(12)}"])) for d in range(3)]
+        rows += [(d, gap.join([prose(12), "short line", other, prose(12)])) for d in (3, 4)]
+        got = {r["doc_id"]: r["text"] for r in paragraph_dedup.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        for d, t in rows[:3]:
+            first, _, last = t.split(gap)
+            assert first in got[d] and last in got[d] and (shared in got[d]) == (d == 0)
+        assert "short line" in got[3] and "short line" not in got[4]
+
+
+def test_band_rows_of_a_part_are_those_of_its_keys():
+    """Packed rows of several tasks, with hot keys dealt by content and a part so large that keys go out before its end."""
+    pa = paragraph_dedup.pa
+    rng = np.random.default_rng(11)
+    tasks = [(rng.integers(0, 300, n), rng.integers(0, 50, n)) for n in (900, 700, 800)]
+    tasks = [(np.append(k, np.full(120, 7)), np.append(c, np.arange(120))) for k, c in tasks]
+    rows = {(int(k), int(c)) for t in tasks for k, c in zip(*t)}
+    for hot, most, held in (([], 1 << 14, 1 << 20), ([5, 7], 1 << 14, 1 << 20), ([5], 40, 1 << 20), ([5], 40, 60)):
+        batches = []
+        for k, c in tasks:
+            part, packed = paragraph_dedup._packed([(k, c, 4 + c % 3)], 16)
+            b = [pa.RecordBatch.from_arrays([part, packed], ["part", "rows"])]
+            batches += paragraph_dedup._dealt_anew(hot)(b) if hot else b
+        table = pa.Table.from_batches(batches).sort_by("part")
+        before, paragraph_dedup.HELD_ROWS = paragraph_dedup.HELD_ROWS, held
+        try:
+            got = [tuple(r.values()) for b in paragraph_dedup._part_buckets(hot, most, False)(table.to_batches(max_chunksize=5)) for r in b.to_pylist()]
+        finally:
+            paragraph_dedup.HELD_ROWS = before
+        want = set()
+        for k in {k for k, _ in rows}:
+            own = {c for x, c in rows if x == k}
+            if k in hot or len(own) > 1:
+                want |= {(k, c, 4 + c % 3, k in hot, k not in hot and len(own) > most) for c in own}
+        assert set(got) == want
+        assert len(got) == len(want) or held == 60
+
+
+def test_units_count_their_different_shingles():
+    """Against sets, in texts with many repeats, and without a search of all shingles among the repeated ones."""
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{w}" + ("\n" * int(rng.integers(0, 3)) if rng.integers(9) == 0 else "") for w in rng.integers(0, int(rng.integers(2, 9)), 80)).encode() for _ in range(30)]
+    u = paragraph_dedup.Units(texts)
+    distinct = u.bands()[2]
+    for k in range(u.first.size):
+        own = texts[u.text[k]][u.start[k]:u.start[k] + u.size[k]].decode()
+        assert distinct[k] == len(shingles(own))
+
+
 def test_every_shingle_of_copies_stands_somewhere(spark, docs):
     """Copies cut at other places: no five words in a row within a line are lost."""
     lines = [prose(random.randint(5, 40)) for _ in range(200)]
